@@ -15,6 +15,10 @@ RING_TYPE = (T.StructType().add("part", "integer").add("kind", "integer")
              .add("pts", T.ArrayType(POINT_TYPE)))
 SHAPE_TYPE = (T.StructType().add("gtype", "integer").add("error", "string")
               .add("rings", T.ArrayType(RING_TYPE)))
+STATS_TYPE = T.StructType().add("gtype", "integer").add("error", "string").add(
+    "npoints", "integer")
+for _name in ("xmin", "ymin", "xmax", "ymax", "cx", "cy"):
+    STATS_TYPE = STATS_TYPE.add(_name, "double")
 TILES_TYPE = T.ArrayType(
     T.StructType().add("cx", "long").add("cy", "long").add("inside", "boolean")
     .add("edges", T.ArrayType(T.DoubleType())))
@@ -37,6 +41,12 @@ def encode_shape(shape: pa.Array) -> pa.Array:
     return wkb.encode(shape)
 
 
+@F.arrow_udf(STATS_TYPE)
+def geom_stats(data: pa.Array) -> pa.Array:
+    """Struct gtype, error, npoints, xmin, ymin, xmax, ymax, cx, cy."""
+    return wkb.stats(data)
+
+
 def _rings(buf):
     return wkb.read_rings(buf)[1]
 
@@ -58,11 +68,8 @@ def invalid_reason(data: pa.Array) -> pa.Array:
 
 @F.arrow_udf(T.BooleanType())
 def intersects(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array(
-        [None if p is None or q is None else planar.intersects(_rings(p), _rings(q))
-         for p, q in zip(a.to_pylist(), b.to_pylist())],
-        pa.bool_(),
-    )
+    """Whether two geometries share a point, borders included."""
+    return pa.array(planar.intersects(a.to_pylist(), b.to_pylist()), pa.bool_())
 
 
 @F.arrow_udf(TILES_TYPE)
@@ -80,8 +87,12 @@ def cut_tiles(data: pa.Array, cell: pa.Array) -> pa.Array:
 @F.arrow_udf(T.BooleanType())
 def meets_tile(data: pa.Array, cx: pa.Array, cy: pa.Array, cell: pa.Array,
                within: pa.Array, edges: pa.Array) -> pa.Array:
-    args = zip(*(c.to_pylist() for c in (data, cx, cy, cell, within, edges)))
-    return pa.array([planar.meets_tile(_rings(buf), *rest) for buf, *rest in args], pa.bool_())
+    """Whether a geometry meets a tile; a NULL geometry is a pair already sure."""
+    spots = [c.to_numpy(zero_copy_only=False) for c in (cx, cy, cell, within)]
+    flat = edges.flatten().to_numpy(zero_copy_only=False)
+    counts = pa.compute.list_value_length(edges).to_numpy(zero_copy_only=False) // 4
+    return pa.array(planar.meet_tiles(data.to_pylist(), *spots, flat.reshape(-1, 4), counts),
+                    pa.bool_())
 
 
 def _tidied(data: pa.Array, flat: bool) -> pa.Array:
@@ -147,86 +158,6 @@ def shape_points(shape: Column) -> Column:
     return F.flatten(F.transform(shape["rings"], lambda r: r["pts"]))
 
 
-def bbox(shape: Column) -> Column:
-    """Struct xmin, ymin, xmax, ymax; NULLs for an empty or missing geometry."""
-    pts = shape_points(shape)
-    xs, ys = F.transform(pts, lambda p: p["x"]), F.transform(pts, lambda p: p["y"])
-    return F.struct(
-        F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
-        F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"),
-    )
-
-
-def _moments(ring: Column) -> Column:
-    """Signed area times two and the matching first moments, about the first point."""
-    pts = ring["pts"]
-    x0, y0 = pts[0]["x"], pts[0]["y"]
-    heads = F.slice(pts, F.lit(1), F.greatest(F.size(pts) - 1, F.lit(0)))
-    tails = F.slice(pts, F.lit(2), F.greatest(F.size(pts) - 1, F.lit(0)))
-
-    def term(p, q):
-        px, py, qx, qy = p["x"] - x0, p["y"] - y0, q["x"] - x0, q["y"] - y0
-        c = px * qy - qx * py
-        return F.struct(c.alias("a"), (c * (px + qx)).alias("mx"), (c * (py + qy)).alias("my"))
-
-    total = F.aggregate(
-        F.zip_with(heads, tails, term),
-        F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my")),
-        lambda s, t: F.struct((s["a"] + t["a"]).alias("a"), (s["mx"] + t["mx"]).alias("mx"),
-                              (s["my"] + t["my"]).alias("my")),
-    )
-    sign = F.when(ring["kind"] == wkb.HOLE, F.lit(-1.0)).otherwise(F.lit(1.0))
-    weight = F.abs(total["a"]) * sign
-    turn = F.when(total["a"] == 0, F.lit(0.0)).otherwise(weight / total["a"])
-    # moment about the origin = moment about the first point + its position * weight
-    return F.struct(
-        (weight / 2).alias("w"),
-        (total["mx"] * turn / 6 + x0 * weight / 2).alias("mx"),
-        (total["my"] * turn / 6 + y0 * weight / 2).alias("my"),
-    )
-
-
-def _lengths(ring: Column) -> Column:
-    pts = ring["pts"]
-    heads = F.slice(pts, F.lit(1), F.greatest(F.size(pts) - 1, F.lit(0)))
-    tails = F.slice(pts, F.lit(2), F.greatest(F.size(pts) - 1, F.lit(0)))
-
-    def term(p, q):
-        d = F.hypot(q["x"] - p["x"], q["y"] - p["y"])
-        return F.struct(d.alias("w"), (d * (p["x"] + q["x"]) / 2).alias("mx"),
-                        (d * (p["y"] + q["y"]) / 2).alias("my"))
-
-    return F.aggregate(F.zip_with(heads, tails, term), _zero(), _add)
-
-
-def _zero():
-    return F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-
-
-def _add(s, t):
-    return F.struct((s["w"] + t["w"]).alias("w"), (s["mx"] + t["mx"]).alias("mx"),
-                    (s["my"] + t["my"]).alias("my"))
-
-
-def centroid(shape: Column) -> Column:
-    """Struct x, y: by area if there is any, else by length, else the mean point."""
-    rings = shape["rings"]
-    areas = F.filter(rings, lambda r: r["kind"] >= wkb.SHELL)
-    area = F.aggregate(F.transform(areas, _moments), _zero(), _add)
-    length = F.aggregate(
-        F.transform(F.filter(rings, lambda r: r["kind"] >= wkb.LINE), _lengths), _zero(), _add)
-    dots = F.aggregate(
-        shape_points(shape), _zero(),
-        lambda s, p: F.struct((s["w"] + 1.0).alias("w"), (s["mx"] + p["x"]).alias("mx"),
-                              (s["my"] + p["y"]).alias("my")))
-
-    def mean(total):
-        return F.struct((total["mx"] / total["w"]).alias("x"), (total["my"] / total["w"]).alias("y"))
-
-    return (F.when(area["w"] > 0, mean(area)).when(length["w"] > 0, mean(length))
-            .when(dots["w"] > 0, mean(dots)))
-
-
 def number_text(value: Column) -> Column:
     """A coordinate without a trailing `.0` and without an exponent."""
     whole = (value == F.floor(value)) & (F.abs(value) < 1e15)
@@ -289,15 +220,19 @@ def ewkt(shape: Column, srid: Column) -> Column:
     return F.concat(mark, wkt(shape, tag_z=False))
 
 
-def map_points(shape: Column, change) -> Column:
-    """The shape with every point replaced by `change(point)`."""
+def map_rings(shape: Column, change) -> Column:
+    """The shape with the point array of every ring replaced by `change(points)`."""
     rings = F.transform(shape["rings"], lambda r: F.struct(
-        r["part"].alias("part"), r["kind"].alias("kind"),
-        F.transform(r["pts"], change).alias("pts")))
+        r["part"].alias("part"), r["kind"].alias("kind"), change(r["pts"]).alias("pts")))
     return F.when(shape.isNotNull(), F.struct(
         shape["gtype"].alias("gtype"), shape["error"].alias("error"), rings.alias("rings")))
 
 
+def map_points(shape: Column, change) -> Column:
+    """The shape with every point replaced by `change(point)`."""
+    return map_rings(shape, lambda pts: F.transform(pts, change))
+
+
 def flatten_z(shape: Column) -> Column:
     return map_points(shape, lambda p: F.struct(
         p["x"].alias("x"), p["y"].alias("y"), F.lit(None).cast("double").alias("z")))

@@ -2,34 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+BLOCK_BITS = 16  # ids are summed up in blocks of 65,536
 
-def number_rows(df: DataFrame, group: str, id_col: str, ties: list[Column | str],
-                out: str = "pk") -> DataFrame:
-    """``row_number() over (partition by group order by id_col, ties)``.
 
-    Rows are counted per id, the counts are summed up in blocks of 65,536 ids, and each
-    id gets its starting number by a join; a window then only spans one id.
+def start_numbers(rows: DataFrame, group: str, id_col: str) -> DataFrame:
+    """How many rows of the group come before each id: group, id, ``before``.
+
+    Counts per id are summed up within blocks of ids, and the blocks' sums within the
+    group, so no window spans more than a block or the list of blocks.
     """
-    before = lambda *by: (Window.partitionBy(*by)
-                          .rowsBetween(Window.unboundedPreceding, -1))
-    per_id = df.groupBy(group, id_col).agg(F.count(F.lit(1)).alias("_n"))
-    per_id = per_id.withColumn("_block", F.shiftright(id_col, 16))
+    per_id = rows.groupBy(group, id_col).agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_block", F.shiftright(id_col, BLOCK_BITS))
     blocks = per_id.groupBy(group, "_block").agg(F.sum("_n").alias("_n"))
-    blocks = blocks.withColumn("_super", F.shiftright("_block", 16))
-    supers = blocks.groupBy(group, "_super").agg(F.sum("_n").alias("_n"))
-
-    def start(rows, by, order, name):
-        total = F.sum("_n").over(before(group, *by).orderBy(order))
-        return rows.withColumn(name, F.coalesce(total, F.lit(0)))
-
-    supers = start(supers, [], "_super", "_start2").select(group, "_super", "_start2")
-    blocks = start(blocks, ["_super"], "_block", "_start1").join(supers, [group, "_super"])
-    blocks = blocks.select(group, "_block", (F.col("_start1") + F.col("_start2")).alias("_base"))
-    ids = start(per_id, ["_block"], id_col, "_start0").join(blocks, [group, "_block"])
-    ids = ids.select(group, id_col, (F.col("_start0") + F.col("_base")).alias("_first"))
+
+    def before(by, order):
+        window = (Window.partitionBy(*by).orderBy(order)
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        return F.coalesce(F.sum("_n").over(window), F.lit(0))
+
+    blocks = blocks.select(group, "_block", before([group], "_block").alias("_base"))
+    ids = per_id.select(group, id_col, "_block",
+                        before([group, "_block"], id_col).alias("_start"))
+    return ids.join(blocks, [group, "_block"]).select(
+        group, id_col, (F.col("_start") + F.col("_base")).alias("before"))
+
+
+def number_rows(df: DataFrame, starts: DataFrame, group: str, id_col: str, ties: list[str],
+                out: str = "pk") -> DataFrame:
+    """``row_number() over (partition by group order by id_col, ties)``."""
     within = F.row_number().over(Window.partitionBy(group, id_col).orderBy(*ties))
-    return (df.join(ids, [group, id_col])
-            .withColumn(out, F.col("_first") + within).drop("_first"))
+    return (df.join(starts, [group, id_col])
+            .withColumn(out, F.col("before") + within).drop("before"))

@@ -1,10 +1,11 @@
-"""Exact planar tests on the rings of a few geometries (numpy, one row at a time)."""
+"""Exact planar tests on batches of geometries."""
 
 from __future__ import annotations
 
 import numpy as np
 
-from trowel.functions.wkb import HOLE, LINE, POINT, SHELL
+from trowel.functions.wkb import (
+    HOLE, LINE, POINT, SHELL, Batch, read_rings, write_rings)
 
 _PAIRS_AT_ONCE = 1_000_000
 
@@ -58,26 +59,122 @@ def inside(x: float, y: float, edges: np.ndarray) -> bool:
     return bool(np.count_nonzero(at > x) % 2)
 
 
-def _first_points(rings):
-    """One point of every ring: rings that do not touch lie wholly in or out."""
-    return [pts[0, :2] for _, _, pts in rings if len(pts)]
-
-
-def _polygons(rings):
-    parts: dict[int, list] = {}
-    for ring in rings:
-        if ring[1] in (SHELL, HOLE):
-            parts.setdefault(ring[0], []).append(ring)
-    return [segments(p) for p in parts.values()]
-
-
-def intersects(a, b) -> bool:
-    """Whether two geometries share a point, borders included."""
-    if any_touch(segments(a), segments(b)):
-        return True
+class Segments:
+    """The segments of a batch of geometries, in row order; points have length zero."""
+
+    def __init__(self, bufs):
+        g = Batch(bufs)
+        self.gtype, self.kind = g.gtype, g.kind
+        lengths = np.diff(g.at)
+        single = lengths == 1
+        ring = np.repeat(np.arange(len(lengths)), lengths)
+        here = np.arange(len(g.x))
+        last = np.zeros(len(g.x), dtype=bool)
+        last[g.at[1:][lengths > 0] - 1] = True
+        here = here[~last | single[ring]]
+        there = np.where(last[here], here, here + 1)
+        self.xy = np.column_stack([g.x[here], g.y[here], g.x[there], g.y[there]])
+        self.ring = ring[here]
+        self.row = g.row[self.ring] if len(here) else np.empty(0, dtype=np.int32)
+        rows = np.arange(g.rows + 1)
+        self.at = np.searchsorted(self.row, rows)
+        # one point per ring: rings that do not touch lie wholly in or out
+        heads = g.at[:-1][lengths > 0]
+        self.heads = np.column_stack([g.x[heads], g.y[heads]])
+        self.head_row = g.row[lengths > 0]
+
+    def areas(self):
+        """Segments of polygon rings with their row offsets."""
+        keep = self.kind[self.ring] >= SHELL if len(self.ring) else np.empty(0, dtype=bool)
+        row = self.row[keep]
+        return self.xy[keep], np.searchsorted(row, np.arange(len(self.at)))
+
+
+def _matched(item_row, at):
+    """Pair each item with the range of its row: (item, member) indexes, in batches."""
+    sizes = (at[1:] - at[:-1])[item_row]
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(item_row):
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + _PAIRS_AT_ONCE, "right")))
+        size = sizes[start:stop]
+        item = np.repeat(np.arange(start, stop), size)
+        member = (np.arange(len(item)) - np.repeat(np.cumsum(size) - size, size)
+                  + at[item_row[item]])
+        yield item, member
+        start = stop
+
+
+def _segments_meet(p, q):
+    near = ((np.minimum(p[:, 0], p[:, 2]) <= np.maximum(q[:, 0], q[:, 2]))
+            & (np.maximum(p[:, 0], p[:, 2]) >= np.minimum(q[:, 0], q[:, 2]))
+            & (np.minimum(p[:, 1], p[:, 3]) <= np.maximum(q[:, 1], q[:, 3]))
+            & (np.maximum(p[:, 1], p[:, 3]) >= np.minimum(q[:, 1], q[:, 3])))
+    s1 = np.sign(_cross(*p.T, q[:, 0], q[:, 1])) * np.sign(_cross(*p.T, q[:, 2], q[:, 3]))
+    s2 = np.sign(_cross(*q.T, p[:, 0], p[:, 1])) * np.sign(_cross(*q.T, p[:, 2], p[:, 3]))
+    return near & (s1 <= 0) & (s2 <= 0)
+
+
+def rows_touching(a: np.ndarray, a_row, b: np.ndarray, b_at, rows: int) -> np.ndarray:
+    """Per row: whether any of its segments in `a` meets one of its segments in `b`."""
+    out = np.zeros(rows, dtype=bool)
+    for item, member in _matched(a_row, b_at):
+        out[a_row[item[_segments_meet(a[item], b[member])]]] = True
+    return out
+
+
+def _crossings(points, row, edges, at, low, high, along=0) -> np.ndarray:
+    """Per point: borders met going along an axis, strictly above low, up to high."""
+    out = np.zeros(len(points), dtype=np.int64)
+    across = 1 - along
+    for item, member in _matched(row, at):
+        p, e = points[item], edges[member]
+        spans = (e[:, across] <= p[:, across]) != (e[:, 2 + across] <= p[:, across])
+        item, p, e = item[spans], p[spans], e[spans]
+        share = (p[:, across] - e[:, across]) / (e[:, 2 + across] - e[:, across])
+        place = e[:, along] + share * (e[:, 2 + along] - e[:, along])
+        passed = (place > low[item]) & (place <= high[item])
+        out += np.bincount(item[passed], minlength=len(points))
+    return out
+
+
+def points_inside(points, row, edges, at) -> np.ndarray:
+    """Even-odd test per point; the border itself is left to the touch test."""
+    far = np.full(len(points), np.inf)
+    return _crossings(points, row, edges, at, points[:, 0], far) % 2 == 1
+
+
+def intersects(bufs_a, bufs_b) -> list[bool | None]:
+    """Per row: whether two geometries share a point, borders included."""
+    a, b = Segments(bufs_a), Segments(bufs_b)
+    n = len(bufs_a)
+    out = rows_touching(a.xy, a.row, b.xy, b.at, n)
     for area, other in ((a, b), (b, a)):
-        for edges in _polygons(area):
-            if any(inside(x, y, edges) for x, y in _first_points(other)):
+        edges, at = area.areas()
+        open_heads = ~out[other.head_row]
+        heads, row = other.heads[open_heads], other.head_row[open_heads]
+        out[row[points_inside(heads, row, edges, at)]] = True
+    for i in range(n):
+        # the areas of a collection may overlap: look at them one by one
+        if not out[i] and 7 in (a.gtype[i], b.gtype[i]):
+            out[i] = _parts_intersect(bufs_a[i], bufs_b[i])
+    return [None if p is None or q is None else bool(hit)
+            for p, q, hit in zip(bufs_a, bufs_b, out)]
+
+
+def _parts_intersect(buf_a, buf_b) -> bool:
+    sides = []
+    for buf in (buf_a, buf_b):
+        parts: dict[int, list] = {}
+        for ring in read_rings(buf)[1]:
+            parts.setdefault(ring[0], []).append(ring)
+        sides.append(list(parts.values()))
+    for areas, others in (sides, sides[::-1]):
+        heads = [pts[0, :2] for other in others for _, _, pts in other]
+        for part in areas:
+            edges = segments(part, (SHELL, HOLE))
+            if any(inside(x, y, edges) for x, y in heads):
                 return True
     return False
 
@@ -175,35 +272,41 @@ def tiles(rings, cell: float):
                 yield int(cx), int(cy), bool(within), local
 
 
-def meets_tile(rings, cx: int, cy: int, cell: float, within: bool, flat) -> bool:
-    """Whether a geometry meets the feature a tile was cut from, as seen in that tile."""
-    edges = np.asarray(flat, dtype=float).reshape(-1, 4)
-    if not len(edges):
-        # no border here: everything of the geometry inside this tile is inside
-        return within and _reaches(rings, cx, cy, cell)
-    if any_touch(segments(rings), edges):
-        return True
-    rx, ry = (cx + _REF[0]) * cell, (cy + _REF[1]) * cell
-    for x, y in _first_points(rings):
-        if np.floor(x / cell) == cx and np.floor(y / cell) == cy:
-            if _same_side(x, y, rx, ry, edges) == within:
-                return True
-    return any(inside(edges[0, 0], edges[0, 1], area) for area in _polygons(rings))
+def meet_tiles(bufs, cx, cy, cell, within, edges, counts) -> np.ndarray:
+    """Per row: whether a geometry meets the feature a tile was cut from, in that tile.
 
-
-def _reaches(rings, cx, cy, cell) -> bool:
-    x0, y0, x1, y1 = cx * cell, cy * cell, (cx + 1) * cell, (cy + 1) * cell
-    box = np.array([[x0, y0], [x1, y0], [x1, y1], [x0, y1], [x0, y0]])
-    return intersects(rings, [(0, SHELL, box)])
-
-
-def _same_side(x, y, rx, ry, edges) -> bool:
-    """Go level to the reference point's column, then straight to it; count borders."""
-    x1, y1, x2, y2 = edges.T
-    spans = (y1 <= y) != (y2 <= y)
-    at = x1[spans] + (y - y1[spans]) / (y2[spans] - y1[spans]) * (x2[spans] - x1[spans])
-    passed = np.count_nonzero((at > min(x, rx)) & (at <= max(x, rx)))
-    spans = (x1 <= rx) != (x2 <= rx)
-    at = y1[spans] + (rx - x1[spans]) / (x2[spans] - x1[spans]) * (y2[spans] - y1[spans])
-    passed += np.count_nonzero((at > min(y, ry)) & (at <= max(y, ry)))
-    return passed % 2 == 0
+    A missing geometry stands for a pair that is certain.
+    """
+    n = len(bufs)
+    g = Segments(bufs)
+    at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    out = np.array([b is None for b in bufs])
+    out |= rows_touching(g.xy, g.row, edges, at, n)
+    # a ring that starts in this tile lies on the same side as its start
+    row = g.head_row
+    starts_here = ((np.floor(g.heads[:, 0] / cell[row]) == cx[row])
+                   & (np.floor(g.heads[:, 1] / cell[row]) == cy[row]) & ~out[row])
+    heads, row = g.heads[starts_here], row[starts_here]
+    ref = np.column_stack([(cx[row] + _REF[0]) * cell[row], (cy[row] + _REF[1]) * cell[row]])
+    # go level to the reference point's column, then straight to it, and count borders
+    corner = np.column_stack([ref[:, 0], heads[:, 1]])
+    passed = _crossings(heads, row, edges, at, np.minimum(heads[:, 0], ref[:, 0]),
+                        np.maximum(heads[:, 0], ref[:, 0]))
+    passed += _crossings(corner, row, edges, at, np.minimum(heads[:, 1], ref[:, 1]),
+                         np.maximum(heads[:, 1], ref[:, 1]), along=1)
+    out[row[(passed % 2 == 0) == within[row].astype(bool)]] = True
+    # or the feature lies wholly within the geometry
+    areas, area_at = g.areas()
+    bordered = np.flatnonzero(~out & (counts > 0))
+    if len(bordered):
+        first = edges[at[bordered], :2]
+        out[bordered[points_inside(first, bordered, areas, area_at)]] = True
+    # a tile without borders is inside throughout: does the geometry reach into it?
+    plain = np.flatnonzero(~out & (counts == 0) & within.astype(bool))
+    if len(plain):
+        x0, y0, side = cx[plain] * cell[plain], cy[plain] * cell[plain], cell[plain]
+        boxes = [write_rings(3, [(0, SHELL, np.array(
+            [[x, y], [x + s, y], [x + s, y + s], [x, y + s], [x, y]]))])
+            for x, y, s in zip(x0, y0, side)]
+        out[plain] = intersects([bufs[i] for i in plain], boxes)
+    return out

@@ -144,47 +144,105 @@ def tidy(rings):
     return out
 
 
+class Batch:
+    """The rings of a batch of geometries in flat arrays."""
+
+    def __init__(self, bufs: list[bytes | None]):
+        self.gtype, self.error, self.missing = [], [], [b is None for b in bufs]
+        row, part, kind, coords = [], [], [], []
+        for i, buf in enumerate(bufs):
+            base, message, rings = None, None, []
+            if buf is not None:
+                try:
+                    base, rings = read_rings(buf)
+                except (struct.error, ValueError, IndexError) as exc:
+                    rings, message = [], str(exc)
+            self.gtype.append(base)
+            self.error.append(message)
+            for p, k, pts in rings:
+                row.append(i)
+                part.append(p)
+                kind.append(k)
+                coords.append(pts)
+        self.rows = len(bufs)
+        self.row, self.part, self.kind = (np.array(v, dtype=np.int32) for v in (row, part, kind))
+        self.at = np.zeros(len(coords) + 1, dtype=np.int64)  # where each ring starts
+        np.cumsum([len(c) for c in coords], out=self.at[1:])
+        total = int(self.at[-1])
+        self.x, self.y, self.z = np.empty(total), np.empty(total), np.zeros(total)
+        self.flat = np.ones(total, dtype=bool)
+        for start, pts in zip(self.at, coords):
+            end = start + len(pts)
+            self.x[start:end], self.y[start:end] = pts[:, 0], pts[:, 1]
+            if pts.shape[1] == 3:
+                self.z[start:end], self.flat[start:end] = pts[:, 2], False
+
+
 def decode(column: pa.Array) -> pa.Array:
     """A WKB column as shapes; bytes that cannot be read give ``error``."""
-    gtype, error, ring_ends, part, kind, pt_ends, coords = [], [], [0], [], [], [0], []
-    missing = []
-    for buf in column.to_pylist():
-        missing.append(buf is None)
-        base, message, rings = None, None, []
-        if buf is not None:
-            try:
-                base, rings = read_rings(buf)
-            except (struct.error, ValueError, IndexError) as exc:
-                base, rings, message = None, [], str(exc)
-        gtype.append(base)
-        error.append(message)
-        for p, k, pts in rings:
-            part.append(p)
-            kind.append(k)
-            coords.append(pts)
-            pt_ends.append(pt_ends[-1] + len(pts))
-        ring_ends.append(len(part))
-    total = pt_ends[-1]
-    x, y, z = np.empty(total), np.empty(total), np.zeros(total)
-    flat = np.ones(total, dtype=bool)
-    for start, pts in zip(pt_ends, coords):
-        end = start + len(pts)
-        x[start:end], y[start:end] = pts[:, 0], pts[:, 1]
-        if pts.shape[1] == 3:
-            z[start:end], flat[start:end] = pts[:, 2], False
+    batch = Batch(column.to_pylist())
     points = pa.StructArray.from_arrays(
-        [pa.array(x), pa.array(y), pa.array(z, mask=flat)], fields=list(_PT)
-    )
+        [pa.array(batch.x), pa.array(batch.y), pa.array(batch.z, mask=batch.flat)],
+        fields=list(_PT))
     rings = pa.StructArray.from_arrays(
-        [pa.array(part, pa.int32()), pa.array(kind, pa.int32()),
-         pa.ListArray.from_arrays(pa.array(pt_ends, pa.int32()), points)],
-        fields=list(_RING),
-    )
+        [pa.array(batch.part), pa.array(batch.kind),
+         pa.ListArray.from_arrays(pa.array(batch.at, pa.int32()), points)], fields=list(_RING))
+    ends = np.searchsorted(batch.row, np.arange(batch.rows + 1))
+    return pa.StructArray.from_arrays(
+        [pa.array(batch.gtype, pa.int32()), pa.array(batch.error, pa.string()),
+         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rings)],
+        fields=list(SHAPE_ARROW), mask=pa.array(batch.missing))
+
+
+STATS_ARROW = pa.struct([("gtype", pa.int32()), ("error", pa.string()), ("npoints", pa.int32())]
+                        + [(c, pa.float64()) for c in
+                           ("xmin", "ymin", "xmax", "ymax", "cx", "cy")])
+
+
+def stats(column: pa.Array) -> pa.Array:
+    """Type, size, box and centroid per geometry.
+
+    The centroid is weighted by area if there is any, else by length, else by points.
+    """
+    g = Batch(column.to_pylist())
+    n = g.rows
+    lengths = np.diff(g.at)
+    ring = np.repeat(np.arange(len(lengths)), lengths)  # ring of each point
+    owner = g.row[ring] if len(ring) else np.empty(0, int)
+    count = np.bincount(owner, minlength=n)
+    has = count > 0
+    starts = np.searchsorted(owner, np.arange(n))[has]
+    box = np.full((4, n), np.nan)
+    if has.any():
+        for k, (f, v) in enumerate([(np.minimum, g.x), (np.minimum, g.y),
+                                    (np.maximum, g.x), (np.maximum, g.y)]):
+            box[k, has] = f.reduceat(v, starts)
+    # all sums run on offsets from each geometry's box corner, to keep digits
+    x, y = g.x - box[0, owner], g.y - box[1, owner]
+    inner = np.ones(len(x), dtype=bool)
+    inner[g.at[1:][lengths > 0] - 1] = False  # the last point of a ring starts no segment
+    i = np.flatnonzero(inner)
+    r, w = ring[i], owner[i]
+    cross = x[i] * y[i + 1] - x[i + 1] * y[i]
+    turn = np.bincount(r, cross, minlength=len(lengths))  # twice the signed ring area
+    sign = np.where(g.kind == SHELL, 1.0, np.where(g.kind == HOLE, -1.0, 0.0)) * np.sign(turn)
+    weight = cross * sign[r]
+    area = np.bincount(w, weight, minlength=n)
+    ax = np.bincount(w, weight * (x[i] + x[i + 1]), minlength=n) / 3
+    ay = np.bincount(w, weight * (y[i] + y[i + 1]), minlength=n) / 3
+    step = np.hypot(x[i + 1] - x[i], y[i + 1] - y[i])
+    length = np.bincount(w, step, minlength=n)
+    lx = np.bincount(w, step * (x[i] + x[i + 1]) / 2, minlength=n)
+    ly = np.bincount(w, step * (y[i] + y[i + 1]) / 2, minlength=n)
+    px, py = np.bincount(owner, x, minlength=n), np.bincount(owner, y, minlength=n)
+    with np.errstate(all="ignore"):
+        cx = np.where(area > 0, ax / area, np.where(length > 0, lx / length, px / count)) + box[0]
+        cy = np.where(area > 0, ay / area, np.where(length > 0, ly / length, py / count)) + box[1]
+    empty = ~has
     return pa.StructArray.from_arrays(
-        [pa.array(gtype, pa.int32()), pa.array(error, pa.string()),
-         pa.ListArray.from_arrays(pa.array(ring_ends, pa.int32()), rings)],
-        fields=list(SHAPE_ARROW), mask=pa.array(missing),
-    )
+        [pa.array(g.gtype, pa.int32()), pa.array(g.error, pa.string()),
+         pa.array(count, pa.int32())] + [pa.array(v, mask=empty) for v in (*box, cx, cy)],
+        fields=list(STATS_ARROW), mask=pa.array(g.missing))
 
 
 def write_rings(gtype: int, rings: list[tuple[int, int, np.ndarray]]) -> bytes:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trowel.functions.geometry import decode_shape, ewkt, flat_tidy_wkb, tidy_wkb
-from trowel.functions.numbering import number_rows
+from trowel.functions.numbering import number_rows, start_numbers
 from trowel.functions.text import clean_text_csv
 from trowel.operators import eav, relations
 
@@ -52,11 +52,12 @@ def feature_core(t, strict: bool = False) -> DataFrame:
                 "wkb", "srid", "geoobject_meta_id", "geoobject_symbol_id", "spatial_type"))
 
 
-def _with_details(core: DataFrame, lists, list_names, texts: DataFrame, members: DataFrame,
-                  text_name: str) -> DataFrame:
-    """Core rows with lists, notes and groups; several notes or groups multiply rows.
+def _numbered(core: DataFrame, lists, list_names, texts: DataFrame, members: DataFrame,
+              text_name: str) -> DataFrame:
+    """Core rows with lists, notes and groups, numbered; notes and groups multiply rows.
 
-    A list too long for one row goes on in further rows that hold nothing else.
+    A list too long for one row goes on in further rows: they repeat the object's first
+    number, have ``part`` above 0 and hold nothing else.
     """
     small, large = lists
     small = small.select(*KEY, *list_names)
@@ -65,15 +66,20 @@ def _with_details(core: DataFrame, lists, list_names, texts: DataFrame, members:
     group_notes = texts.select(A, F.col("object_id").alias("group_id"),
                                F.col("text_id").alias("group_text_id"),
                                F.col("description").alias("group_description"))
-    groups = members.join(group_notes, [A, "group_id"], "left").where(
-        F.col("object_id").isNotNull())
-    rows = (core.join(small, KEY, "left").join(notes, KEY, "left").join(groups, KEY, "left")
-            .withColumn("part", F.lit(0)))
-    more = core.join(large, KEY)
+    groups = members.where(F.col("object_id").isNotNull()).join(
+        group_notes, [A, "group_id"], "left")
+    # the folded lists have one row per object, so only notes and groups count
+    counted = (core.select(*KEY).join(notes.select(*KEY), KEY, "left")
+               .join(groups.select(*KEY), KEY, "left"))
+    starts = start_numbers(counted, A, "object_id")
+    rows = core.join(small, KEY, "left").join(notes, KEY, "left").join(groups, KEY, "left")
+    rows = number_rows(rows, starts, A, "object_id", TIES).withColumn("part", F.lit(0))
+    more = core.join(large, KEY).join(starts, KEY).withColumn(
+        "pk", F.col("before") + 1).drop("before")
     return rows.unionByName(more, allowMissingColumns=True)
 
 
-TIES = ["part", "text_id", "group_id", "group_text_id"]
+TIES = ["text_id", "group_id", "group_text_id"]
 
 
 def features_table(t, public_id: bool = True) -> DataFrame:
@@ -81,9 +87,8 @@ def features_table(t, public_id: bool = True) -> DataFrame:
     texts = relations.object_texts(t)
     lists = eav.object_lists(eav.attr_items(t, "table"), {"attr_array": "attr"})
     core = feature_core(t)
-    rows = _with_details(core, lists, ["attr_array"], texts, relations.group_members(t),
-                         "object_description")
-    rows = number_rows(rows, A, "object_id", TIES).withColumn("geom", flat_tidy_wkb("wkb"))
+    rows = _numbered(core, lists, ["attr_array"], texts, relations.group_members(t),
+                     "object_description").withColumn("geom", flat_tidy_wkb("wkb"))
     columns = ["pk", F.col(A).alias("intrasis_archive"), "object_id"]
     if public_id:
         columns.append(F.col("object_public_id").alias("b_id"))
@@ -108,9 +113,8 @@ def features_csv(t, sites: DataFrame, fields: DataFrame) -> DataFrame:
     texts = relations.object_texts(t, clean_text_csv)
     items = eav.attr_items(t, "csv").union(relations.relation_items(t))
     names = {"attr_array": "attr", "parent_relations": "parent", "child_relations": "child"}
-    rows = _with_details(feature_core(t, strict=True), eav.object_lists(items, names),
-                         list(names), texts, relations.group_members(t), "feature_description")
-    rows = number_rows(rows, A, "object_id", TIES)
+    rows = _numbered(feature_core(t, strict=True), eav.object_lists(items, names), list(names),
+                     texts, relations.group_members(t), "feature_description")
     shaped = rows.withColumn("wkb", tidy_wkb("wkb")).withColumn("shape", decode_shape("wkb"))
     wide = (shaped.join(_columns(sites, SITE_COLUMNS), A, "left")
             .join(_columns(fields, SITE_FIELDS), A, "left"))
@@ -151,10 +155,13 @@ def geo_object_attribute_arrays(t) -> DataFrame:
                   .join(t["geo_object"].select(A, F.col("ObjectId").alias("GeoObjectId"), "wkb"),
                         [A, "GeoObjectId"]))
     core = (objects.join(definitions, [A, "PublicId"], "left").join(geometries, KEY))
+    starts = start_numbers(core.select(*KEY), A, "object_id")
     listed = core.join(small.drop("members"), KEY, "left").withColumn(
-        "attribute_info", F.coalesce("attribute_info", nothing))
-    rows = listed.unionByName(core.join(large.drop("members"), KEY)).fillna(0, ["part"])
-    rows = number_rows(rows, A, "object_id", ["part", "GeoObjectId", "Code"], "row_number")
+        "attribute_info", F.coalesce("attribute_info", nothing)).withColumn("part", F.lit(0))
+    rows = number_rows(listed, starts, A, "object_id", ["GeoObjectId", "Code"], "row_number")
+    more = core.join(large.drop("members"), KEY).join(starts, KEY).withColumn(
+        "row_number", F.col("before") + 1).drop("before")
+    rows = rows.unionByName(more)
     return rows.select(
         "row_number", A, F.col("object_id").alias("ObjectId"),
         F.col("GeoObjectId").alias("geo_object_id"), "ClassId", "SubClassId", "PublicId",
