@@ -91,14 +91,15 @@ def histogram_difference(t, keep: Column, drop: Column) -> DataFrame:
 
 
 def keyword_distance(values: DataFrame, keyword: str = P.POSTHOLE_WORD, longer_than: int = 3,
-                     below: int = 11, key: str = "pk") -> DataFrame:
+                     below: int = 11, key: str | list[str] = "pk") -> DataFrame:
     """Edit distance from the nearest word of each value to a keyword.
 
     Words are split at word borders; of equally near words the first by spelling stays.
     """
-    words = values.select(key, F.explode(F.split("value", r"(?U)\b")).alias("word")).where(
+    keys = [key] if isinstance(key, str) else list(key)
+    words = values.select(*keys, F.explode(F.split("value", r"(?U)\b")).alias("word")).where(
         F.length("word") > longer_than)
     near = words.withColumn("distance", F.levenshtein(F.upper("word"), F.lit(keyword))).where(
         F.col("distance") < below)
-    return near.groupBy(key).agg(F.min(F.struct("distance", "word")).alias("best")).select(
-        key, "best.distance", "best.word")
+    return near.groupBy(*keys).agg(F.min(F.struct("distance", "word")).alias("best")).select(
+        *keys, "best.distance", "best.word")

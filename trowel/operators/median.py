@@ -30,9 +30,11 @@ def _sums(points: DataFrame, keys: list[str]):
 
 def geometric_median(points: DataFrame, *keys: str, tolerance: float = 1e-5,
                      rounds: int = 100) -> DataFrame:
-    """The point with the least distance sum per group: keys, x, y."""
+    """The point with the least distance sum per group: keys, x, y.
+
+    ``points`` is read once per round, so it should be a checkpoint or a stored table.
+    """
     keys = list(keys)
-    points = cut_lineage(points.select(*keys, "x", "y"))
     state = cut_lineage(points.groupBy(*keys).agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
                         .select(*keys, "cx", "cy", F.col("cx").alias("bx"),
                                 F.col("cy").alias("by"), F.lit(float("inf")).alias("bf"),

@@ -12,6 +12,7 @@ from trowel.operators.median import geometric_median
 from trowel.operators.site import archive_names, centroid_points, recorded_srid
 from trowel.operators.spatial import region_hits
 from trowel.schema import TARGET_SRID
+from trowel.session import cut_lineage
 
 A = "archive"
 
@@ -71,7 +72,7 @@ def likely_srid_cascade(t, candidates=CANDIDATES, cell: float = 50000.0,
     placed = (points.select(A, "rank", "candidate", moved.alias("p"))
               .select(A, "rank", "candidate", "p.x", "p.y")
               .where(~F.isnan("x") & ~F.isnan("y") & (F.abs("x") < 1e8) & (F.abs("y") < 1e8)))
-    centres = geometric_median(placed, A, "rank", "candidate", **median_options)
+    centres = geometric_median(cut_lineage(placed), A, "rank", "candidate", **median_options)
     spots = centres.select(A, "rank", "candidate", point_wkb("x", "y").alias("wkb"))
     hits = region_hits(spots, [A, "rank", "candidate"], t["zone"], [], cell)
     best = hits.groupBy(A).agg(F.min(F.struct("rank", "candidate")).alias("best"))

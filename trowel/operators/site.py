@@ -10,6 +10,7 @@ from trowel.functions.geometry import geom_stats, number_text, point_wkb
 from trowel.functions.lists import element, fold
 from trowel.operators.median import geometric_median
 from trowel.operators.spatial import region_hits
+from trowel.session import cut_lineage
 
 A = "archive"
 
@@ -182,15 +183,15 @@ def centroid_points(t) -> DataFrame:
 
 def site_centroid(t, **options) -> DataFrame:
     """Geometric median and extent of the distinct centroids, in the target system."""
-    points = centroid_points(t)
+    points = cut_lineage(centroid_points(t))
     extent = points.groupBy(A).agg(
         (F.max("x") - F.min("x")).alias("x_dispersion"),
         (F.max("y") - F.min("y")).alias("y_dispersion"))
     middle = geometric_median(points, A, **options)
     text = F.concat(F.lit("POINT("), number_text(F.col("x")), F.lit(" "),
                     number_text(F.col("y")), F.lit(")"))
-    return extent.join(middle, A).select(
-        A, "x", "y", text.alias("geom_centroid_wkt"), "x_dispersion", "y_dispersion")
+    return cut_lineage(extent.join(middle, A).select(
+        A, "x", "y", text.alias("geom_centroid_wkt"), "x_dispersion", "y_dispersion"))
 
 
 def site_region(centres: DataFrame, layer: DataFrame, columns: list[str],
