@@ -181,12 +181,13 @@ def _ring_text(ring: Column) -> Column:
 def wkt(shape: Column, tag_z: bool = True) -> Column:
     """Well-known text; ``tag_z=False`` leaves the Z mark out, as extended text does."""
     rings = shape["rings"]
-    kind = rings[0]["kind"]
+    first = F.get(rings, F.lit(0))  # NULL for an empty geometry
+    kind = first["kind"]
     name = F.lit(None).cast("string")
     for code, word in WKT_NAMES.items():
         name = F.when(shape["gtype"] == code, F.lit(word)).otherwise(name)
     if tag_z:
-        name = F.concat(name, F.when(rings[0]["pts"][0]["z"].isNotNull(), F.lit(" Z "))
+        name = F.concat(name, F.when(F.get(first["pts"], F.lit(0))["z"].isNotNull(), F.lit(" Z "))
                         .otherwise(F.lit("")))
     texts = F.transform(rings, _ring_text)
     joined = F.array_join(texts, ",")

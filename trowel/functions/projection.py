@@ -171,10 +171,16 @@ def _shift_points(points: Column, s, d) -> Column:
     points = F.transform(points, lambda q: _point(
         u=(q["u"] - d("tx")) / d("m"), v=(q["v"] - d("ty")) / d("m"),
         w=(q["w"] - d("tz")) / d("m"), z=q["z"]))
+    # the exact inverse of the small rotation
     points = F.transform(points, lambda q: _point(
-        u=q["u"] + d("rz") * q["v"] - d("ry") * q["w"],
-        v=q["v"] - d("rz") * q["u"] + d("rx") * q["w"],
-        w=q["w"] + d("ry") * q["u"] - d("rx") * q["v"], z=q["z"]))
+        u=q["u"], v=q["v"], w=q["w"], z=q["z"],
+        along=d("rx") * q["u"] + d("ry") * q["v"] + d("rz") * q["w"]))
+    size = 1 + d("rx") * d("rx") + d("ry") * d("ry") + d("rz") * d("rz")
+    points = F.transform(points, lambda q: _point(
+        u=(q["u"] + d("rz") * q["v"] - d("ry") * q["w"] + d("rx") * q["along"]) / size,
+        v=(q["v"] - d("rz") * q["u"] + d("rx") * q["w"] + d("ry") * q["along"]) / size,
+        w=(q["w"] + d("ry") * q["u"] - d("rx") * q["v"] + d("rz") * q["along"]) / size,
+        z=q["z"]))
     flat = 1 - F.sqrt(1 - (d("e2") if isinstance(d("e2"), Column) else F.lit(d("e2"))))
     b = d("a") * (1 - flat)
     points = F.transform(points, lambda q: _point(

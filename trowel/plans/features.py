@@ -13,6 +13,7 @@ from trowel.functions.geometry import decode_shape, ewkt, flat_tidy_wkb, tidy_wk
 from trowel.functions.numbering import number_rows, start_numbers
 from trowel.functions.text import clean_text_csv
 from trowel.operators import eav, relations
+from trowel.session import cut_lineage
 
 A = "archive"
 KEY = [A, "object_id"]
@@ -59,6 +60,8 @@ def _numbered(core: DataFrame, lists, list_names, texts: DataFrame, members: Dat
     A list too long for one row goes on in further rows: they repeat the object's first
     number, have ``part`` above 0 and hold nothing else.
     """
+    # read several times below: the joins of the core and the cleaning run once
+    core, texts = cut_lineage(core), cut_lineage(texts)
     small, large = lists
     small = small.select(*KEY, *list_names)
     large = large.select(*KEY, "part", *list_names)
@@ -71,7 +74,7 @@ def _numbered(core: DataFrame, lists, list_names, texts: DataFrame, members: Dat
     # the folded lists have one row per object, so only notes and groups count
     counted = (core.select(*KEY).join(notes.select(*KEY), KEY, "left")
                .join(groups.select(*KEY), KEY, "left"))
-    starts = start_numbers(counted, A, "object_id")
+    starts = cut_lineage(start_numbers(counted, A, "object_id"))
     rows = core.join(small, KEY, "left").join(notes, KEY, "left").join(groups, KEY, "left")
     rows = number_rows(rows, starts, A, "object_id", TIES).withColumn("part", F.lit(0))
     more = core.join(large, KEY).join(starts, KEY).withColumn(
@@ -155,7 +158,8 @@ def geo_object_attribute_arrays(t) -> DataFrame:
                   .join(t["geo_object"].select(A, F.col("ObjectId").alias("GeoObjectId"), "wkb"),
                         [A, "GeoObjectId"]))
     core = (objects.join(definitions, [A, "PublicId"], "left").join(geometries, KEY))
-    starts = start_numbers(core.select(*KEY), A, "object_id")
+    core = cut_lineage(core)
+    starts = cut_lineage(start_numbers(core.select(*KEY), A, "object_id"))
     listed = core.join(small.drop("members"), KEY, "left").withColumn(
         "attribute_info", F.coalesce("attribute_info", nothing)).withColumn("part", F.lit(0))
     rows = number_rows(listed, starts, A, "object_id", ["GeoObjectId", "Code"], "row_number")
