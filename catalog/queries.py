@@ -147,9 +147,11 @@ def _(t):
 @query("create_features_table")
 def _(t):
     path = scratch_path(t.spark, "features")
+    name = "features_" + path.rsplit("-", 1)[1]
     core = features.feature_core(t).withColumn("wkb", G.flat_tidy_wkb("wkb"))
-    writers.overwrite_archives(core, path)
-    written = as_wkt(t.spark.read.parquet(path), "wkb", "geom")
+    writers.create_features_table(core, name, path)
+    writers.create_features_table(core.limit(0), name, path)  # exists: nothing happens
+    written = as_wkt(t.spark.table(name), "wkb", "geom")
     return written.select(A, "object_id", "object_name", "class", "subclass", "geom",
                           "spatial_type")
 
@@ -312,7 +314,7 @@ def _(t):
                                    "projektkod", "plats", "undersöknings_id"))
 
 
-@query("object_texts", stored=False)
+@query("object_texts")
 def _(t):
     return relations.object_texts(t)
 
@@ -410,19 +412,19 @@ def _(t):
 
 
 # -- text -----------------------------------------------------------------------------------------
-@query("clean_text", stored=False)
+@query("clean_text")
 def _(t):
     return t["free_text"].select(A, "AttributeId",
                                  X.clean_text(F.col("Text")).alias("converted_text"))
 
 
-@query("clean_text_csv", stored=False)
+@query("clean_text_csv")
 def _(t):
     return t["free_text"].select(A, "AttributeId",
                                  X.clean_text_csv(F.col("Text")).alias("converted_text"))
 
 
-@query("clean_text_span", stored=False)
+@query("clean_text_span")
 def _(t):
     cut = X.clean_text_span(F.col("Text"), F.col("AttributeId"), late=r"\\par", early=r"\\par")
     return t["free_text"].select(A, "AttributeId", cut.alias("converted_text"))

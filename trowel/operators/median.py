@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from trowel.session import cut_lineage
 
+GROUPS_TO_BROADCAST = 500_000  # two numbers and the keys per group
+
 NEWTON, NEAREST, WEISZFELD = 0, 1, 2
 
 
@@ -41,9 +43,13 @@ def geometric_median(points: DataFrame, *keys: str, tolerance: float = 1e-5,
                                 F.lit(0.0).alias("vx"), F.lit(0.0).alias("vy"),
                                 F.lit(0.0).alias("px"), F.lit(0.0).alias("py"),
                                 F.lit(NEWTON).alias("stage"), F.lit(False).alias("done")))
+    few = state.limit(GROUPS_TO_BROADCAST + 1).count() <= GROUPS_TO_BROADCAST
     for _ in range(rounds):
         open_groups = state.where(~F.col("done"))
-        measured = _sums(points.join(open_groups.select(*keys, "cx", "cy"), keys), keys)
+        candidates = open_groups.select(*keys, "cx", "cy")
+        if few:  # then the points stay where they are
+            candidates = F.broadcast(candidates)
+        measured = _sums(points.join(candidates, keys), keys)
         state = cut_lineage(state.where("done").unionByName(
             _advance(open_groups.join(measured, keys), keys, tolerance)))
         if state.where(~F.col("done")).isEmpty():

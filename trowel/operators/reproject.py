@@ -12,7 +12,7 @@ from trowel.operators.median import geometric_median
 from trowel.operators.site import archive_names, centroid_points, recorded_srid
 from trowel.operators.spatial import region_hits
 from trowel.schema import TARGET_SRID
-from trowel.session import cut_lineage
+from trowel.session import broadcast_if_small, cut_lineage
 
 A = "archive"
 
@@ -34,7 +34,8 @@ def _with_system(df: DataFrame, srid: str) -> DataFrame:
 
 def reproject(t, srids: DataFrame, target: int = TARGET_SRID) -> DataFrame:
     """Geometries moved from each archive's system (archive, likely_srid) to the target."""
-    shaped = t["geo_object"].drop("srid").join(srids.select(A, "likely_srid"), A, "left")
+    systems = broadcast_if_small(srids.select(A, "likely_srid"))
+    shaped = t["geo_object"].drop("srid").join(systems, A, "left")
     shaped = _with_system(shaped, "likely_srid").withColumn("shape", G.decode_shape("wkb"))
     source, fixed = P.by_column(F.col("system")), P.fixed(target)
     moved = G.map_rings(F.col("shape"), lambda pts: P.transform_points(pts, source, fixed))
@@ -65,7 +66,7 @@ def likely_srid_cascade(t, candidates=CANDIDATES, cell: float = 50000.0,
     first = F.array(F.struct(F.lit(0).alias("rank"), F.col("noted").alias("candidate")))
     tries = archive_names(t).join(noted, A, "left").select(
         A, F.inline(F.when(known, F.concat(first, ranked)).otherwise(ranked)))
-    points = _with_system(centroid_points(t).join(tries, A), "candidate")
+    points = _with_system(centroid_points(t).join(broadcast_if_small(tries), A), "candidate")
     one = F.array(F.struct("x", "y", F.lit(None).cast("double").alias("z")))
     moved = P.transform_points(one, P.by_column(F.col("system")), P.fixed(TARGET_SRID))[0]
     moved = F.when(F.col("candidate") != TARGET_SRID, moved).otherwise(one[0])

@@ -86,8 +86,9 @@ def archive_names(t) -> DataFrame:
     return t["object"].select(A).distinct()
 
 
-def archive_list(t, system=S.SYSTEM_ARCHIVES) -> DataFrame:
-    return archive_names(t).where(~F.col(A).isin(*system)).orderBy(A)
+def archive_list(t, own: tuple[str, ...] = (), system=S.SYSTEM_ARCHIVES) -> DataFrame:
+    """Archives by name, without system databases and the server's ``own`` ones."""
+    return archive_names(t).where(~F.col(A).isin(*system, *own)).orderBy(A)
 
 
 def size_text(size: Column) -> Column:

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from trowel.functions import geometry as G
 from trowel.functions.lists import element, fold
 from trowel.schema import TARGET_SRID
-from trowel.session import cut_lineage
+from trowel.session import broadcast_if_small, cut_lineage
 
 A = "archive"
 
-LEVEL_BITS = 5  # a tile level is 32 times the side of the one below
-TILE_LEVELS = 4
+LEVEL_BITS = 10  # a tile level is 1,024 times the side of the one below
+TILE_LEVELS = 2
 CELLS_PER_OBJECT = 1024  # above this many cells an object uses a coarser level
 
 
@@ -50,7 +50,8 @@ def region_hits(objects: DataFrame, ids: list[str], layer: DataFrame, columns: l
     An object meets a tile by grid cell.  In a tile without borders an object of one
     cell is inside for certain; all other pairs are tested against the tile's borders.
     """
-    tiles = region_tiles(layer, columns, cell).withColumn(
+    # a small layer is sent to the objects; for a large one both sides shuffle by cell
+    tiles = broadcast_if_small(region_tiles(layer, columns, cell)).withColumn(
         "level", F.explode(F.sequence(F.lit(0), F.lit(TILE_LEVELS))))
     tiles = tiles.withColumn("gx", F.expr(f"shiftright(cx, level * {LEVEL_BITS})")).withColumn(
         "gy", F.expr(f"shiftright(cy, level * {LEVEL_BITS})"))

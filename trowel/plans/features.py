@@ -13,7 +13,7 @@ from trowel.functions.geometry import decode_shape, ewkt, flat_tidy_wkb, tidy_wk
 from trowel.functions.numbering import number_rows, start_numbers
 from trowel.functions.text import clean_text_csv
 from trowel.operators import eav, relations
-from trowel.session import cut_lineage
+from trowel.session import broadcast_if_small, cut_lineage
 
 A = "archive"
 KEY = [A, "object_id"]
@@ -119,8 +119,8 @@ def features_csv(t, sites: DataFrame, fields: DataFrame) -> DataFrame:
     rows = _numbered(feature_core(t, strict=True), eav.object_lists(items, names), list(names),
                      texts, relations.group_members(t), "feature_description")
     shaped = rows.withColumn("wkb", tidy_wkb("wkb")).withColumn("shape", decode_shape("wkb"))
-    wide = (shaped.join(_columns(sites, SITE_COLUMNS), A, "left")
-            .join(_columns(fields, SITE_FIELDS), A, "left"))
+    about = _columns(sites, SITE_COLUMNS).join(_columns(fields, SITE_FIELDS), A, "left")
+    wide = shaped.join(broadcast_if_small(about), A, "left")
     return wide.select(
         "pk", *SITE_COLUMNS[:4], F.col("geom_centroid_wkt").alias("site_centroid"),
         *[F.col(f"`{c}`") for c in SITE_FIELDS], F.col(A).alias("intrasis_archive"),

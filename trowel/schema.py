@@ -65,19 +65,15 @@ CREATES_TEXT = "Skapar"
 
 MEASUREMENT_IMPORT = "Import from Measurement File"
 
-# Names on a server that never hold an archive (fixed values).
+# Databases of a server that hold no archive (fixed values); a server's own working
+# databases are added by the caller.
 SYSTEM_ARCHIVES = (
     "postgres",
     "template0",
     "template1",
-    "urdar_reference_data",
-    "urdar_template",
     "postgis_db",
     "postgis20",
     "template_postgis_20",
-    "urdar_overseer",
-    "intrasislicense",
-    "jens",
     "m20007",
     "m200123",
     "v20012",

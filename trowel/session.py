@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "trowel", master: str | None = None, **conf: str) -> SparkSession:
@@ -20,6 +21,7 @@ def build_session(app: str = "trowel", master: str | None = None, **conf: str) -
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -50,3 +52,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
     return df.checkpoint()
+
+
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows, stored once and measured; marked for broadcast if they are small enough.
+
+    Larger ones stay as they are: the join then shuffles, with skew handled at run time.
+    Meant for tables of one row per archive and for reference layers, whose other side
+    would otherwise be shuffled whole.
+    """
+    df = cut_lineage(df)
+    text = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    size = df.agg(F.sum(text.cast("bigint"))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df

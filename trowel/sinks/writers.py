@@ -47,9 +47,13 @@ def write_layers(layers: dict[str, DataFrame], path: str, srid: int, mode: str =
         layer.write.mode(mode).partitionBy(A).parquet(f"{path}/layer={name}")
 
 
-def create_features_table(df: DataFrame, name: str) -> None:
+def create_features_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """Create a table from a query unless it exists, partitioned by archive."""
-    df.write.mode("ignore").partitionBy(A).format("parquet").saveAsTable(name)
+    key = A if A in df.columns else "intrasis_archive"
+    writer = df.write.mode("ignore").partitionBy(key).format("parquet")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
 
 
 def overwrite_archives(df: DataFrame, path: str) -> None:

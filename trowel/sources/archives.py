@@ -1,4 +1,4 @@
-"""The archive store: core tables as parquet, one folder per table and archive."""
+"""The archive store: core tables as parquet, large ones with a folder per archive."""
 
 from __future__ import annotations
 
@@ -12,9 +12,6 @@ from trowel.schema import CORE_TABLES
 from trowel.session import scratch_path
 from trowel.sources.testdata import TestTables
 
-# Tables without an archive column.
-SHARED = ("region", "zone")
-
 # The id a table is laid out by: rows that are joined together lie together.
 LAYOUT = {
     "object": "ObjectId", "geo_object": "ObjectId", "geo_rel": "ObjectId",
@@ -24,16 +21,16 @@ LAYOUT = {
 
 
 def write_table(df: DataFrame, root: str, name: str) -> None:
-    """Write one core table; ranges of (archive, id) spread a large archive over tasks."""
+    """Write one core table; ranges of (archive, id) spread a large archive over tasks.
+
+    Dictionaries are small: they are written as they come.
+    """
     path = f"{root}/{name}"
-    if name in SHARED:
-        df.write.mode("overwrite").parquet(path)
-        return
     if name in LAYOUT:
         df = df.repartitionByRange("archive", LAYOUT[name])
+        df.write.mode("overwrite").partitionBy("archive").parquet(path)
     else:
-        df = df.repartitionByRange("archive")  # a dictionary: few rows per archive
-    df.write.mode("overwrite").partitionBy("archive").parquet(path)
+        df.write.mode("overwrite").parquet(path)
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
