@@ -285,7 +285,8 @@ QUERIES = {
     "archive_list": "SELECT DISTINCT archive FROM object",
     "read_archives": """SELECT archive, 'object' AS name, count(*) AS n FROM object GROUP BY ALL
         UNION ALL SELECT archive, 'object_rel', count(*) FROM object_rel GROUP BY ALL""",
-    "read_reference_layer": "SELECT namn, lan, x0, y0, x1, y1 FROM region_box",
+    "read_reference_layer": """SELECT namn, lan, x0::BIGINT AS x0, y0::BIGINT AS y0,
+        x1::BIGINT AS x1, y1::BIGINT AS y1 FROM region_box""",
     "pending_archives": """SELECT archive FROM (SELECT DISTINCT archive FROM object) WHERE archive
         NOT IN (SELECT archive FROM last_status WHERE step = 'layers' AND status = 'done'
                 AND version >= 10) ORDER BY archive LIMIT 500""",

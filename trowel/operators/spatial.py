@@ -100,7 +100,8 @@ def objects_in_region(t, cell: float = 1000.0, column: str = "lan", **bounds: in
                  {"object_ids": element(F.col("object_id"))}, "objects_listed", **bounds)
     totals = lists.groupBy(A, column).agg(F.sum("objects_listed").alias("objects_in_lan"))
     rank = Window.partitionBy(A).orderBy(F.desc("objects_in_lan"), F.asc_nulls_last(column))
-    totals = totals.withColumn("count_rank", F.row_number().over(rank))  # names per archive
+    # as many rows per archive as there are names
+    totals = totals.withColumn("count_rank", F.row_number().over(rank).cast("bigint"))
     same = F.col("l.archive").eqNullSafe(F.col("n.archive")) & F.col(f"l.{column}").eqNullSafe(
         F.col(f"n.{column}"))
     return lists.alias("l").join(totals.alias("n"), same).select(
