@@ -27,28 +27,36 @@ def fold_parts(df: DataFrame, keys: Sequence[str], member: str, lists: dict[str,
     """
     keys = list(keys)
     cut = F.pmod(F.xxhash64(member), F.lit(cuts)).cast("int")
-    # a bare NULL is dropped by collect_list, a struct around NULL is kept
-    collected = [
-        F.collect_list(F.when(cond, F.struct(F.col(member).alias("m"), value.alias("v"))))
-        .alias(name) if cond is not None else
-        F.collect_list(F.struct(F.col(member).alias("m"), value.alias("v"))).alias(name)
-        for name, (value, cond) in lists.items()
-    ]
+    # one item per row; a value that is not wanted is NULL, a wanted NULL is wrapped
+    item = F.struct(F.col(member).alias("m"), *[
+        (F.struct(value.alias("v")) if cond is None
+         else F.when(cond, F.struct(value.alias("v")))).alias(name)
+        for name, (value, cond) in lists.items()])
     first = (df.withColumn("_cut", cut).groupBy(*keys, "_cut")
-             .agg(F.count(F.lit(1)).alias(count), *collected))
+             .agg(F.count(F.lit(1)).alias(count), F.collect_list(item).alias("_items")))
 
-    def plain(name: str) -> Column:
-        ordered = F.transform(F.array_sort(F.col(name)), lambda s: s["v"])
-        return F.when(F.size(name) > 0, ordered).alias(name)
+    def unpacked(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("_items", F.array_sort("_items"))
+        split = [F.transform(F.filter("_items", _wanted(name)),
+                             _value(name)).alias(name) for name in lists]
+        rows = rows.select(*keys, "part", count, *split)
+        return rows.select(*keys, "part", count, *[
+            F.when(F.size(name) > 0, F.col(name)).alias(name) for name in lists])
 
     small = (first.where(F.col(count) <= small_cut).groupBy(*keys)
              .agg(F.sum(count).alias(count),
-                  *[F.flatten(F.collect_list(name)).alias(name) for name in lists])
-             .select(*keys, F.lit(0).alias("part"), count, *[plain(n) for n in lists]))
-    large = (first.where(F.col(count) > small_cut)
-             .select(*keys, (F.col("_cut") + 1).alias("part"), count,
-                     *[plain(n) for n in lists]))
-    return small, large
+                  F.flatten(F.collect_list("_items")).alias("_items"))
+             .withColumn("part", F.lit(0)))
+    large = first.where(F.col(count) > small_cut).withColumn("part", F.col("_cut") + 1)
+    return unpacked(small), unpacked(large)
+
+
+def _wanted(name: str):
+    return lambda item: item[name].isNotNull()
+
+
+def _value(name: str):
+    return lambda item: item[name]["v"]
 
 
 def element(value: Column, condition: Column | None = None) -> tuple[Column, Column | None]:
