@@ -120,44 +120,50 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, dense_bucket: int = DENSE
     return sparse.union(hubs).union(rest)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-                    dense_bucket: int = DENSE_BUCKET, keep: list[str] | None = None) -> DataFrame:
-    """Every row with its fingerprint and component: (doc_id, fp, component_id, row_no, keep…).
-
-    Links join fingerprints that differ in ``max_bits`` bits or fewer; a component holds all
-    rows reachable over links, and its id is the smallest doc_id in it. ``keep`` names columns
-    of ``docs`` to carry along. Defined cases: a null or empty text or one without words has
-    fingerprint 0, which links like any other; repeated rows stay separate rows of one
-    component; null ids take part but never name a component unless all of its ids are null
-    (then it is null); an empty table gives an empty one; other columns don't matter.
-    ``row_no`` numbers the rows and has no gaps to rely on.
-    """
-    kept = {f"keep_{i}": c for i, c in enumerate(keep or [])}
-    rows = stored(docs.select(
+def _rows(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, keep: list[str]) -> DataFrame:
+    return stored(docs.select(
         F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle_words).alias("fp"),
         F.monotonically_increasing_id().alias("row_no"),
-        *[F.col(c).alias(name) for name, c in kept.items()]), "prints")
+        *[F.col(f"`{c}`").alias(f"keep_{i}") for i, c in enumerate(keep)]), "prints")
+
+
+def _members(rows: DataFrame, max_bits: int, dense_bucket: int) -> DataFrame:
+    rows = rows.select("doc_id", "fp", "row_no")
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = components(links(prints.select("fp"), max_bits, dense_bucket))
     rooted = stored(prints.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = stored(rooted.join(named, "root").select("fp", "component_id"), "named")
-    return rows.join(of_print, "fp").select(
-        "doc_id", "fp", "component_id", "row_no", *kept)
+    of_print = stored(rooted.join(named, "root").select("fp", "root", "component_id"), "named")
+    return rows.join(of_print, "fp")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                    dense_bucket: int = DENSE_BUCKET) -> DataFrame:
+    """Every row with its fingerprint and component: (doc_id, fp, component_id).
+
+    Links join fingerprints that differ in ``max_bits`` bits or fewer; a component holds all
+    rows reachable over links, and its id is the smallest doc_id in it. Defined cases: a null
+    or empty text or one without words has fingerprint 0, which links like any other; repeated
+    rows stay separate rows of one component; null ids take part but never name a component
+    unless all of its ids are null (then it is null); an empty table gives an empty one; other
+    columns don't matter.
+    """
+    rows = _rows(docs, id_col, text_col, shingle_words, [])
+    return _members(rows, max_bits, dense_bucket).select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         **options) -> DataFrame:
-    """One row of each component: the one with the smallest id, the first of those where rows
-    repeat (any one if all ids are null). Columns and their order stay."""
-    rows = near_duplicates(docs, id_col, text_col, keep=docs.columns, **options)
-    rows = stored(rows, "members")
-    # null ids sort last, so that a component keeps the row its id names
-    first = stored(rows.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("of"))
-                   .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_no")).alias("first"))
-                   .select(F.col("first.row_no").alias("row_no")), "first")
+                         shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                         dense_bucket: int = DENSE_BUCKET) -> DataFrame:
+    """One row of each component: the one with the smallest id (null ids last), and one of
+    those where rows repeat. Columns and their order stay; texts are shuffled once."""
+    rows = _rows(docs, id_col, text_col, shingle_words, docs.columns)
+    members = _members(rows, max_bits, dense_bucket)
+    first = stored(members.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_no")).alias("first"))
+        .select(F.col("first.row_no").alias("row_no")), "first")
     return rows.join(first, "row_no", "left_semi").select(
         *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
