@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from trowel.llm import decontaminate, simhash
+from trowel.llm import bpe, decontaminate, secrets, simhash
 
 QUERIES = {
+    "op1_secret_scans": secrets.op1_secret_scans,
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
+    "op9_bpe_encoding_and_decoding": bpe.op9_bpe_encoding_and_decoding,
 }
 
 ORACLE_SQL = {

@@ -9,6 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trowel.llm import golay
 from trowel.llm.common import components, read, stored
@@ -60,7 +61,7 @@ def _bucket(pair: int, first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return (pair << 2 * golay.INDEX_BITS) | (first << golay.INDEX_BITS) | second
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _own_buckets(fps: pd.Series) -> pd.Series:
     """One bucket for each pair of segments: the indices of both."""
     index = [golay.index(s) for s in _segments(fps.to_numpy(np.int64))]
@@ -68,7 +69,7 @@ def _own_buckets(fps: pd.Series) -> pd.Series:
                                     for p, (i, j) in enumerate(PAIRS)], 1).astype(np.int32)))
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _nearby_buckets(fps: pd.Series) -> pd.Series:
     """The buckets of all fingerprints that differ in one bit at most in both segments of a
     pair: up to 36 for each pair."""
