@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from trowel.llm import bpe, decontaminate, secrets, simhash
+from trowel.llm import bpe, decontaminate, html_text, secrets, simhash
 
 QUERIES = {
     "op1_secret_scans": secrets.op1_secret_scans,
+    "op5_html_extraction": html_text.op5_html_extraction,
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_bpe_encoding_and_decoding": bpe.op9_bpe_encoding_and_decoding,
