@@ -30,6 +30,17 @@ def sha256_hex(text: Column) -> Column:
     return F.sha2(F.encode(text, "utf-8"), 256)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them until no column of ``df`` is called so."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step over edges (a, b) with a > b.
 
