@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from trowel.llm import bpe, decontaminate, html_text, secrets, sharding, simhash
+from trowel.llm import bpe, decontaminate, html_text, quality, secrets, sharding, simhash
 
 QUERIES = {
     "op1_secret_scans": secrets.op1_secret_scans,
     "op2_sharding": sharding.op2_sharding,
+    "op3_quality_classifier": quality.op3_quality_classifier,
     "op5_html_extraction": html_text.op5_html_extraction,
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
