@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trowel.llm import textstats
@@ -110,21 +110,23 @@ def train(texts: list, labels: np.ndarray, metadata: np.ndarray | None = None, s
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, rows: int,
-                    columns: list[str], id_col: str = "doc_id") -> pd.DataFrame:
+                    columns: list[str], id_col: str = "doc_id") -> DataFrame:
     """At most ``rows`` labelled documents outside fold 0, those with the smallest id hashes:
-    (label, columns…). Ids with differing labels count as 1 if any of them does.
+    (sample_label, columns…). Ids with differing labels count as 1 if any of them does; of rows
+    that repeat an id, one is taken.
 
     The sample is chosen from the labels, which are narrow; its ids, at most ``rows``, are
-    broadcast, so that the texts are not shuffled. Repeated ids give at most ``rows`` rows.
+    broadcast, so that the texts of other rows are not shuffled.
     """
     chosen = labels.select(F.col(id_col).alias("sample_id"), F.col(label).cast("double").alias("sample_label")).where(
         F.col("sample_id").isNotNull() & F.col("sample_label").isNotNull() & (fold("sample_id", folds) != 0)
     ).groupBy("sample_id").agg(F.max("sample_label").alias("sample_label")).orderBy(
         F.xxhash64("sample_id"), "sample_id").limit(rows)
-    found = docs.select(F.col(id_col).alias("doc_id"), *[F.col(c) for c in columns]).join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("sample_id"))
-    return found.select("sample_label", "sample_id", *columns).orderBy(
-        F.xxhash64("sample_id"), "sample_id").limit(rows).drop("sample_id").toPandas()
+    found = docs.select(F.col(id_col).alias("own_id"), F.struct(*columns).alias("row")).join(
+        F.broadcast(chosen), F.col("own_id") == F.col("sample_id"))
+    one = Window.partitionBy("sample_id").orderBy(F.xxhash64("row"))
+    return found.withColumn("place", F.row_number().over(one)).where("place = 1").select(
+        "sample_label", *[F.col("row")[c].alias(c) for c in columns])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -140,7 +142,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     same score; a null id counts as the empty text for the fold; other columns don't matter.
     """
     columns = [text_col] + ([length_col] if length_col else [])
-    sample = labelled_sample(docs, labels, label_col, folds, sample_rows, columns, id_col)
+    sample = labelled_sample(docs, labels, label_col, folds, sample_rows, columns, id_col).toPandas()
     length = lambda s: np.log1p(s.fillna(-1).to_numpy(float) + 1)
     metadata = length(sample[length_col])[:, None] if length_col else None
     machine = train(list(sample[text_col]), sample["sample_label"].to_numpy(float), metadata)

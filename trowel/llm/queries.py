@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trowel.llm import bpe, decontaminate, html_text, quality, secrets, sharding, simhash
+from trowel.llm import bpe, decontaminate, html_text, quality, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_secret_scans": secrets.op1_secret_scans,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality_classifier": quality.op3_quality_classifier,
     "op5_html_extraction": html_text.op5_html_extraction,
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_bpe_encoding_and_decoding": bpe.op9_bpe_encoding_and_decoding,
 }
