@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trowel.llm import bpe, decontaminate, html_text, quality, secrets, sharding, simhash, toxicity
+from trowel.llm import bpe, decontaminate, html_text, language, quality, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_secret_scans": secrets.op1_secret_scans,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_bpe_encoding_and_decoding": bpe.op9_bpe_encoding_and_decoding,
+    "op10_language_id": language.op10_language_id,
 }
 
 ORACLE_SQL = {
