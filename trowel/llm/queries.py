@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from trowel.llm import bpe, decontaminate, html_text, language, quality, secrets, sharding, simhash, toxicity
+from trowel.llm import bpe, decontaminate, html_text, language, quality, secrets, sharding, simhash, toxicity, vectors
 
 QUERIES = {
     "op1_secret_scans": secrets.op1_secret_scans,
     "op2_sharding": sharding.op2_sharding,
     "op3_quality_classifier": quality.op3_quality_classifier,
+    "op4_approximate_nearest_neighbours": vectors.op4_approximate_nearest_neighbours,
     "op5_html_extraction": html_text.op5_html_extraction,
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
     "op7_toxicity": toxicity.op7_toxicity,
