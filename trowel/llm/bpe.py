@@ -220,10 +220,10 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", to_col: st
     return encoded.withColumn(to_col, text_of(F.col(ids_col)))
 
 
-def digests(coded: DataFrame) -> DataFrame:
-    """The contract's columns from (doc_id, ids, decoded)."""
+def digests(coded: DataFrame, keep_ids: bool = False) -> DataFrame:
+    """Counts and digests of (doc_id, ids, decoded), with the ids themselves if asked for."""
     return coded.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        "doc_id", *(["ids"] if keep_ids else []), F.size("ids").cast("bigint").alias("n_tokens"),
         sha256_hex(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
         sha256_hex(F.col("decoded")).alias("decoded_sha256"))
 

@@ -33,8 +33,8 @@ def _hashes(word_list: Column) -> Column:
 
 def test_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
                  window_words: int = WINDOW_WORDS) -> DataFrame:
-    """Each distinct window (n_words, key, window, items): its words in lower case, the hash of
-    their hashes, and the sorted ids of the items that hold it."""
+    """Each distinct window (n_words, key, window, items): the hash of its words' hashes, its
+    words in lower case joined by spaces, and the sorted ids of the items that hold it."""
     own = items.select(F.col(id_col).alias("item_id"),
                        F.transform(words(F.col(text_col)), ascii_lower).alias("words"))
     own = own.where(F.size("words") > 0).select(
@@ -44,7 +44,8 @@ def test_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     cut = cut.select("item_id", "n_words", F.slice("words", F.col("at"), F.col("n_words")).alias("window"))
     return cut.groupBy("n_words", "window").agg(
         F.sort_array(F.collect_set("item_id")).alias("items")).select(
-        "n_words", F.xxhash64(_hashes(F.col("window"))).alias("key"), "window", "items")
+        "n_words", F.xxhash64(_hashes(F.col("window"))).alias("key"),
+        F.array_join("window", " ").alias("window"), "items")
 
 
 def _merged(hits: Column) -> Column:
@@ -92,7 +93,7 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     rows keep their own results; an empty benchmark gives no hits, an empty corpus no rows.
     """
     windows = stored(test_windows(items, item_id_col, item_text_col, window_words), "windows")
-    size = windows.agg(F.sum(F.length(F.array_join("window", " ")) * 4 + F.size("items") * 16 + 128),
+    size = windows.agg(F.sum(F.octet_length("window") + F.size("items") * 16 + 128),
                        F.collect_set("n_words")).first()
     lengths = sorted(size[1], reverse=True) or [window_words]  # at most window_words of them
     parts = max(1, math.ceil((size[0] or 0) / broadcast_bytes))
@@ -109,19 +110,23 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
         first == 0, F.array(F.lit(0)))
     probes = rows.select("*", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("n_words")).select(
         "*", F.explode(places).alias("at"))
+    # From here to the join all stays in one generated loop: the word lists of a row are looked
+    # at in place, not copied for each position. So no higher-order function belongs here.
     probes = probes.select("*", F.when(F.col("at") == 0, F.lit(0)).otherwise(F.xxhash64(
         F.slice("hashes", F.greatest(F.col("at"), F.lit(1)), F.col("n_words")))).alias("probe"))
     found = None
     for part in range(parts):
-        table = windows.where(F.pmod("key", F.lit(parts)) == part).select("key", "window", "items")
+        table = windows.select("key", "window", "items")
+        if parts > 1:
+            table = table.where(F.pmod("key", F.lit(parts)) == part)
         if part == 0:
             one = windows.sparkSession.range(1).select(
-                F.lit(0).cast("bigint").alias("key"), F.lit(None).cast("array<string>").alias("window"),
+                F.lit(0).cast("bigint").alias("key"), F.lit(None).cast("string").alias("window"),
                 F.lit(None).cast(windows.schema["items"].dataType).alias("items"))
             table = table.unionByName(one)
         met = probes.join(F.broadcast(table), F.col("probe") == F.col("key")).where(
-            ((F.col("at") == 0) & F.col("window").isNull()) | ((F.col("at") > 0) & (F.transform(
-                F.slice("words", F.greatest(F.col("at"), F.lit(1)), F.col("n_words")), ascii_lower) == F.col("window"))))
+            ((F.col("at") == 0) & F.col("window").isNull()) | ((F.col("at") > 0) & (ascii_lower(F.array_join(F.slice(
+                "words", F.greatest(F.col("at"), F.lit(1)), F.col("n_words")), " ")) == F.col("window"))))
         met = met.select("row_no", "doc_id", "n_all", "at", "n_words", "items", *[
             F.when(F.col("at") == 0, F.col(c)).alias(c) for c in kept_names])
         found = met if found is None else found.union(met)

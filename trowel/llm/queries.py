@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from trowel.llm import bpe, decontaminate, html_text, language, quality, secrets, sharding, simhash, toxicity, vectors
 
 QUERIES = {
@@ -15,9 +16,12 @@ QUERIES = {
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_bpe_encoding_and_decoding": bpe.op9_bpe_encoding_and_decoding,
     "op10_language_id": language.op10_language_id,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
     "op2_sharding": sharding.SQL,
     "op6_benchmark_decontamination": decontaminate.SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
