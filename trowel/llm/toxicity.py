@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +18,12 @@ from trowel.llm.common import fold, read, stored
 from trowel.llm.quality import labelled_sample
 
 SAMPLE_ROWS = 12_000   # labelled rows that voters are found and the model is fitted on, at most
-LEXICON = 400          # lexicon and prefix voters, at most
-LEAST_TEXTS = 6        # texts of label 1 a voter must have been seen in
-PREFIXES = (4, 5, 6)   # letters
+LEXICON = 300          # lexicon and prefix voters, at most
+CANDIDATES = 3_000     # traits among which they are chosen, at most
+LEAST_TEXTS = 3        # unrelated texts of label 1 a voter must have been seen in
+ANNOTATORS = (0.01, 0.97)  # how often the annotators call a clean and a toxic text toxic
+PREFIXES = (4, 5, 6, 7)  # letters of a stem
+SHARE = 100            # one word in so many is a good share
 THRESHOLD = 0.5
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -32,37 +37,91 @@ PATTERNS = {
 }
 
 
-def traits(text: str | None, patterns: bool = True) -> set[str]:
-    """What voters can look at: lower-case words, their prefixes (ending in ~), patterns met."""
-    words = set(_WORD.findall((text or "").lower()))
-    out = set(words)
-    for n in PREFIXES:
-        out.update([w[:n] + "~" for w in words if len(w) > n])
+def _stems(counts: Counter, known: set[str] | None = None) -> dict[str, list[int]]:
+    """Of the prefixes (or the known ones): in how many different words, and in how many words."""
+    out: dict[str, list[int]] = {}
+    for word, n in counts.items():
+        for k in PREFIXES:
+            if len(word) > k:
+                stem = word[:k]
+                if known is None or stem in known:
+                    held = out.get(stem)
+                    if held is None:
+                        out[stem] = [1, n]
+                    else:
+                        held[0] += 1
+                        held[1] += n
+    return out
+
+
+def traits(text: str | None, known: set[str] | None = None, patterns: bool = True) -> set[str]:
+    """What voters can look at: lower-case words; word stems that occur (~), in several
+    different words (~2), and in a good share of all words (~%); patterns met. ``known``
+    limits the words and stems to those."""
+    counts = Counter(_WORD.findall((text or "").lower()))
+    out = set(counts) if known is None else known & counts.keys()
+    total = sum(counts.values())
+    for stem, (different, n) in _stems(counts, known).items():
+        out.add(f"{stem}~")
+        if different > 1:
+            out.add(f"{stem}~2")
+        if n * SHARE >= total:
+            out.add(f"{stem}~%")
     if patterns and text:
         out.update(name for name, p in PATTERNS.items() if p.search(text))
     return out
 
 
-def find_voters(sample: DataFrame, size: int = LEXICON, least: int = LEAST_TEXTS) -> pd.DataFrame:
-    """The ``size`` traits of (label, text) rows that speak most clearly for label 1, with the
-    texts of each label they are in. Counted by Spark; only the chosen ones come to the driver."""
+@F.pandas_udf(T.LongType())
+def _sketch(texts: pd.Series) -> pd.Series:
+    """The least hash of a text's long words: the same for most near copies, and seldom for
+    other texts. Short texts count whole."""
+    out = []
+    for text in texts:
+        long = {w for w in _WORD.findall((text or "").lower()) if len(w) >= 8}
+        held = long if len(long) >= 5 else {text or ""}
+        out.append(min(xxhash.xxh64_intdigest(w, 7) >> 1 for w in held))
+    return pd.Series(out, dtype="int64")
+
+
+def find_voters(sample: DataFrame, size: int = LEXICON, least: int = LEAST_TEXTS) -> list[str]:
+    """At most ``size`` traits of (label, text) rows that speak most clearly for label 1.
+
+    Counted by Spark; the best ``CANDIDATES`` come to the driver and are taken in turn, clearest
+    first. A trait that a taken one implies or that is implied by it in most of its texts
+    adds nothing, and is passed over."""
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             both: dict[str, list[int]] = {}
             for label, text in zip(frame.label, frame.text):
-                for t in traits(text):
+                for t in traits(text, patterns=False):
                     both.setdefault(t, [0, 0])[label > 0.5] += 1
-            yield pd.DataFrame({"trait": list(both), "clean": [c for c, _ in both.values()],
-                                "toxic": [t for _, t in both.values()]})
+            if both:
+                yield pd.DataFrame({"trait": list(both), "clean": [c for c, _ in both.values()],
+                                    "toxic": [t for _, t in both.values()]})
 
     sums = sample.mapInPandas(counted, "trait string, clean bigint, toxic bigint").groupBy("trait").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     totals = sample.agg(F.sum("label"), F.count(F.lit(1))).first()
     n_toxic, n_all = totals[0] or 0.0, totals[1]
     odds = F.log(((F.col("toxic") + 0.5) / F.lit(n_toxic + 1)) / ((F.col("clean") + 0.5) / F.lit(n_all - n_toxic + 1)))
-    return sums.where(F.col("toxic") >= least).withColumn("odds", odds).where(F.col("odds") > 1.5).orderBy(
-        (F.col("odds") * F.sqrt("toxic")).desc(), "trait").limit(size).toPandas()
+    # rarer than this among the toxic is chance: a hundredth of them, or a few
+    rare = F.greatest(F.lit(float(least)), F.lit(n_toxic / 100))
+    found = sums.where(F.col("toxic") >= rare).withColumn("odds", odds).where(F.col("odds") > 2).orderBy(
+        (F.col("odds") * F.sqrt("toxic")).desc(), "trait").limit(CANDIDATES).toPandas()
+    taken: dict[str, tuple[int, float]] = {}
+    for trait, toxic, odd in zip(found["trait"], found["toxic"], found["odds"]):
+        stem = trait.split("~")[0]
+        wider = [f"{stem[:n]}~" for n in PREFIXES if n < len(stem)] + ([f"{stem}~"] if stem != trait else [])
+        implied = any(w in taken and odd < taken[w][1] + 1 for w in wider)
+        implies = trait.endswith("~") and any(
+            t.startswith(stem) and n >= 0.8 * toxic for t, (n, _) in taken.items())
+        if not implied and not implies:
+            taken[trait] = toxic, odd
+        if len(taken) == size:
+            break
+    return list(taken)
 
 
 @dataclass
@@ -81,16 +140,17 @@ class LabelModel:
 
 
 def fit_label_model(votes: np.ndarray, texts: np.ndarray, prior: float, start: np.ndarray,
-                    rounds: int = 25) -> LabelModel:
+                    known: dict[int, tuple[float, float]] | None = None, rounds: int = 25) -> LabelModel:
     """Expectation maximisation over distinct rows of 0/1 votes, each cast by so many ``texts``,
     from first guesses ``start``.
 
     Each round estimates how often every voter speaks in either class (its accuracy). From what
     the classes leave unexplained come the correlations of all pairs of voters, estimated anew
     every fifth round: a voter's say is divided by the voters it goes along with, itself
-    included, so that a word and its three prefixes count about once.
+    included. ``known`` voters have rates that are given, and speak for themselves; without one
+    the classes could come to mean something else, long and short texts for example.
     """
-    q = start
+    known, q = known or {}, start
     model = LabelModel(prior, np.full((votes.shape[1], 2), 0.5), np.ones(votes.shape[1]))
     for turn in range(rounds):
         sides = np.stack([1 - q, q], 1)
@@ -98,12 +158,15 @@ def fit_label_model(votes: np.ndarray, texts: np.ndarray, prior: float, start: n
         n = weighted.sum(0)
         # weak priors: voters are quiet in clean texts
         model.rates = np.clip((votes.T @ weighted + [0.02, 0.5]) / (n + [2, 1]), 1e-5, 1 - 1e-5)
+        for voter, rates in known.items():
+            model.rates[voter] = rates
         if turn % 5 == 0:
             left = votes - sides @ model.rates.T
             spread = left.T @ (left * texts[:, None]) / max(texts.sum(), 1)
             deviation = np.sqrt(np.maximum(np.diag(spread), 1e-12))
             together = np.clip(spread / np.outer(deviation, deviation), 0, 1)
             model.own = 1 / np.where(together > 0.2, together, 0).sum(1).clip(1)
+            model.own[list(known)] = 1.0
         model.prior = float(np.clip((n[1] + prior * 10) / (n.sum() + 10), 1e-3, 1 - 1e-3))
         new = model.posterior(votes)
         if turn > 5 and np.abs(new - q).max() < 1e-4:
@@ -134,17 +197,14 @@ class ToxicityModel:
     bias: float
     weights: dict[str, float]   # by trait; "any" and "many" stand for the number of traits
 
+    def __post_init__(self):
+        self.known = {t.split("~")[0] for t in self.weights if ":" not in t}
+
     def score(self, text: str | None) -> float:
-        words = set(_WORD.findall((text or "").lower()))
-        weights = self.weights
-        found = [w for w in words if w in weights]
-        for n in PREFIXES:
-            found += {p for p in [w[:n] + "~" for w in words if len(w) > n] if p in weights}
-        lexical = len(found)
-        if text:
-            found += [name for name, p in PATTERNS.items() if name in weights and p.search(text)]
-        raw = self.bias + sum(weights[t] for t in found) + (
-            weights.get("any", 0.0) if lexical else 0.0) + (weights.get("many", 0.0) if lexical > 2 else 0.0)
+        found = [t for t in traits(text, self.known) if t in self.weights]
+        lexical = sum(t not in PATTERNS for t in found)
+        raw = self.bias + sum(self.weights[t] for t in found)
+        raw += self.weights.get("any", 0.0) * (lexical > 0) + self.weights.get("many", 0.0) * (lexical > 1)
         return float(1 / (1 + np.exp(-np.clip(raw, -30, 30))))
 
 
@@ -153,21 +213,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         lexicon: int = LEXICON) -> ToxicityModel:
     """Voters, label model and classifier from at most ``sample_rows`` labelled rows.
 
-    Lexicon and prefix voters are mined from the labels outside fold 0; with the fixed patterns
-    and the annotators' label itself, one more voter, they vote on the sample. The label model
-    weighs them without being told which is right; the classifier learns its posterior from
-    the votes of all but the annotators. Without labels every score is low.
+    Lexicon and prefix voters are mined from the labels outside fold 0, of near copies from one;
+    with the fixed patterns and the annotators, a voter that is wrong now and then, they vote on
+    the sample. The label model weighs them against each other, and the classifier learns its
+    posterior from the votes of all but the annotators. Without labels every score is low.
     """
     chosen = labelled_sample(docs, labels, label_col, folds, sample_rows, [text_col], id_col)
     rows = stored(chosen.select(F.col("sample_label").alias("label"), F.col(text_col).alias("text")), "labelled")
+    # near copies would make the words that they share look telling
+    rows = stored(rows.withColumn("sketch", _sketch("text")).dropDuplicates(["sketch", "label"]), "unrelated")
     if rows.isEmpty():
         return ToxicityModel(-5.0, {})
-    voters = list(find_voters(rows, lexicon)["trait"]) + list(PATTERNS)
+    voters = find_voters(rows, lexicon) + list(PATTERNS)
     known = {t: i for i, t in enumerate(voters)}
+    looked = {t.split("~")[0] for t in voters}
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def cast_votes(texts: pd.Series) -> pd.Series:
-        return pd.Series([[known[x] for x in traits(t) if x in known] for t in texts], dtype=object)
+        return pd.Series([[known[x] for x in traits(t, looked) if x in known] for t in texts], dtype=object)
 
     cast = rows.select("label", cast_votes("text").alias("votes")).toPandas()
     all_votes = np.zeros((len(cast), len(voters) + 1), np.uint8)
@@ -178,10 +241,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows, texts = rows.astype(float), texts.astype(float)
     votes, said = rows[:, :-1], rows[:, -1]
     lexical = votes[:, :len(voters) - len(PATTERNS)].sum(1)
-    counts = np.column_stack([lexical > 0, lexical > 2]).astype(float)
+    counts = np.column_stack([lexical > 0, lexical > 1]).astype(float)
     prior = float(np.clip(said @ texts / texts.sum(), 0.005, 0.995))
-    start = np.clip(0.5 * said + 0.5 * (lexical > 1), 0.02, 0.98)
-    model = fit_label_model(rows, texts, prior, start)
+    start = np.clip(0.8 * said + 0.2 * (lexical > 1), 0.02, 0.98)
+    model = fit_label_model(rows, texts, prior, start, {rows.shape[1] - 1: ANNOTATORS})
     bias, weights = fit_linear(np.column_stack([votes, counts]), texts, model.posterior(rows))
     return ToxicityModel(bias, {**{t: float(w) for t, w in zip(voters, weights)},
                                 "any": float(weights[-2]), "many": float(weights[-1])})
