@@ -18,6 +18,7 @@ BINS = 12
 FACTORS = 8
 SAMPLE_ROWS = 8_000   # labelled rows that the model is fitted on, at most
 EPOCHS = 8
+STEPS = 500             # steps of gradient descent at least: small samples are seen more often
 THRESHOLD = 0.3
 
 
@@ -79,8 +80,9 @@ def train(texts: list, labels: np.ndarray, metadata: np.ndarray | None = None, s
     m = Machine(edges, np.log(prior / (1 - prior)), np.zeros(size), rng.normal(0, 0.05, (size, FACTORS)))
     seen_w, seen_v, seen_b = np.full(size, 1e-3), np.full((size, FACTORS), 1e-3), 1e-3
     begin = np.searchsorted(doc, np.arange(len(texts) + 1))
-    for _ in range(epochs):
-        for batch in np.array_split(rng.permutation(len(texts)), max(1, len(texts) // 128)):
+    batches = max(1, len(texts) // 128)
+    for _ in range(max(epochs, -(-STEPS // batches)) if len(texts) else 0):
+        for batch in np.array_split(rng.permutation(len(texts)), batches):
             batch = batch[begin[batch + 1] > begin[batch]]
             if not len(batch):
                 continue
