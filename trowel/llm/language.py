@@ -37,9 +37,9 @@ def ngram_counts(text: str | None) -> np.ndarray:
     size = 1 << BUCKET_BITS
     out = np.zeros(size * len(LENGTHS), np.int64)
     for start in range(0, len(raw), _PIECE):
-        data = _FOLD[np.frombuffer(raw[start:start + _PIECE], np.uint8)]
+        data = _FOLD[np.frombuffer(b" %b " % raw[start:start + _PIECE], np.uint8)]
         blank = data == 32
-        data = np.concatenate([[32], data[~(blank & np.concatenate([[True], blank[:-1]]))], [32]]).astype(np.uint32)
+        data = data[~(blank & np.concatenate([[False], blank[:-1]]))].astype(np.uint32)
         for k, n in enumerate(LENGTHS):
             if len(data) < n:
                 continue
@@ -73,7 +73,8 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> La
                 sums[lang] += ngram_counts(text)
         for lang, n in sums.items():
             seen = np.flatnonzero(n)
-            yield pd.DataFrame({"lang": lang, "bucket": seen, "n": n[seen]})
+            if len(seen):
+                yield pd.DataFrame({"lang": lang, "bucket": seen, "n": n[seen]})
 
     rows = docs.where(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
@@ -84,8 +85,8 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> La
     if names:
         counts[sums["bucket"].to_numpy(), np.searchsorted(names, sums["lang"].to_numpy().astype(str))] = sums["n"]
     counts += 0.5
-    by_length = counts.reshape(len(LENGTHS), -1, len(names))
-    return Languages(names, (by_length / by_length.sum(1, keepdims=True)).reshape(size, -1))
+    by_length = counts.reshape(len(LENGTHS), 1 << BUCKET_BITS, len(names))
+    return Languages(names, (by_length / by_length.sum(1, keepdims=True)).reshape(counts.shape))
 
 
 def _mixture(counts: np.ndarray, chances: np.ndarray, rounds: int) -> np.ndarray:
