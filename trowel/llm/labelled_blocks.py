@@ -57,4 +57,8 @@ PAGES = [
     [(1, "<main><p>Closed.</p>"), (1, '<p><a href="/w">Why the mill closed</a></p>'), (1, f"<div>{_LINKED}</div>"),
      (0, '<div class="newsletter">Get one letter a week from us.</div></main>'),
      (0, f"<section>{_PROSE}</section>"), (0, "<p>Imprint</p>")],
+    [(0, f"<nav><p>{_PROSE}</p></nav>"), (0, f'<div class="banner">{_PROSE}</div>'), (1, f"<p>{_PROSE}</p>"),
+     (1, f"<p>{_LINKED}</p>"), (0, f"<aside>{_PROSE}</aside>"), (0, f"<form><p>{_LINKED}</p></form>"),
+     (0, f"<footer><p>{_PROSE}</p></footer>")],
+    [(0, f"<header><p>{_PROSE}</p></header>"), (0, f'<div id="sidebar">{_LINKED}</div>'), (1, f"<div>{_PROSE}</div>")],
 ]
