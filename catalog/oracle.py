@@ -261,7 +261,7 @@ FEATURES = f"""SELECT row_number() OVER (PARTITION BY c.archive ORDER BY c.objec
 SUMMARY = """SELECT s.archive, s.site_name, db_creation_date, start_of_fieldwork,
   end_of_fieldwork, project_ct, omrade_schakt_ct, arch_obj_ct, fornlamn_ct, sample_ct, find_ct,
   point_ct, polygon_ct, polyline_ct, 3006 AS intrasis_srid, 3006 AS likely_srid,
-  site_attributes
+  site_attributes, 0 AS part
   FROM (SELECT archive, site_name, string_agg(coalesce(text, '∅'), '|' ORDER BY
         "AttributeValueId") AS site_attributes FROM site_values GROUP BY ALL) s
   JOIN (SELECT archive, count(*) FILTER ("ClassId" = 1) AS project_ct,
@@ -289,7 +289,7 @@ QUERIES = {
         x1::BIGINT AS x1, y1::BIGINT AS y1 FROM region_box""",
     "pending_archives": """SELECT archive FROM (SELECT DISTINCT archive FROM object) WHERE archive
         NOT IN (SELECT archive FROM last_status WHERE step = 'layers' AND status = 'done'
-                AND version >= 10) ORDER BY archive LIMIT 500""",
+                AND version >= 10) ORDER BY archive""",
     "pending_by_except": """SELECT DISTINCT archive FROM object EXCEPT
         SELECT archive FROM last_status WHERE step = 'validity' AND status = 'done'""",
     "pending_by_output": """SELECT DISTINCT archive FROM object WHERE archive NOT IN
@@ -535,12 +535,12 @@ QUERIES = {
         FROM free_text)""",
     # spatial
     "validity_report": """SELECT DISTINCT archive, 0::BIGINT AS invalid_count,
-        'No invalid objects found' AS invalid_objects FROM object""",
+        'No invalid objects found' AS invalid_objects, 0 AS part FROM object""",
     "likely_srid": "SELECT DISTINCT archive, 3006 AS likely_srid FROM object",
     "srid_intersect": """SELECT archive, CASE WHEN count(namn) > 0 THEN 3006 END AS srid
         FROM object LEFT JOIN region_hit USING (archive) GROUP BY ALL""",
     "same_geometry": f"""SELECT archive, wkt, {joined('"ObjectId"::VARCHAR', '"ObjectId"')}
-        AS object_ids, count(*) AS occurrence FROM geo_text GROUP BY ALL""",
+        AS object_ids, count(*) AS occurrence, 0 AS part FROM geo_text GROUP BY ALL""",
     "same_geometry_all": """SELECT wkt, string_agg(DISTINCT archive, '|' ORDER BY archive)
         AS databases, count(DISTINCT archive)::INT AS db_occurrence FROM geo_text GROUP BY ALL""",
     "geometry_intersects": """SELECT a.wkt, count(*) AS met, min(b.wkt) AS first_met

@@ -16,6 +16,7 @@ from trowel.functions import text as X
 from trowel.operators import counts, eav, relations, reproject, site, spatial
 from trowel.plans import features
 from trowel.session import scratch_path
+from trowel.schema import CORE_TABLES
 from trowel.sinks import writers
 from trowel.sources import archives, pending
 from trowel.sources.archives import stored_tables
@@ -86,7 +87,7 @@ def _(t):
 
 @query("pending_archives", stored=False)
 def _(t):
-    return pending.pending_archives(site.archive_names(t), t["manifest"], "layers", 10, 500)
+    return pending.pending_archives(site.archive_names(t), t["manifest"], "layers", 10)
 
 
 @query("pending_by_except", stored=False)
@@ -210,8 +211,11 @@ def _(t):
         return tables["object"].groupBy(A).agg(
             F.count(F.when(F.col("ClassId") == 11, 1)).alias("surveyed"))
 
-    for _ in range(2):  # the second run finds no new files
-        run_incremental(t.spark, f"{t.root}/object", "object", surveyed, [A],
+    rows = t["object"].select(*[f.split()[0] for f in CORE_TABLES["object"].split(", ")])
+    late = F.col("ObjectId") % 3 == 0
+    for part in (~late, late, F.lit(False)):  # archives come in two files; the last run finds none
+        rows.where(part).write.mode("append").parquet(f"{base}/object")
+        run_incremental(t.spark, f"{base}/object", "object", surveyed,
                         f"{base}/result", f"{base}/checkpoint")
     return t.spark.read.parquet(f"{base}/result")
 
@@ -299,8 +303,9 @@ def _(t):
 
 @query("features_csv")
 def _(t):
-    fields = site.unnest_site_attributes(site.site_attributes(t))
-    names = site.site_attributes(t).select(A, "site_name")
+    sites = site.site_summary(t, with_place=False)
+    fields = site.unnest_site_attributes(sites)
+    names = sites.where(F.col("part") == 0).select(A, "site_name")
     empty = ["site_landskap", "lan_name", "parish_name", "site_centroid", "undersokningstyp",
              "exploateringstyp", "raa_dnr", "lst_dnr", "part"]
     return ascii_fields(flat(features.features_csv(t, names, fields).drop(*empty)))
@@ -308,8 +313,8 @@ def _(t):
 
 @query("project_information")
 def _(t):
-    attributes = site.site_attributes(t)
-    out = site.project_information(attributes, site.unnest_site_attributes(attributes))
+    sites = site.site_summary(t, with_place=False)
+    out = site.project_information(sites, site.unnest_site_attributes(sites))
     return ascii_fields(out.select("pk", A, "site_name", "slutdatum", "projektnamn",
                                    "projektkod", "plats", "undersöknings_id"))
 
@@ -398,6 +403,11 @@ def _(t):
     return counts.value_histogram(t, F.col("Value").ilike("%b_l%"))
 
 
+@query("prototype_histograms")
+def _(t):
+    return counts.prototype_histograms(t)
+
+
 @query("histogram_difference")
 def _(t):
     return counts.histogram_difference(t, F.col("Value").ilike("%r_n%"),
@@ -433,7 +443,7 @@ def _(t):
 # -- spatial --------------------------------------------------------------------------------------
 @query("validity_report")
 def _(t):
-    return spatial.validity_report(t).drop("part")
+    return spatial.validity_report(t)
 
 
 @query("reproject")
@@ -464,7 +474,7 @@ def _(t):
 
 @query("same_geometry")
 def _(t):
-    return flat(as_wkt(spatial.same_geometry(t)).drop("part", "srid"))
+    return flat(as_wkt(spatial.same_geometry(t)).drop("srid"))
 
 
 @query("same_geometry_all")

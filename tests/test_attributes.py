@@ -1,8 +1,9 @@
 from pyspark.sql import functions as F
 
+from tests.small import OPEN_RING
 from trowel.functions.lists import element, fold
 from trowel.functions.numbering import number_rows, start_numbers
-from trowel.operators import eav, relations
+from trowel.operators import eav, relations, site, spatial
 from trowel.plans import features
 
 
@@ -41,16 +42,56 @@ def test_large_groups_come_in_parts_and_lose_nothing(spark):
     df = spark.range(2000).select(
         F.when(F.col("id") < 1500, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50))
         .alias("k"), "id", F.when(F.col("id") % 3 != 0, F.col("id").cast("string")).alias("v"))
-    out = fold(df, ["k"], "id", {"vs": element(F.col("v"))}, cuts=8, small_cut=20).collect()
-    assert {r.part for r in out if r.k != "hot"} == {0}
-    hot = [r for r in out if r.k == "hot"]
-    assert len(hot) == 8 and all(r.part > 0 and len(r.vs) < 400 for r in hot)
-    values = [v for r in hot for v in r.vs]
-    assert len(values) == 1500 and values.count(None) == 500
-    assert sum(r.members for r in out) == 2000
-    for r in out:
-        kept = [int(v) for v in r.vs if v is not None]
-        assert kept == sorted(kept)
+    out = fold(df, ["k"], "id", {"vs": element(F.col("v"))}, max_members=200).collect()
+    assert {(r.part, r.members) for r in out if r.k != "hot"} == {(0, 10)}
+    hot = sorted((r for r in out if r.k == "hot"), key=lambda r: r.part)
+    assert [(r.part, len(r.vs), r.members) for r in hot] == [(i, 200, 1500) for i in range(7)] + [(7, 100, 1500)]
+    assert [v for r in hot for v in r.vs] == [str(i) if i % 3 else None for i in range(1500)]
+    bytewise = fold(df, ["k"], "id", {"vs": element(F.col("v"))}, max_bytes=2000).collect()
+    hot = sorted((r for r in bytewise if r.k == "hot"), key=lambda r: r.part)
+    assert len(hot) > 8 and all(len(r.vs) <= 2000 // 16 + 1 for r in hot)
+    assert [v for r in hot for v in r.vs] == [str(i) if i % 3 else None for i in range(1500)]
+
+
+def test_a_group_of_300000_members_is_whole_in_every_operator(spark, tables):
+    many = spark.range(300_001)
+    t = {**tables, "attribute_value": tables["attribute_value"].unionByName(many.select(
+        F.lit("a1").alias("archive"), (F.col("id") + 10_000).alias("AttributeValueId"), F.lit(1004).cast("bigint").alias("AttributeId"),
+        F.col("id").cast("string").alias("Value"), F.lit("").alias("Unit")).select(tables["attribute_value"].columns).select(
+        *[F.col(f.name).cast(f.dataType) for f in tables["attribute_value"].schema.fields]))}
+    rows = sorted((r for r in site.site_summary(t, with_place=False).collect() if r.archive == "a1"), key=lambda r: r.part)
+    texts = [x for r in rows for x in r.site_attributes]
+    assert len(rows) == 2 and texts[1:] == [f"Slutdatum: {i}" for i in range(300_001)]
+    assert {r.project_ct for r in rows} == {1} and site.project_information(
+        site.site_summary(t, with_place=False), site.unnest_site_attributes(site.site_summary(t, with_place=False))).count() == 2
+
+    points = many.select(F.lit("a1").alias("archive"), (F.col("id") + 10_000).alias("ObjectId"), F.lit(38).alias("MetaId"),
+                         F.lit(None).alias("SymbolId"), F.lit(OPEN_RING).alias("wkb"), F.lit(3006).alias("srid"))
+    t = {**tables, "geo_object": tables["geo_object"].unionByName(points.select(
+        *[F.col(f.name).cast(f.dataType) for f in tables["geo_object"].schema.fields]))}
+    same = sorted((r for r in spatial.same_geometry(t).collect() if r.occurrence > 9), key=lambda r: r.part)
+    assert [len(r.object_ids) for r in same] == [262_144, 300_002 - 262_144] and {r.occurrence for r in same} == {300_002}
+    report = sorted((r for r in spatial.validity_report(t).collect() if r.archive == "a1"), key=lambda r: r.part)
+    ids = [int(x) for r in report for x in r.invalid_objects.split(",")]
+    assert {r.invalid_count for r in report} == {len(ids)} and ids == sorted(ids) and len(ids) > 300_000
+    region = sorted((r for r in spatial.objects_in_region(t, 4.0).collect() if r.archive == "a1" and r.objects_in_lan > 9),
+                    key=lambda r: (r.lan or "", r.part))
+    assert region and all(len([x for r in region if r.lan == lan for x in r.object_ids]) == n
+                          for lan, n in {(r.lan, r.objects_in_lan) for r in region})
+
+
+def test_feature_rows_of_a_large_group_have_their_own_numbers(spark, tables):
+    values = spark.range(300_001).select(
+        F.lit("a1").alias("archive"), (F.col("id") + 10_000).alias("AttributeValueId"), F.lit(1000).alias("AttributeId"),
+        F.col("id").cast("string").alias("Value"), F.lit("cm").alias("Unit"))
+    t = {**tables, "attribute_value": tables["attribute_value"].unionByName(values.select(
+        *[F.col(f.name).cast(f.dataType) for f in tables["attribute_value"].schema.fields]))}
+    rows = [r for r in features.features_table(t).where("intrasis_archive = 'a1'").select(
+        "pk", "object_id", "part", F.length("attributes").alias("n")).collect()]
+    assert sorted(r.pk for r in rows) == list(range(1, len(rows) + 1))
+    assert {r.part for r in rows if r.object_id == 10} >= {0, 1}
+    wide = features.geo_object_attribute_arrays(t).where("archive = 'a1'").select("row_number", "part").collect()
+    assert sorted(r.row_number for r in wide) == list(range(1, len(wide) + 1))
 
 
 def test_numbering_equals_row_number(spark):

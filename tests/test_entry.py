@@ -5,7 +5,7 @@ import pytest
 entry = importlib.import_module("__spark_entry__")
 
 # Queries whose result SQL cannot give: iterations, projections, look-around patterns.
-ROWS_ONLY = {"site_summary_with_place", "site_centroid", "site_region", "reproject_zone",
+ROWS_ONLY = {"prototype_histograms", "site_summary_with_place", "site_centroid", "site_region", "reproject_zone",
              "likely_srid_cascade", "feature_count_postholes"}
 
 

@@ -57,8 +57,10 @@ def test_clean_text_span(spark):
     ("fyllning stolphål", False, False), ("fyllning i stolphål", False, False),
     ("grop", False, False), ("stolphålfyllning", True, True),
     ("stolphålsfyllning", False, True),
+    *[(f"fyllning{' ' * n}stolphål", False, False) for n in (1, 40, 41, 500)],
+    ("fyllningstolphål", True, True), ("Fyllning |iI stolphål, stolphål", True, True),
 ])
 def test_feature_patterns(spark, value, count, status):
     got = spark.createDataFrame([(value,)], "v string").select(
-        F.col("v").rlike(P.POSTHOLE_COUNT), F.col("v").rlike(P.POSTHOLE_STATUS)).first()
+        P.marked(F.col("v")).rlike(P.POSTHOLE_COUNT), P.marked(F.col("v")).rlike(P.POSTHOLE_STATUS)).first()
     assert tuple(got) == (count, status)

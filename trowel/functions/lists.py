@@ -1,8 +1,9 @@
 """Value lists per group that stay bounded when one group holds a large share of the rows.
 
-A group is first cut by a hash of its members' ids, so no task sees a whole large
-group.  Cuts that are small are put together again: an ordinary group comes out as one
-row, ``part`` 0.  Cuts above the bound stay on their own, as further parts.
+One rule for groups of every size: members are numbered in the order of their ids, and a list
+is cut wherever it reaches the bound of members or of bytes.  An ordinary group is one row,
+``part`` 0; a larger one goes on in rows with rising parts.  Every row carries the total of
+the whole group.
 """
 
 from __future__ import annotations
@@ -12,43 +13,61 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CUTS = 1024  # hash cuts per group
-SMALL_CUT = 256  # a cut of at most this many members joins part 0
+from trowel.functions.numbering import places_in_groups
+from trowel.session import stored
 
+MEMBERS = 262_144  # members of one row, at most
+BYTES = 64 * 1024 * 1024  # text of one row, about
 
-def fold_parts(df: DataFrame, keys: Sequence[str], member: str, lists: dict[str, Column],
-               count: str = "members", cuts: int = CUTS,
-               small_cut: int = SMALL_CUT) -> tuple[DataFrame, DataFrame]:
-    """Fold rows to lists per key: (one row per ordinary group, rows of large cuts).
+
+def fold(df: DataFrame, keys: Sequence[str], member: str,
+         lists: dict[str, tuple[Column, Column | None]], count: str = "members",
+         max_members: int = MEMBERS, max_bytes: int = BYTES) -> DataFrame:
+    """Rows folded to lists per key: keys, part, ``count`` (of the whole group), lists.
 
     ``lists`` maps an output name to the value to collect, wrapped as
-    ``element(value, condition)``; lists come out in the order of ``member``.
-    Part 0 holds at most ``cuts * small_cut`` members.
+    ``element(value, condition)``; lists come out in the order of ``member``, a list without
+    a wanted value is NULL.  The rows are written once; a count of the keys then shows which
+    groups are over a bound, and only their rows are numbered, by ranges of key and member,
+    so that no task holds a whole group.  Ordinary groups are shuffled once.
     """
     keys = list(keys)
-    cut = F.pmod(F.xxhash64(member), F.lit(cuts)).cast("int")
-    # one item per row; a value that is not wanted is NULL, a wanted NULL is wrapped
-    item = F.struct(F.col(member).alias("m"), *[
-        (F.struct(value.alias("v")) if cond is None
-         else F.when(cond, F.struct(value.alias("v")))).alias(name)
-        for name, (value, cond) in lists.items()])
-    first = (df.withColumn("_cut", cut).groupBy(*keys, "_cut")
-             .agg(F.count(F.lit(1)).alias(count), F.collect_list(item).alias("_items")))
-
-    def unpacked(rows: DataFrame) -> DataFrame:
-        rows = rows.withColumn("_items", F.array_sort("_items"))
-        split = [F.transform(F.filter("_items", _wanted(name)),
-                             _value(name)).alias(name) for name in lists]
-        rows = rows.select(*keys, "part", count, *split)
-        return rows.select(*keys, "part", count, *[
-            F.when(F.size(name) > 0, F.col(name)).alias(name) for name in lists])
-
-    small = (first.where(F.col(count) <= small_cut).groupBy(*keys)
-             .agg(F.sum(count).alias(count),
-                  F.flatten(F.collect_list("_items")).alias("_items"))
-             .withColumn("part", F.lit(0)))
-    large = first.where(F.col(count) > small_cut).withColumn("part", F.col("_cut") + 1)
-    return unpacked(small), unpacked(large)
+    # a value that is not wanted is NULL, a wanted NULL is wrapped
+    items = [(F.struct(value.alias("v")) if cond is None
+              else F.when(cond, F.struct(value.alias("v")))).alias(name)
+             for name, (value, cond) in lists.items()]
+    size = F.lit(16)
+    for value, _ in lists.values():
+        size = size + F.coalesce(F.octet_length(value.cast("string")), F.lit(0))
+    rows = stored(df.select(
+        *keys, F.struct(F.col(member).alias("m"), *items).alias("_item"),
+        size.cast("bigint").alias("_size")), "items")
+    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count), F.sum("_size").alias("_bytes")).where(
+        (F.col(count) > max_members) | (F.col("_bytes") > max_bytes))
+    large = stored(large.select(*[F.col(k).alias(f"_{k}") for k in keys], count), "large")
+    if large.isEmpty():
+        return _collected(rows.withColumn("part", F.lit(0)), keys, list(lists),
+                          F.count(F.lit(1)).alias(count))
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    ordinary = rows.join(large, same, "left_anti").withColumn("part", F.lit(0))
+    cut = places_in_groups(rows.join(large, same).drop(*[f"_{k}" for k in keys]), keys,
+                           ["_item.m"], "_size")
+    # both quotients only rise, so a part is one stretch below both bounds
+    part = F.floor(F.col("place") / max_members) + F.floor(F.col("weight_before") / max_bytes)
+    return _collected(ordinary, keys, list(lists), F.count(F.lit(1)).alias(count)).union(
+        _collected(cut.withColumn("part", part.cast("int")), keys, list(lists),
+                   F.max(count).alias(count)))
+
+
+def _collected(rows: DataFrame, keys: list[str], names: list[str], total: Column) -> DataFrame:
+    folded = rows.groupBy(*keys, "part").agg(total, F.array_sort(F.collect_list("_item")).alias("_items"))
+    count = [c for c in folded.columns if c not in (*keys, "part", "_items")][0]
+    split = folded.select(*keys, "part", count, *[F.transform(F.filter(
+        "_items", _wanted(name)), _value(name)).alias(name) for name in names])
+    return split.select(*keys, "part", count, *[
+        F.when(F.size(name) > 0, F.col(name)).alias(name) for name in names])
 
 
 def _wanted(name: str):
@@ -61,10 +80,3 @@ def _value(name: str):
 
 def element(value: Column, condition: Column | None = None) -> tuple[Column, Column | None]:
     return value, condition
-
-
-def fold(df: DataFrame, keys: Sequence[str], member: str, lists: dict[str, Column],
-         count: str = "members", **bounds: int) -> DataFrame:
-    """`fold_parts` as one DataFrame."""
-    small, large = fold_parts(df, keys, member, lists, count, **bounds)
-    return small.union(large)

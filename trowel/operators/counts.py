@@ -53,7 +53,7 @@ def feature_count(t, pattern: str = P.POSTHOLE_COUNT, label: str = P.POSTHOLE_LA
     and shares and totals come from those counts.
     """
     counted = geo_values(t).groupBy(A, "Value").agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.withColumn("hit", F.coalesce(F.col("Value").rlike(pattern), F.lit(False)))
+    counted = counted.withColumn("hit", F.coalesce(P.marked(F.col("Value")).rlike(pattern), F.lit(False)))
     totals = counted.groupBy(A).agg(
         F.sum("n").alias("total_features"),
         F.coalesce(F.sum(F.when(F.col("hit"), F.col("n"))), F.lit(0)).alias("all_hits"))
@@ -71,7 +71,7 @@ def feature_count(t, pattern: str = P.POSTHOLE_COUNT, label: str = P.POSTHOLE_LA
 
 def value_status(values: DataFrame, pattern: str = P.POSTHOLE_STATUS) -> DataFrame:
     """Whether a value counts as the feature."""
-    used = F.when(F.col("value").rlike(pattern), P.STATUS_USED).otherwise(P.STATUS_UNUSED)
+    used = F.when(P.marked(F.col("value")).rlike(pattern), P.STATUS_USED).otherwise(P.STATUS_UNUSED)
     return values.withColumn("extraction_status", used)
 
 
@@ -84,6 +84,14 @@ def value_histogram(t, keep: Column | None = None, ordered: bool = True) -> Data
     return out.orderBy(F.asc_nulls_last("Value")) if ordered else out
 
 
+def prototype_histograms(t) -> DataFrame:
+    """Values that each of the prototype patterns finds, with their occurrence."""
+    value = P.marked(F.col("Value"))
+    found = [value_histogram(t, value.rlike(pattern), ordered=False).withColumn("prototype", F.lit(name))
+             for name, pattern in P.POSTHOLE_PROTOTYPES.items()]
+    return found[0].union(found[1]).union(found[2])
+
+
 def histogram_difference(t, keep: Column, drop: Column) -> DataFrame:
     """Value counts found under one rule and not under the other."""
     return value_histogram(t, keep, ordered=False).subtract(
@@ -97,9 +105,10 @@ def keyword_distance(values: DataFrame, keyword: str = P.POSTHOLE_WORD, longer_t
     Words are split at word borders; of equally near words the first by spelling stays.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    words = values.select(*keys, F.explode(F.split("value", r"(?U)\b")).alias("word")).where(
-        F.length("word") > longer_than)
-    near = words.withColumn("distance", F.levenshtein(F.upper("word"), F.lit(keyword))).where(
-        F.col("distance") < below)
-    return near.groupBy(*keys).agg(F.min(F.struct("distance", "word")).alias("best")).select(
-        *keys, "best.distance", "best.word")
+    # within the row, so nothing is shuffled; a key that repeats keeps its own row for each
+    words = F.filter(F.split("value", r"(?U)\b"), lambda w: F.length(w) > longer_than)
+    near = F.filter(F.transform(words, lambda w: F.struct(
+        F.levenshtein(F.upper(w), F.lit(keyword)).alias("distance"), w.alias("word"))),
+        lambda s: s["distance"] < below)
+    return values.select(*keys, F.array_min(near).alias("best")).where(
+        F.col("best").isNotNull()).select(*keys, "best.distance", "best.word")

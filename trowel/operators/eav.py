@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trowel.functions.lists import element, fold, fold_parts
+from trowel.functions.lists import element, fold
 
 A = "archive"
 
@@ -122,7 +122,7 @@ def definitions_by_id(t, meta_ids) -> DataFrame:
     return out
 
 
-def object_lists(items: DataFrame, names: dict[str, str], **bounds: int):
-    """Fold several kinds of items per object in one pass: (ordinary rows, further parts)."""
+def object_lists(items: DataFrame, names: dict[str, str], **bounds: int) -> DataFrame:
+    """Several kinds of items folded per object in one pass."""
     lists = {name: element(F.col("text"), F.col("kind") == kind) for name, kind in names.items()}
-    return fold_parts(items, [A, "object_id"], "member", lists, **bounds)
+    return fold(items, [A, "object_id"], "member", lists, **bounds)

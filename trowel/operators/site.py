@@ -163,12 +163,12 @@ def unnest_site_attributes(sites: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def project_information(archives: DataFrame, fields: DataFrame) -> DataFrame:
-    """The project layer: site columns and fields, one row per archive."""
+    """The project layer: site columns and fields, one row per archive of the site table."""
     names = ["site_name", "site_landskap", "lan_name", "parish_name", "geom"]
     kept = [F.col(n) if n in archives.columns else F.lit(None).cast("string").alias(n)
             for n in names]
-    order = Window.partitionBy(A).orderBy("site_name")  # an archive has one row here
-    return (archives.select(A, *kept).withColumn("pk", F.row_number().over(order))
+    first = archives.where(F.col("part") == 0) if "part" in archives.columns else archives
+    return (first.select(A, *kept).withColumn("pk", F.lit(1))
             .join(fields, A, "left")
             .select("pk", A, *names, *[F.col(f"`{n}`") for n in FIELD_LABELS]))
 
@@ -225,11 +225,12 @@ def site_summary(t, with_place: bool = True, inventory: DataFrame | None = None,
                  cell: float = 1000.0, **median_options) -> DataFrame:
     """The site table: one row per archive that has a project object with values.
 
-    Of several project objects the lowest id is kept, then the first place by name.
+    Of several project objects the lowest id is kept, then the first place by name. Values too
+    many for one row go on in further rows, ``part`` above 0, that repeat the other columns.
     """
-    best = Window.partitionBy(A).orderBy("part", "ObjectId")  # one row per project object
-    out = (site_attributes(t).withColumn("_n", F.row_number().over(best))
-           .where(F.col("_n") == 1).drop("_n", "ObjectId", "part", "members"))
+    listed = site_attributes(t)
+    least = listed.groupBy(A).agg(F.min("ObjectId").alias("ObjectId"))
+    out = listed.join(least, [A, "ObjectId"], "left_semi").drop("ObjectId", "members")
     parts = [project_count(t), class_counts(t), attribute_counts(t), spatial_type_counts(t),
              fieldwork_dates(t), recorded_srid(t)]
     if with_place:
@@ -268,4 +269,4 @@ def site_summary(t, with_place: bool = True, inventory: DataFrame | None = None,
         given("geom_centroid_wkt", "string"), given("x_dispersion", "double"),
         given("y_dispersion", "double"), "intrasis_srid",
         F.lit(S.TARGET_SRID).alias("likely_srid"), "site_attributes",
-        given("geom", "binary"), given("eez_name", "string"))
+        given("geom", "binary"), given("eez_name", "string"), "part")

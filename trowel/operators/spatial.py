@@ -98,7 +98,7 @@ def objects_in_region(t, cell: float = 1000.0, column: str = "lan", **bounds: in
     placed = cut_lineage(placed)  # read twice below; the spatial join runs once
     lists = fold(placed, [A, column], "object_id",
                  {"object_ids": element(F.col("object_id"))}, "objects_listed", **bounds)
-    totals = lists.groupBy(A, column).agg(F.sum("objects_listed").alias("objects_in_lan"))
+    totals = lists.groupBy(A, column).agg(F.max("objects_listed").alias("objects_in_lan"))
     rank = Window.partitionBy(A).orderBy(F.desc("objects_in_lan"), F.asc_nulls_last(column))
     # as many rows per archive as there are names
     totals = totals.withColumn("count_rank", F.row_number().over(rank).cast("bigint"))
@@ -216,7 +216,8 @@ NO_INVALID = "No invalid objects found"
 
 
 def validity_report(t, **bounds: int) -> DataFrame:
-    """Invalid geometries per archive: how many, and their ids."""
+    """Invalid geometries per archive: how many in all, and their ids; a list too long for one
+    row goes on in further parts."""
     invalid = (t["geo_object"].where(F.col("wkb").isNotNull())
                .select(A, F.col("ObjectId").alias("object_id"), G.invalid_reason("wkb").alias("why"))
                .where(F.col("why").isNotNull()))

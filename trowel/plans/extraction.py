@@ -39,4 +39,4 @@ def extract_sites(t, root: str, **summary_options) -> None:
     for name, (operator, keys) in RESULTS.items():
         insert_if_absent(operator(open_tables), f"{root}/{name}", keys)
     # last, as this table says which archives are done
-    insert_if_absent(site.site_summary(open_tables, **summary_options), path, [A])
+    insert_if_absent(site.site_summary(open_tables, **summary_options), path, [A, "part"])

@@ -57,14 +57,12 @@ def _numbered(core: DataFrame, lists, list_names, texts: DataFrame, members: Dat
               text_name: str) -> DataFrame:
     """Core rows with lists, notes and groups, numbered; notes and groups multiply rows.
 
-    A list too long for one row goes on in further rows: they repeat the object's first
-    number, have ``part`` above 0 and hold nothing else.
+    A list too long for one row goes on in further rows with numbers of their own: they have
+    ``part`` above 0 and neither note nor group.
     """
     # read several times below: the joins of the core and the cleaning run once
     core, texts = cut_lineage(core), cut_lineage(texts)
-    small, large = lists
-    small = small.select(*KEY, *list_names)
-    large = large.select(*KEY, "part", *list_names)
+    first, more = _first_and_more(lists.select(*KEY, "part", *list_names))
     notes = texts.select(*KEY, "text_id", F.col("description").alias(text_name))
     group_notes = texts.select(A, F.col("object_id").alias("group_id"),
                                F.col("text_id").alias("group_text_id"),
@@ -73,13 +71,18 @@ def _numbered(core: DataFrame, lists, list_names, texts: DataFrame, members: Dat
         group_notes, [A, "group_id"], "left")
     # the folded lists have one row per object, so only notes and groups count
     counted = (core.select(*KEY).join(notes.select(*KEY), KEY, "left")
-               .join(groups.select(*KEY), KEY, "left"))
+               .join(groups.select(*KEY), KEY, "left")).union(
+        core.select(*KEY).join(more.select(*KEY), KEY))
     starts = cut_lineage(start_numbers(counted, A, "object_id"))
-    rows = core.join(small, KEY, "left").join(notes, KEY, "left").join(groups, KEY, "left")
-    rows = number_rows(rows, starts, A, "object_id", TIES).withColumn("part", F.lit(0))
-    more = core.join(large, KEY).join(starts, KEY).withColumn(
-        "pk", F.col("before") + 1).drop("before")
-    return rows.unionByName(more, allowMissingColumns=True)
+    rows = core.join(first, KEY, "left").join(notes, KEY, "left").join(groups, KEY, "left").withColumn(
+        "part", F.lit(0))
+    rows = rows.unionByName(core.join(more, KEY), allowMissingColumns=True)
+    return number_rows(rows, starts, A, "object_id", ["part", *TIES])
+
+
+def _first_and_more(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each group's first row, without its part, and the further rows of large groups."""
+    return lists.where(F.col("part") == 0).drop("part"), lists.where(F.col("part") > 0)
 
 
 TIES = ["text_id", "group_id", "group_text_id"]
@@ -153,19 +156,19 @@ def geo_object_attribute_arrays(t) -> DataFrame:
         A, F.col("ObjectId").alias("object_id"), F.lit("attr").alias("kind"),
         F.col("AttributeValueId").alias("member"), eav.attr_text("view").alias("text"))
     names = {"attribute_info": "attr", "parent_relations": "parent", "child_relations": "child"}
-    small, large = eav.object_lists(values.union(relations.described_items(t)), names)
+    lists = eav.object_lists(values.union(relations.described_items(t)), names).drop("members")
+    first, further = _first_and_more(lists)
     geometries = (t["geo_rel"].select(A, F.col("ObjectId").alias("object_id"), "GeoObjectId")
                   .join(t["geo_object"].select(A, F.col("ObjectId").alias("GeoObjectId"), "wkb"),
                         [A, "GeoObjectId"]))
     core = (objects.join(definitions, [A, "PublicId"], "left").join(geometries, KEY))
     core = cut_lineage(core)
-    starts = cut_lineage(start_numbers(core.select(*KEY), A, "object_id"))
-    listed = core.join(small.drop("members"), KEY, "left").withColumn(
+    more = core.join(further, KEY)
+    starts = cut_lineage(start_numbers(core.select(*KEY).union(more.select(*KEY)), A, "object_id"))
+    listed = core.join(first, KEY, "left").withColumn(
         "attribute_info", F.coalesce("attribute_info", nothing)).withColumn("part", F.lit(0))
-    rows = number_rows(listed, starts, A, "object_id", ["GeoObjectId", "Code"], "row_number")
-    more = core.join(large.drop("members"), KEY).join(starts, KEY).withColumn(
-        "row_number", F.col("before") + 1).drop("before")
-    rows = rows.unionByName(more)
+    rows = number_rows(listed.unionByName(more), starts, A, "object_id",
+                       ["part", "GeoObjectId", "Code"], "row_number")
     return rows.select(
         "row_number", A, F.col("object_id").alias("ObjectId"),
         F.col("GeoObjectId").alias("geo_object_id"), "ClassId", "SubClassId", "PublicId",

@@ -22,9 +22,8 @@ def layers(t, archives: DataFrame | None = None) -> dict[str, Callable[[], DataF
     """
 
     def project_information():
-        attributes = site.site_attributes(t)
-        about = attributes if archives is None else archives
-        return site.project_information(about, site.unnest_site_attributes(attributes))
+        about = site.site_summary(t, with_place=False) if archives is None else archives
+        return site.project_information(about, site.unnest_site_attributes(about))
 
     return {
         "features": lambda: features_table(t).withColumnRenamed("intrasis_archive", A),

@@ -54,6 +54,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read again: columns can be pruned, and what
+    reads them twice does not compute them twice."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 

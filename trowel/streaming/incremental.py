@@ -8,22 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from trowel.schema import CORE_TABLES
-from trowel.sinks.writers import insert_if_absent
+from trowel.sinks.writers import overwrite_archives
+
+
+A = "archive"
 
 
 def run_incremental(spark: SparkSession, source: str, table: str,
-                    operator: Callable[[dict[str, DataFrame]], DataFrame], keys: list[str],
+                    operator: Callable[[dict[str, DataFrame]], DataFrame],
                     target: str, checkpoint: str) -> None:
-    """Apply an operator to the files that arrived since the last run.
+    """Renew an operator's result for the archives of the files that arrived since the last run.
 
-    Every run takes what is there and stops.  The sink inserts by key, so a batch that is
-    repeated after a failure changes nothing.
+    Every run takes what is there and stops.  An archive that a batch touches is computed anew
+    from all its rows in the source, and its result replaced: rows that come in a later file
+    count like those of the first, and a batch repeated after a failure changes nothing.
     """
     schema = StructType.fromDDL(CORE_TABLES[table])
     arrived = spark.readStream.schema(schema).parquet(source)
 
     def work(batch: DataFrame, _: int) -> None:
-        insert_if_absent(operator({table: batch}), target, keys)
+        touched = batch.select(A).distinct()
+        whole = spark.read.schema(schema).parquet(source).join(touched, A, "left_semi")
+        overwrite_archives(operator({table: whole}), target)
 
     query = (arrived.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
