@@ -1,5 +1,6 @@
 import math
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -70,6 +71,14 @@ def test_arcs_become_segments():
     assert pts[0].tolist() == [0, 0] and pts[-1].tolist() == [2, 0] and (pts[:, 1] >= -1e-9).all()
 
 
+SQUARE = [(0, 0), (9, 0), (9, 9), (0, 9), (0, 0)]
+RING = [(3, 3), (6, 3), (6, 6), (3, 6), (3, 3)]
+
+
+def collected(kind, *parts):
+    return struct.pack("<BII", 1, kind, len(parts)) + b"".join(parts)
+
+
 @pytest.mark.parametrize("buf, why", [
     (box(0, 0, 1, 1), None), (point(1, 1), None), (None, None),
     (BOWTIE, "ring crosses itself"), (OPEN_RING, "ring not closed"),
@@ -78,6 +87,18 @@ def test_arcs_become_segments():
      "hole outside shell"),
     (polygon([(0, 0), (4, 0), (2, 0), (0, 0)]), "ring folds back"),
     (polygon([(0, 0), (4, 0), (2, 0), (2, 2), (0, 0)]), "ring crosses itself"),
+    (collected(6, box(0, 0, 2, 2), box(0, 0, 2, 2)), "rings share a line"),
+    (collected(6, box(0, 0, 2, 2), box(1, 0, 3, 2)), "rings share a line"),
+    (collected(6, box(0, 0, 2, 2), box(1, 1, 3, 3)), "rings cross"),
+    (collected(6, box(0, 0, 9, 9), box(1, 1, 3, 3)), "nested shells"),
+    (collected(6, box(0, 0, 2, 2), box(2, 2, 3, 3)), None),
+    (collected(6, polygon(SQUARE, RING), box(4, 4, 5, 5)), None),
+    (collected(7, box(0, 0, 2, 2), box(1, 1, 3, 3)), None),
+    (polygon(SQUARE, SQUARE), "rings share a line"),
+    (polygon(SQUARE, [(0, 3), (2, 3), (2, 5), (0, 5), (0, 3)]), "rings share a line"),
+    (polygon(SQUARE, RING, [(4, 4), (5, 4), (5, 5), (4, 5), (4, 4)]), "nested holes"),
+    (polygon(SQUARE, [(0, 3), (2, 2), (2, 4), (0, 3)]), None),
+    (polygon(SQUARE, [(-1, 0), (5, 6), (6, 5), (-1, 0)]), "rings cross"),
 ])
 def test_validity(spark, buf, why):
     assert shapes(spark, [buf]).select(G.invalid_reason("wkb").alias("w")).first().w == why
@@ -171,6 +192,18 @@ def test_pair_join_equals_brute_force(spark):
     assert got == want
 
 
+def test_equal_points_in_three_byte_forms(spark):
+    forms = [point(1, 2), struct.pack(">BIdd", 0, 1, 1, 2), struct.pack("<BIIdd", 1, 1 | 0x20000000, 3006, 1, 2)]
+    other = [struct.pack("<BIddd", 1, 1001, 1, 2, 5), collected(4, point(1, 2)), point(3, 3)]
+    df = spark.createDataFrame([("a", i, b, 3006) for i, b in enumerate(forms + other)],
+                               "archive string, ObjectId bigint, wkb binary, srid int")
+    t = {"geo_object": df}
+    assert sorted(r.occurrence for r in spatial.same_geometry(t).collect()) == [1, 1, 1, 3]
+    groups = spatial.same_geometry_all(t)
+    met = spatial.geometry_intersects(groups).collect()
+    assert groups.count() == 4 and sorted(len(r.intersect_pk) for r in met) == [2, 2, 2]
+
+
 def test_objects_in_region_counts_a_border_twice(tables):
     got = {(r.archive, r.lan): r for r in spatial.objects_in_region(tables, 7.0).collect()}
     # the box touches both parishes of the county; ids repeat as the counts do

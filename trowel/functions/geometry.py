@@ -60,7 +60,8 @@ def invalid_reason(data: pa.Array) -> pa.Array:
             out.append(None)
             continue
         try:
-            out.append(planar.invalid_reason(_rings(buf)))
+            gtype, rings = wkb.read_rings(buf)
+            out.append(planar.invalid_reason(rings, gtype))
         except Exception as exc:  # bytes that are no geometry
             out.append(f"unreadable: {exc}")
     return pa.array(out, pa.string())
@@ -95,6 +96,25 @@ def meets_tile(data: pa.Array, cx: pa.Array, cy: pa.Array, cell: pa.Array,
                     pa.bool_())
 
 
+@F.arrow_udf(T.BinaryType())
+def canonical(data: pa.Array) -> pa.Array:
+    """One byte order and no embedded system: equal geometries are equal bytes. Bytes that
+    cannot be read stay as they are."""
+    out = []
+    for buf in data.to_pylist():
+        # little-endian points, lines and polygons in two dimensions are in this form
+        if buf is not None and not (buf[:1] == b"\x01" and buf[1:5] in _PLAIN):
+            try:
+                buf = wkb.write_rings(*wkb.read_rings(buf))
+            except Exception:  # bytes that are no geometry
+                pass
+        out.append(buf)
+    return pa.array(out, pa.binary())
+
+
+_PLAIN = {bytes([kind, 0, 0, 0]) for kind in (1, 2, 3)}
+
+
 def _tidied(data: pa.Array, flat: bool) -> pa.Array:
     out = []
     for buf in data.to_pylist():

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trowel.functions import geometry as G
 from trowel.functions.lists import element, fold
 from trowel.schema import TARGET_SRID
-from trowel.session import broadcast_if_small, cut_lineage
+from trowel.session import broadcast_if_small, cut_lineage, stored
 
 A = "archive"
 
@@ -152,7 +152,7 @@ def box_pairs(boxes: DataFrame, key: str) -> DataFrame:
             F.col(c).alias(f"{mark}_{c}")
             for c in (key, "own", "xmin", "ymin", "xmax", "ymax")])
 
-    # points are never at home: two different points do not meet
+    # boxes without size are never at home: they meet each other only in the same place
     home = boxes.where(F.col("own") >= 0).withColumn("level", F.col("own"))
     levels = home.select("level").distinct()  # at most 12 rows
     visits = boxes.withColumn("level", F.explode(F.sequence(
@@ -166,25 +166,42 @@ def box_pairs(boxes: DataFrame, key: str) -> DataFrame:
         & (F.col("a_ymin") <= F.col("b_ymax")) & (F.col("b_ymin") <= F.col("a_ymax"))
         & (_grid(F.greatest("a_xmin", "b_xmin"), side) == F.col("cx"))
         & (_grid(F.greatest("a_ymin", "b_ymin"), side) == F.col("cy")))
-    return meet.select(F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"))
+    spots = boxes.where(F.col("own") == -1).select(
+        key, (F.col("xmin") + 0.0).alias("x"), (F.col("ymin") + 0.0).alias("y"))
+    stacked = spots.withColumnRenamed(key, "a").join(
+        spots.withColumnRenamed(key, "b"), ["x", "y"]).where(F.col("a") < F.col("b")).select("a", "b")
+    return meet.select(F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b")).union(stacked)
 
 
 def same_geometry(t, **bounds: int) -> DataFrame:
-    """Objects of an archive that share a geometry, byte for byte."""
-    rows = t["geo_object"].select(A, F.col("ObjectId").alias("object_id"), "wkb", "srid")
-    return fold(rows, [A, "wkb", "srid"], "object_id",
-                {"object_ids": element(F.col("object_id"))}, "occurrence", **bounds)
+    """Objects of an archive that share a geometry, byte for byte in canonical form.
+
+    Grouped by a 128-bit key; a geometry's bytes are joined to its lists once.
+    """
+    rows = t["geo_object"].select(A, F.col("ObjectId").alias("object_id"),
+                                  G.canonical("wkb").alias("wkb"), "srid")
+    rows = stored(rows.withColumn("pk", geometry_key()), "same")
+    lists = fold(rows.select(A, "pk", "object_id"), [A, "pk"], "object_id",
+                 {"object_ids": element(F.col("object_id"))}, "occurrence", **bounds)
+    shapes = rows.groupBy(A, "pk").agg(F.max("wkb").alias("wkb"), F.max("srid").alias("srid"))
+    return lists.join(shapes, [A, "pk"]).select(
+        A, "wkb", "srid", "part", "occurrence", "object_ids")
+
+
+def geometry_key() -> Column:
+    """128 bits of a geometry and its system."""
+    about = F.concat_ws("|", F.coalesce(F.col("srid").cast("string"), F.lit("")), F.col("wkb").isNull().cast("string"))
+    return F.md5(F.concat(F.coalesce("wkb", F.lit(b"")), F.encode(about, "UTF-8")))
 
 
 def same_geometry_all(t) -> DataFrame:
     """Geometries with the archives they occur in; the key is a 128-bit hash."""
-    per_archive = t["geo_object"].select("wkb", "srid", A).distinct()
-    grouped = per_archive.groupBy("wkb", "srid").agg(
-        F.array_sort(F.collect_list(A)).alias("databases"))  # at most all archive names
-    return grouped.select("databases", F.size("databases").alias("db_occurrence"),
-                          F.col("wkb").alias("the_geom"), "srid",
-                          F.md5(F.concat("wkb", F.encode(F.coalesce(
-                              F.col("srid").cast("string"), F.lit("")), "UTF-8"))).alias("pk"))
+    rows = t["geo_object"].select(G.canonical("wkb").alias("wkb"), "srid", A)
+    grouped = rows.withColumn("pk", geometry_key()).groupBy("pk").agg(
+        F.max("wkb").alias("the_geom"), F.max("srid").alias("srid"),
+        F.array_sort(F.collect_set(A)).alias("databases"))  # at most all archive names
+    return grouped.select("databases", F.size("databases").alias("db_occurrence"), "the_geom",
+                          "srid", "pk")
 
 
 def geometry_intersects(groups: DataFrame, **bounds: int) -> DataFrame:
