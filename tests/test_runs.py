@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
-from trowel.plans import extraction, layers
+from trowel.operators import relations
+from trowel.plans import extraction, layers, runs
 from trowel.sinks import writers
 from trowel.sources import pending
 
@@ -40,3 +41,51 @@ def test_extraction_twice_changes_nothing(spark, tables, tmp_path):
     assert after["site_summary"] == 2 and after["find_count"] == before["find_count"] + 1
     rows = spark.read.parquet(f"{root}/find_count").where(F.col("archive") == "a2").collect()
     assert [(r.find_type, r.find_count) for r in rows] == [("grop", 1)]
+
+
+def test_runs_take_pending_archives_and_change_nothing_twice(spark, tables, tmp_path):
+    root, manifest = str(tmp_path), str(tmp_path / "manifest")
+    first = {n: df.where("archive <> 'a2'") if "archive" in df.columns else df for n, df in tables.items()}
+    steps = {
+        "notes": lambda t: runs.clean_notes(t, f"{root}/free_text", manifest),
+        "validity": lambda t: runs.check_validity(t, f"{root}/validity", manifest),
+        "moved": lambda t: runs.move_to_target(t, f"{root}/moved", manifest),
+        "csv": lambda t: runs.export_csv(t, f"{root}/csv", manifest, with_place=False),
+        "regions": lambda t: runs.regions(t, f"{root}/regions", manifest, cell=7.0),
+    }
+    for run in steps.values():
+        assert run(first) == {"done": ["a1", "a3"], "failed": []}
+        assert run(first) == {"done": [], "failed": []}
+        assert run(tables) == {"done": ["a2"], "failed": []}
+    assert spark.read.parquet(f"{root}/validity").count() == 3
+    notes = spark.read.parquet(f"{root}/free_text").collect()
+    assert {r.converted_text for r in notes} == {"first note", "second note", "group note"}
+    stored_text = {**tables, "free_text": spark.read.parquet(f"{root}/free_text").withColumn("Text", F.lit("gone"))}
+    assert {r.description for r in relations.object_texts(stored_text).collect()} == {"first note", "second note", "group note"}
+    assert spark.read.parquet(f"{root}/moved").count() == tables["geo_object"].count()
+    assert {r.archive for r in spark.read.option("header", True).csv(f"{root}/csv").select("archive").distinct().collect()} == {"a1", "a2"}
+    assert spark.read.parquet(f"{root}/regions/regions").select("archive").distinct().count() == 2
+
+
+def test_one_bad_archive_fails_alone(spark, tables, tmp_path):
+    def work(t):
+        if t["object"].where("archive = 'a2'").count():
+            raise ValueError("bad archive")
+
+    manifest = str(tmp_path / "manifest")
+    assert runs.run_step(tables, manifest, "s", 1, work) == {"done": ["a1", "a3"], "failed": ["a2"]}
+    assert runs.run_step(tables, manifest, "s", 1, lambda t: None) == {"done": ["a2"], "failed": []}
+
+
+def test_geometries_are_compared_once(spark, tables, tmp_path):
+    for _ in range(2):
+        runs.compare_geometries(tables, str(tmp_path))
+        same = spark.read.parquet(f"{tmp_path}/same_geometry")
+        assert same.count() == same.select("pk").distinct().count() == 6
+
+
+def test_values_are_judged(spark):
+    values = spark.createDataFrame([(1, "Stolphål"), (2, "grop"), (3, None)], "pk int, value string")
+    got = {r.pk: r for r in runs.judge_values(values).collect()}
+    assert got[1].distance == 0 and got[1].word == "Stolphål" and got[1].extraction_status.startswith("1.")
+    assert got[2].extraction_status.startswith("0.") and got[3].distance is None

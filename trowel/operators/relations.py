@@ -85,11 +85,12 @@ def group_members(t, subclasses=GROUP_SUBCLASSES) -> DataFrame:
 def object_texts(t, clean=clean_text, keep_unowned: bool = False) -> DataFrame:
     """Cleaned notes with their object; several notes of one object stay several rows.
 
-    A stored ``converted_text`` is used as it is when ``clean`` is the default.
+    A stored ``converted_text`` is used as it is when ``clean`` is the default; notes that have
+    none yet are cleaned.
     """
     notes = t["free_text"]
     if clean is clean_text and "converted_text" in notes.columns:
-        text = F.col("converted_text")
+        text = F.coalesce("converted_text", clean(F.col("Text")))
     else:
         text = clean(F.col("Text"))
     owners = t["attribute"].select(A, "AttributeId", F.col("ObjectId").alias("object_id"))

@@ -21,9 +21,11 @@ def joined_lists(df: DataFrame, mark: str = "|") -> DataFrame:
     return out
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One folder of CSV files per archive."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", replace_archives: bool = False) -> None:
+    """One folder of CSV files per archive; ``replace_archives`` leaves those alone that the
+    rows don't name."""
     (joined_lists(df).write.mode(mode).partitionBy(A)
+     .option("partitionOverwriteMode", "dynamic" if replace_archives else "static")
      .option("header", True).option("quote", '"').option("escape", '"')
      .option("nullValue", "").option("emptyValue", '""').csv(path))
 

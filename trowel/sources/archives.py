@@ -20,6 +20,10 @@ LAYOUT = {
 }
 
 
+# Columns that a run may have added to a table in the store; NULL where it has not.
+STORED_COLUMNS = {"free_text": ", converted_text STRING"}
+
+
 def write_table(df: DataFrame, root: str, name: str) -> None:
     """Write one core table; ranges of (archive, id) spread a large archive over tasks.
 
@@ -35,7 +39,7 @@ def write_table(df: DataFrame, root: str, name: str) -> None:
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One core table; a filter on ``archive`` reads only that archive's folders."""
-    schema = StructType.fromDDL(CORE_TABLES[name])
+    schema = StructType.fromDDL(CORE_TABLES[name] + STORED_COLUMNS.get(name, ""))
     return spark.read.schema(schema).parquet(f"{root}/{name}").select(schema.names)
 
 
