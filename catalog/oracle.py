@@ -587,5 +587,11 @@ def _span_sql() -> str:
 QUERIES["clean_text_span"] = QUERIES["clean_text_span"].replace("{SPAN}", _span_sql())
 
 
+# What a run stores is what its operator gives over all archives.
+for run, operator in (("run_clean_notes", "clean_text"), ("run_check_validity", "validity_report"),
+                      ("run_move_to_target", "reproject"), ("run_compare_geometries", "same_geometry_all")):
+    QUERIES[run] = QUERIES[operator]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: PREFIX + sql for name, sql in QUERIES.items()}
