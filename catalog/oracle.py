@@ -536,6 +536,16 @@ QUERIES = {
     # spatial
     "validity_report": """SELECT DISTINCT archive, 0::BIGINT AS invalid_count,
         'No invalid objects found' AS invalid_objects, 0 AS part FROM object""",
+    "validity_report_shapes": """SELECT archive, count(*) FILTER (bad) AS invalid_count,
+        coalesce(string_agg("ObjectId"::VARCHAR, ',' ORDER BY "ObjectId") FILTER (bad),
+                 'No invalid objects found') AS invalid_objects, 0 AS part
+        FROM (SELECT DISTINCT archive FROM object) LEFT JOIN (
+            SELECT archive, "ObjectId", "ObjectId" % 9 IN (1, 2, 3, 4, 5) AS bad FROM geo_object)
+        USING (archive) GROUP BY ALL""",
+    "normalize_geometry_shapes": """SELECT archive, "ObjectId", "ObjectId" % 9 IN (2, 7) AS repaired,
+        "ObjectId" % 9 IN (1, 3, 4, 5) AS still_invalid FROM geo_object""",
+    "force_2d_shapes": """SELECT archive, "ObjectId", 'POINT(1 2)' AS wkt FROM geo_object
+        WHERE "ObjectId" % 9 = 8""",
     "likely_srid": "SELECT DISTINCT archive, 3006 AS likely_srid FROM object",
     "srid_intersect": """SELECT archive, CASE WHEN count(namn) > 0 THEN 3006 END AS srid
         FROM object LEFT JOIN region_hit USING (archive) GROUP BY ALL""",

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trowel.functions import geometry as G
 from trowel.functions import text as X
+from trowel.functions.wkb import HOLE, POINT, SHELL, write_rings
 from trowel.operators import counts, eav, relations, reproject, site, spatial
 from trowel.plans import features, runs
 from trowel.session import scratch_path
@@ -569,6 +571,47 @@ def _(t):
                                                         "still_invalid")
 
 
+def ring(x0, y0, x1, y1):
+    return np.array([[x0, y0], [x1, y0], [x1, y1], [x0, y1], [x0, y0]], float)
+
+
+BOX, HALF = ring(0, 0, 8, 8), ring(2, 2, 6, 6)
+# Shapes with faults, and some that look like it: each geometry gets the one of its id.
+ODD_SHAPES = [
+    (3, [(0, SHELL, BOX)]),                                              # a valid box
+    (3, [(0, SHELL, BOX[[0, 2, 1, 3, 0]])]),                             # a bow-tie
+    (3, [(0, SHELL, BOX[:4])]),                                          # an open ring
+    (6, [(0, SHELL, BOX), (1, SHELL, BOX)]),                             # two equal shells
+    (3, [(0, SHELL, BOX), (0, HOLE, ring(0, 2, 4, 6))]),                 # a hole on the border
+    (3, [(0, SHELL, BOX), (0, HOLE, HALF), (0, HOLE, ring(3, 3, 5, 5))]),  # a hole in a hole
+    (7, [(0, SHELL, BOX), (1, SHELL, HALF)]),                            # a collection: valid
+    (3, [(0, SHELL, BOX[[0, 0, 1, 2, 3, 4]])]),                          # a repeated point: valid
+    (1, [(0, POINT, np.array([[1.0, 2.0, 3.0]]))]),                      # a height
+]
+
+
+def odd_shapes(t):
+    shapes = F.array(*[F.lit(write_rings(*shape)) for shape in ODD_SHAPES])
+    odd = t["geo_object"].withColumn("wkb", F.get(shapes, F.col("ObjectId") % len(ODD_SHAPES)))
+    return {"object": t["object"], "geo_object": odd}
+
+
+@query("validity_report_shapes")
+def _(t):
+    return spatial.validity_report(odd_shapes(t))
+
+
+@query("normalize_geometry_shapes")
+def _(t):
+    return spatial.normalize_geometry(odd_shapes(t)).select(A, "ObjectId", "repaired", "still_invalid")
+
+
+@query("force_2d_shapes")
+def _(t):
+    points = odd_shapes(t)["geo_object"].where(F.col("ObjectId") % len(ODD_SHAPES) == 8)
+    return as_wkt(spatial.force_2d({"geo_object": points})).select(A, "ObjectId", "wkt")
+
+
 @query("geom_to_wkt")
 def _(t):
     return spatial.geom_to_wkt(t)
