@@ -18,21 +18,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trowel.llm.common import read, sha256_hex
 
 PART_CHARS = 32_768  # texts longer than this are cut and encoded as several rows
 LEAF_CHARS = 8_192   # pieces of a long word, in characters of the vocabulary's byte alphabet
-CACHE_WORDS = 300_000
+CACHE_WORDS = 250_000   # words whose ids a worker remembers, and as many that it knew before
+MARK = "\x01"           # stands between words that are encoded together
+BATCH_CHARS = 1_000_000  # texts that a worker gives back together
 
 
 class Coder:
     """A vocabulary file with what the parts need: encoding of words at and before their end."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, models
+        from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
@@ -42,35 +47,62 @@ class Coder:
         model = held["model"]
         if model["type"] != "BPE" or model.get("continuing_subword_prefix") or model.get("dropout"):
             raise ValueError("a plain BPE vocabulary is needed")
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.suffix = model.get("end_of_word_suffix") or ""
-        self.ending = models.BPE(model["vocab"], merges, end_of_word_suffix=self.suffix or None)
-        self.inner = models.BPE(model["vocab"], merges)
+        self.path, self.suffix = path, model.get("end_of_word_suffix") or ""
         self.special = [t["content"] for t in held["added_tokens"]]
         self.specials = re.compile("|".join(map(re.escape, self.special))) if self.special else None
         self.tokens = {i: t for t, i in self.whole.get_vocab(with_added_tokens=True).items()}
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        mark = self.whole.encode(f"a {MARK} b", add_special_tokens=False).ids
+        self.mark = mark[1] if len(mark) == 3 else None
+
+    @functools.cached_property
+    def models(self):
+        """Models of pieces before a word's end and at it; only long words need them."""
+        from tokenizers import models
 
-    def encode_words(self, words: list[bytes]) -> np.ndarray:
-        """The ids of words without white space in one row; a bounded table keeps those of
-        earlier words."""
-        known = self.words
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = list(dict.fromkeys(words))
-        for start in range(0, len(new), 10_000):
-            held = new[start:start + 10_000]
-            found = self.whole.encode_batch_fast([w.decode() for w in held], add_special_tokens=False)
-            known.update((w, np.array(e.ids, np.int32).tobytes()) for w, e in zip(held, found))
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32)
+        with open(self.path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        return (models.BPE(model["vocab"], merges),
+                models.BPE(model["vocab"], merges, end_of_word_suffix=self.suffix or None))
+
+    def encode_new(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Each word with its ids as bytes of int32. One call of the library encodes many words
+        with a mark between them; words that hold the mark are encoded alone."""
+        alone = [w for w in words if self.mark is None or MARK.encode() in w]
+        found = self.whole.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)
+        yield from ((w, np.array(e.ids, np.int32).tobytes()) for w, e in zip(alone, found))
+        together = [w for w in words if self.mark is not None and MARK.encode() not in w]
+        for start in range(0, len(together), 5_000):
+            held = together[start:start + 5_000]
+            text = f" {MARK} ".join([w.decode() for w in held])
+            ids = np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
+            if len(ends) != len(held):
+                raise ValueError("the vocabulary splits marked words differently")
+            starts = np.append(0, ends[:-1] + 1)
+            yield from ((w, ids[a:b].tobytes()) for w, a, b in zip(held, starts, ends))
+
+    def encode_texts(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text. Words are remembered; when there are too many of them, those
+        not met again since the last time are forgotten."""
+        split = [(t or "").encode().split() for t in texts]  # bytes: ASCII white space only
+        need = dict.fromkeys(w for words in split for w in words)
+        if len(self.words) > CACHE_WORDS:
+            self.older, self.words = self.words, {}
+        known, older = self.words, self.older
+        new = [w for w in need if w not in known]
+        known.update([(w, older[w]) for w in new if w in older])
+        known.update(self.encode_new([w for w in new if w not in older]))
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in split]
 
     def encode_text(self, text: str | None) -> np.ndarray:
-        return self.encode_words((text or "").encode().split())  # bytes: ASCII white space only
+        return self.encode_texts([text])[0]
 
     def piece(self, text: str, last: bool) -> list[int]:
         """The ids of a piece of one word, in the byte alphabet."""
-        return [t.id for t in (self.ending if last else self.inner).tokenize(text)] if text else []
+        return [t.id for t in self.models[last].tokenize(text)] if text else []
 
     def chars(self, token: int) -> str:
         text = self.tokens[token]
@@ -144,6 +176,21 @@ def cut(code: Coder, text: str, part_chars: int, leaf_chars: int) -> Iterator[tu
         yield part, 0, "words", " ".join(held)
 
 
+def _lots(batch: pa.RecordBatch, sizes: list[int]) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about BATCH_CHARS, so that a worker holds little at a time."""
+    first = held = 0
+    for i, size in enumerate(sizes):
+        held += size
+        if held >= BATCH_CHARS or i + 1 == len(sizes):
+            yield batch.slice(first, i + 1 - first)
+            first, held = i + 1, 0
+
+
+def _list_array(lists: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate(lists) if lists else np.empty(0, np.int32))
+
+
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
            part_chars: int = PART_CHARS, leaf_chars: int = LEAF_CHARS) -> DataFrame:
     """Every row's ids: (doc_id, ids), as the tokenizers library encodes the whole text with
@@ -160,11 +207,14 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.monotonically_increasing_id().alias("row_no"))
     long = F.coalesce(F.length("text"), F.lit(0)) > part_chars
+    ids_field = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
-    @F.pandas_udf("array<int>")
-    def short_ids(texts: pd.Series) -> pd.Series:
+    def short_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(vocabulary)
-        return pd.Series([code.encode_text(t) for t in texts], dtype=object)
+        for batch in batches:
+            for lot in _lots(batch, pc.fill_null(pc.utf8_length(batch["text"]), 0).to_pylist()):
+                ids = _list_array(code.encode_texts(lot["text"].to_pylist()))
+                yield pa.RecordBatch.from_arrays([lot["doc_id"], ids], ["doc_id", "ids"])
 
     def cut_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         code = coder(vocabulary)
@@ -175,25 +225,31 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                 out["row_no"] = row_no
                 yield out
 
-    def part_ids(kinds: pd.Series, texts: pd.Series) -> pd.Series:
+    def part_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(vocabulary)
-        return pd.Series([code.encode_text(t) if k == "words" else code.piece(t, k == "last")
-                          for k, t in zip(kinds, texts)], dtype=object)
+        for batch in batches:
+            for lot in _lots(batch, pc.utf8_length(batch["text"]).to_pylist()):
+                ids = [code.encode_text(t) if k == "words" else np.array(code.piece(t, k == "last"), np.int32)
+                       for k, t in zip(lot["kind"].to_pylist(), lot["text"].to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [lot["row_no"], lot["part"], lot["piece"], lot["kind"], _list_array(ids)],
+                    ["row_no", "part", "piece", "kind", "ids"])
 
     def joined(frame: pd.DataFrame) -> pd.DataFrame:
         code, out = coder(vocabulary), []
-        frame = frame.sort_values(["part", "piece"])
-        for _, own in frame.groupby("part", sort=True):
-            pieces = [list(i) for i in own.ids]
-            out += pieces[0] if own.kind.iloc[0] == "words" else code.join_all(pieces)
-        return pd.DataFrame({"row_no": [int(frame.row_no.iloc[0])], "ids": [out]})
-
-    short = rows.where(~long).select("doc_id", short_ids("text").alias("ids"))
+        for _, own in frame.sort_values(["part", "piece"]).groupby("part", sort=True):
+            out.append(own.ids.iloc[0] if own.kind.iloc[0] == "words"
+                       else code.join_all([i.tolist() for i in own.ids]))
+        return pd.DataFrame({"row_no": [int(frame.row_no.iloc[0])],
+                             "ids": [np.concatenate(out).astype(np.int32)]})
+
+    short = rows.where(~long).select("doc_id", "text").mapInArrow(
+        short_ids, T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), ids_field]))
     numbered = rows.where(long)
     parts = numbered.select("text", "row_no").mapInPandas(
         cut_rows, "part int, piece int, kind string, text string, row_no bigint")
-    spread = parts.repartition("row_no", "part", "piece").select(
-        "row_no", "part", "piece", "kind", F.pandas_udf(part_ids, "array<int>")("kind", "text").alias("ids"))
+    spread = parts.repartition("row_no", "part", "piece").mapInArrow(
+        part_ids, "row_no bigint, part int, piece int, kind string, ids array<int>")
     whole = spread.groupBy("row_no").applyInPandas(joined, "row_no bigint, ids array<int>")
     # a long text of white space only has no part
     none = F.array().cast("array<int>")
@@ -206,18 +262,24 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", to_col: st
     """The rows with the text of their ids in ``to_col``, as the library's decode gives it with
     special tokens kept; null or no ids give the empty text. An input column of that name is
     replaced."""
+    kept = [c for c in encoded.columns if c != to_col]
 
-    @F.pandas_udf("string")
-    def text_of(ids: pd.Series) -> pd.Series:
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(vocabulary)
-        if code.whole.decoder is not None:
-            return pd.Series([code.whole.decode(list(i), skip_special_tokens=False)
-                              if i is not None else "" for i in ids], dtype=object)
-        token = code.tokens.__getitem__  # without a decoder: the tokens, joined by spaces
-        return pd.Series([" ".join(map(token, i.tolist())) if i is not None else "" for i in ids],
-                         dtype=object)
-
-    return encoded.withColumn(to_col, text_of(F.col(ids_col)))
+        token = code.tokens.__getitem__
+        for batch in batches:
+            sizes = pc.fill_null(pc.list_value_length(batch[ids_col]), 0).to_pylist()
+            for lot in _lots(batch, [4 * n for n in sizes]):
+                rows = [x.values.to_numpy().tolist() if x.is_valid else [] for x in lot[ids_col]]
+                if code.whole.decoder is not None:
+                    out = code.whole.decode_batch(rows, skip_special_tokens=False)
+                else:  # without a decoder: the tokens, joined by spaces
+                    out = [" ".join(map(token, ids)) for ids in rows]
+                yield pa.RecordBatch.from_arrays(
+                    [*[lot[c] for c in kept], pa.array(out, pa.string())], [*kept, to_col])
+
+    schema = T.StructType([*[encoded.schema[c] for c in kept], T.StructField(to_col, T.StringType())])
+    return encoded.select(*kept).mapInArrow(texts, schema)
 
 
 def digests(coded: DataFrame, keep_ids: bool = False) -> DataFrame:
