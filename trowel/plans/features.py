@@ -6,7 +6,7 @@ partitioning and each side is shuffled once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trowel.functions.geometry import decode_shape, ewkt, flat_tidy_wkb, tidy_wkb
@@ -25,18 +25,32 @@ def feature_core(t, strict: bool = False) -> DataFrame:
     ``strict`` keeps only objects whose geometry, geometry type, class and sub-class all
     resolve; otherwise missing ones stay NULL.
     """
+    return with_shapes(t, _core(t, strict)).select(
+        A, "object_id", "object_public_id", "object_class_id", "object_subclass_id",
+        "object_name", "class", "subclass", "geoobject_id", "wkb", "srid", "geoobject_meta_id",
+        "geoobject_symbol_id", "spatial_type")
+
+
+def with_shapes(t, rows: DataFrame, key: str = "geoobject_id") -> DataFrame:
+    """The rows with the bytes of their geometry: joined last, so they are shuffled once."""
+    shapes = t["geo_object"].select(A, F.col("ObjectId").alias(key), "wkb")
+    return rows.join(shapes, [A, key], "left")
+
+
+def _core(t, strict: bool) -> DataFrame:
+    """`feature_core` without the geometries' bytes."""
     how = "inner" if strict else "left"
     names = t["definition"].select(A, "MetaId", "Name")
     geometries = t["geo_object"].select(
         A, F.col("ObjectId").alias("GeoObjectId"), F.col("MetaId").alias("geoobject_meta_id"),
-        F.col("SymbolId").alias("geoobject_symbol_id"), "wkb", "srid",
-        F.lit(True).alias("_found"))
+        F.col("SymbolId").alias("geoobject_symbol_id"), "srid", F.lit(True).alias("_found"))
     kinds = t["geo_object_def"].select(A, F.col("MetaId").alias("geoobject_meta_id"),
                                        F.col("Type").alias("spatial_type"))
-    first = Window.partitionBy(A, "ObjectId").orderBy("GeoObjectId")
+    first = F.min(F.struct("GeoObjectId", "_found", "geoobject_meta_id", "geoobject_symbol_id",
+                           "srid", "spatial_type")).alias("_first")
     links = (t["geo_rel"].join(geometries, [A, "GeoObjectId"], how)
              .join(kinds, [A, "geoobject_meta_id"], how)
-             .withColumn("_n", F.row_number().over(first)).where(F.col("_n") == 1))
+             .groupBy(A, "ObjectId").agg(first).select(A, "ObjectId", "_first.*"))
     objects = t["object"].select(A, "ObjectId", "PublicId", "ClassId", "SubClassId", "Name")
     return (
         objects.join(links, [A, "ObjectId"])
@@ -50,7 +64,7 @@ def feature_core(t, strict: bool = False) -> DataFrame:
                 F.col("SubClassId").alias("object_subclass_id"),
                 F.col("Name").alias("object_name"), "class", "subclass",
                 F.when(F.col("_found"), F.col("GeoObjectId")).alias("geoobject_id"),
-                "wkb", "srid", "geoobject_meta_id", "geoobject_symbol_id", "spatial_type"))
+                "srid", "geoobject_meta_id", "geoobject_symbol_id", "spatial_type"))
 
 
 def _numbered(core: DataFrame, lists, list_names, texts: DataFrame, members: DataFrame,
@@ -92,9 +106,9 @@ def features_table(t, public_id: bool = True) -> DataFrame:
     """The feature table of every archive; geometry tidied and made two-dimensional."""
     texts = relations.object_texts(t)
     lists = eav.object_lists(eav.attr_items(t, "table"), {"attr_array": "attr"})
-    core = feature_core(t)
-    rows = _numbered(core, lists, ["attr_array"], texts, relations.group_members(t),
-                     "object_description").withColumn("geom", flat_tidy_wkb("wkb"))
+    rows = _numbered(_core(t, False), lists, ["attr_array"], texts, relations.group_members(t),
+                     "object_description")
+    rows = with_shapes(t, rows).withColumn("geom", flat_tidy_wkb("wkb"))
     columns = ["pk", F.col(A).alias("intrasis_archive"), "object_id"]
     if public_id:
         columns.append(F.col("object_public_id").alias("b_id"))
@@ -119,9 +133,9 @@ def features_csv(t, sites: DataFrame, fields: DataFrame) -> DataFrame:
     texts = relations.object_texts(t, clean_text_csv)
     items = eav.attr_items(t, "csv").union(relations.relation_items(t))
     names = {"attr_array": "attr", "parent_relations": "parent", "child_relations": "child"}
-    rows = _numbered(feature_core(t, strict=True), eav.object_lists(items, names), list(names),
+    rows = _numbered(_core(t, True), eav.object_lists(items, names), list(names),
                      texts, relations.group_members(t), "feature_description")
-    shaped = rows.withColumn("wkb", tidy_wkb("wkb")).withColumn("shape", decode_shape("wkb"))
+    shaped = with_shapes(t, rows).withColumn("wkb", tidy_wkb("wkb")).withColumn("shape", decode_shape("wkb"))
     about = _columns(sites, SITE_COLUMNS).join(_columns(fields, SITE_FIELDS), A, "left")
     wide = shaped.join(broadcast_if_small(about), A, "left")
     return wide.select(
@@ -159,7 +173,7 @@ def geo_object_attribute_arrays(t) -> DataFrame:
     lists = eav.object_lists(values.union(relations.described_items(t)), names).drop("members")
     first, further = _first_and_more(lists)
     geometries = (t["geo_rel"].select(A, F.col("ObjectId").alias("object_id"), "GeoObjectId")
-                  .join(t["geo_object"].select(A, F.col("ObjectId").alias("GeoObjectId"), "wkb"),
+                  .join(t["geo_object"].select(A, F.col("ObjectId").alias("GeoObjectId")),
                         [A, "GeoObjectId"]))
     core = (objects.join(definitions, [A, "PublicId"], "left").join(geometries, KEY))
     core = cut_lineage(core)
@@ -169,7 +183,7 @@ def geo_object_attribute_arrays(t) -> DataFrame:
         "attribute_info", F.coalesce("attribute_info", nothing)).withColumn("part", F.lit(0))
     rows = number_rows(listed.unionByName(more), starts, A, "object_id",
                        ["part", "GeoObjectId", "Code"], "row_number")
-    return rows.select(
+    return with_shapes(t, rows, "GeoObjectId").select(
         "row_number", A, F.col("object_id").alias("ObjectId"),
         F.col("GeoObjectId").alias("geo_object_id"), "ClassId", "SubClassId", "PublicId",
         "Name", "attribute_info", "Code",
