@@ -32,8 +32,9 @@ def _sums(points: DataFrame, keys: list[str]):
 
 def geometric_median(points: DataFrame, *keys: str, tolerance: float = 1e-5,
                      rounds: int = 100) -> DataFrame:
-    """The point with the least distance sum per group: keys, x, y.
+    """The point with the least distance sum per group: keys, x, y, converged.
 
+    ``converged`` is false where ``rounds`` did not do; x and y are then the best point met.
     ``points`` is read once per round, so it should be a checkpoint or a stored table.
     """
     keys = list(keys)
@@ -54,7 +55,8 @@ def geometric_median(points: DataFrame, *keys: str, tolerance: float = 1e-5,
             _advance(open_groups.join(measured, keys), keys, tolerance)))
         if state.where(~F.col("done")).isEmpty():
             break
-    return state.select(*keys, F.col("bx").alias("x"), F.col("by").alias("y"))
+    return state.select(*keys, F.col("bx").alias("x"), F.col("by").alias("y"),
+                        F.col("done").alias("converged"))
 
 
 def _advance(s: DataFrame, keys: list[str], tolerance: float) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trowel import schema as S
@@ -192,7 +192,7 @@ def site_centroid(t, **options) -> DataFrame:
     text = F.concat(F.lit("POINT("), number_text(F.col("x")), F.lit(" "),
                     number_text(F.col("y")), F.lit(")"))
     return cut_lineage(extent.join(middle, A).select(
-        A, "x", "y", text.alias("geom_centroid_wkt"), "x_dispersion", "y_dispersion"))
+        A, "x", "y", text.alias("geom_centroid_wkt"), "x_dispersion", "y_dispersion", "converged"))
 
 
 def site_region(centres: DataFrame, layer: DataFrame, columns: list[str],
@@ -234,7 +234,7 @@ def site_summary(t, with_place: bool = True, inventory: DataFrame | None = None,
     parts = [project_count(t), class_counts(t), attribute_counts(t), spatial_type_counts(t),
              fieldwork_dates(t), recorded_srid(t)]
     if with_place:
-        centres = site_centroid(t, **median_options)
+        centres = site_centroid(t, **median_options).drop("converged")
         spots = centres.select(A, "x", "y")
         parish = site_region(spots, t["region"], ["namn", "lan"], cell).groupBy(A).agg(
             F.min(F.struct("namn", "lan")).alias("p")).select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from trowel.operators import counts, site
+from trowel.session import read_if_there
 from trowel.sinks.writers import insert_if_absent
 from trowel.sources.pending import pending_by_except
 
@@ -28,13 +29,8 @@ def restricted(t, archives: DataFrame) -> dict[str, DataFrame]:
 def extract_sites(t, root: str, **summary_options) -> None:
     """One run over all archives without a site row yet, whatever their number."""
     spark = t["object"].sparkSession
-    todo = site.archive_list(t)
     path = f"{root}/site_summary"
-    try:
-        todo = pending_by_except(todo, spark.read.parquet(path))
-    except Exception as exc:  # the first run
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
+    todo = pending_by_except(site.archive_list(t), read_if_there(spark, path, f"{A} string"))
     open_tables = restricted(t, todo)
     for name, (operator, keys) in RESULTS.items():
         insert_if_absent(operator(open_tables), f"{root}/{name}", keys)

@@ -9,32 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from trowel.functions.text import clean_text
 from trowel.operators import counts, reproject, site, spatial
 from trowel.plans.extraction import restricted
 from trowel.plans.features import features_csv
 from trowel.schema import CORE_TABLES, TARGET_SRID
-from trowel.session import stored
+from trowel.session import read_if_there, stored
 from trowel.sinks import writers
 from trowel.sources.pending import pending_archives
 
 A = "archive"
 
 
-def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The stored rows; none before the first run has written any."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def run_step(t, manifest_path: str, step: str, version: int,
              work: Callable[[dict[str, DataFrame]], None]) -> dict[str, list[str]]:
     """Do ``work`` for the archives whose step is open: {status: archive names}.

@@ -6,25 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from trowel.session import read_if_there
+
 A = "archive"
 NULL_ITEM = "∅"
 
 
 def joined_lists(df: DataFrame, mark: str = "|") -> DataFrame:
-    """List columns as text, for formats without lists."""
+    """List columns as text, for formats without lists. A mark, backslash or sign for a missing
+    item that a member holds has a backslash before it."""
     out = df
     for field in df.schema:
         if isinstance(field.dataType, ArrayType):
-            items = F.transform(F.col(f"`{field.name}`"),
-                                lambda x: F.coalesce(x.cast("string"), F.lit(NULL_ITEM)))
+            signs = "[" + "".join(f"\\{c}" for c in (mark, "\\", NULL_ITEM)) + "]"
+            items = F.transform(F.col(f"`{field.name}`"), lambda x: F.coalesce(
+                F.regexp_replace(x.cast("string"), f"({signs})", r"\\$1"), F.lit(NULL_ITEM)))
             out = out.withColumn(field.name, F.array_join(items, mark))
     return out
 
 
+def clustered(df: DataFrame) -> DataFrame:
+    """Laid out by archive and id, so that an archive's rows come from few tasks, and a large
+    archive's from several: files follow the data, not tasks times archives."""
+    ids = [c for c in ("pk", "object_id", "ObjectId", "parent_id", "group_id") if c in df.columns][:1]
+    return df.repartitionByRange(A if A in df.columns else "intrasis_archive", *ids)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", replace_archives: bool = False) -> None:
     """One folder of CSV files per archive; ``replace_archives`` leaves those alone that the
     rows don't name."""
-    (joined_lists(df).write.mode(mode).partitionBy(A)
+    (clustered(joined_lists(df)).write.mode(mode).partitionBy(A)
      .option("partitionOverwriteMode", "dynamic" if replace_archives else "static")
      .option("header", True).option("quote", '"').option("escape", '"')
      .option("nullValue", "").option("emptyValue", '""').csv(path))
@@ -46,13 +57,13 @@ def write_layers(layers: dict[str, DataFrame], path: str, srid: int, mode: str =
         for column in ("geom", "wkb"):
             if column in layer.columns:
                 layer = layer.withMetadata(column, {"srid": srid, "encoding": "WKB"})
-        layer.write.mode(mode).partitionBy(A).parquet(f"{path}/layer={name}")
+        clustered(layer).write.mode(mode).partitionBy(A).parquet(f"{path}/layer={name}")
 
 
 def create_features_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """Create a table from a query unless it exists, partitioned by archive."""
     key = A if A in df.columns else "intrasis_archive"
-    writer = df.write.mode("ignore").partitionBy(key).format("parquet")
+    writer = clustered(df).write.mode("ignore").partitionBy(key).format("parquet")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
@@ -60,7 +71,7 @@ def create_features_table(df: DataFrame, name: str, path: str | None = None) ->
 
 def overwrite_archives(df: DataFrame, path: str) -> None:
     """Replace only the archives present in ``df``."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (clustered(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(A).parquet(path))
 
 
@@ -76,13 +87,7 @@ def new_rows(rows: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame
 
 def insert_if_absent(rows: DataFrame, path: str, keys: list[str]) -> None:
     """Append rows whose key is not in the result table yet."""
-    spark = rows.sparkSession
-    try:
-        existing = spark.read.schema(rows.schema).parquet(path)
-    except Exception as exc:  # the table does not exist yet
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
-        existing = spark.createDataFrame([], rows.schema)
+    existing = read_if_there(rows.sparkSession, path, rows.schema)
     new_rows(rows, existing, keys).write.mode("append").parquet(path)
 
 
@@ -122,6 +127,8 @@ def export_blobs(blobs: DataFrame, folder: str, suffix: str = "bin") -> DataFram
     ``folder`` must be mounted on the executors.  A file is written under a passing name
     and then renamed, so a repeated task leaves no half file.
     """
+    if "://" in folder:
+        raise ValueError(f"{folder} is no mounted folder: files are written with plain file calls")
     schema = "archive string, attribute_id bigint, path string, bytes bigint"
 
     def save(frames):
