@@ -527,11 +527,13 @@ def _(t):
     groups = spatial.same_geometry_all(t)
     met = spatial.geometry_intersects(groups)
     names = as_wkt(groups.select("pk", "the_geom"), "the_geom", "other_wkt")
-    each = met.select("pk", "the_geom", F.explode("intersect_pk").alias("other")).join(
-        names.withColumnRenamed("pk", "other"), "other")
-    counted = each.groupBy("pk", "the_geom").agg(F.count(F.lit(1)).alias("met"),
-                                                 F.min("other_wkt").alias("first_met"))
-    return as_wkt(counted, "the_geom", "wkt").drop("pk")
+    each = met.select("pk", "the_geom", F.inline(F.arrays_zip("intersect_pk", "intersect_dbs"))).join(
+        names.withColumnRenamed("pk", "intersect_pk"), "intersect_pk")
+    listed = each.groupBy("pk", "the_geom").agg(F.sort_array(F.collect_list(
+        F.struct("other_wkt", "intersect_dbs"))).alias("met"))  # keys as texts, in their order
+    out = listed.select("pk", "the_geom", F.col("met.other_wkt").alias("intersects"),
+                        F.col("met.intersect_dbs").alias("intersect_dbs"))
+    return flat(as_wkt(out, "the_geom", "wkt").drop("pk"))
 
 
 @query("objects_in_region")
