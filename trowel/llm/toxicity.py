@@ -221,7 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = labelled_sample(docs, labels, label_col, folds, sample_rows, [text_col], id_col)
     rows = stored(chosen.select(F.col("sample_label").alias("label"), F.col(text_col).alias("text")), "labelled")
     # near copies would make the words that they share look telling
-    rows = stored(rows.withColumn("sketch", _sketch("text")).dropDuplicates(["sketch", "label"]), "unrelated")
+    rows = stored(rows.withColumn("sketch", _sketch("text")).groupBy("sketch", "label").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text")), "unrelated")
     if rows.isEmpty():
         return ToxicityModel(-5.0, {})
     voters = find_voters(rows, lexicon) + list(PATTERNS)
