@@ -59,7 +59,9 @@ def _entries(texts: list, figures: np.ndarray, edges: np.ndarray) -> tuple[np.nd
     norm = np.sqrt(np.bincount(doc, value * value, minlength=len(texts)))
     value = value / np.maximum(norm[doc], 1e-9)
     n, k = figures.shape
-    bins = np.stack([np.searchsorted(edges[j], figures[:, j], side="right") for j in range(k)], 1) if k else np.empty((n, 0), int)
+    bins = np.empty((n, k), int)
+    for j in range(k):
+        bins[:, j] = np.searchsorted(edges[j], figures[:, j], side="right")
     binned = (1 << WORD_BITS) + np.arange(k) * BINS + bins
     doc = np.concatenate([doc, np.repeat(np.arange(n), k)])
     feature = np.concatenate([word, binned.ravel()])
