@@ -36,9 +36,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 def token_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """doc_id, ids, and the digests of ids and decoded text."""
-    path = bpe.word_vocabulary()
-    coded = bpe.decode(bpe.encode(docs, path), path)
-    return bpe.digests(coded, keep_ids=True)
+    return bpe.digests(bpe.encode(docs, bpe.word_vocabulary(), decoded=True), keep_ids=True)
 
 
 STAGES = [

@@ -54,6 +54,8 @@ def test_encode_and_decode_against_the_library(spark):
     df = spark.createDataFrame([(i, t, 0, "k") for i, t in data], "doc_id bigint, text string, part int, kind string")
     coded = bpe.decode(bpe.encode(df, PATH, part_chars=200, leaf_chars=16), PATH)
     got = sorted((r.doc_id or -1, list(r.ids), r.decoded) for r in coded.collect())
+    once = bpe.encode(df, PATH, part_chars=200, leaf_chars=16, decoded=True)
+    assert got == sorted((r.doc_id or -1, list(r.ids), r.decoded) for r in once.collect())
     assert got == sorted((i or -1, ids(t), WHOLE.decode(ids(t), skip_special_tokens=False)) for i, t in data)
     assert bpe.encode(df.limit(0), PATH).count() == 0
 

@@ -28,9 +28,9 @@ from trowel.llm.common import read, sha256_hex
 
 PART_CHARS = 32_768  # texts longer than this are cut and encoded as several rows
 LEAF_CHARS = 8_192   # pieces of a long word, in characters of the vocabulary's byte alphabet
-CACHE_WORDS = 250_000   # words whose ids a worker remembers, and as many that it knew before
+CACHE_WORDS = 120_000   # words whose ids a worker remembers, and as many that it knew before
 MARK = "\x01"           # stands between words that are encoded together
-BATCH_CHARS = 1_000_000  # texts that a worker gives back together
+BATCH_CHARS = 500_000  # texts that a worker gives back together
 
 
 class Coder:
@@ -100,6 +100,13 @@ class Coder:
     def encode_text(self, text: str | None) -> np.ndarray:
         return self.encode_texts([text])[0]
 
+    def decode(self, ids: list[list[int]]) -> list[str]:
+        """The text of each list of ids; without a decoder, the tokens joined by spaces."""
+        if self.whole.decoder is not None:
+            return self.whole.decode_batch(ids, skip_special_tokens=False)
+        token = self.tokens.__getitem__
+        return [" ".join(map(token, i)) for i in ids]
+
     def piece(self, text: str, last: bool) -> list[int]:
         """The ids of a piece of one word, in the byte alphabet."""
         return [t.id for t in self.models[last].tokenize(text)] if text else []
@@ -192,13 +199,15 @@ def _list_array(lists: list[np.ndarray]) -> pa.ListArray:
 
 
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-           part_chars: int = PART_CHARS, leaf_chars: int = LEAF_CHARS) -> DataFrame:
+           part_chars: int = PART_CHARS, leaf_chars: int = LEAF_CHARS, decoded: bool = False) -> DataFrame:
     """Every row's ids: (doc_id, ids), as the tokenizers library encodes the whole text with
-    ``vocabulary`` and without added special tokens.
+    ``vocabulary`` and without added special tokens; and if ``decoded`` their text again, in a
+    column of that name.
 
     Texts up to ``part_chars`` code points are encoded in the scan. Longer ones are cut, their
     parts spread over the tasks, and the ids put together again by row. The vocabulary file is
-    read on the executors, where ``vocabulary`` must be readable.
+    read on the executors, where ``vocabulary`` must be readable. Decoding in the same pass keeps
+    one worker for each task in place of two.
 
     Defined cases: null and empty texts, and ones of white space only, have no ids; ids may be
     null or repeat, each row has its own result; an empty table gives an empty one; the ids of
@@ -207,14 +216,20 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.monotonically_increasing_id().alias("row_no"))
     long = F.coalesce(F.length("text"), F.lit(0)) > part_chars
-    ids_field = T.StructField("ids", T.ArrayType(T.IntegerType()))
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    if decoded:
+        fields.append(T.StructField("decoded", T.StringType()))
+    names = [f.name for f in fields]
 
     def short_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(vocabulary)
         for batch in batches:
             for lot in _lots(batch, pc.fill_null(pc.utf8_length(batch["text"]), 0).to_pylist()):
-                ids = _list_array(code.encode_texts(lot["text"].to_pylist()))
-                yield pa.RecordBatch.from_arrays([lot["doc_id"], ids], ["doc_id", "ids"])
+                ids = code.encode_texts(lot["text"].to_pylist())
+                texts = [pa.array(code.decode([i.tolist() for i in ids]), pa.string())] if decoded else []
+                yield pa.RecordBatch.from_arrays([lot["doc_id"], _list_array(ids), *texts],
+                                                 ["doc_id", *names])
+            pa.default_memory_pool().release_unused()
 
     def cut_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         code = coder(vocabulary)
@@ -240,21 +255,24 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
         for _, own in frame.sort_values(["part", "piece"]).groupby("part", sort=True):
             out.append(own.ids.iloc[0] if own.kind.iloc[0] == "words"
                        else code.join_all([i.tolist() for i in own.ids]))
-        return pd.DataFrame({"row_no": [int(frame.row_no.iloc[0])],
-                             "ids": [np.concatenate(out).astype(np.int32)]})
+        ids = np.concatenate(out).astype(np.int32)
+        texts = {"decoded": code.decode([ids.tolist()])} if decoded else {}
+        return pd.DataFrame({"row_no": [int(frame.row_no.iloc[0])], "ids": [ids], **texts})
 
     short = rows.where(~long).select("doc_id", "text").mapInArrow(
-        short_ids, T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), ids_field]))
+        short_ids, T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), *fields]))
     numbered = rows.where(long)
     parts = numbered.select("text", "row_no").mapInPandas(
         cut_rows, "part int, piece int, kind string, text string, row_no bigint")
     spread = parts.repartition("row_no", "part", "piece").mapInArrow(
         part_ids, "row_no bigint, part int, piece int, kind string, ids array<int>")
-    whole = spread.groupBy("row_no").applyInPandas(joined, "row_no bigint, ids array<int>")
+    whole = spread.groupBy("row_no").applyInPandas(
+        joined, T.StructType([T.StructField("row_no", T.LongType()), *fields]))
     # a long text of white space only has no part
     none = F.array().cast("array<int>")
     long_ids = numbered.select("doc_id", "row_no").join(whole, "row_no", "left").select(
-        "doc_id", F.coalesce("ids", none).alias("ids"))
+        "doc_id", F.coalesce("ids", none).alias("ids"),
+        *[F.coalesce("decoded", F.lit("")).alias("decoded")] * decoded)
     return short.union(long_ids)
 
 
@@ -266,15 +284,10 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", to_col: st
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(vocabulary)
-        token = code.tokens.__getitem__
         for batch in batches:
             sizes = pc.fill_null(pc.list_value_length(batch[ids_col]), 0).to_pylist()
             for lot in _lots(batch, [4 * n for n in sizes]):
-                rows = [x.values.to_numpy().tolist() if x.is_valid else [] for x in lot[ids_col]]
-                if code.whole.decoder is not None:
-                    out = code.whole.decode_batch(rows, skip_special_tokens=False)
-                else:  # without a decoder: the tokens, joined by spaces
-                    out = [" ".join(map(token, ids)) for ids in rows]
+                out = code.decode([x.values.to_numpy().tolist() if x.is_valid else [] for x in lot[ids_col]])
                 yield pa.RecordBatch.from_arrays(
                     [*[lot[c] for c in kept], pa.array(out, pa.string())], [*kept, to_col])
 
@@ -298,4 +311,4 @@ def word_vocabulary() -> str:
 
 def op9_bpe_encoding_and_decoding(spark, folder: str) -> DataFrame:
     path = word_vocabulary()
-    return digests(decode(encode(read(spark, folder, "documents"), path), path))
+    return digests(encode(read(spark, folder, "documents"), path, decoded=True))
