@@ -55,3 +55,20 @@ def test_very_long_and_odd_rows(spark):
     got = {r.page_id: r.text for r in out.collect()}
     assert got[1] == "\n".join([PROSE] * 3000) and got[2] == ""
     assert html_text.extract_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("opened", [
+    '<article class="overflow-hidden">', '<main class="md:hidden">', '<main title="the hidden cost">',
+    "<article data-state='{\"hidden\": true}'>", '<article aria-hidden = "false">', '<article hidden="until-found">',
+    '<main title="display: none">', '<main style="--display:none; display:none; display:block">'])
+def test_values_that_speak_of_hidden_do_not_hide(opened):
+    end = "</article>" if "<article" in opened else "</main>"
+    page = f'{opened}<p>{PROSE}</p><p>In <a href="/hidden-valley">the valley</a> it rained.</p><p><a href=/hidden>So</a> it did.</p>{end}'
+    assert html_text.main_text(page) == f"{PROSE}\nIn the valley it rained.\nSo it did."
+
+
+@pytest.mark.parametrize("attribute", [
+    "hidden", "HIDDEN", 'hidden=""', "hidden='hidden'", "hidden=hidden", 'class="x" hidden', 'class="x"hidden',
+    'style="display:none"', "style='color:red; DISPLAY : NONE !important'", "style=display:none"])
+def test_hidden_elements_give_no_text(attribute):
+    assert html_text.main_text(f"<article><p>{PROSE}</p><div {attribute}>{PROSE}</div></article>") == PROSE

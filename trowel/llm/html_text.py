@@ -21,7 +21,9 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[A-Za-z][A-Za-z0-9:-]*+)(?P<rest2>[^>]*+)(?:>|\Z)"  # an open quote
     r"|<[!?][^>]*+(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!=)|display\s*:\s*none", re.I)
+# One attribute at a time, so that nothing inside a value counts as a name.
+_NAMED = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>]+)))?")
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
 # Elements by what they do to the text around them.
 _RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "head",
         "object", "select", "audio", "video", "canvas", "math"}
@@ -42,6 +44,23 @@ FEATURES = ("words", "link_density", "words_before", "links_before", "words_afte
             "in_article", "apart", "hinted", "heading", "elsewhere")
 
 
+def hides(rest: str) -> bool:
+    """Whether an element with these attributes is hidden: by the attribute ``hidden``, or by a style
+    whose last display is none. Classes, links, titles and other values do not hide; text that is
+    hidden until found is text of the page."""
+    seen: set[str] = set()
+    for m in _NAMED.finditer(rest):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name in seen:
+            continue  # the first of a name counts
+        seen.add(name)
+        if name == "hidden" and value.strip().lower() != "until-found":
+            return True
+        if name == "style" and (shown := _DISPLAY.findall(value)) and shown[-1].lower() == "none":
+            return True
+    return False
+
+
 class Block:
     __slots__ = ("text", "words", "density", "in_article", "apart", "hinted", "heading", "elsewhere")
 
@@ -74,7 +93,7 @@ def blocks(page: str | None) -> list[Block]:
             out.append("hint")
         if re.fullmatch("h[1-6]", tag):
             out.append("heading")
-        if rest and _HIDDEN.search(rest):
+        if rest and hides(rest):
             out.append("hidden")
         return out
 
