@@ -72,3 +72,33 @@ def test_values_that_speak_of_hidden_do_not_hide(opened):
     'style="display:none"', "style='color:red; DISPLAY : NONE !important'", "style=display:none"])
 def test_hidden_elements_give_no_text(attribute):
     assert html_text.main_text(f"<article><p>{PROSE}</p><div {attribute}>{PROSE}</div></article>") == PROSE
+
+
+SIDE = "<div class='sidebar'><p>Buy two pairs of boots and get the third one free.</p></div>"
+
+
+@pytest.mark.parametrize("before, after", [
+    ("<div class='has-sidebar'>", "</div>"), ("<div id='with-nav'><div class='content'>", "</div></div>"),
+    ("<main class='no-sidebar'>", "</main>"), ("<article class='single-post comments-open'>", "</article>"),
+    ("<div class='has-sidebar'>", f"{SIDE}</div>"), ("<div class='has-sidebar'><article>", f"</article>{SIDE}</div>"),
+    (f"<div class='has-sidebar'>{SIDE}<div class='story'>", "</div></div><footer>Imprint</footer>"),
+    ("<nav><a href='/'>Home</a></nav><div class='single-post comments-open'>",
+     f"<section id='comments'><p>{PROSE}</p></section></div>")])
+def test_wrappers_with_hints_keep_the_text(before, after):
+    inner = f"<p>{PROSE}</p><p>{PROSE}</p><p>Short.</p><p>{PROSE}</p>"
+    assert html_text.main_text(before + inner + after) == "\n".join([PROSE, PROSE, "Short.", PROSE])
+
+
+@pytest.mark.parametrize("name", ["comments", "related", "sidebar"])
+def test_hinted_parts_of_half_a_page_still_go(name):
+    text = f"<div><p>{PROSE}</p><p>{PROSE}</p></div>"
+    assert html_text.main_text(f"{text}<div class='{name}'><p>{PROSE}</p><p>{PROSE}</p></div>") == f"{PROSE}\n{PROSE}"
+
+
+def test_a_wrapper_is_told_by_its_place_and_share():
+    hinted = lambda page: [(b.text, round(b.hinted, 2)) for b in html_text.blocks(page)]
+    assert hinted("<div class='has-sidebar'><p>a b c</p><div class='sidebar'>d</div></div>e") == [
+        ("a b c", 0.2), ("d", 0.8), ("e", 0)]
+    assert hinted("<main><p>a</p><div class='comments'>b c d</div></main>") == [("a", 0), ("b c d", 1)]
+    assert hinted("<main><h1>a</h1><div class='no-sidebar'>b <span class='share'>c</span> d</div>e") == [
+        ("a", 0), ("b c d", 0.4), ("e", 0)]

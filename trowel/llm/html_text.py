@@ -39,6 +39,9 @@ _HINT = re.compile(
     r"cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|"
     r"share|sharing|social|related|recommended|pagination|pager|search|skip|complementary|"
     r"contentinfo)(?:$|[-_\s])", re.I)
+# Names that say what an element has or lacks, not what it is.
+_STATE = re.compile(r"(?:has|no|not|with|without|show|hide)[-_].*|.*[-_](?:open|closed|enabled|disabled|off|on)", re.I)
+_TEXT_WORDS = 10  # outside articles a block of so many words, not beside the text, counts as text
 
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after",
             "in_article", "apart", "hinted", "heading", "elsewhere")
@@ -70,14 +73,21 @@ def blocks(page: str | None) -> list[Block]:
 
     Elements left open end with the element around them or the page; comments, scripts, styles,
     the head and hidden elements give no text. Character references are decoded, white space
-    becomes one space, and blocks without text are left out.
+    becomes one space, and blocks without text are left out. ``hinted`` is the share of the page's
+    words outside the innermost element whose names hint at something beside the text, so a wrapper
+    around the whole page counts as none; it is 1 if that element comes after text, as comments do.
     """
     page = page or ""
     out: list[Block] = []
     stack: list[tuple[str, list[str]]] = []  # open elements and what they do
     parts: list[str] = []
     linked = 0
-    depth = {"a": 0, "article": 0, "apart": 0, "hint": 0, "heading": 0, "hidden": 0}
+    depth = {"a": 0, "article": 0, "apart": 0, "heading": 0, "hidden": 0}
+    words = 0  # in the blocks so far
+    hints: list[list[int]] = []  # for each hinted element the words before it, up to its end, and if it follows text
+    within: list[int] = []  # the open ones
+    texts = 0  # blocks of text so far
+    articles: list[int] = []  # those before each open article
 
     def effects(tag: str, rest: str) -> list[str]:
         named = " ".join("".join(m) for m in _ATTRIBUTE.findall(rest)) if rest else ""
@@ -90,24 +100,52 @@ def blocks(page: str | None) -> list[Block]:
         if tag in _APART or tag == "header" and not inside:
             out.append("apart")
         if named and tag not in ("body", "html") and _HINT.search(named):
-            out.append("hint")
+            state = all(_STATE.fullmatch(n) for n in named.split() if _HINT.search(n))
+            out.append("state" if state else "hint")
         if re.fullmatch("h[1-6]", tag):
             out.append("heading")
         if rest and hides(rest):
             out.append("hidden")
         return out
 
+    def enter(tag: str, does: list[str]) -> None:
+        for e in does:
+            if e in ("hint", "state"):
+                within.append(len(hints))
+                before = articles[-1] if articles else 0
+                hints.append([words, words, e == "hint" and texts > before])
+            else:
+                depth[e] += 1
+        if "article" in does:
+            articles.append(texts)
+        stack.append((tag, does))
+
+    def leave() -> str:
+        tag, does = stack.pop()
+        for e in does:
+            if e in ("hint", "state"):
+                hints[within.pop()][1] = words
+            else:
+                depth[e] -= 1
+        if "article" in does:
+            articles.pop()
+        return tag
+
     def flush() -> None:
-        nonlocal parts, linked
+        nonlocal parts, linked, words, texts
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             block = Block()
             block.text, block.words = text, text.count(" ") + 1
             block.density = min(1.0, linked / block.words)
             block.in_article = depth["article"] > 0
-            block.apart, block.hinted = depth["apart"] > 0, depth["hint"] > 0
+            block.apart, block.hinted = depth["apart"] > 0, within[-1] if within else None
             block.heading = depth["heading"] > 0
             out.append(block)
+            words += block.words
+            if not (block.apart or block.heading or within or block.density > 0.5) and (
+                    block.in_article or block.words >= _TEXT_WORDS):
+                texts += 1
         parts, linked = [], 0
 
     def said(text: str) -> None:
@@ -130,12 +168,8 @@ def blocks(page: str | None) -> list[Block]:
             flush()
         if closing:
             if any(open_tag == tag for open_tag, _ in stack):
-                while stack:
-                    open_tag, does = stack.pop()
-                    for e in does:
-                        depth[e] -= 1
-                    if open_tag == tag:
-                        break
+                while leave() != tag:
+                    pass
             continue
         if tag in _VOID or rest.endswith("/"):
             continue
@@ -146,14 +180,15 @@ def blocks(page: str | None) -> list[Block]:
             at = end.end() if end else len(page)
             continue
         if tag in ("p", "li", "option", "dt", "dd", "tr", "td", "th") and stack and stack[-1][0] == tag:
-            for e in stack.pop()[1]:
-                depth[e] -= 1
-        does = effects(tag, rest)
-        for e in does:
-            depth[e] += 1
-        stack.append((tag, does))
+            leave()
+        enter(tag, effects(tag, rest))
     said(page[at:])
     flush()
+    while stack:
+        leave()
+    for block in out:
+        start, end, follows = (0, words, False) if block.hinted is None else hints[block.hinted]
+        block.hinted = 1.0 if follows else 1 - (end - start) / words
     return out
 
 

@@ -61,4 +61,20 @@ PAGES = [
      (1, f"<p>{_LINKED}</p>"), (0, f"<aside>{_PROSE}</aside>"), (0, f"<form><p>{_LINKED}</p></form>"),
      (0, f"<footer><p>{_PROSE}</p></footer>")],
     [(0, f"<header><p>{_PROSE}</p></header>"), (0, f'<div id="sidebar">{_LINKED}</div>'), (1, f"<div>{_PROSE}</div>")],
+    # wrappers whose names speak of what they hold besides the text, or of what they do not
+    [(1, '<div class="has-sidebar"><h1>On the salt road</h1>'), (1, f"<p>{_PROSE}</p>"), (1, f"<p>{_SHORT}</p>"),
+     (1, f"<p>{_LINKED}</p>"), (0, f'<div class="sidebar"><p>{_OTHER}</p></div></div>'),
+     (0, "<footer>Imprint and terms</footer>")],
+    [(0, '<nav><a href="/">Home</a></nav>'), (1, f'<main class="no-sidebar"><p>{_PROSE}</p>'), (1, f"<p>{_LINKED}</p></main>"),
+     (0, f"<footer><p>{_OTHER}</p></footer>")],
+    [(0, f"<header><p>{_OTHER}</p></header>"), (1, f'<div class="single-post comments-open"><p>{_PROSE}</p>'),
+     (1, f"<p>{_PROSE}</p>"), (1, "<p>No.</p>"), (0, f'<div class="comments"><p>{_PROSE}</p>'),
+     (0, "<p>So I heard.</p></div></div>")],
+    [(0, '<nav><a href="/">Home</a></nav>'), (1, f'<div class="layout-sidebar"><p>{_PROSE}</p>'), (1, f"<p>{_LINKED}</p></div>"),
+     (0, f"<aside><p>{_PROSE}</p>"), (0, f"<p>{_OTHER}</p></aside>")],
+    # more words beside the text than in it
+    [(0, f'<div class="sidebar"><p>{_PROSE}</p></div>'), (1, f"<p>{_PROSE}</p>"), (1, f"<p>{_SHORT}</p>")],
+    [(1, "<main><p>Closed.</p>"), (0, f'<div class="comments"><p>{_PROSE}</p>'), (0, "<p>So I heard.</p></div></main>")],
+    [(1, f"<div><p>{_PROSE}</p>"), (1, f"<p>{_LINKED}</p></div>"), (0, f'<div class="comments"><p>{_PROSE}</p>'),
+     (0, f"<p>{_PROSE}</p>"), (0, f"<p>{_LINKED}</p></div>")],
 ]
