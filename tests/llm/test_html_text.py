@@ -102,3 +102,27 @@ def test_a_wrapper_is_told_by_its_place_and_share():
     assert hinted("<main><p>a</p><div class='comments'>b c d</div></main>") == [("a", 0), ("b c d", 1)]
     assert hinted("<main><h1>a</h1><div class='no-sidebar'>b <span class='share'>c</span> d</div>e") == [
         ("a", 0), ("b c d", 0.4), ("e", 0)]
+
+
+@pytest.mark.parametrize("tag", ["svg", "select", "object", "canvas", "audio", "video", "math", "noscript", "template"])
+def test_elements_without_an_end_tag_end_with_the_one_around(tag):
+    text = f"{PROSE}\n{PROSE}"
+    article = f"<article><p>{PROSE}</p><p>{PROSE}</p></article>"
+    assert html_text.main_text(f"<div><{tag}>x</div>{article}") == text
+    assert html_text.main_text(f"<body><{tag}><b>x</b>{article}") == text
+    assert html_text.main_text(f"<{tag}>x{article}<div><{tag}>y</{tag}></div>") == text
+    assert html_text.main_text(f"<article><p>{PROSE}<{tag}>x</p><p>{PROSE}</p></article>") == text
+    assert html_text.main_text(f"<div><{tag}>x<script>'</{tag}>'</script></div>{article}") == text
+
+
+@pytest.mark.parametrize("tag", ["svg", "select", "object", "noscript", "template"])
+def test_elements_with_an_end_tag_give_no_text(tag):
+    inner = f"<p>{PROSE}</p><{tag}><p>x</p></div><{tag}/></{tag}>"
+    if tag == "object":  # nested ones
+        inner = f"<{tag}><{tag}><p>x</p></{tag}><p>{PROSE}</p></{tag}><p>{PROSE}</p>"
+    assert html_text.main_text(f"<article><div>{inner}</div></article>") == PROSE
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "title", "textarea", "iframe"])
+def test_raw_text_without_an_end_tag_goes_on_to_the_end(tag):
+    assert html_text.main_text(f"<article><p>{PROSE}</p><div><{tag}>x</div><p>{PROSE}</p></article>") == PROSE

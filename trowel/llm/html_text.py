@@ -27,6 +27,11 @@ _DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
 # Elements by what they do to the text around them.
 _RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "head",
         "object", "select", "audio", "video", "canvas", "math"}
+# Without an end tag these go on to the end of the page, as in a browser; the others of _RAW end with
+# the element around them or at the start of one of _BLOCK.
+_TO_THE_END = {"script", "style", "title", "textarea", "iframe"}
+_BLOCK = {"article", "main", "section", "nav", "aside", "header", "footer", "div", "p", "h1", "h2", "h3", "h4",
+          "h5", "h6", "ul", "ol", "dl", "table", "blockquote", "pre", "figure", "form", "body"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
          "track", "wbr"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn",
@@ -64,6 +69,33 @@ def hides(rest: str) -> bool:
     return False
 
 
+def after(page: str, tag: str, at: int) -> int | None:
+    """Where the next end tag ``tag`` ends."""
+    end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+    return end.end() if end else None
+
+
+def own_ends(page: str) -> dict[int, int]:
+    """For the elements of _RAW that nest and have an end tag of their own: where it ends, by the
+    end of the start tag."""
+    out: dict[int, int] = {}
+    began: dict[str, list[int]] = {tag: [] for tag in _RAW - _TO_THE_END - {"head"}}
+    at = 0
+    while m := _TOKEN.search(page, at):
+        at = m.end()
+        tag = (m["tag"] or m["tag2"] or "").lower()
+        if m["end"] or m["end2"]:
+            if began.get(tag):
+                out[began[tag].pop()] = at
+        elif (m["rest"] or m["rest2"] or "").endswith("/"):
+            continue
+        elif tag in _TO_THE_END:
+            at = after(page, tag, at) or len(page)
+        elif tag in began:
+            began[tag].append(at)
+    return out
+
+
 class Block:
     __slots__ = ("text", "words", "density", "in_article", "apart", "hinted", "heading", "elsewhere")
 
@@ -71,7 +103,8 @@ class Block:
 def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order; never fails on broken markup.
 
-    Elements left open end with the element around them or the page; comments, scripts, styles,
+    Elements left open end with the element around them or the page, and those without text of
+    their own (an svg, a select) also where the next block starts; comments, scripts, styles,
     the head and hidden elements give no text. Character references are decoded, white space
     becomes one space, and blocks without text are left out. ``hinted`` is the share of the page's
     words outside the innermost element whose names hint at something beside the text, so a wrapper
@@ -88,6 +121,8 @@ def blocks(page: str | None) -> list[Block]:
     within: list[int] = []  # the open ones
     texts = 0  # blocks of text so far
     articles: list[int] = []  # those before each open article
+    ending: dict[int, int] | None = None
+    left_open = 0  # open elements of _RAW
 
     def effects(tag: str, rest: str) -> list[str]:
         named = " ".join("".join(m) for m in _ATTRIBUTE.findall(rest)) if rest else ""
@@ -121,7 +156,9 @@ def blocks(page: str | None) -> list[Block]:
         stack.append((tag, does))
 
     def leave() -> str:
+        nonlocal left_open
         tag, does = stack.pop()
+        left_open -= tag in _RAW
         for e in does:
             if e in ("hint", "state"):
                 hints[within.pop()][1] = words
@@ -173,12 +210,22 @@ def blocks(page: str | None) -> list[Block]:
             continue
         if tag in _VOID or rest.endswith("/"):
             continue
+        if tag == "head":
+            at = after(page, tag, at) or at
+            continue
+        if tag in _TO_THE_END:
+            at = after(page, tag, at) or len(page)
+            continue
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if tag == "head" and end is None:
-                continue
-            at = end.end() if end else len(page)
+            ending = own_ends(page) if ending is None else ending
+            if at in ending:
+                at = ending[at]
+            else:
+                enter(tag, ["hidden"])
+                left_open += 1
             continue
+        while left_open and tag in _BLOCK:
+            leave()
         if tag in ("p", "li", "option", "dt", "dd", "tr", "td", "th") and stack and stack[-1][0] == tag:
             leave()
         enter(tag, effects(tag, rest))
