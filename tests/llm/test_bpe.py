@@ -70,3 +70,19 @@ def test_query_against_the_library(spark):
         own = ids(known[r.doc_id])
         assert (r.n_tokens, r.ids_sha256) == (len(own), sha(" ".join(map(str, own))))
         assert r.decoded_sha256 == sha(WHOLE.decode(own, skip_special_tokens=False))
+
+
+def in_another_order_each_time(df):
+    """The rows as a shuffle may deal them: each scan gives them in another order."""
+    def mix(frames):
+        for frame in frames:
+            yield frame.sample(frac=1, random_state=random.SystemRandom().randrange(2**31))
+
+    return df.coalesce(1).mapInPandas(mix, df.schema)
+
+
+def test_long_rows_keep_their_ids_when_scans_differ(spark):
+    data = [(i, f"w{i} " * 60) for i in range(40)]
+    df = in_another_order_each_time(spark.createDataFrame(data, "doc_id bigint, text string"))
+    got = bpe.encode(df, PATH, part_chars=50, leaf_chars=16, decoded=True).collect()
+    assert sorted((r.doc_id, list(r.ids)) for r in got) == [(i, ids(t)) for i, t in data]

@@ -91,3 +91,20 @@ def test_no_python_in_the_plan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|ArrowEval|CartesianProduct|NestedLoop", plan)
     assert "BroadcastHashJoin" in plan
+
+
+def test_parts_agree_when_scans_differ(spark):
+    def mix(frames):
+        for frame in frames:
+            yield frame.sample(frac=1, random_state=random.SystemRandom().randrange(2**31))
+
+    docs, items = tables(spark)
+    d, i = frames(spark, docs, items)
+    mixed = d.coalesce(1).mapInPandas(mix, d.schema)  # each scan gives the rows in another order
+    covered = decontaminate._covered(decontaminate.F.col("hits"))
+    got = decontaminate.scan(mixed, i, broadcast_bytes=2000).select("doc_id", "n_words", covered.alias("n"), "items")
+    key = lambda r: (r[0] is None, r)
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(brute(docs, items), key=key)
+    kept = decontaminate.remove_contaminated(mixed, i, broadcast_bytes=2000)
+    assert kept.schema == d.schema
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(x[0] for x in brute(docs, items) if not x[2])

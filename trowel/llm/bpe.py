@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trowel.llm.common import read, sha256_hex
+from trowel.llm.common import read, sha256_hex, stored
 
 PART_CHARS = 32_768  # texts longer than this are cut and encoded as several rows
 LEAF_CHARS = 8_192   # pieces of a long word, in characters of the vocabulary's byte alphabet
@@ -204,8 +204,9 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     ``vocabulary`` and without added special tokens; and if ``decoded`` their text again, in a
     column of that name.
 
-    Texts up to ``part_chars`` code points are encoded in the scan. Longer ones are cut, their
-    parts spread over the tasks, and the ids put together again by row. The vocabulary file is
+    Texts up to ``part_chars`` code points are encoded in the scan. Longer ones are numbered and
+    stored, as two plans read their numbers; they are cut, their parts spread over the tasks, and
+    the ids put together again by row. The vocabulary file is
     read on the executors, where ``vocabulary`` must be readable. Decoding in the same pass keeps
     one worker for each task in place of two.
 
@@ -213,8 +214,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     null or repeat, each row has its own result; an empty table gives an empty one; the ids of
     a single row are held in one task.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                       F.monotonically_increasing_id().alias("row_no"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     long = F.coalesce(F.length("text"), F.lit(0)) > part_chars
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
     if decoded:
@@ -261,7 +261,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
 
     short = rows.where(~long).select("doc_id", "text").mapInArrow(
         short_ids, T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), *fields]))
-    numbered = rows.where(long)
+    numbered = stored(rows.where(long).withColumn("row_no", F.monotonically_increasing_id()), "long")
     parts = numbered.select("text", "row_no").mapInPandas(
         cut_rows, "part int, piece int, kind string, text string, row_no bigint")
     spread = parts.repartition("row_no", "part", "piece").mapInArrow(

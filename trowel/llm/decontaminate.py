@@ -86,7 +86,8 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     ``items`` are the sorted ids of those items. The corpus is read once; each word position
     probes a broadcast table of the windows, and equal hashes are verified word by word. The
     table is measured: beyond ``broadcast_bytes`` it is cut by hash, and the probe repeated for
-    each part. Rows of hits are regrouped by a row number made in the same scan.
+    each part. Rows of hits are regrouped by a row number made in the same scan; for several parts
+    the numbered rows are stored first, so that all parts see the same numbers.
 
     Defined cases: null and empty texts have no words and no hits; an item without words has
     no window; repeated items count once; an item with a null id gives hits but no id; repeated
@@ -100,7 +101,11 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     kept = [F.col(f"`{c}`").alias(f"keep_{i}") for i, c in enumerate(keep or [])]
     kept_names = [f"keep_{i}" for i in range(len(kept))]
     rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).alias("doc_id"),
-                       words(F.col(text_col)).alias("words"), *kept)
+                       F.col(text_col).alias("text"), *[c for c, n in zip(kept, keep or []) if n != text_col])
+    if parts > 1:
+        rows = stored(rows, "numbered")
+    rows = rows.select("row_no", "doc_id", words(F.col("text")).alias("words"), *[
+        F.col("text").alias(k) if n == text_col else F.col(k) for k, n in zip(kept_names, keep or [])])
     rows = rows.select("*", F.size("words").alias("n_all"), _hashes(F.col("words")).alias("hashes"))
     # Each row also sends one probe at 0, which meets the row 0 of the first part: so rows
     # without a hit come through the same scan.
