@@ -614,6 +614,16 @@ def _(t):
     return as_wkt(spatial.force_2d({"geo_object": points})).select(A, "ObjectId", "wkt")
 
 
+@query("force_2d_raised_shapes")
+def _(t):
+    """All rows, each shape raised: every point has a height of its own."""
+    raised = [(gtype, [(part, kind, np.column_stack([p[:, :2], 1.5 + np.arange(len(p))])) for part, kind, p in rings])
+              for gtype, rings in ODD_SHAPES]
+    shapes = F.array(*[F.lit(write_rings(*shape)) for shape in raised])
+    odd = t["geo_object"].withColumn("wkb", F.get(shapes, F.col("ObjectId") % len(raised)))
+    return as_wkt(spatial.force_2d({"geo_object": odd})).select(A, "ObjectId", "wkt")
+
+
 @query("geom_to_wkt")
 def _(t):
     return spatial.geom_to_wkt(t)

@@ -335,3 +335,13 @@ def test_site_region_left_join(spark, tables):
     got = sorted((r.archive, r.namn) for r in site.site_region(
         centres, tables["region"], ["namn"], 3.0).collect())
     assert [g[0] for g in got] == ["a1", "a1", "a2"] and got[2][1] is None
+
+
+def test_force_2d_query_covers_all_rows_and_shapes(spark):
+    from __spark_entry__ import queries
+    folder = "/root/testdata/sf0.001"
+    got = {(r.archive, r.ObjectId): r.wkt for r in queries()["force_2d_raised_shapes"](spark, folder).collect()}
+    rows = queries()["force_2d"](spark, folder).collect()
+    assert set(got) == {(r.archive, r.ObjectId) for r in rows} and len(got) == len(rows)
+    assert len({i % 9 for _, i in got}) == 9 and len(set(got.values())) == 9
+    assert all("Z" not in w.replace("POLYGON", "") for w in got.values())
