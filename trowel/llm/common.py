@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trowel.session import scratch_path
@@ -41,6 +41,35 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def ranked(rows: DataFrame, keys: list[str], order: list[str], rank_col: str = "rank",
+           size_col: str = "size") -> DataFrame:
+    """The rows with their place from 0 among those of equal keys, by ``order`` (nulls first), and
+    the number of these; equal rows come in any order, a null key is a key of its own.
+
+    Sorted by ranges of keys, order and a row number, so that a key or a tie with any share of
+    the rows is spread over tasks. Each task's rows then start where those of the tasks before it
+    end: a table of one row for each task and key, and a task's rows are the most a join key has.
+    """
+    row, at, task, first, n, before = free_names(
+        rows, "row", "at", "task", "first", "n", "before")
+    own = [f"{task}_{k}" for k in keys]
+    numbered = stored(rows.withColumn(row, F.monotonically_increasing_id()), "unranked")
+    by = [*keys, *order, row]
+    laid = stored(numbered.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(
+        at, F.monotonically_increasing_id()), "sorted").withColumn(task, F.shiftright(at, 33))
+    runs = stored(laid.groupBy(task, *keys).agg(F.min(at).alias(first), F.count(F.lit(1)).alias(n)), "runs")
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.select(
+        F.col(task).alias(f"{task}_of"), *[F.col(k).alias(o) for k, o in zip(keys, own)], first,
+        F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before), F.sum(n).over(whole).alias(size_col))
+    same = F.col(task) == F.col(f"{task}_of")
+    for key, other in zip(keys, own):
+        same = same & F.col(key).eqNullSafe(F.col(other))
+    return laid.join(starts, same).withColumn(rank_col, F.col(at) - F.col(first) + F.col(before)).drop(
+        row, at, task, first, before, f"{task}_of", *own)
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step over edges (a, b) with a > b.
 
