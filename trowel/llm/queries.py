@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from trowel.llm import bpe, decontaminate, html_text, language, merkle, quality, secrets, sharding, simhash, toxicity, vectors
+from trowel.llm import bpe, chat, decontaminate, html_text, language, merkle, quality, secrets, sharding, simhash, toxicity, vectors
 
 QUERIES = {
     "op1_secret_scans": secrets.op1_secret_scans,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_bpe_encoding_and_decoding": bpe.op9_bpe_encoding_and_decoding,
     "op10_language_id": language.op10_language_id,
     "op11_merkle_dataset_manifest": merkle.op11_merkle_dataset_manifest,
+    "op12_chat_formatting": chat.op12_chat_formatting,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,6 +25,7 @@ ORACLE_SQL = {
     "op2_sharding": sharding.SQL,
     "op6_benchmark_decontamination": decontaminate.SQL,
     "op11_merkle_dataset_manifest": merkle.SQL,
+    "op12_chat_formatting": chat.SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
