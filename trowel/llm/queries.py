@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from trowel.llm import bpe, chat, decontaminate, html_text, language, merkle, quality, secrets, sharding, simhash, toxicity, vectors
+from trowel.llm import bpe, chat, decontaminate, html_text, language, merkle, quality, repair, secrets, sharding, simhash, toxicity, vectors
 
 QUERIES = {
     "op1_secret_scans": secrets.op1_secret_scans,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_language_id": language.op10_language_id,
     "op11_merkle_dataset_manifest": merkle.op11_merkle_dataset_manifest,
     "op12_chat_formatting": chat.op12_chat_formatting,
+    "op13_conversation_structure_repair": repair.op13_conversation_structure_repair,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -26,6 +27,7 @@ ORACLE_SQL = {
     "op6_benchmark_decontamination": decontaminate.SQL,
     "op11_merkle_dataset_manifest": merkle.SQL,
     "op12_chat_formatting": chat.SQL,
+    "op13_conversation_structure_repair": repair.SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
