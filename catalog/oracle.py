@@ -544,8 +544,16 @@ QUERIES = {
         USING (archive) GROUP BY ALL""",
     "normalize_geometry_shapes": """SELECT archive, "ObjectId", "ObjectId" % 9 IN (2, 7) AS repaired,
         "ObjectId" % 9 IN (1, 3, 4, 5) AS still_invalid FROM geo_object""",
-    "force_2d_shapes": """SELECT archive, "ObjectId", 'POINT(1 2)' AS wkt FROM geo_object
-        WHERE "ObjectId" % 9 = 8""",
+    "force_2d_shapes": """SELECT archive, "ObjectId", CASE "ObjectId" % 9
+        WHEN 0 THEN 'POLYGON((0 0,8 0,8 8,0 8,0 0))'
+        WHEN 1 THEN 'POLYGON((0 0,8 8,8 0,0 8,0 0))'
+        WHEN 2 THEN 'POLYGON((0 0,8 0,8 8,0 8))'
+        WHEN 3 THEN 'MULTIPOLYGON(((0 0,8 0,8 8,0 8,0 0)),((0 0,8 0,8 8,0 8,0 0)))'
+        WHEN 4 THEN 'POLYGON((0 0,8 0,8 8,0 8,0 0),(0 2,4 2,4 6,0 6,0 2))'
+        WHEN 5 THEN 'POLYGON((0 0,8 0,8 8,0 8,0 0),(2 2,6 2,6 6,2 6,2 2),(3 3,5 3,5 5,3 5,3 3))'
+        WHEN 6 THEN 'GEOMETRYCOLLECTION(POLYGON((0 0,8 0,8 8,0 8,0 0)),POLYGON((2 2,6 2,6 6,2 6,2 2)))'
+        WHEN 7 THEN 'POLYGON((0 0,0 0,8 0,8 8,0 8,0 0))'
+        WHEN 8 THEN 'POINT(1 2)' END AS wkt FROM geo_object""",
     "force_2d_raised_shapes": """SELECT archive, "ObjectId", CASE "ObjectId" % 9
         WHEN 0 THEN 'POLYGON((0 0,8 0,8 8,0 8,0 0))'
         WHEN 1 THEN 'POLYGON((0 0,8 8,8 0,0 8,0 0))'

@@ -610,8 +610,7 @@ def _(t):
 
 @query("force_2d_shapes")
 def _(t):
-    points = odd_shapes(t)["geo_object"].where(F.col("ObjectId") % len(ODD_SHAPES) == 8)
-    return as_wkt(spatial.force_2d({"geo_object": points})).select(A, "ObjectId", "wkt")
+    return as_wkt(spatial.force_2d(odd_shapes(t))).select(A, "ObjectId", "wkt")
 
 
 @query("force_2d_raised_shapes")

@@ -6,11 +6,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.brute_validity import invalid_reason
 from tests.small import BOWTIE, OPEN_RING, box, line, point, polygon
 from trowel.functions import geometry as G
 from trowel.functions import planar, wkb
 from trowel.functions import projection as P
-from trowel.operators import reproject, site, spatial
+from trowel.operators import reproject, site, spatial, validity
 from trowel.operators.median import geometric_median
 from trowel.session import cut_lineage
 
@@ -79,7 +80,7 @@ def collected(kind, *parts):
     return struct.pack("<BII", 1, kind, len(parts)) + b"".join(parts)
 
 
-@pytest.mark.parametrize("buf, why", [
+JUDGED = [
     (box(0, 0, 1, 1), None), (point(1, 1), None), (None, None),
     (BOWTIE, "ring crosses itself"), (OPEN_RING, "ring not closed"),
     (point(float("inf"), 0), "coordinate not finite"), (line((1, 1), (1, 1)), "too few points"),
@@ -99,9 +100,93 @@ def collected(kind, *parts):
     (polygon(SQUARE, RING, [(4, 4), (5, 4), (5, 5), (4, 5), (4, 4)]), "nested holes"),
     (polygon(SQUARE, [(0, 3), (2, 2), (2, 4), (0, 3)]), None),
     (polygon(SQUARE, [(-1, 0), (5, 6), (6, 5), (-1, 0)]), "rings cross"),
-])
-def test_validity(spark, buf, why):
-    assert shapes(spark, [buf]).select(G.invalid_reason("wkb").alias("w")).first().w == why
+]
+
+
+@pytest.mark.parametrize("buf, why", JUDGED)
+def test_validity_by_hand(buf, why):
+    assert buf is None or invalid_reason(*reversed(wkb.read_rings(buf))) == why
+
+
+def reasons(spark, bufs, **how):
+    found = validity.invalid_reasons(shapes(spark, bufs).select(F.col("id").cast("bigint").alias("key"), "wkb"), **how)
+    return {r.key: r.why for r in found.collect()}
+
+
+def test_validity_by_edges(spark):
+    assert reasons(spark, [buf for buf, _ in JUDGED] + [b"junk"]) == {
+        **{i: why for i, (_, why) in enumerate(JUDGED) if why}, len(JUDGED): reasons(spark, [b"junk"])[0]}
+
+
+def circle(x, y, r, n, step=None, jitter=None):
+    at = np.sort([jitter.random() for _ in range(n)]) if jitter else np.arange(n) / n
+    pts = np.column_stack([x + r * np.cos(2 * np.pi * at), y + r * np.sin(2 * np.pi * at)])
+    pts = np.round(pts / step) * step if step else pts
+    return np.vstack([pts, pts[:1]])
+
+
+def judged_shapes(seed, n):
+    """Walks, holes, parts and large rings with one pair of corners exchanged, on coarse grids."""
+    rand = random.Random(seed)
+    out = []
+    for _ in range(n):
+        sort = rand.randrange(5)
+        rings = []
+        if sort == 0:
+            walk = np.array([[rand.randrange(6), rand.randrange(6)] for _ in range(rand.randrange(3, 9))], float)
+            rings.append((0, wkb.SHELL, np.vstack([walk, walk[:1]])))
+        elif sort == 1:
+            rings.append((0, wkb.SHELL, circle(0, 0, 10, rand.randrange(4, 12), 1)))
+            for _ in range(rand.randrange(1, 4)):
+                rings.append((0, wkb.HOLE, circle(rand.randrange(-8, 9), rand.randrange(-8, 9),
+                                                  rand.choice([1, 2, 3, 5]), rand.randrange(4, 9), 1)))
+        elif sort in (2, 3):
+            for part in range(rand.randrange(2, 5)):
+                x, y, r = rand.randrange(-6, 7), rand.randrange(-6, 7), rand.choice([2, 3, 6, 8])
+                rings.append((part, wkb.SHELL, circle(x, y, r, rand.choice([4, 8]), 1)))
+                if rand.random() < 0.5:
+                    rings.append((part, wkb.HOLE, circle(x, y, r - 1, 4, 1)))
+        else:
+            pts = circle(5e6, 6e6, 1000, rand.randrange(70, 200), jitter=rand)
+            if rand.random() < 0.5:
+                i, j = rand.randrange(len(pts) - 1), rand.randrange(len(pts) - 1)
+                pts[[i, j]] = pts[[j, i]]
+                pts[-1] = pts[0]
+            rings.append((0, wkb.SHELL, pts))
+        out.append(wkb.write_rings({2: 6, 3: 7}.get(sort, 3), rings))
+    return out
+
+
+@pytest.mark.parametrize("one_cell", [64, 0])
+def test_validity_against_all_pairs_of_segments(spark, one_cell):
+    bufs = judged_shapes(one_cell, 500)
+    want = {i: invalid_reason(*reversed(wkb.read_rings(b))) for i, b in enumerate(bufs)}
+    assert reasons(spark, bufs, one_cell=one_cell) == {i: w for i, w in want.items() if w}
+
+
+def test_large_geometries_are_spread(spark):
+    octagons = [(i, wkb.SHELL, circle(10 * (i % 100), 10 * (i // 100), 4, 8)) for i in range(10_000)]
+    crossed = octagons[:-1] + [(9999, wkb.SHELL, circle(985, 990, 4, 8))]
+    ring = circle(5e5, 6e6, 1000, 10 ** 6)
+    holes = [(0, wkb.HOLE, circle(5e5 - 300 + 20 * (i % 30), 6e6 - 300 + 20 * (i // 30), 4, 8)) for i in range(900)]
+    outside = holes + [(0, wkb.HOLE, circle(5e5 + 2000, 6e6, 4, 8))]
+    bufs = [wkb.write_rings(6, octagons), wkb.write_rings(6, crossed), wkb.write_rings(3, [(0, wkb.SHELL, ring), *holes]),
+            wkb.write_rings(3, [(0, wkb.SHELL, ring), *outside])]
+    assert reasons(spark, bufs) == {1: "rings cross", 3: "hole outside shell"}
+
+
+def test_tidied_bytes_are_those_of_each_ring_alone(spark):
+    bufs = judged_shapes(3, 60) + [point(1, 2), line((0, 0), (0, 0), (1, 1)), OPEN_RING, OPEN_RING + b"behind", None,
+                                   wkb.write_rings(1, []), wkb.write_rings(3, []),
+                                   wkb.write_rings(2, [(0, 1, np.array([[0, 0, 1.0], [0, 0, 2], [0, 0, 2]]))])]
+    got = shapes(spark, bufs).select("id", G.tidy_wkb("wkb").alias("t"), G.flat_tidy_wkb("wkb").alias("f")).collect()
+    for r in got:
+        if bufs[r.id] is None:
+            assert r.t is None and r.f is None
+            continue
+        gtype, rings = wkb.read_rings(bufs[r.id])
+        assert bytes(r.t) == wkb.write_rings(gtype, wkb.tidy(rings))
+        assert bytes(r.f) == wkb.write_rings(gtype, wkb.tidy([(p, k, x[:, :2]) for p, k, x in rings]))
 
 
 def test_validity_report(tables):

@@ -51,22 +51,6 @@ def _rings(buf):
     return wkb.read_rings(buf)[1]
 
 
-@F.arrow_udf(T.StringType())
-def invalid_reason(data: pa.Array) -> pa.Array:
-    """Why a geometry is invalid, NULL for a valid or missing one."""
-    out = []
-    for buf in data.to_pylist():
-        if buf is None:
-            out.append(None)
-            continue
-        try:
-            gtype, rings = wkb.read_rings(buf)
-            out.append(planar.invalid_reason(rings, gtype))
-        except Exception as exc:  # bytes that are no geometry
-            out.append(f"unreadable: {exc}")
-    return pa.array(out, pa.string())
-
-
 @F.arrow_udf(T.BooleanType())
 def intersects(a: pa.Array, b: pa.Array) -> pa.Array:
     """Whether two geometries share a point, borders included."""
@@ -116,15 +100,14 @@ _PLAIN = {bytes([kind, 0, 0, 0]) for kind in (1, 2, 3)}
 
 
 def _tidied(data: pa.Array, flat: bool) -> pa.Array:
-    out = []
-    for buf in data.to_pylist():
-        if buf is None:
-            out.append(None)
-            continue
-        gtype, rings = wkb.read_rings(buf)
-        if flat:
-            rings = [(part, kind, pts[:, :2]) for part, kind, pts in rings]
-        out.append(wkb.write_rings(gtype, wkb.tidy(rings)))
+    out = data.to_pylist()
+    g = wkb.Batch(out)
+    for error in filter(None, g.error):
+        raise ValueError(error)
+    # all that is not tidy or not in the plain form of two dimensions is written anew
+    for i in np.flatnonzero(~g.plain(out) | g.untidy()):
+        rings = [(part, kind, pts[:, :2] if flat else pts) for part, kind, pts in g.rings(i)]
+        out[i] = wkb.write_rings(g.gtype[i], wkb.tidy(rings))
     return pa.array(out, pa.binary())
 
 

@@ -150,6 +150,7 @@ class Batch:
     def __init__(self, bufs: list[bytes | None]):
         self.gtype, self.error, self.missing = [], [], [b is None for b in bufs]
         row, part, kind, coords = [], [], [], []
+        self._points = coords
         for i, buf in enumerate(bufs):
             base, message, rings = None, None, []
             if buf is not None:
@@ -177,6 +178,32 @@ class Batch:
             if pts.shape[1] == 3:
                 self.z[start:end], self.flat[start:end] = pts[:, 2], False
 
+    def rings(self, i: int):
+        """The rings of one geometry, as `read_rings` gives them."""
+        first, end = np.searchsorted(self.row, [i, i + 1])
+        return [(int(self.part[r]), int(self.kind[r]), self._points[r]) for r in range(first, end)]
+
+    def untidy(self) -> np.ndarray:
+        """Which geometries have a point twice in a row, or an open ring."""
+        lengths = np.diff(self.at)
+        ring = np.repeat(np.arange(len(lengths)), lengths)
+        out = np.zeros(self.rows, dtype=bool)
+        same = (ring[1:] == ring[:-1]) & (self.x[1:] == self.x[:-1]) & (self.y[1:] == self.y[:-1])
+        out[self.row[ring[1:][same]]] = True
+        area = np.flatnonzero((self.kind >= SHELL) & (lengths > 0))
+        first, last = self.at[:-1][area], self.at[1:][area] - 1
+        out[self.row[area[(self.x[first] != self.x[last]) | (self.y[first] != self.y[last])]]] = True
+        return out
+
+    def plain(self, bufs: list[bytes | None]) -> np.ndarray:
+        """Which geometries are missing, or little-endian points, lines or polygons in two
+        dimensions with nothing behind them: these are written as they are read."""
+        points = np.bincount(self.row, np.diff(self.at), minlength=self.rows)
+        rings = np.bincount(self.row, minlength=self.rows)
+        size = {1: 5 + 16 * points, 2: 9 + 16 * points, 3: 9 + 4 * rings + 16 * points}
+        return np.array([b is None or (b[:1] == b"\x01" and b[2:5] == b"\0\0\0" and b[1] in size
+                                       and len(b) == size[b[1]][i]) for i, b in enumerate(bufs)], dtype=bool)
+
 
 def decode(column: pa.Array) -> pa.Array:
     """A WKB column as shapes; bytes that cannot be read give ``error``."""

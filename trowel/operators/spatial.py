@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trowel.functions import geometry as G
 from trowel.functions.lists import element, fold
+from trowel.operators.validity import invalid_reasons
 from trowel.schema import TARGET_SRID
 from trowel.session import broadcast_if_small, cut_lineage, stored
 
@@ -234,10 +235,10 @@ NO_INVALID = "No invalid objects found"
 
 def validity_report(t, **bounds: int) -> DataFrame:
     """Invalid geometries per archive: how many in all, and their ids; a list too long for one
-    row goes on in further parts."""
-    invalid = (t["geo_object"].where(F.col("wkb").isNotNull())
-               .select(A, F.col("ObjectId").alias("object_id"), G.invalid_reason("wkb").alias("why"))
-               .where(F.col("why").isNotNull()))
+    row goes on in further parts. Judged by joins between edges, see `operators.validity`."""
+    rows = stored(t["geo_object"].where(F.col("wkb").isNotNull()).select(
+        F.monotonically_increasing_id().alias("key"), A, F.col("ObjectId").alias("object_id"), "wkb"), "judged")
+    invalid = rows.select("key", A, "object_id").join(invalid_reasons(rows), "key")
     lists = fold(invalid, [A], "object_id",
                  {"ids": element(F.col("object_id").cast("string"))}, "invalid_count", **bounds)
     return t["object"].select(A).distinct().join(lists, A, "left").select(
@@ -265,12 +266,14 @@ def force_2d(t) -> DataFrame:
 
 
 def normalize_geometry(t) -> DataFrame:
-    """Geometries tidied, with marks for what changed and what stays invalid."""
-    tidied = t["geo_object"].withColumn("tidy", G.tidy_wkb("wkb"))
-    checked = tidied.withColumn("problem", G.invalid_reason("tidy"))
-    return checked.select(
-        A, "ObjectId", "MetaId", "SymbolId", F.col("tidy").alias("wkb"), "srid",
-        (~F.col("wkb").eqNullSafe(F.col("tidy"))).alias("repaired"),
+    """Geometries tidied, with marks for what changed and what stays invalid. Tidying is one pass
+    over a batch's points; what stays invalid is found by joins between edges."""
+    tidied = stored(t["geo_object"].select("*", G.tidy_wkb("wkb").alias("tidy")).select(
+        F.monotonically_increasing_id().alias("key"), A, "ObjectId", "MetaId", "SymbolId", F.col("tidy").alias("wkb"),
+        "srid", (~F.col("wkb").eqNullSafe(F.col("tidy"))).alias("repaired")), "tidied")
+    problems = invalid_reasons(tidied).withColumnRenamed("why", "problem")
+    return tidied.join(problems, "key", "left").select(
+        A, "ObjectId", "MetaId", "SymbolId", "wkb", "srid", "repaired",
         F.col("problem").isNotNull().alias("still_invalid"), "problem")
 
 
