@@ -126,3 +126,49 @@ def test_elements_with_an_end_tag_give_no_text(tag):
 @pytest.mark.parametrize("tag", ["script", "style", "title", "textarea", "iframe"])
 def test_raw_text_without_an_end_tag_goes_on_to_the_end(tag):
     assert html_text.main_text(f"<article><p>{PROSE}</p><div><{tag}>x</div><p>{PROSE}</p></article>") == PROSE
+
+
+@pytest.mark.parametrize("inner", [
+    f'<p class="share-price">{PROSE}</p>', f'<section class="social-history"><p>{PROSE}</p></section>',
+    f'<p>{PROSE}</p><h2 id="search-and-rescue">Search and rescue</h2>', f'<p>{PROSE}</p><h2 id="the-menu">The menu</h2>',
+    f'<div class="header"><h1>One title</h1></div><p>{PROSE}</p>', f'<div id="login-shell-history"><p>{PROSE}</p></div>',
+    f'<p aria-label="Share price">{PROSE}</p>'])
+def test_names_that_only_hold_such_a_word_keep_their_text(inner):
+    want = "\n".join(" ".join(re.sub("<[^>]*>", "", x).split()) for x in re.split("(?<=</p>)|(?=<p)|(?=<h2)", inner) if re.sub("<[^>]*>", "", x))
+    assert html_text.main_text(f"<article><p>{PROSE}</p>{inner}<p>{PROSE}</p></article>") == f"{PROSE}\n{want}\n{PROSE}"
+
+
+@pytest.mark.parametrize("name", ["header", "site-header", "adslot", "ad-slot", "cookieBanner", "main_menu", "comment-12",
+                                  "share-buttons", "related-posts", "widget_text", "google-ads"])
+def test_names_of_parts_beside_the_text_go(name):
+    text = f"<div><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></div>"
+    assert html_text.main_text(f'<div class="{name}"><p>Buy two pairs of boots and get the third one free until Sunday.</p></div>{text}') == "\n".join([PROSE] * 3)
+
+
+@pytest.mark.parametrize("page", [
+    "<form id='aspnetForm'><nav><a href='/'>Home</a></nav><article>{}</article><footer>Imprint</footer></form>",
+    "<form method=post><input type=hidden name=state><main>{}</main></form>",
+    "<body><form><div><a href='/'>Home</a></div><h1></h1><div>{}</div><label>Name</label><input></form>",
+    "<form>{}</form>", "<article>{}<form><p>Write to us, we read it all and answer within two days or three.</p></form></article>",
+    "<form action=/s><label>Search</label><input><button>Go</button></form><div>{}</div>"])
+def test_forms_around_a_page_and_in_it(page):
+    assert html_text.main_text(page.format(f"<p>{PROSE}</p><p>{PROSE}</p>")) == f"{PROSE}\n{PROSE}"
+
+
+def test_lists_of_links_in_a_text_and_around_it():
+    links = "<ul><li><a href='/1'>A map of 1640</a><li><a href='/2'>The tax rolls</a><li><a href='/3'>Letters of a miller</a></ul>"
+    for around in ("<ul><li><a href='/'>Home</a><li><a href='/n'>News</a></ul>",
+                   "<p><a href='/1'>What the tax rolls of the old valley tell about its mills</a></p>"):
+        page = f"<body>{around}<div><p>{PROSE}</p>{links}<p>{PROSE}</p></div>{around}</body>"
+        assert html_text.main_text(page) == f"{PROSE}\nA map of 1640\nThe tax rolls\nLetters of a miller\n{PROSE}"
+    page = f"<body><ul><li><a href='/'>Home</a><li><a href='/n'>News</a></ul><div><p>{PROSE}</p>{links}<p>{PROSE}</p></div>{links}</body>"
+    assert html_text.main_text(page) == f"{PROSE}\nA map of 1640\nThe tax rolls\nLetters of a miller\n{PROSE}"
+
+
+@pytest.mark.parametrize("markup", ["<b>{}</i>", "<head>", "<div>{}</p>", "</i>", "<svg>", "<form>", "<h1 class='a b-c'>", "<!-", "<a '"])
+def test_a_megabyte_of_unmatched_tags(markup):
+    import time
+    began = time.time()
+    one = markup.replace("{}", "")
+    html_text.main_text(f"<article><p>{PROSE}</p>{one * (1_000_000 // len(one))}")
+    assert time.time() - began < 20

@@ -20,7 +20,6 @@ _TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*+)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)(?:>|\Z)"
     r"|<(?P<end2>/?)(?P<tag2>[A-Za-z][A-Za-z0-9:-]*+)(?P<rest2>[^>]*+)(?:>|\Z)"  # an open quote
     r"|<[!?][^>]*+(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 # One attribute at a time, so that nothing inside a value counts as a name.
 _NAMED = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>]+)))?")
 _DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
@@ -37,19 +36,35 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn",
            "em", "font", "i", "img", "ins", "kbd", "mark", "q", "s", "samp", "small", "span",
            "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
-_APART = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "fieldset"}
+_APART = {"nav", "footer", "aside", "menu", "dialog", "button", "fieldset", "label", "legend"}
+# A form around one of these is the page's own wrapper, as some servers write it.
+_STRUCTURE = {"article", "main", "h1", "nav", "header", "footer", "aside"}
+# Words in names of elements beside the text.
 _HINT = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|comments?|replies|respond|disqus|"
+    r"ads?|adslots?|adbox|adunit|adsense|adsby\w+|advert\w*|banner|promo\w*|sponsor\w*|comments?|replies|respond|disqus|"
     r"sidebar|widget|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|topbar|toolbar|"
     r"cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|"
     r"share|sharing|social|related|recommended|pagination|pager|search|skip|complementary|"
-    r"contentinfo)(?:$|[-_\s])", re.I)
+    r"contentinfo|header")
+# Words that may stand beside those in a name without saying what it is about.
+_NEUTRAL = set(
+    "site page main top bottom left right upper lower center inner outer first last primary secondary global "
+    "box bar block section list links link item items wrapper wrap container content contents body area panel "
+    "group row col column region zone slot unit text title heading label button buttons btn icons icon bars form input "
+    "field media tools this us js css mobile desktop small large big full wide sticky fixed float toggle count meta "
+    "author avatar thread nested reply google layout module component widget cell bg posts articles stories reading "
+    "more action actions card cards grid holder policy message tag display".split())
+_OF_TEXT = {"post", "entry", "article", "story"}  # their headers are the text's own
 # Names that say what an element has or lacks, not what it is.
 _STATE = re.compile(r"(?:has|no|not|with|without|show|hide)[-_].*|.*[-_](?:open|closed|enabled|disabled|off|on)", re.I)
+# Elements that hold one of several items; what counts is where their list stands.
+_ITEM = {"p", "li", "ul", "ol", "dl", "dt", "dd", "h1", "h2", "h3", "h4", "h5", "h6", "option", "tr", "td", "th", "table",
+         "tbody", "thead", "blockquote", "pre"}
+_WRAPPED = 2 / 3  # a form with so much of the page's words is around the page, too
 _TEXT_WORDS = 10  # outside articles a block of so many words, not beside the text, counts as text
 
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after",
-            "in_article", "apart", "hinted", "heading", "elsewhere")
+            "in_article", "apart", "hinted", "heading", "elsewhere", "in_prose")
 
 
 def hides(rest: str) -> bool:
@@ -96,8 +111,40 @@ def own_ends(page: str) -> dict[int, int]:
     return out
 
 
+@functools.cache
+def _told(name: str, inside: bool) -> str | None:
+    """What one name says of its element: ``hint`` if all its words, but neutral ones, are of
+    something beside the text; ``state`` if it says that such a thing is there or not."""
+    words = re.split(r"[-_\s]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower().strip("-_"))
+    words = [w for w in words if not w.isdigit()]
+    hints = [w for w in words if _HINT.fullmatch(w)]
+    if "header" in hints and (inside or _OF_TEXT & set(words)):
+        hints = [w for w in hints if w != "header"]
+    if not hints:
+        return None
+    if _STATE.fullmatch(name):
+        return "state"
+    return "hint" if all(w in hints or w in _NEUTRAL for w in words) else None
+
+
+def named(rest: str, heading: bool) -> list[str]:
+    """The names of an element: classes, id, role and label. The id of a heading is a mark for
+    links to it, made of its words, and says nothing."""
+    out = []
+    for m in _NAMED.finditer(rest):
+        value = m[2] or m[3] or m[4] or ""
+        match m[1].lower():
+            case "class" | "role":
+                out += value.split()
+            case "id" if not heading:
+                out.append(value.strip())
+            case "aria-label":
+                out.append(value.strip())
+    return out
+
+
 class Block:
-    __slots__ = ("text", "words", "density", "in_article", "apart", "hinted", "heading", "elsewhere")
+    __slots__ = ("text", "words", "density", "in_article", "apart", "hinted", "heading", "place")
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -108,24 +155,30 @@ def blocks(page: str | None) -> list[Block]:
     the head and hidden elements give no text. Character references are decoded, white space
     becomes one space, and blocks without text are left out. ``hinted`` is the share of the page's
     words outside the innermost element whose names hint at something beside the text, so a wrapper
-    around the whole page counts as none; it is 1 if that element comes after text, as comments do.
+    around the whole page counts as none; it is 1 if that element comes after text, as comments do. A
+    form is such an element, too; it may be a wrapper if it holds parts of the page's structure or
+    most of the words. ``place`` tells blocks of one containing element from others.
     """
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, list[str]]] = []  # open elements and what they do
+    stack: list[tuple[str, list[str], int]] = []  # open elements, what they do, their number
+    count: dict[str, int] = {}  # open elements by name
     parts: list[str] = []
     linked = 0
     depth = {"a": 0, "article": 0, "apart": 0, "heading": 0, "hidden": 0}
     words = 0  # in the blocks so far
-    hints: list[list[int]] = []  # for each hinted element the words before it, up to its end, and if it follows text
+    # for each hinted element and form: the words before it, up to its end, if it follows text, and if
+    # its share of the page tells a wrapper
+    hints: list[list[int]] = []
     within: list[int] = []  # the open ones
+    forms: list[int] = []  # open forms without an element of _STRUCTURE so far
+    hinted = opened = 0  # open elements that are hinted by name; all elements so far
     texts = 0  # blocks of text so far
     articles: list[int] = []  # those before each open article
     ending: dict[int, int] | None = None
     left_open = 0  # open elements of _RAW
 
     def effects(tag: str, rest: str) -> list[str]:
-        named = " ".join("".join(m) for m in _ATTRIBUTE.findall(rest)) if rest else ""
         inside = depth["article"] > 0
         out = []
         if tag == "a":
@@ -134,9 +187,11 @@ def blocks(page: str | None) -> list[Block]:
             out.append("article")
         if tag in _APART or tag == "header" and not inside:
             out.append("apart")
-        if named and tag not in ("body", "html") and _HINT.search(named):
-            state = all(_STATE.fullmatch(n) for n in named.split() if _HINT.search(n))
-            out.append("state" if state else "hint")
+        if tag == "form":
+            out.append("form")
+        elif rest and tag not in ("body", "html"):
+            told = {_told(name, inside) for name in named(rest, bool(re.fullmatch("h[1-6]", tag)))}
+            out += ["hint"] if "hint" in told else ["state"] if "state" in told else []
         if re.fullmatch("h[1-6]", tag):
             out.append("heading")
         if rest and hides(rest):
@@ -144,24 +199,39 @@ def blocks(page: str | None) -> list[Block]:
         return out
 
     def enter(tag: str, does: list[str]) -> None:
+        nonlocal hinted, opened
+        if tag in _STRUCTURE:
+            for form in forms:
+                hints[form][3] = True
+            forms.clear()
         for e in does:
-            if e in ("hint", "state"):
+            if e in ("hint", "state", "form"):
                 within.append(len(hints))
                 before = articles[-1] if articles else 0
-                hints.append([words, words, e == "hint" and texts > before])
+                hints.append([words, words, e != "state" and texts > before, e != "form"])
+                if e == "form":
+                    forms.append(within[-1])
+                hinted += e == "hint"
             else:
                 depth[e] += 1
         if "article" in does:
             articles.append(texts)
-        stack.append((tag, does))
+        opened += 1
+        stack.append((tag, does, opened))
+        count[tag] = count.get(tag, 0) + 1
 
     def leave() -> str:
-        nonlocal left_open
-        tag, does = stack.pop()
+        nonlocal left_open, hinted
+        tag, does, _ = stack.pop()
+        count[tag] -= 1
         left_open -= tag in _RAW
         for e in does:
-            if e in ("hint", "state"):
-                hints[within.pop()][1] = words
+            if e in ("hint", "state", "form"):
+                ended = within.pop()
+                hints[ended][1] = words
+                hinted -= e == "hint"
+                if forms and forms[-1] == ended:
+                    forms.pop()
             else:
                 depth[e] -= 1
         if "article" in does:
@@ -178,9 +248,10 @@ def blocks(page: str | None) -> list[Block]:
             block.in_article = depth["article"] > 0
             block.apart, block.hinted = depth["apart"] > 0, within[-1] if within else None
             block.heading = depth["heading"] > 0
+            block.place = next((n for tag, _, n in reversed(stack) if tag not in _ITEM and tag not in _INLINE), 0)
             out.append(block)
             words += block.words
-            if not (block.apart or block.heading or within or block.density > 0.5) and (
+            if not (block.apart or block.heading or hinted or block.density > 0.5) and (
                     block.in_article or block.words >= _TEXT_WORDS):
                 texts += 1
         parts, linked = [], 0
@@ -192,7 +263,7 @@ def blocks(page: str | None) -> list[Block]:
             if depth["a"]:
                 linked += len(text.split())
 
-    at = 0
+    at, head_ends = 0, True
     while m := _TOKEN.search(page, at):
         said(page[at:m.start()])
         at = m.end()
@@ -204,14 +275,15 @@ def blocks(page: str | None) -> list[Block]:
         if tag not in _INLINE:
             flush()
         if closing:
-            if any(open_tag == tag for open_tag, _ in stack):
+            if count.get(tag):
                 while leave() != tag:
                     pass
             continue
         if tag in _VOID or rest.endswith("/"):
             continue
         if tag == "head":
-            at = after(page, tag, at) or at
+            if head_ends:
+                at, head_ends = after(page, tag, at) or at, after(page, tag, at) is not None
             continue
         if tag in _TO_THE_END:
             at = after(page, tag, at) or len(page)
@@ -234,23 +306,39 @@ def blocks(page: str | None) -> list[Block]:
     while stack:
         leave()
     for block in out:
-        start, end, follows = (0, words, False) if block.hinted is None else hints[block.hinted]
-        block.hinted = 1.0 if follows else 1 - (end - start) / words
+        start, end, follows, shared = (0, words, False, True) if block.hinted is None else hints[block.hinted]
+        block.hinted = 1.0 if follows or not shared and end - start < _WRAPPED * words else 1 - (end - start) / words
     return out
 
 
+def _in_prose(found: list[Block]) -> np.ndarray:
+    """Whether the nearest blocks before and after a block that are no links are running text in
+    the element that holds it: a list of links in the middle of a text."""
+    text = [b.density <= 0.5 and b.words >= _TEXT_WORDS and not b.apart and b.hinted < 0.5 for b in found]
+    before: list[int | None] = []
+    for side in (range(len(found)), reversed(range(len(found)))):
+        last, out = None, [None] * len(found)
+        for i in side:
+            out[i] = last
+            if found[i].density <= 0.5 and not found[i].heading:
+                last = found[i].place if text[i] else None
+        before.append(out)
+    return np.array([a is not None and a == c == b.place for a, c, b in zip(*before, found)], dtype=float)
+
+
 def features(found: list[Block]) -> np.ndarray:
-    """A row for each block: its own figures and those of its two neighbours, and whether the
-    page has an article that the block is not in."""
+    """A row for each block: its own figures and those of its neighbours, whether the page has an
+    article that the block is not in, and whether text of the same element is around it."""
     has_article = any(b.in_article for b in found)
     out = np.zeros((len(found), len(FEATURES)))
+    around = _in_prose(found)
     for i, b in enumerate(found):
         out[i, 0:2] = b.words, b.density
         if i:
             out[i, 2:4] = found[i - 1].words, found[i - 1].density
         if i + 1 < len(found):
             out[i, 4:6] = found[i + 1].words, found[i + 1].density
-        out[i, 6:] = b.in_article, b.apart, b.hinted, b.heading, has_article and not b.in_article
+        out[i, 6:] = b.in_article, b.apart, b.hinted, b.heading, has_article and not b.in_article, around[i]
     return out
 
 
@@ -267,7 +355,7 @@ def labelled_table() -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.array(labels)
 
 
-def grow_tree(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 1):
+def grow_tree(x: np.ndarray, y: np.ndarray, depth: int = 8, least: int = 1):
     """A decision tree by Gini impurity: (feature, threshold, at most, above) or a share."""
     share = float(y.mean())
     if depth == 0 or share in (0.0, 1.0) or len(y) < 2 * least:

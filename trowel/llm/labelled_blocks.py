@@ -77,4 +77,26 @@ PAGES = [
     [(1, "<main><p>Closed.</p>"), (0, f'<div class="comments"><p>{_PROSE}</p>'), (0, "<p>So I heard.</p></div></main>")],
     [(1, f"<div><p>{_PROSE}</p>"), (1, f"<p>{_LINKED}</p></div>"), (0, f'<div class="comments"><p>{_PROSE}</p>'),
      (0, f"<p>{_PROSE}</p>"), (0, f"<p>{_LINKED}</p></div>")],
+    # the page in a form, as some servers write it
+    [(0, f'<form id="aspnet"><nav><a href="/">Home</a></nav>'), (1, f"<article><h1>On the salt road</h1><p>{_PROSE}</p>"),
+     (1, f"<p>{_LINKED}</p></article>"), (0, f"<footer>{_OTHER}</footer></form>")],
+    [(0, '<form action="/"><div class="menu"><a href="/">Home</a></div>'), (1, f"<div><p>{_PROSE}</p>"), (1, f"<p>{_LINKED}</p>"),
+     (1, f"<p>{_PROSE}</p></div>"), (0, "<label>Your name</label></form>")],
+    # a list of links in the middle of a text, and lists before and after it
+    [(0, '<ul><li><a href="/a">Start</a></li>'), (0, '<li><a href="/b">Shop</a></li></ul>'), (1, f"<p>{_PROSE}</p>"),
+     (1, '<ul><li><a href="/1">A map of 1640</a></li>'), (1, '<li><a href="/2">The tax rolls</a></li>'),
+     (1, '<li><a href="/3">Letters</a></li></ul>'), (1, f"<p>{_PROSE}</p>"), (0, '<ul><li><a href="/x">More</a></li>'),
+     (0, '<li><a href="/y">All of them</a></li></ul>')],
+    [(0, '<div><a href="/1">A winter without snow in the upper valley</a>'), (0, '<p><a href="/2">Who owns the old mill now?</a></p></div>'),
+     (1, f"<div><p>{_PROSE}</p>"), (1, '<ul><li><a href="/3">How the salt road was paid for and by whom</a></li>'),
+     (1, '<li><a href="/4">Two</a></li></ul>'), (1, f"<p>{_PROSE}</p></div>"),
+     (0, '<ul><li><a href="/5">Ten more stories about rivers and the people there</a></li>'),
+     (0, '<li><a href="/6">What the tax rolls tell</a></li></ul>')],
+    # short lines at the end of an article
+    [(1, f"<article><p>{_PROSE}</p>"), (1, "<p>So it went.</p></article>")],
+    [(1, f"<main><p>{_LINKED}</p>"), (1, "<p>That was it.</p></main>"), (0, '<p><a href="/">Home</a></p>')],
+    [(1, "<article><p>In short: no.</p>"), (1, "<p>It held on.</p></article>")],
+    # names of parts beside the text without an element of their own
+    [(0, f'<div class="header">{_OTHER}</div>'), (0, f'<div class="adslot">{_PROSE}</div>'), (1, f"<div>{_PROSE}</div>"),
+     (1, f"<div>{_LINKED}</div>"), (0, f'<div class="site-footer">{_OTHER}</div>')],
 ]
