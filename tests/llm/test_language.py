@@ -24,10 +24,16 @@ def test_shares_of_a_mixture(spark):
     assert alone.tolist() == [0, 0, 1]
 
 
-def test_counts_in_pieces(monkeypatch):
+def test_counts_in_pieces():
     whole = language.ngram_counts("ab " * 1000)
     assert whole.sum() == sum(3000 + 2 - n for n in language.LENGTHS)
     assert language.ngram_counts(None).sum() == language.ngram_counts("...").sum()
+    for text in ("ab cd  ..  é日e " * 9, "é" * 40, "日" * 40, "a", "", "  a  b  ", "word" * 30):
+        for piece in (1, 2, 3, 5, 64):
+            assert (language.ngram_counts(text, piece) == language.ngram_counts(text, 10 ** 6)).all(), (text, piece)
+    long = "日本 word é" * 250_000
+    assert len(long.encode()) > 3 * language._PIECE
+    assert (language.ngram_counts(long) == language.ngram_counts(long, 1 << 26)).all()
 
 
 def test_odd_rows(spark):

@@ -30,24 +30,29 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def ngram_counts(text: str | None) -> np.ndarray:
+def ngram_counts(text: str | None, piece: int = _PIECE) -> np.ndarray:
     """Counts of the hashed byte n-grams of the lower-case text, all that is no letter taken as
-    one blank; long texts are worked on in pieces."""
-    raw = (text or "").lower().encode("utf-8", "replace")
-    size = 1 << BUCKET_BITS
+    one blank. Long texts are worked on in pieces; the last bytes of one go before the next, so
+    that the counts are those of the whole."""
+    raw = b" %b " % (text or "").lower().encode("utf-8", "replace")
+    size, most = 1 << BUCKET_BITS, max(LENGTHS)
     out = np.zeros(size * len(LENGTHS), np.int64)
-    for start in range(0, len(raw), _PIECE):
-        data = _FOLD[np.frombuffer(b" %b " % raw[start:start + _PIECE], np.uint8)]
+    tail = np.empty(0, np.uint8)
+    for start in range(0, len(raw), piece):
+        data = np.concatenate([tail, _FOLD[np.frombuffer(raw[start:start + piece], np.uint8)]])
         blank = data == 32
-        data = data[~(blank & np.concatenate([[False], blank[:-1]]))].astype(np.uint32)
+        data = data[~(blank & np.concatenate([[False], blank[:-1]]))]
+        wide = data.astype(np.uint32)
         for k, n in enumerate(LENGTHS):
-            if len(data) < n:
+            first = max(0, len(tail) - n + 1)  # what ends in the tail has been counted
+            if len(data) - first < n:
                 continue
-            gram = data[:len(data) - n + 1].copy()
+            gram = wide[first:len(data) - n + 1].copy()
             for j in range(1, n):
-                gram = (gram << np.uint32(8)) | data[j:len(data) - n + 1 + j]
+                gram = (gram << np.uint32(8)) | wide[first + j:len(data) - n + 1 + j]
             bucket = (gram * _MULTIPLY) >> np.uint32(32 - BUCKET_BITS)
             out[k * size:(k + 1) * size] += np.bincount(bucket, minlength=size)
+        tail = data[1 - most:]
     return out
 
 
