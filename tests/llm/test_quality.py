@@ -57,3 +57,15 @@ def test_odd_rows(spark):
     assert len({r.score for r in out if r.doc_id == 4}) == 1
     assert quality.score_quality(docs.limit(0), labels).count() == 0
     assert {r.score for r in quality.score_quality(docs, labels.limit(0)).collect()} != set()
+
+
+def test_counts_do_not_depend_on_the_pieces():
+    from trowel.llm.textstats import GROUP_BYTES, word_counts
+    texts = ["a bb a", None, "", "é" * 50 + " x", "one-two.three " * 9, "w" * 70, " "]
+    want = [x.tolist() for x in word_counts(texts, 12, 10 ** 6)]
+    for size in (1, 2, 5, 16, 64):
+        assert [x.tolist() for x in word_counts(texts, 12, size)] == want
+    word = "w" * (3 * GROUP_BYTES)
+    assert word_counts([word], 12)[2].tolist() == [1]
+    long = f"{word} {'some more words ' * 100_000}{word}"
+    assert [x.tolist() for x in word_counts([long], 12)] == [x.tolist() for x in word_counts([long], 12, 1 << 27)]

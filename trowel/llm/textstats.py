@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,7 @@ _UPPER = (_B >= 65) & (_B <= 90)
 _DIGIT = (_B >= 48) & (_B <= 57)
 _WORD = _UPPER | _DIGIT | ((_B >= 97) & (_B <= 122)) | (_B >= 128)
 _SPACE = (_B == 32) | ((_B >= 9) & (_B <= 13))
+_NO_WORD = re.compile(b"[^0-9A-Za-z\x80-\xff]")
 _LOWER = np.where(_UPPER, _B + 32, _B).astype(np.uint64) + 1
 _PRIME = np.uint64(0x100000001B3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -37,19 +39,23 @@ def hash_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, h ^ (h >> np.uint64(32))
 
 
-def _pieces(text: bytes) -> Iterator[bytes]:
-    while len(text) > GROUP_BYTES:
-        cut = text.rfind(b" ", 1, GROUP_BYTES)
-        cut = GROUP_BYTES if cut < 0 else cut  # a word longer than a piece counts as several
-        yield text[:cut]
-        text = text[cut:]
-    yield text
+def _pieces(text: bytes, size: int) -> Iterator[bytes]:
+    """A long text in pieces of about ``size``; a cut is made where no word is, however long."""
+    start = 0
+    while len(text) - start > size:
+        cut = text.rfind(b" ", start + 1, start + size)
+        if cut < 0:
+            found = _NO_WORD.search(text, start + size)
+            cut = found.start() if found else len(text)
+        yield text[start:cut]
+        start = cut
+    yield text[start:]
 
 
-def _groups(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+def _groups(texts: list[bytes], most: int) -> Iterator[tuple[int, list[bytes]]]:
     first, held, size = 0, [], 0
     for i, t in enumerate(texts):
-        if held and size + len(t) > GROUP_BYTES:
+        if held and size + len(t) > most:
             yield first, held
             first, held, size = i, [], 0
         held.append(t)
@@ -58,13 +64,14 @@ def _groups(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
         yield first, held
 
 
-def word_counts(texts: list[str | None], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_counts(texts: list[str | None], bits: int,
+                size: int = GROUP_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, bucket, count) of the hashed words, sorted by number and bucket."""
     raw = [(t or "").encode("utf-8", "replace") for t in texts]
     keys, counts = [], []
-    for first, held in _groups(raw):
+    for first, held in _groups(raw, size):
         own_keys, own_counts = [], []
-        for pieces in ([held] if len(held) > 1 else [[p] for p in _pieces(held[0])]):
+        for pieces in ([held] if len(held) > 1 else [[p] for p in _pieces(held[0], size)]):
             sizes = np.array([len(p) + 1 for p in pieces])
             starts, h = hash_words(np.frombuffer(b"\n".join(pieces) + b"\n", np.uint8))
             doc = np.searchsorted(np.cumsum(sizes), starts, side="right")
