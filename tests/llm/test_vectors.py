@@ -81,3 +81,10 @@ def test_queries_in_blocks(spark):
     asked = classes.select(F.col("class_no").alias("query_no"), "vector")
     one = vectors.search(index, asked, 3).groupBy("query_no").agg(F.max("score")).count()
     assert vectors.search(index, asked, 3, query_block=25).groupBy("query_no").agg(F.max("score")).count() == one == 120
+
+
+def test_scores_of_very_large_and_small_components(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e-200, 2e-200]), (3, [3e307, 0.0]), (4, [5e-324, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in vectors.nearest(df, F.lit(True)).collect()}
+    assert len(got) == 12 and got[3, 4] == 1.0 and abs(got[1, 2] - 3 / 10 ** 0.5) < 1e-12 and abs(got[1, 3] - 0.5 ** 0.5) < 1e-12

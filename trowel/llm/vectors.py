@@ -129,8 +129,15 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, np.float64) for v in column])
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """The vectors by powers of two, so that squares neither vanish nor overflow: cosines stay
+    what they are, to the last bit."""
+    _, power = np.frexp(np.abs(vectors).max(1, keepdims=True))
+    return np.ldexp(vectors, -power)
+
+
 def _units(vectors: np.ndarray) -> np.ndarray:
-    vectors = vectors / np.abs(vectors).max(1, keepdims=True)  # so that squares neither vanish nor overflow
+    vectors = _scaled(vectors)
     return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
 
 
@@ -210,7 +217,7 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM
             own = wanted[start:start + BATCH]
             near, _ = beam_search(units, graph, entries, _units(own), beam)
             r, c = np.nonzero(near >= 0)
-            a, b = vectors[near[r, c]], own[r]
+            a, b = _scaled(vectors[near[r, c]]), _scaled(own[r])
             score = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
             out.append(pd.DataFrame({"query_no": asked["query_no"].to_numpy()[start + r],
                                      "class_no": shard["class_no"].to_numpy()[near[r, c]], "score": score}))
