@@ -571,13 +571,12 @@ QUERIES = {
         AS object_ids, count(*) AS occurrence, 0 AS part FROM geo_text GROUP BY ALL""",
     "same_geometry_all": """SELECT wkt, string_agg(DISTINCT archive, '|' ORDER BY archive)
         AS databases, count(DISTINCT archive)::INT AS db_occurrence FROM geo_text GROUP BY ALL""",
-    "geometry_intersects": """SELECT a.wkt, string_agg(b.wkt, '|' ORDER BY b.wkt) AS intersects,
-          string_agg(b.dbs, '|' ORDER BY b.wkt) AS intersect_dbs
+    "geometry_intersects": """SELECT a.wkt, b.wkt AS intersects, b.dbs AS intersect_dbs
         FROM (SELECT DISTINCT wkt, x, y, side FROM geo_text WHERE x IS NOT NULL) a
         JOIN (SELECT wkt, x, y, side, string_agg(DISTINCT archive, ',' ORDER BY archive) AS dbs
               FROM geo_text WHERE x IS NOT NULL GROUP BY ALL) b
         ON a.wkt <> b.wkt AND a.x <= b.x + b.side AND a.x + a.side >= b.x
-        AND a.y <= b.y + b.side AND a.y + a.side >= b.y GROUP BY ALL""",
+        AND a.y <= b.y + b.side AND a.y + a.side >= b.y""",
     "objects_in_region": f"""SELECT *, row_number() OVER (PARTITION BY archive
           ORDER BY objects_in_lan DESC, lan NULLS LAST) AS count_rank FROM (
         SELECT archive, lan, count(*) AS objects_in_lan,
@@ -619,7 +618,8 @@ QUERIES["clean_text_span"] = QUERIES["clean_text_span"].replace("{SPAN}", _span_
 
 # What a run stores is what its operator gives over all archives.
 for run, operator in (("run_clean_notes", "clean_text"), ("run_check_validity", "validity_report"),
-                      ("run_move_to_target", "reproject"), ("run_compare_geometries", "same_geometry_all")):
+                      ("run_move_to_target", "reproject"), ("run_compare_geometries", "same_geometry_all"),
+                      ("run_compare_partners", "geometry_intersects")):
     QUERIES[run] = QUERIES[operator]
 
 

@@ -250,13 +250,25 @@ def _(t):
         A, "ObjectId", "wkt")
 
 
+def compared(t):
+    """Half of the archives first, then all: the folder with the results."""
+    path = scratch_path(t.spark, "compared")
+    rows = t["geo_object"]
+    for part in (rows.where(F.crc32(A) % 2 == 0), rows):
+        runs.compare_geometries({"geo_object": part}, path)
+    return path
+
+
 @query("run_compare_geometries")
 def _(t):
-    path = scratch_path(t.spark, "compared")
-    for _ in range(2):
-        runs.compare_geometries({"geo_object": t["geo_object"]}, path)
-    out = t.spark.read.parquet(f"{path}/same_geometry")
-    return flat(as_wkt(out, "the_geom", "wkt").drop("pk", "srid"))
+    out = t.spark.read.parquet(f"{compared(t)}/same_geometry")
+    return flat(as_wkt(out, "the_geom", "wkt").drop("pk", "srid", "bucket"))
+
+
+@query("run_compare_partners")
+def _(t):
+    path = compared(t)
+    return partners(t.spark.read.parquet(f"{path}/geometry_intersects"), t.spark.read.parquet(f"{path}/same_geometry"))
 
 
 # -- attributes and relations --------------------------------------------------------
@@ -522,18 +534,19 @@ def _(t):
     return flat(out.drop("pk", "srid"))
 
 
+def partners(met, groups):
+    """A row for each partner of a geometry, with both as texts."""
+    names = as_wkt(groups.select(F.col("pk").alias("other"), "the_geom"), "the_geom", "intersects")
+    each = met.select("the_geom", F.inline(F.arrays_zip(
+        F.col("intersect_pk").alias("other"), F.col("intersect_dbs").alias("dbs"))))
+    each = each.toDF("the_geom", "other", "intersect_dbs").join(names, "other").drop("other")
+    return as_wkt(each, "the_geom", "wkt")
+
+
 @query("geometry_intersects")
 def _(t):
     groups = spatial.same_geometry_all(t)
-    met = spatial.geometry_intersects(groups)
-    names = as_wkt(groups.select("pk", "the_geom"), "the_geom", "other_wkt")
-    each = met.select("pk", "the_geom", F.inline(F.arrays_zip("intersect_pk", "intersect_dbs"))).join(
-        names.withColumnRenamed("pk", "intersect_pk"), "intersect_pk")
-    listed = each.groupBy("pk", "the_geom").agg(F.sort_array(F.collect_list(
-        F.struct("other_wkt", "intersect_dbs"))).alias("met"))  # keys as texts, in their order
-    out = listed.select("pk", "the_geom", F.col("met.other_wkt").alias("intersects"),
-                        F.col("met.intersect_dbs").alias("intersect_dbs"))
-    return flat(as_wkt(out, "the_geom", "wkt").drop("pk"))
+    return partners(spatial.geometry_intersects(groups), groups)
 
 
 @query("objects_in_region")
@@ -555,7 +568,8 @@ def _(t):
                            G.point_wkb(F.lit(x), y).alias("wkb"))
 
     first = source(2, 1.0, F.col("ObjectId").cast("double"))
-    groups = t["geo_object"].where(F.col("ObjectId") % 10 == 3).groupBy(A, "MetaId").agg(
+    groups = t["geo_object"].where(F.col("ObjectId") % 10 == 3).groupBy(
+        A, "MetaId", F.floor(F.col("ObjectId") / 1000)).agg(
         F.array_join(F.collect_list(F.col("ObjectId").cast("string")), ",").alias("object_ids"))
     second = groups.select(A, "object_ids", G.point_wkb(F.lit(2.0), F.lit(2.0)).alias("wkb"))
     fixed = spatial.apply_geometry_fixes(t, first, second)

@@ -89,3 +89,29 @@ def test_values_are_judged(spark):
     got = {r.pk: r for r in runs.judge_values(values).collect()}
     assert got[1].distance == 0 and got[1].word == "Stolphål" and got[1].extraction_status.startswith("1.")
     assert got[2].extraction_status.startswith("0.") and got[3].distance is None
+
+
+def test_compared_geometries_in_parts_are_those_of_all_at_once(spark, tmp_path):
+    from tests.small import box, point
+    rows = [("a", 1, box(0, 0, 5, 5)), ("a", 2, point(1, 1)), ("a", 3, point(9, 9)), ("b", 1, box(0, 0, 5, 5)),
+            ("b", 2, box(4, 4, 10, 10)), ("b", 3, None), ("c", 1, point(9, 9)), ("c", 2, point(50, 50)), ("c", 3, point(1, 1))]
+    all_rows = spark.createDataFrame([(a, i, w, 3006) for a, i, w in rows], "archive string, ObjectId bigint, wkb binary, srid int")
+
+    def compared(path, *parts):
+        for part in parts:
+            runs.compare_geometries({"geo_object": all_rows.where(F.col("archive").isin(*part))}, path)
+        same = spark.read.parquet(f"{path}/same_geometry").where("db_occurrence > 0")
+        met = spark.read.parquet(f"{path}/geometry_intersects").where("intersect_pk is not null and size(intersect_pk) > 0")
+        return (sorted((r.pk, tuple(r.databases), r.db_occurrence, r.srid) for r in same.collect()),
+                sorted((r.pk, tuple(r.databases), r.part, tuple(r.intersect_pk), tuple(r.intersect_dbs)) for r in met.collect()))
+
+    once = compared(str(tmp_path / "once"), "abc")
+    assert len(once[0]) == 6 and len(once[1]) == 4
+    path = str(tmp_path / "parts")
+    assert compared(path, "a", "bc") == once
+    # an archive that changes takes what it held along: b keeps one geometry, that of nobody else
+    moved = spark.createDataFrame([("b", 8, point(1, 2), 3006)], all_rows.schema)
+    runs.compare_geometries({"geo_object": moved}, path)
+    same, met = compared(path)
+    assert sorted(r[1] for r in same) == [("a",), ("a", "c"), ("a", "c"), ("b",), ("c",)]
+    assert sorted((r[1], r[4]) for r in met) == [(("a",), ("a,c", "b")), (("a", "c"), ("a",)), (("b",), ("a",))]

@@ -430,3 +430,26 @@ def test_force_2d_query_covers_all_rows_and_shapes(spark):
     assert set(got) == {(r.archive, r.ObjectId) for r in rows} and len(got) == len(rows)
     assert len({i % 9 for _, i in got}) == 9 and len(set(got.values())) == 9
     assert all("Z" not in w.replace("POLYGON", "") for w in got.values())
+
+
+def test_large_outlines_meet_by_their_segments(spark):
+    """Outlines of 100,000 corners: crossing, one in the other, apart; and points in and beside them."""
+    rand = random.Random(2)
+    n = 100_000
+    outline = lambda x, r: wkb.write_rings(3, [(0, wkb.SHELL, circle(x, 0, r, n))])
+    ringed = wkb.write_rings(3, [(0, wkb.SHELL, circle(0, 0, 50, n)), (0, wkb.HOLE, circle(0, 0, 30, n))])
+    bufs = [outline(0, 100), outline(155, 100), ringed, outline(0, 20), outline(1000, 10)]
+    spots = [(rand.uniform(-120, 260), rand.uniform(-110, 110)) for _ in range(300)]
+    bufs += [point(*p) for p in spots]
+    pairs = {(r.a, r.b) for r in spatial.meeting_pairs(shapes(spark, bufs).select(
+        F.col("id").cast("bigint").alias("key"), "wkb")).collect()}
+    want = {(0, 1), (0, 2), (0, 3)}
+    for i, (x, y) in enumerate(spots, 5):
+        far, beside = math.hypot(x, y), math.hypot(x - 155, y)
+        want |= {(k, i) for k, inside in ((0, far < 100), (1, beside < 100), (2, 30 < far < 50), (3, far < 20)) if inside}
+    assert pairs == want
+
+
+def test_no_geometry_bytes_in_pair_rows(spark):
+    df = shapes(spark, [box(0, 0, 1, 1), point(0, 0)]).select(F.col("id").cast("bigint").alias("key"), "wkb")
+    assert "wkb" not in spatial.meeting_pairs(df)._jdf.queryExecution().optimizedPlan().toString()

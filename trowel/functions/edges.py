@@ -123,6 +123,50 @@ def edge_rows(batches: Iterator[pa.RecordBatch], one_cell: int = ONE_CELL) -> It
                          y2=y2[lot], sx=sides[0][lot], sy=sides[1][lot])
 
 
+SEGMENTS = ("key bigint, part int, area boolean, apart boolean, head boolean, "
+            "x1 double, y1 double, x2 double, y2 double, sy double")
+_SEGMENTS = pa.schema([("key", pa.int64()), ("part", pa.int32()), ("area", pa.bool_()), ("apart", pa.bool_()),
+                       ("head", pa.bool_()), *[(c, pa.float64()) for c in ("x1", "y1", "x2", "y2", "sy")]])
+
+
+def segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, wkb) as the segments of all their parts as they stand, in lots; a point is a
+    segment of length zero. ``head`` marks the first one of each ring or line. ``sy`` is the height
+    of the bands in which a point looks for the borders beside it."""
+    for batch in batches:
+        keys = batch["key"].to_numpy(zero_copy_only=False)
+        g = Batch(batch["wkb"].to_pylist())
+        lengths = np.diff(g.at)
+        ring = np.repeat(np.arange(len(lengths)), lengths)
+        here = np.arange(len(ring))
+        last = np.zeros(len(ring), dtype=bool)
+        last[g.at[1:][lengths > 0] - 1] = True
+        here = here[~last | (lengths == 1)[ring]] if len(ring) else here
+        if not len(here):
+            continue
+        there = np.where(last[here], here, here + 1)
+        ring = ring[here]
+        row = g.row[ring]
+        x1, y1, x2, y2 = g.x[here], g.y[here], g.x[there], g.y[there]
+        count = np.bincount(row, minlength=g.rows)
+        rise = np.bincount(row, np.abs(y2 - y1), minlength=g.rows) / np.maximum(count, 1)
+        reach = np.zeros(g.rows)
+        np.maximum.at(reach, row, np.maximum(np.abs(y1), np.abs(y2)))
+        sy = np.where(count <= ONE_CELL, 2 * (reach + 1), np.maximum(4 * rise, np.maximum(reach * 2.0 ** -30, 1e-300)))
+        apart = np.array([t == COLLECTION for t in g.gtype])
+        for i in range(0, len(here), _LOT):
+            lot = slice(i, i + _LOT)
+            r, w = ring[lot], row[lot]
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(
+                (keys[w], g.part[r], g.kind[r] >= SHELL, apart[w], here[lot] == g.at[r], x1[lot], y1[lot], x2[lot],
+                 y2[lot], sy[w]), _SEGMENTS)], schema=_SEGMENTS)
+
+
+def in_segments(geometries: DataFrame) -> DataFrame:
+    """Rows (key, wkb) as rows of SEGMENTS."""
+    return geometries.select("key", "wkb").mapInArrow(segment_rows, SEGMENTS)
+
+
 def taken_apart(geometries: DataFrame, one_cell: int = ONE_CELL) -> DataFrame:
     """Rows (key, wkb) as rows of EDGES."""
     return geometries.select("key", "wkb").mapInArrow(partial(edge_rows, one_cell=one_cell), EDGES)

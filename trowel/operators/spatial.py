@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trowel.functions import geometry as G
+from trowel.functions.edges import edges_touch, in_segments, ray_meets, with_bands
 from trowel.functions.lists import element, fold
 from trowel.operators.validity import invalid_reasons
 from trowel.schema import TARGET_SRID
@@ -129,8 +130,9 @@ def srid_intersect(t, cell: float = 1000.0) -> DataFrame:
 PAIR_LEVELS = 11  # cells from 1 m to 4 ** 11 m
 
 
-def box_pairs(boxes: DataFrame, key: str) -> DataFrame:
-    """Pairs (a, b) of rows whose bounding boxes touch, each pair once.
+def box_pairs(boxes: DataFrame, key: str, also=None) -> DataFrame:
+    """Pairs (a, b) of rows whose bounding boxes touch, each pair once; ``also`` are columns that
+    come along, as a_… and b_…, and a condition on these.
 
     A box lives in cells about its own size and also visits the cells of larger boxes;
     small boxes only meet their neighbours however many there are.  Of the cells two
@@ -139,7 +141,8 @@ def box_pairs(boxes: DataFrame, key: str) -> DataFrame:
     size = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
     own = F.when(size == 0, -1).when(size <= 1, 0).otherwise(
         F.least(F.ceil(F.log(4.0, size)), F.lit(PAIR_LEVELS)).cast("int"))
-    boxes = boxes.select(key, "xmin", "ymin", "xmax", "ymax", own.alias("own"))
+    more, condition = also or ([], F.lit(True))
+    boxes = boxes.select(key, "xmin", "ymin", "xmax", "ymax", own.alias("own"), *more)
 
     def cells(df):
         side = F.expr("double(shiftleft(1L, 2 * level))")
@@ -151,7 +154,7 @@ def box_pairs(boxes: DataFrame, key: str) -> DataFrame:
     def renamed(df, mark):
         return df.select("level", "cx", "cy", *[
             F.col(c).alias(f"{mark}_{c}")
-            for c in (key, "own", "xmin", "ymin", "xmax", "ymax")])
+            for c in (key, "own", "xmin", "ymin", "xmax", "ymax", *more)])
 
     # boxes without size are never at home: they meet each other only in the same place
     home = boxes.where(F.col("own") >= 0).withColumn("level", F.col("own"))
@@ -166,12 +169,58 @@ def box_pairs(boxes: DataFrame, key: str) -> DataFrame:
         & (F.col("a_xmin") <= F.col("b_xmax")) & (F.col("b_xmin") <= F.col("a_xmax"))
         & (F.col("a_ymin") <= F.col("b_ymax")) & (F.col("b_ymin") <= F.col("a_ymax"))
         & (_grid(F.greatest("a_xmin", "b_xmin"), side) == F.col("cx"))
-        & (_grid(F.greatest("a_ymin", "b_ymin"), side) == F.col("cy")))
+        & (_grid(F.greatest("a_ymin", "b_ymin"), side) == F.col("cy")) & condition)
     spots = boxes.where(F.col("own") == -1).select(
-        key, (F.col("xmin") + 0.0).alias("x"), (F.col("ymin") + 0.0).alias("y"))
-    stacked = spots.withColumnRenamed(key, "a").join(
-        spots.withColumnRenamed(key, "b"), ["x", "y"]).where(F.col("a") < F.col("b")).select("a", "b")
-    return meet.select(F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b")).union(stacked)
+        (F.col("xmin") + 0.0).alias("x"), (F.col("ymin") + 0.0).alias("y"), key, *more)
+    sides = [spots.select("x", "y", *[F.col(c).alias(f"{mark}_{c}") for c in (key, *more)]) for mark in "ab"]
+    stacked = sides[0].join(sides[1], ["x", "y"]).where((F.col(f"a_{key}") < F.col(f"b_{key}")) & condition)
+    out = [F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"), *[f"{m}_{c}" for m in "ab" for c in more]]
+    return meet.select(*out).union(stacked.select(*out))
+
+
+def meeting_pairs(geometries: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b), a < b, of rows (key, wkb) that share a point, borders included; with
+    ``wanted`` (key) only those of which one is among these.
+
+    Geometries are taken apart into segments. Segments meet segments in grid cells of their size,
+    and touching ones make a pair. Of geometries whose boxes meet, one may also lie in the other:
+    the first point of each part counts the borders beside it, in bands of the other geometry's
+    height. No geometry's bytes are joined, so a large outline costs its segments once, however
+    many it meets. The parts of a collection are looked at one by one.
+    """
+    rows = stored(in_segments(geometries).withColumn("no", F.monotonically_increasing_id()), "segments")
+    ends = {f"{end}{axis}": f(f"{axis}1", f"{axis}2") for axis in "xy" for end, f in (("min", F.least), ("max", F.greatest))}
+    flat = rows.select("no", "key", "x1", "y1", "x2", "y2", *[c.alias(f"{n[-1]}{n[:-1]}") for n, c in ends.items()])
+    boxes = flat.groupBy("key").agg(*[f(c).alias(c) for c, f in (
+        ("xmin", F.min), ("ymin", F.min), ("xmax", F.max), ("ymax", F.max))])
+    near = box_pairs(boxes, "key").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    if wanted is not None:
+        mark = lambda side: wanted.select(F.col("key").alias(side), F.lit(True).alias(f"wanted_{side}"))
+        near = near.join(mark("a"), "a", "left").join(mark("b"), "b", "left").where(
+            F.col("wanted_a") | F.col("wanted_b")).select("a", "b")
+    near = stored(near, "near")
+    # only segments of geometries whose boxes meet others look for each other
+    some = near.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    flat = flat.join(some, "key", "left_semi")
+    touching = box_pairs(flat, "no", (["key", "x1", "y1", "x2", "y2"], F.col("a_key") != F.col("b_key"))).where(
+        edges_touch("a_", "b_")).select(F.least("a_key", "b_key").alias("a"), F.greatest("a_key", "b_key").alias("b"))
+    touching = stored(touching.distinct().join(near, ["a", "b"], "left_semi"), "touching")
+    near = near.join(touching, ["a", "b"], "left_anti")
+    both = stored(near.select(F.inline(F.array(
+        F.struct(F.col("a").alias("inner"), F.col("b").alias("outer")),
+        F.struct(F.col("b").alias("inner"), F.col("a").alias("outer"))))), "open")
+    areas = rows.where("area").withColumnRenamed("key", "outer")
+    grids = areas.groupBy("outer").agg(F.max("sy").alias("sy"))
+    heads = rows.where("head").select(F.col("key").alias("inner"), F.col("x1").alias("px"), F.col("y1").alias("py"))
+    spots = both.join(grids, "outer").join(heads, "inner").withColumn(
+        "band", _grid(F.col("py"), F.col("sy"))).select("outer", "band", "inner", "px", "py")
+    counted = spots.join(with_bands(areas).select(
+        "outer", "band", F.when(F.col("apart"), F.col("part")).otherwise(-1).alias("part"), "x1", "y1", "x2", "y2"),
+        ["outer", "band"]).where(ray_meets("px", "py")).groupBy("inner", "outer", "px", "py", "part").agg(
+        F.count(F.lit(1)).alias("n"))
+    within = counted.where(F.col("n") % 2 == 1).select(
+        F.least("inner", "outer").alias("a"), F.greatest("inner", "outer").alias("b"))
+    return touching.union(within.distinct())
 
 
 def same_geometry(t, **bounds: int) -> DataFrame:
@@ -195,40 +244,60 @@ def geometry_key() -> Column:
     return F.md5(F.concat(F.coalesce("wkb", F.lit(b"")), F.encode(about, "UTF-8")))
 
 
-def same_geometry_all(t) -> DataFrame:
-    """Geometries with the archives they occur in; the key is a 128-bit hash."""
+def occurrences(t) -> DataFrame:
+    """Each geometry of each archive once: pk, archive, wkb, srid."""
     rows = t["geo_object"].select(G.canonical("wkb").alias("wkb"), "srid", A)
-    grouped = rows.withColumn("pk", geometry_key()).groupBy("pk").agg(
+    return rows.withColumn("pk", geometry_key()).groupBy("pk", A).agg(
+        F.max("wkb").alias("wkb"), F.max("srid").alias("srid"))
+
+
+def grouped_geometries(found: DataFrame) -> DataFrame:
+    """Occurrences by geometry, with the archives of each."""
+    grouped = found.groupBy("pk").agg(
         F.max("wkb").alias("the_geom"), F.max("srid").alias("srid"),
         F.array_sort(F.collect_set(A)).alias("databases"))  # at most all archive names
     return grouped.select("databases", F.size("databases").alias("db_occurrence"), "the_geom",
                           "srid", "pk")
 
 
-def geometry_intersects(groups: DataFrame, **bounds: int) -> DataFrame:
-    """Geometries that meet others: their keys and archive lists.
-
-    ``groups`` is the result of `same_geometry_all`.  The bounding boxes pair up on
-    narrow rows; bytes join in for the exact test only.
-    """
-    rows = groups.where(F.col("the_geom").isNotNull()).withColumnRenamed("the_geom", "wkb")
-    pairs = box_pairs(with_bbox(rows, "pk"), "pk")
-    bytes_a = rows.select(F.col("pk").alias("a"), F.col("wkb").alias("wkb_a"))
-    bytes_b = rows.select(F.col("pk").alias("b"), F.col("wkb").alias("wkb_b"))
-    met = pairs.join(bytes_a, "a").join(bytes_b, "b").withColumn(
-        "hit", G.intersects("wkb_a", "wkb_b")).where("hit")
-    both = met.select(F.inline(F.array(
-        F.struct(F.col("a").alias("pk"), F.col("b").alias("other")),
-        F.struct(F.col("b").alias("pk"), F.col("a").alias("other")))))
-    other = rows.select(F.col("pk").alias("other"),
-                        F.array_join("databases", ",").alias("other_dbs"))
-    lists = fold(both.join(other, "other"), ["pk"], "other", {
+def same_geometry_all(t) -> DataFrame:
+    """Geometries with the archives they occur in; the key is a 128-bit hash."""
+    rows = t["geo_object"].select(G.canonical("wkb").alias("wkb"), "srid", A)
+    return grouped_geometries(rows.withColumn("pk", geometry_key()))
+
+
+def geometry_pairs(groups: DataFrame, fresh: DataFrame | None = None) -> DataFrame:
+    """Keys of geometries that meet, (pk, other) in both directions; with ``fresh`` (pk) only
+    those of which one is among these."""
+    rows = stored(groups.where(F.col("the_geom").isNotNull()).select(
+        F.monotonically_increasing_id().alias("key"), "pk", F.col("the_geom").alias("wkb")), "groups")
+    wanted = None if fresh is None else rows.select("key", "pk").join(fresh, "pk", "left_semi").select("key")
+    keys = [rows.select(F.col("key").alias(side), F.col("pk").alias(f"pk_{side}")) for side in "ab"]
+    named = meeting_pairs(rows, wanted).join(keys[0], "a").join(keys[1], "b")
+    return named.select(F.inline(F.array(
+        F.struct(F.col("pk_a").alias("pk"), F.col("pk_b").alias("other")),
+        F.struct(F.col("pk_b").alias("pk"), F.col("pk_a").alias("other")))))
+
+
+def partner_lists(groups: DataFrame, pairs: DataFrame, **bounds: int) -> DataFrame:
+    """Geometries with the keys and archives of those they meet."""
+    other = groups.select(F.col("pk").alias("other"), F.array_join("databases", ",").alias("other_dbs"))
+    lists = fold(pairs.join(other, "other"), ["pk"], "other", {
         "intersect_pk": element(F.col("other")),
         "intersect_dbs": element(F.col("other_dbs"))}, **bounds)
     return groups.join(lists, "pk").select(
         "databases", "db_occurrence", "the_geom", "pk", "intersect_pk", "intersect_dbs", "part")
 
 
+def geometry_intersects(groups: DataFrame, **bounds: int) -> DataFrame:
+    """Geometries that meet others: their keys and archive lists.
+
+    ``groups`` is the result of `same_geometry_all`; see `meeting_pairs`.
+    """
+    groups = stored(groups, "groups")
+    return partner_lists(groups, geometry_pairs(groups), **bounds)
+
+
 # -- reports and edits -------------------------------------------------------------------
 NO_INVALID = "No invalid objects found"
 

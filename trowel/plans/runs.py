@@ -105,10 +105,41 @@ def regions(t, path: str, manifest_path: str, version: int = 1, cell: float = 10
 
 
 def compare_geometries(t, path: str) -> None:
-    """Geometries over all archives with those they meet, inserted by their keys."""
-    groups = stored(spatial.same_geometry_all(t), "groups")
-    writers.insert_if_absent(groups, f"{path}/same_geometry", ["pk"])
-    writers.insert_if_absent(spatial.geometry_intersects(groups), f"{path}/geometry_intersects", ["pk", "part"])
+    """Geometries over all archives with those they meet, renewed as archives come or change.
+
+    Below ``path`` are kept: ``occurrences`` (geometry and archive), ``pairs`` (geometries that
+    meet), and the results ``same_geometry`` and ``geometry_intersects``. The archives of ``t``
+    replace what was known of them. Only geometries that are new look for partners, and only keys
+    that such an archive holds or held, and their partners, are written anew; so runs over parts
+    give what one run over all gives, and a run that broke off can be repeated. A geometry that no
+    archive holds any more stays with an empty list of archives and of partners.
+    """
+    spark = t["geo_object"].sparkSession
+    new = stored(spatial.occurrences(t), "occurrences")
+    known = read_if_there(spark, f"{path}/occurrences", new.schema)
+    held = known.join(new.select(A).distinct(), A, "left_semi")
+    touched = stored(new.select("pk").union(held.select("pk")).distinct(), "touched")
+    every = known.join(new.select(A).distinct(), A, "left_anti").unionByName(new)
+    groups = spatial.grouped_geometries(every.join(touched, "pk", "left_semi"))
+    none = F.array().cast("array<string>")
+    groups = stored(touched.join(groups, "pk", "left").select(
+        F.coalesce("databases", none).alias("databases"), F.coalesce("db_occurrence", F.lit(0)).alias("db_occurrence"),
+        "the_geom", "srid", "pk"), "groups")
+    there = F.col("db_occurrence") > 0
+    before = read_if_there(spark, f"{path}/same_geometry", groups.schema).where(there)
+    fresh = stored(groups.where(there).join(before, "pk", "left_anti").select("pk"), "fresh")
+    writers.replace_keys(groups, f"{path}/same_geometry", touched, "pk")
+    now = spark.read.schema(groups.schema).parquet(f"{path}/same_geometry").where(there)
+    writers.insert_if_absent(spatial.geometry_pairs(now, fresh), f"{path}/pairs", ["pk", "other"])
+    pairs = spark.read.parquet(f"{path}/pairs")
+    renewed = stored(touched.union(pairs.join(touched, "pk", "left_semi").select("other")).distinct(), "renewed")
+    lists = spatial.partner_lists(now, pairs.join(renewed, "pk", "left_semi"))
+    stored_lists = read_if_there(spark, f"{path}/geometry_intersects", lists.schema)
+    lists = stored(lists, "lists")
+    alone = stored_lists.where("part = 0").join(renewed, "pk", "left_semi").join(lists, "pk", "left_anti").select(*[
+        none.alias(c) if c in ("databases", "intersect_pk", "intersect_dbs") else F.col(c) for c in lists.columns])
+    writers.replace_keys(lists.unionByName(alone), f"{path}/geometry_intersects", renewed, "pk")
+    writers.overwrite_archives(new, f"{path}/occurrences")
 
 
 def judge_values(values: DataFrame, key: str = "pk", **options) -> DataFrame:

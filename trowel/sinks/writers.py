@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from trowel.session import read_if_there
+from trowel.session import read_if_there, stored
 
 A = "archive"
 NULL_ITEM = "∅"
@@ -91,6 +91,23 @@ def insert_if_absent(rows: DataFrame, path: str, keys: list[str]) -> None:
     new_rows(rows, existing, keys).write.mode("append").parquet(path)
 
 
+BUCKETS = 64
+
+
+def replace_keys(rows: DataFrame, path: str, keys: DataFrame, key: str) -> None:
+    """Put ``rows`` in the place of all stored rows with a key in ``keys``. The table lies in
+    folders by a bucket of the key, and only the folders of those keys are written again, each in
+    one go. Every key in ``keys`` needs a row, or its bucket others, to be taken out."""
+    spark, bucket = rows.sparkSession, F.pmod(F.crc32(F.col(key)), F.lit(BUCKETS)).cast("int").alias("bucket")
+    added = rows.select("*", bucket)
+    old = read_if_there(spark, path, added.schema)
+    buckets = keys.select(bucket).distinct()  # at most BUCKETS rows
+    kept = old.join(F.broadcast(buckets), "bucket", "left_semi").join(keys, key, "left_anti")
+    whole = stored(kept.select(added.columns).unionByName(added), "replaced")
+    (whole.hint("rebalance", "bucket").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+
+
 def update_from(target: DataFrame, source: DataFrame, keys: list[str],
                 columns: list[str]) -> DataFrame:
     """Target rows with columns taken from the matching source row, if there is one.
