@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from trowel.llm.common import ranked, read, sha256_hex, stored
 
 CHUNK = 4096  # rows of a conversation in one chunk
+LOT = 50_000  # rows of edits that a task hands on together
 REROLE, DELETE, INSERT, TRUNCATED = 3, 4, 3, 3
 BLANK_SPACE = r"\x20\x09-\x0D"
 
@@ -161,13 +162,16 @@ def _entries(frame: pd.DataFrame) -> pd.DataFrame:
 def _traced(size: int):
     def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            out: list[tuple] = []
             for row in batch.itertuples(index=False):
                 steps, state = run_forward(row.letters, _vector(row.after), row.entry)
-                if row.last:
-                    steps.append({SYSTEM: ("II", "ua"), USER: ("I", "a")}.get(state, ("", "")))
-                first = row.chunk * size
-                yield pd.DataFrame({"conv": row.conv, "place": range(first, first + len(steps)),
-                                    "done": [d for d, _ in steps], "lines": [x for _, x in steps]})
+                if row.last and state in (SYSTEM, USER):
+                    steps.append({SYSTEM: ("II", "ua"), USER: ("I", "a")}[state])
+                out.extend((row.conv, row.chunk * size + i, *step) for i, step in enumerate(steps))
+                if len(out) >= LOT:
+                    yield pd.DataFrame(out, columns=["conv", "place", "done", "lines"])
+                    out = []
+            yield pd.DataFrame(out, columns=["conv", "place", "done", "lines"])
     return trace
 
 
@@ -176,21 +180,23 @@ def conv_key(conv: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), conv.cast("string")), F.lit("-"))
 
 
-def find_faults(rows: DataFrame, conv_col: str = "conv_id") -> DataFrame:
-    """Rows (conv, place, among, turn, role, text, fault) of a conversation table: the place from
-    0 by turn (nulls first, ties by role and text), and the first fault that a row has: blank,
-    duplicate of an earlier row, truncated, or null."""
-    own = rows.select(conv_key(F.col(conv_col)).alias("conv"), "turn", F.coalesce("role", F.lit(" ")).alias("role"),
-                      F.coalesce("text", F.lit(" ")).alias("text"))
-    own = own.withColumn("digest", sha256_hex(F.col("text")))
+def find_faults(rows: DataFrame, conv_col: str = "conv_id") -> tuple[DataFrame, DataFrame]:
+    """The texts (row, text) of a conversation table and rows (row, conv, place, among, turn, role,
+    fault) without them: the place from 0 by turn (nulls first, ties by role and the text's
+    digest), and the first fault that a row has: blank, duplicate of an earlier one, truncated, or null."""
+    texts = stored(rows.select(
+        F.monotonically_increasing_id().alias("row"), conv_key(F.col(conv_col)).alias("conv"), "turn",
+        F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text")), "texts")
+    ends = F.when(~F.col("text").rlike(f"[^{BLANK_SPACE}]"), "blank").when(
+        ~F.col("text").rlike(rf"[.!?][{BLANK_SPACE}]*\z"), "truncated")
+    own = texts.select("row", "conv", "turn", "role", sha256_hex(F.col("text")).alias("digest"), ends.alias("ends"))
     placed = stored(ranked(own, ["conv"], ["turn", "role", "digest"], "place", "among"), "placed")
     first = placed.groupBy("conv", "role", "digest").agg(F.min("place").alias("place")).select(
         "conv", "place", F.lit(True).alias("first"))
-    fault = F.when(~F.col("text").rlike(f"[^{BLANK_SPACE}]"), "blank").when(
-        F.col("first").isNull(), "duplicate").when(
-        ~F.col("text").rlike(rf"[.!?][{BLANK_SPACE}]*\z"), "truncated")
-    return stored(placed.join(first, ["conv", "place"], "left").withColumn("fault", fault).drop(
-        "first", "digest"), "faults")
+    fault = F.when(F.col("ends") == "blank", "blank").when(
+        F.col("first").isNull(), "duplicate").otherwise(F.col("ends"))
+    return texts.select("row", "text"), stored(placed.join(first, ["conv", "place"], "left").withColumn(
+        "fault", fault).drop("first", "digest", "ends"), "faults")
 
 
 def cheapest_edits(faults: DataFrame, size: int = CHUNK) -> tuple[DataFrame, DataFrame]:
@@ -234,19 +240,23 @@ def cheapest_edits(faults: DataFrame, size: int = CHUNK) -> tuple[DataFrame, Dat
             "conv").applyInPandas(_entries, "conv string, chunk bigint, entry int")
         whole = single.unionByName(true.join(entries, ["conv", "chunk"]))
     whole = stored(whole, "whole")
-    edits = whole.drop("cut").mapInPandas(_traced(size), "conv string, place bigint, done string, lines string")
+    edits = stored(whole.drop("cut").mapInPandas(
+        _traced(size), "conv string, place bigint, done string, lines string"), "edits")
     before = F.split("before", ",")[NOTHING].cast("bigint")
     costs = whole.select("conv", "chunk", "after").join(known, ["conv", "chunk", "after"]).groupBy(
         "conv").agg(F.sum(F.col("cost") + F.when(F.col("chunk") == 0, before).otherwise(0)).alias("cost"))
     return edits, costs
 
 
-def repaired_rows(faults: DataFrame, edits: DataFrame) -> DataFrame:
+def repaired_rows(texts: DataFrame, faults: DataFrame, edits: DataFrame) -> DataFrame:
     """The edits with the lines that they leave, as rows (conv, place, done, said): said is the
     array of these lines, each ``role:text``."""
-    own = faults.select("conv", "place", "role", "text")
+    own = faults.select("row", "conv", "place", "role")
     text = F.coalesce("text", F.lit(""))
-    both = edits.join(own, ["conv", "place"], "left").withColumn("kept", F.regexp_replace("done", "D", ""))
+    # turns put in at the end have no row: a number of their own spreads them over tasks
+    none = -1 - F.pmod(F.xxhash64("conv"), F.lit(1 << 40))
+    both = edits.join(own, ["conv", "place"], "left").withColumn("row", F.coalesce("row", none)).join(
+        texts, "row", "left").withColumn("kept", F.regexp_replace("done", "D", ""))
 
     def line(kind: Column, at: Column) -> Column:
         inserted = F.substring("kept", at + 1, F.lit(1)) == "I"
@@ -322,9 +332,9 @@ def repair(rows: DataFrame, conv_col: str = "conv_id", size: int = CHUNK) -> tup
     initial and is like any unknown one; texts count whole; an empty table gives none; further
     columns do not matter, whatever their names.
     """
-    faults = find_faults(rows, conv_col)
+    texts, faults = find_faults(rows, conv_col)
     edits, costs = cheapest_edits(faults, size)
-    repaired = stored(repaired_rows(faults, edits), "repaired")
+    repaired = repaired_rows(texts, faults, edits)
     report = fault_counts(faults).join(costs, "conv").join(audits(repaired), "conv")
     return repaired, report
 
