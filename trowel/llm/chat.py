@@ -54,19 +54,14 @@ def parsed_turns(formatted: Column) -> Column:
     return F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), turn)
 
 
-def _numbered(messages: DataFrame, tree: str, message: str, parent: str, score: str | None) -> DataFrame:
-    """Messages as rows (node, up, tree, message, score, role, text), ``up`` being the node of the
-    message that is answered. Of several messages with one id the first carries the replies."""
-    rows = stored(messages.select(
-        F.monotonically_increasing_id().alias("node"), F.col(tree).alias("tree"), F.col(message).alias("message"),
-        F.col(parent).alias("parent"), (F.col(score).cast("double") if score else F.lit(0.0)).alias("score"),
-        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")), "messages")
+def _links(rows: DataFrame) -> DataFrame:
+    """Links (node, up) from each message (node, tree, message, parent) to the one it answers. Of
+    several messages with one id the first has the replies."""
     answered = rows.where(F.col("message").isNotNull()).groupBy(
         F.col("tree").alias("of_tree"), F.col("message").alias("of")).agg(F.min("node").alias("up"))
-    replies = rows.where(F.col("parent").isNotNull()).select("node", "tree", "parent")
-    links = replies.join(answered, (F.col("tree").eqNullSafe(F.col("of_tree"))) & (F.col("parent") == F.col("of"))).where(
-        F.col("up") != F.col("node")).select(F.col("node").alias("reply"), "up")
-    return stored(rows.drop("parent").join(links, F.col("node") == F.col("reply"), "left").drop("reply"), "nodes")
+    same = F.col("tree").eqNullSafe(F.col("of_tree")) & (F.col("parent") == F.col("of"))
+    return rows.where(F.col("parent").isNotNull()).join(answered, same).where(
+        F.col("up") != F.col("node")).select("node", "up")
 
 
 def _jumps(links: DataFrame) -> list[DataFrame]:
@@ -85,9 +80,9 @@ def _jumps(links: DataFrame) -> list[DataFrame]:
     return jumps
 
 
-def branches(messages: DataFrame, tree: str, message: str, parent: str, score: str | None = None,
-             best: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """The nodes of all messages, and the branches as rows (leaf, node, back, score, branch).
+def branches(nodes: DataFrame, links: DataFrame, best: int | None = None) -> DataFrame:
+    """The branches of reply trees as rows (leaf, node, back, branch), from nodes (node, tree,
+    score) and links (node, up).
 
     Each leaf begins a path; iterative self-joins of the reply links give the ancestors at
     distance 1, 2, 4, ..., and joining the paths found so far with each of these tables doubles
@@ -95,8 +90,7 @@ def branches(messages: DataFrame, tree: str, message: str, parent: str, score: s
     leaf. A branch's score is the mean of its messages' scores; with ``best`` each tree keeps so
     many, numbered from 1 by falling score, ties to the smaller leaf.
     """
-    nodes = _numbered(messages, tree, message, parent, score)
-    links = nodes.where(F.col("up").isNotNull()).select("node", "up")
+    links = stored(links, "links")
     jumps = _jumps(links)
     if not jumps[-1].isEmpty():  # a ring is opened at its first message, which becomes a root
         ring = jumps[-1].select(F.col("up").alias("in_ring")).distinct()
@@ -114,7 +108,7 @@ def branches(messages: DataFrame, tree: str, message: str, parent: str, score: s
             "leaf", F.col("up").alias("node"), F.col("back") + 2 ** k), "path"))
     paths = reduce(DataFrame.union, found)
     if best is None:
-        return nodes, paths.select("leaf", "node", "back", F.lit(None).cast("int").alias("branch"))
+        return paths.select("leaf", "node", "back", F.lit(None).cast("int").alias("branch"))
     scored = paths.join(nodes.select(F.col("node").alias("scored"), "score"), F.col("node") == F.col("scored"))
     means = scored.groupBy("leaf").agg(F.avg(F.coalesce("score", F.lit(0.0))).alias("mean"))
     trees = nodes.select(F.col("node").alias("end"), "tree")
@@ -122,7 +116,7 @@ def branches(messages: DataFrame, tree: str, message: str, parent: str, score: s
     chosen = means.join(trees, F.col("leaf") == F.col("end")).withColumn(
         "branch", F.row_number().over(order)).where(F.col("branch") <= best).select(
         F.col("leaf").alias("chosen"), "branch")
-    return nodes, paths.join(chosen, F.col("leaf") == F.col("chosen")).select("leaf", "node", "back", "branch")
+    return paths.join(chosen, F.col("leaf") == F.col("chosen")).select("leaf", "node", "back", "branch")
 
 
 def format_conversations(messages: DataFrame, tree: str, message: str, parent: str, score: str | None = None,
@@ -142,8 +136,18 @@ def format_conversations(messages: DataFrame, tree: str, message: str, parent: s
     its first message; a null score counts 0; equal scores go by leaf; an empty table gives none;
     further columns do not matter, whatever their names.
     """
-    nodes, paths = branches(messages, tree, message, parent, score, best)
-    turns = nodes.select(F.col("node").alias("of"), "tree", "message", "role", "text")
+    rows = stored(messages.select(
+        F.monotonically_increasing_id().alias("node"), F.col(tree).alias("tree"), F.col(message).alias("message"),
+        F.col(parent).alias("parent"), (F.col(score).cast("double") if score else F.lit(0.0)).alias("score"),
+        "role", "text"), "messages")
+    return conversations(rows, branches(rows.select("node", "tree", "score"), _links(rows), best))
+
+
+def conversations(rows: DataFrame, paths: DataFrame) -> DataFrame:
+    """Paths (leaf, node, branch, back) through messages (node, tree, message, role, text) as
+    formatted conversations. Texts are moved here only: once to their paths, once to their leaves."""
+    turns = rows.select(F.col("node").alias("of"), "tree", "message", F.coalesce("role", F.lit("")).alias("role"),
+                        F.coalesce("text", F.lit("")).alias("text"))
     turn = F.struct((-F.col("back")).alias("place"), "role", "text", "tree", "message")
     rows = paths.join(turns, F.col("node") == F.col("of")).groupBy("leaf", "branch").agg(
         F.sort_array(F.collect_list(turn)).alias("turns"))
@@ -162,10 +166,14 @@ def op12_chat_formatting(spark, folder: str) -> DataFrame:
     rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.range(1).select(F.lit(-1).cast("bigint").alias("conv_id"), F.posexplode(
         F.array(F.lit("user"), F.lit("assistant"))).alias("turn", "role"), F.lit(HOSTILE).alias("text"))
+    rows = stored(rows.unionByName(own).withColumn("node", F.monotonically_increasing_id()), "messages")
     # rows by turn: each answers the one before it
-    placed = ranked(rows.unionByName(own), ["conv_id"], ["turn", "role", "text"], "place", "turns")
-    messages = placed.withColumn("answers", F.col("place") - 1)
-    done = stored(format_conversations(messages, "conv_id", "place", "answers"), "chats")
+    order = rows.select("conv_id", "turn", "role", sha256_hex(F.col("text")).alias("digest"), "node")
+    placed = stored(ranked(order, ["conv_id"], ["turn", "role", "digest"], "place", "turns").select(
+        F.col("conv_id").alias("tree"), "node", F.col("place").alias("message"),
+        (F.col("place") - 1).alias("parent"), F.lit(0.0).alias("score")), "order")
+    paths = branches(placed.select("node", "tree", "score"), _links(placed))
+    done = conversations(rows.withColumnRenamed("conv_id", "tree").withColumnRenamed("turn", "message"), paths)
     read_back = done.withColumn("formatted", formatted_text(F.col("segments")))
     read_back = read_back.withColumn("turns", parsed_turns(F.col("formatted"))).withColumn(
         "learnt", loss_text(F.col("segments")))
@@ -186,9 +194,9 @@ sized AS (
            length(role) + len(regexp_extract_all(role, '<\\*\|'))
            + {len(BREAK) - 1} * (length(role) - length(replace(role, chr(10), ''))) AS role_size FROM said)
 SELECT conv_id, count(*)::BIGINT AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, sha256(text))) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, sha256(text)) FILTER (role = 'assistant'), ''))
            AS loss_sha256,
        sum(text_size + role_size + {len(START) + len(END) + 2})::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id
