@@ -11,6 +11,7 @@ from tests.small import BOWTIE, OPEN_RING, box, line, point, polygon
 from trowel.functions import geometry as G
 from trowel.functions import planar, wkb
 from trowel.functions import projection as P
+from trowel.functions.wkb import SHELL
 from trowel.operators import reproject, site, spatial, validity
 from trowel.operators.median import geometric_median
 from trowel.session import cut_lineage
@@ -255,6 +256,70 @@ def test_region_join_equals_brute_force(spark, cell):
     assert got == want
 
 
+def covered(rings, cell):
+    """Tile -> (inside, edges) of a feature."""
+    return {(level, int(x), int(y)): (bool(ins), {tuple(e) for e in edges[a:b]})
+            for level, cells, inside, at, edges in planar.tiles(rings, cell)
+            for (x, y), ins, a, b in zip(cells, inside, at, at[1:])}
+
+
+@pytest.mark.parametrize("cell", [1.0, 3.0, 7.3, 50.0])
+def test_tiles_cover_the_feature_once_with_all_its_edges(cell):
+    rng = np.random.default_rng(5)
+    for _ in range(8):
+        pts = rng.integers(-20, 20, (rng.integers(3, 9), 2)) * rng.choice([1.0, 0.5])
+        rings = [(0, SHELL, np.vstack([pts, pts[:1]]))]
+        edges, got = planar.segments(rings), covered(rings, cell)
+        low, high = (np.floor(f(0) / cell).astype(int) for f in (pts.min, pts.max))
+        for x in range(low[0] - 1, high[0] + 2):
+            for y in range(low[1] - 1, high[1] + 2):
+                here = [t for t in got if (x >> t[0], y >> t[0]) == t[1:]]
+                assert len(here) <= 1
+                sides = np.array([[x, y, x + 1, y], [x + 1, y, x + 1, y + 1],
+                                  [x + 1, y + 1, x, y + 1], [x, y + 1, x, y]]) * cell
+                for e in edges:
+                    own = [np.floor(e[[i, i + 2]] / cell) for i in (0, 1)]
+                    near = own[0].min() <= x <= own[0].max() and own[1].min() <= y <= own[1].max()
+                    ends_here = own[0][0] == x and own[1][0] == y
+                    if near and (ends_here or planar.any_touch(e[None], sides)):
+                        assert tuple(e) in got[here[0]][1]
+                level = here[0][0] if here else 0
+                ref = [((v >> level) + r) * cell * 2 ** level for v, r in zip((x, y), planar._REF)]
+                assert planar.inside(*ref, edges) == (bool(here) and got[here[0]][0])
+
+
+def test_tiles_follow_the_border_not_the_area():
+    side = 500_000.0
+    corners = [(0, 0), (side, 0), (side, side), (0, side), (0, 0)]
+    for pts in (corners, [corners[0], corners[2], corners[3], corners[0]]):
+        assert len(covered([(0, SHELL, np.array(pts))], 1000.0)) < 8000
+    turn = np.linspace(0, 2 * np.pi, 200_001)
+    circle = np.column_stack([np.cos(turn), np.sin(turn)]) * side / 2
+    circle[-1] = circle[0]
+    assert len(covered([(0, SHELL, circle)], 1000.0)) < 8000
+
+
+def test_objects_of_all_sizes_meet_wide_tiles(spark):
+    """A region of 300 cells a side: points, boxes from below a cell to wider than the region."""
+    rng = np.random.default_rng(6)
+    region = polygon([(0, 0), (300, 20), (280, 300), (150, 160), (10, 290), (0, 0)],
+                     [(100, 60), (100, 110), (160, 110), (160, 60), (100, 60)])
+    objects = []
+    for size in (0, 0.3, 1, 4, 20, 90, 400):
+        for _ in range(25):
+            x, y = rng.uniform(-60, 340, 2).round(1)
+            objects.append(point(x, y) if size == 0 else box(x, y, x + size, y + size))
+    got = {r.id for r in spatial.region_hits(shapes(spark, objects), ["id"], shapes(spark, [region, box(900, 900, 901, 901)])
+                                             .withColumnRenamed("id", "region"), ["region"], 1.0).collect()}
+    assert got == {i for i, o in enumerate(objects) if brute_force(o, region)}
+
+
+def test_regions_of_an_empty_layer(spark):
+    layer = shapes(spark, [point(1, 1)]).withColumnRenamed("id", "region")
+    for rows in (layer, layer.limit(0)):
+        assert spatial.region_hits(shapes(spark, [box(0, 0, 3, 3)]), ["id"], rows, ["region"], 1.0).isEmpty()
+
+
 def test_wide_objects_and_copied_regions(spark):
     wide = line((-1e6, 0.5), (1e6, 0.5))  # two million cells of side 1
     layer = shapes(spark, [box(0, 0, 3, 1), box(0, 0, 3, 1), box(0, 2, 3, 3)]).withColumn(

@@ -20,7 +20,7 @@ STATS_TYPE = T.StructType().add("gtype", "integer").add("error", "string").add(
 for _name in ("xmin", "ymin", "xmax", "ymax", "cx", "cy"):
     STATS_TYPE = STATS_TYPE.add(_name, "double")
 TILES_TYPE = T.ArrayType(
-    T.StructType().add("cx", "long").add("cy", "long").add("inside", "boolean")
+    T.StructType().add("level", "integer").add("cx", "long").add("cy", "long").add("inside", "boolean")
     .add("edges", T.ArrayType(T.DoubleType())))
 
 # WKT names by type code.
@@ -59,14 +59,27 @@ def intersects(a: pa.Array, b: pa.Array) -> pa.Array:
 
 @F.arrow_udf(TILES_TYPE)
 def cut_tiles(data: pa.Array, cell: pa.Array) -> pa.Array:
-    out = []
+    """The tiles of each geometry, built as columns: no Python value for each tile."""
+    levels, counts = [], []
     for buf, side in zip(data.to_pylist(), cell.to_pylist()):
-        rows = [] if buf is None else planar.tiles(_rings(buf), side)
-        out.append([dict(zip(("cx", "cy", "inside", "edges"), t)) for t in rows])
-    return pa.array(out, pa.list_(pa.struct([
-        ("cx", pa.int64()), ("cy", pa.int64()), ("inside", pa.bool_()),
-        ("edges", pa.list_(pa.float64())),
-    ])))
+        found = [] if buf is None else list(planar.tiles(_rings(buf), side))
+        levels += found
+        counts.append(sum(len(cells) for _, cells, _, _, _ in found))
+
+    def column(values, kind):
+        return np.concatenate([np.empty(0, kind), *values]).astype(kind)
+
+    cells = np.concatenate([np.empty((0, 2), np.int64), *[t[1] for t in levels]])
+    sizes = column([np.diff(t[3]) for t in levels], np.int64) * 4
+    edges = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()),
+                                     pa.array(column([t[4].ravel() for t in levels], np.float64)))
+    level = np.repeat(column([[t[0]] for t in levels], np.int32),
+                      column([[len(t[1])] for t in levels], np.int64))
+    tiles = pa.StructArray.from_arrays(
+        [pa.array(level, pa.int32()), pa.array(cells[:, 0]), pa.array(cells[:, 1]),
+         pa.array(column([t[2] for t in levels], bool)), edges],
+        ["level", "cx", "cy", "inside", "edges"])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), tiles)
 
 
 @F.arrow_udf(T.BooleanType())

@@ -183,37 +183,98 @@ def _parts_intersect(buf_a, buf_b) -> bool:
 _REF = (0.41421356237309503, 0.3660254037844386)
 
 
+STEP = 2  # a tile is split into 4 x 4
+_CHILDREN = np.array([(x, y) for x in range(1 << STEP) for y in range(1 << STEP)], dtype=np.int64)
+
+
+def _expanded(count):
+    """Item and number within the item for ``count`` rows of each item."""
+    item = np.repeat(np.arange(len(count)), count)
+    return item, np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _reach(tile, edge, edges, low, high, first, last, level, cell):
+    """Pairs of tile and edge, and the place (x, y) of each: the tiles from ``first`` to ``last`` of
+    each pair that the edge comes into. Rounding may let an edge in that only comes close, never
+    leave one out."""
+    first = np.maximum(first, low[edge] >> level)
+    wide, high_ = (np.minimum(last, high[edge] >> level) - first + 1).clip(0).T
+    pair, n = _expanded(wide * high_)
+    place = first[pair] + np.column_stack([n // high_[pair], n % high_[pair]])
+    tile, edge, side = tile[pair], edge[pair], cell * 2.0 ** level
+    several = np.flatnonzero((wide * high_)[pair] > 1)  # an edge within one tile comes into it
+    x1, y1, x2, y2 = edges[edge[several]].T
+    x, y = ((place[several] + 0.5) * side).T
+    slack = side * (0.5 + 1e-9) + 1e-14 * (np.abs(edges).max() + side)
+    kept = np.full(len(pair), True)
+    kept[several] = np.abs(_cross(x1, y1, x2, y2, x, y)) <= (np.abs(x2 - x1) + np.abs(y2 - y1)) * slack
+    return tile[kept], edge[kept], place[kept]
+
+
+def _inside_tiles(edges, cells, side) -> np.ndarray:
+    """Per tile: whether its reference point lies inside. Every row of tiles is met once by
+    every edge that spans it, so the work is that of the borders, not of edges times tiles."""
+    rows, row = np.unique(cells[:, 1], return_inverse=True)
+    y = (rows + _REF[1]) * side
+    x1, y1, x2, y2 = edges.T
+    first = np.searchsorted(y, np.minimum(y1, y2))
+    count = np.searchsorted(y, np.maximum(y1, y2)) - first
+    e, at_row = _expanded(count)
+    at_row += first[e]
+    at = x1[e] + (y[at_row] - y1[e]) / (y2[e] - y1[e]) * (x2[e] - x1[e])
+    points = (cells[:, 0] + _REF[0]) * side
+    # borders and points in one order; a border at the point itself comes before it
+    point = np.repeat([False, True], [len(at), len(points)])
+    order = np.lexsort((point, np.concatenate([at, points]), np.concatenate([at_row, row])))
+    passed = np.empty(len(order), dtype=np.int64)
+    passed[order] = np.cumsum(~point[order])
+    total = np.cumsum(np.bincount(at_row, minlength=len(rows)))
+    return (total[row] - passed[len(at):]) % 2 == 1
+
+
 def tiles(rings, cell: float):
-    """Cut a polygon layer feature into square tiles.
+    """Cut a polygon layer feature into square tiles of sides ``cell`` times powers of 4.
 
-    Yields (cx, cy, inside, edges): the border edges that reach into the tile and
-    whether the tile's reference point lies inside.  Tiles wholly outside are left out.
+    Only tiles that an edge comes into are split, down to ``cell``; those without edges stay
+    whole, so the number of tiles follows the length of the borders. Yields per level
+    (level, tiles, inside, offsets, edges): whether the reference point of a tile lies inside, and
+    the edges that reach into it. Tiles wholly outside are left out.
     """
     edges = segments(rings, (SHELL, HOLE))
     if not len(edges):
         return
-    lo = np.floor(np.minimum(edges[:, :2], edges[:, 2:]) / cell).astype(np.int64)
-    hi = np.floor(np.maximum(edges[:, :2], edges[:, 2:]) / cell).astype(np.int64)
-    by_tile: dict[tuple[int, int], list[int]] = {}
-    for n, ((x0, y0), (x1, y1)) in enumerate(zip(lo, hi)):
-        for cx in range(x0, x1 + 1):
-            for cy in range(y0, y1 + 1):
-                by_tile.setdefault((cx, cy), []).append(n)
-    x1, y1, x2, y2 = edges.T
-    first, last = lo.min(axis=0), hi.max(axis=0)
-    columns = np.arange(first[0], last[0] + 1)
-    ref_x = (columns + _REF[0]) * cell
-    for cy in range(first[1], last[1] + 1):
-        y = (cy + _REF[1]) * cell
-        spans = (y1 <= y) != (y2 <= y)
-        at = np.sort(x1[spans] + (y - y1[spans]) / (y2[spans] - y1[spans])
-                     * (x2[spans] - x1[spans]))
-        odd = (len(at) - np.searchsorted(at, ref_x, side="right")) % 2 == 1
-        for cx, within in zip(columns, odd):
-            own = by_tile.get((int(cx), int(cy)))
-            if own is not None or within:
-                local = edges[own].ravel().tolist() if own is not None else []
-                yield int(cx), int(cy), bool(within), local
+    low = np.floor(np.minimum(edges[:, :2], edges[:, 2:]) / cell).astype(np.int64)
+    high = np.floor(np.maximum(edges[:, :2], edges[:, 2:]) / cell).astype(np.int64)
+    first, last = low.min(axis=0), high.max(axis=0)
+    level = 0
+    while ((last >> level) - (first >> level) > 1).any():
+        level += STEP
+    size = (last >> level) - (first >> level) + 1
+    cells = (first >> level) + np.array([(x, y) for x in range(size[0]) for y in range(size[1])])
+    edge = np.arange(len(edges))
+    _, edge, place = _reach(edge, edge, edges, low, high, first >> level, last >> level, level, cell)
+    place -= first >> level
+    tile = place[:, 0] * size[1] + place[:, 1]
+    while True:
+        count = np.bincount(tile, minlength=len(cells))
+        crossed = count > 0
+        ready = np.full(len(cells), True) if level == 0 else ~crossed
+        within = np.zeros(len(cells), dtype=bool)
+        if ready.any():
+            within[ready] = _inside_tiles(edges, cells[ready], cell * 2.0 ** level)
+        kept = within | (crossed & ready)
+        own = edge[np.argsort(tile, kind="stable")] if level == 0 else edge[:0]
+        yield level, cells[kept], within[kept], np.concatenate([[0], np.cumsum(count[kept])]), edges[own]
+        if level == 0:
+            return
+        level -= STEP
+        corner = cells << STEP
+        tile, edge, place = _reach(tile, edge, edges, low, high, corner[tile], corner[tile] + (1 << STEP) - 1,
+                                   level, cell)
+        place -= corner[tile]
+        number = np.cumsum(crossed) - 1  # of a crossed tile among the crossed
+        tile = (number[tile] << 2 * STEP) + (place[:, 0] << STEP) + place[:, 1]
+        cells = (corner[crossed][:, None, :] + _CHILDREN).reshape(-1, 2)
 
 
 def meet_tiles(bufs, cx, cy, cell, within, edges, counts) -> np.ndarray:

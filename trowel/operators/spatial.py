@@ -14,9 +14,8 @@ from trowel.session import broadcast_if_small, cut_lineage, stored
 
 A = "archive"
 
-LEVEL_BITS = 10  # a tile level is 1,024 times the side of the one below
-TILE_LEVELS = 2
-CELLS_PER_OBJECT = 1024  # above this many cells an object uses a coarser level
+HOME_STEP = 4  # an object's own grid has cells of the tiles' side times a power of 16
+WIDE = 2  # an object spans at most 1 + 2 ** WIDE of its cells along an axis
 
 
 def _grid(value: Column, side) -> Column:
@@ -33,7 +32,8 @@ def with_bbox(df: DataFrame, *keep: str) -> DataFrame:
 
 # -- objects against a polygon layer ------------------------------------------------
 def region_tiles(layer: DataFrame, columns: list[str], cell: float) -> DataFrame:
-    """The layer cut into tiles; every tile carries only the borders that cross it.
+    """The layer cut into tiles, wide ones where no border runs; every tile carries only the
+    borders that cross it.
 
     Copies of a feature are counted in ``copies`` and cut once.
     """
@@ -49,38 +49,53 @@ def region_hits(objects: DataFrame, ids: list[str], layer: DataFrame, columns: l
                 cell: float = 1000.0) -> DataFrame:
     """(ids, columns) for each object and layer feature that share a point.
 
-    An object meets a tile by grid cell.  In a tile without borders an object of one
-    cell is inside for certain; all other pairs are tested against the tile's borders.
+    An object meets a tile by grid cell, in the wider of their two grids.  In a tile without
+    borders an object that lies in that tile is inside for certain; all other pairs are tested
+    against the tile's borders.
     """
     # a small layer is sent to the objects; for a large one both sides shuffle by cell
-    tiles = broadcast_if_small(region_tiles(layer, columns, cell)).withColumn(
-        "level", F.explode(F.sequence(F.lit(0), F.lit(TILE_LEVELS))))
-    tiles = tiles.withColumn("gx", F.expr(f"shiftright(cx, level * {LEVEL_BITS})")).withColumn(
-        "gy", F.expr(f"shiftright(cy, level * {LEVEL_BITS})"))
+    tiles = broadcast_if_small(region_tiles(layer, columns, cell))
+    about = tiles.agg(F.collect_set("level").alias("levels"), *[  # one row, a number for each level
+        _grid(f("f" + c), cell).alias(c) for f, c in ((F.min, "xmin"), (F.min, "ymin"), (F.max, "xmax"), (F.max, "ymax"))])
+    about = about.first()
+    west, south, east, north = [about[c] if about.levels else n for c, n in
+                                (("xmin", 0), ("ymin", 0), ("xmax", -1), ("ymax", -1))]
+    homes = [h for h in range(0, max(east - west, north - south, 1).bit_length() + HOME_STEP, HOME_STEP)]
+    # a tile lies in the cell of its own level, and once in each wider grid that objects live in
+    tiles = tiles.withColumn("k", F.explode(F.array_union(F.array("level"), F.filter(
+        F.array(*[F.lit(h) for h in homes]), lambda h: h > F.col("level")))))
+    tiles = tiles.withColumn("gx", F.expr("shiftright(cx, k - level)")).withColumn(
+        "gy", F.expr("shiftright(cy, k - level)"))
     boxed = with_bbox(objects, *ids).select(
         *ids, "wkb", "xmin", "ymin", "xmax", "ymax", _grid(F.col("xmin"), cell).alias("x0"), _grid(F.col("xmax"), cell).alias("x1"),
         _grid(F.col("ymin"), cell).alias("y0"), _grid(F.col("ymax"), cell).alias("y1"))
-    level = F.lit(TILE_LEVELS)
-    for n in reversed(range(TILE_LEVELS)):
-        bits = n * LEVEL_BITS
-        count = ((F.expr(f"shiftright(x1, {bits}) - shiftright(x0, {bits}) + 1"))
-                 * F.expr(f"shiftright(y1, {bits}) - shiftright(y0, {bits}) + 1"))
-        level = F.when(count <= CELLS_PER_OBJECT, F.lit(n)).otherwise(level)
-    spread = (boxed.withColumn("level", level)
-              .withColumn("gx", F.explode(F.expr(
-                  f"sequence(shiftright(x0, level * {LEVEL_BITS}), "
-                  f"shiftright(x1, level * {LEVEL_BITS}))")))
-              .withColumn("gy", F.explode(F.expr(
-                  f"sequence(shiftright(y0, level * {LEVEL_BITS}), "
-                  f"shiftright(y1, level * {LEVEL_BITS}))"))))
-    pairs = spread.join(tiles, ["level", "gx", "gy"]).where(
-        F.col("cx").between(F.col("x0"), F.col("x1"))
-        & F.col("cy").between(F.col("y0"), F.col("y1"))
+    # an object lives, as far as the layer reaches, in the grid of its size, and visits all wider tiles
+    boxed = boxed.where((F.col("x0") <= east) & (F.col("x1") >= west) & (F.col("y0") <= north) & (F.col("y1") >= south))
+    for low, high, first, last in (("x0", "x1", west, east), ("y0", "y1", south, north)):
+        boxed = boxed.withColumn(f"l{low}", F.greatest(low, F.lit(first).cast("bigint"))).withColumn(
+            f"l{high}", F.least(high, F.lit(last).cast("bigint")))
+    span = F.greatest(F.expr("lx1 - lx0"), F.expr("ly1 - ly0"))
+    home = F.lit(homes[-1])
+    for h in reversed(homes):
+        home = F.when(span <= 1 << (h + WIDE), F.lit(h)).otherwise(home)
+    visited = F.array(*[F.lit(n) for n in sorted(about.levels)]).cast("array<int>")
+    spread = boxed.withColumn("home", home).withColumn("k", F.explode(F.array_union(
+        F.array("home"), F.filter(visited, lambda n: n > F.col("home")))))
+    for axis in "xy":
+        spread = spread.withColumn(f"g{axis}", F.explode(F.expr(
+            f"sequence(shiftright(l{axis}0, k), shiftright(l{axis}1, k))")))
+    within = F.lit(True)
+    for axis in "xy":
+        within &= F.col(f"c{axis}").between(F.expr(f"shiftright({axis}0, level)"), F.expr(f"shiftright({axis}1, level)"))
+    pairs = spread.join(tiles, ["k", "gx", "gy"]).where(
+        (F.col("k") == F.greatest("home", "level")) & within
         & (F.col("xmin") <= F.col("fxmax")) & (F.col("fxmin") <= F.col("xmax"))
         & (F.col("ymin") <= F.col("fymax")) & (F.col("fymin") <= F.col("ymax")))
-    sure = (F.size("edges") == 0) & (F.col("x0") == F.col("x1")) & (F.col("y0") == F.col("y1"))
+    sure = (F.size("edges") == 0) & F.expr("shiftright(x0, level) = shiftright(x1, level)") & F.expr(
+        "shiftright(y0, level) = shiftright(y1, level)")
+    side = F.lit(float(cell)) * F.expr("shiftleft(1L, level)")
     tested = pairs.withColumn("probe", F.when(~sure, F.col("wkb"))).withColumn(
-        "hit", G.meets_tile("probe", "cx", "cy", F.lit(float(cell)), "inside", "edges"))
+        "hit", G.meets_tile("probe", "cx", "cy", side, "inside", "edges"))
     found = (tested.where("hit").select(*ids, "feature", "copies", *columns)
              .dropDuplicates([*ids, "feature", *columns]))
     once = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
