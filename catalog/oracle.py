@@ -304,11 +304,6 @@ QUERIES = {
     "write_json_table": """SELECT archive, count("Value") AS blob_count,
         coalesce(sum(octet_length("Value")), 0)::BIGINT AS blob_bytes
         FROM binary_value GROUP BY ALL""",
-    "write_layers": """SELECT 'object_relations' AS layer, archive, count(*) AS n FROM edges
-        WHERE "ParentText" <> 'Skapar' GROUP BY ALL
-        UNION ALL SELECT 'attributes', a.archive, count(*) FROM attribute a
-        JOIN attribute_value v ON v.archive = a.archive AND v."AttributeId" = a."AttributeId"
-        JOIN geo_rel r ON r.archive = a.archive AND r."ObjectId" = a."ObjectId" GROUP BY ALL""",
     "create_features_table": """SELECT archive, object_id, object_name, class, subclass, wkt AS geom,
         spatial_type FROM core""",
     "insert_if_absent": FIND,
@@ -616,6 +611,27 @@ def _span_sql() -> str:
 QUERIES["clean_text_span"] = QUERIES["clean_text_span"].replace("{SPAN}", _span_sql())
 
 
+# The layers' columns, in the order in which `write_layers` joins them to a text.
+LAYER_COLUMNS = {
+    "features": ("pk", "object_id", "b_id", "object_name", "class", "subclass", "geom", "spatial_type", "attributes",
+                 "object_description", "group_name", "group_description"),
+    "project_information": ("pk", "site_name", "slutdatum", "projektnamn", "projektkod", "plats", "undersoknings_id"),
+    "object_relations": ("parent_id", "child_id", "parent_text", "child_text"),
+    "groups": ("group_id", "group_name", "converted_text"),
+    "attributes": ("object_id", "attribute_label", "attribute_value"),
+}
+
+
+def _layer_sql(layer: str, operator: str) -> str:
+    text = ", ".join(f"coalesce({c}::VARCHAR, '∅')" for c in LAYER_COLUMNS[layer])
+    key = "intrasis_archive" if layer == "features" else "archive"
+    return f"SELECT '{layer}' AS layer, {key} AS archive, concat_ws('|', {text}) AS row FROM ({QUERIES[operator]})"
+
+
+QUERIES["write_layers"] = " UNION ALL ".join(_layer_sql(*pair) for pair in (
+    ("features", "features_table"), ("project_information", "project_information"),
+    ("object_relations", "relations_layer"), ("groups", "groups_layer"), ("attributes", "attributes_layer")))
+
 # What a run stores is what its operator gives over all archives.
 for run, operator in (("run_clean_notes", "clean_text"), ("run_check_validity", "validity_report"),
                       ("run_move_to_target", "reproject"), ("run_compare_geometries", "same_geometry_all"),

@@ -1,25 +1,85 @@
 from pyspark.sql import functions as F
 
-from trowel.operators import relations
+from trowel.operators import eav, relations
 from trowel.plans import extraction, layers, runs
 from trowel.sinks import writers
 from trowel.sources import pending
 
 
-def test_layer_export_goes_on_after_a_failure(spark, tables, tmp_path):
+NAMES = ("features", "project_information", "object_relations", "groups", "attributes")
+
+
+def layer_rows(spark, path, names=NAMES):
+    """Rows of each layer and archive."""
+    return {(name, r.archive): r["count"] for name in names
+            for r in writers.read_layers(spark, path, name).groupBy("archive").count().collect()}
+
+
+def test_layers_of_pending_archives_only(spark, tables, tmp_path):
+    path, manifest = str(tmp_path / "out"), str(tmp_path / "manifest")
+    first = {n: df.where("archive <> 'a2'") if "archive" in df.columns else df for n, df in tables.items()}
+    assert layers.export_layers(first, path, manifest, 10) == {"done": ["a1", "a3"], "failed": []}
+    assert layers.export_layers(tables, path, manifest, 10) == {"done": ["a2"], "failed": []}
+    assert layers.export_layers(tables, path, manifest, 10) == {"done": [], "failed": []}
+    assert len(list((tmp_path / "out" / "layer=features").glob("run=*"))) == 2
+    parts = layer_rows(spark, path)
+    whole = str(tmp_path / "whole")
+    layers.export_layers(tables, whole, str(tmp_path / "manifest2"), 10)
+    assert parts == layer_rows(spark, whole) and len({a for _, a in parts}) > 1
+    assert writers.read_layers(spark, path, "features").schema["geom"].metadata["srid"] == 3006
+
+
+LINKS = ("object_relations", "attributes")
+
+
+def two_layers(t, archives=None):
+    return {"object_relations": lambda: relations.relations_layer(t), "attributes": lambda: eav.attributes_layer(t)}
+
+
+def test_a_run_that_breaks_off_shows_nothing_half(spark, tables, tmp_path, monkeypatch):
     path, manifest = str(tmp_path / "out"), str(tmp_path / "manifest")
-    broken = {**tables, "attribute_def": tables["attribute_def"].drop("MetaId")}
-    outcome = layers.export_layers(broken, path, manifest, 10)
-    assert outcome["features"] == "failed" and outcome["object_relations"] == "done"
-    status = pending.latest_status(spark.read.parquet(manifest))
-    failed = status.where("status = 'failed' AND message IS NOT NULL").select("step").distinct()
-    assert [r.step for r in failed.collect()] == ["layer features"]
-    outcome = layers.export_layers(tables, path, manifest, 11)
-    assert set(outcome.values()) == {"done"}
-    done = pending.pending_archives(tables["object"].distinct(),
-                                    spark.read.parquet(manifest), "layer features", 11)
-    assert done.count() == 0
-    assert writers.read_layers(spark, path, "groups").count() == 1
+    monkeypatch.setattr(layers, "layers", two_layers)
+    layers.export_layers(tables, path, manifest, 10)
+    before, write = layer_rows(spark, path, LINKS), writers.write_layers
+
+    class Killed(BaseException):
+        pass
+
+    def broken(named, *args, **options):
+        if "attributes" in named:
+            raise Killed
+        write(named, *args, **options)
+
+    monkeypatch.setattr(writers, "write_layers", broken)
+    changed = {**tables, "object_rel": tables["object_rel"].limit(0)}
+    try:
+        layers.export_layers(changed, path, manifest, 11)
+    except Killed:
+        pass
+    assert layer_rows(spark, path, LINKS) == before
+    monkeypatch.setattr(writers, "write_layers", write)
+    assert layers.export_layers(changed, path, manifest, 11)["done"] == ["a1", "a2", "a3"]
+    # a new version takes the place of the old one
+    assert layer_rows(spark, path, LINKS) == {k: n for k, n in before.items() if k[0] == "attributes"} != before
+
+
+def test_a_bad_layer_fails_its_archive_alone(spark, tables, tmp_path, monkeypatch):
+    path, manifest, write = str(tmp_path / "out"), str(tmp_path / "manifest"), writers.write_layers
+    monkeypatch.setattr(layers, "layers", two_layers)
+
+    def picky(named, *args, **options):
+        for name, rows in named.items():
+            if name == "attributes" and rows.where("archive = 'a2'").count():
+                raise ValueError("bad value")
+        write(named, *args, **options)
+
+    monkeypatch.setattr(writers, "write_layers", picky)
+    outcome = layers.export_layers(tables, path, manifest, 10)
+    assert sorted(outcome["done"]) == ["a1", "a3"] and outcome["failed"] == ["a2"]
+    failed = pending.latest_status(spark.read.parquet(manifest)).where("status = 'failed'").collect()
+    assert [(r.archive, r.step) for r in failed] == [("a2", "layers")]
+    assert failed[0].message.startswith("layer attributes: bad value")
+    assert "a2" not in {a for _, a in layer_rows(spark, path, LINKS)}
 
 
 def test_extraction_twice_changes_nothing(spark, tables, tmp_path):

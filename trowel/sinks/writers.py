@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from trowel.session import read_if_there, stored
 
@@ -48,16 +48,29 @@ def write_json_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     schema.coalesce(1).write.mode(mode).text(f"{path}/schema")
 
 
-def write_layers(layers: dict[str, DataFrame], path: str, srid: int, mode: str = "overwrite"):
+def write_layers(layers: dict[str, DataFrame], path: str, srid: int, mode: str = "overwrite",
+                 run: str | None = None):
     """Layers as parquet below ``layer=name/archive=name``; the SRID is column metadata.
 
-    An archive without rows in a layer gets no folder there.
+    An archive without rows in a layer gets no folder there. With ``run`` the files lie in a folder
+    of that name and are not read before `publish` names the run for their archive.
     """
+    below = f"/run={run}" if run else ""
     for name, layer in layers.items():
         for column in ("geom", "wkb"):
             if column in layer.columns:
                 layer = layer.withMetadata(column, {"srid": srid, "encoding": "WKB"})
-        clustered(layer).write.mode(mode).partitionBy(A).parquet(f"{path}/layer={name}")
+        clustered(layer).write.mode(mode).partitionBy(A).parquet(f"{path}/layer={name}{below}")
+
+
+PUBLISHED = "archive string, run string, at timestamp"
+
+
+def publish(archives: DataFrame, path: str, run: str) -> None:
+    """Make the files of a run the layers of some archives. An archive is one row, so it is
+    published whole or not at all."""
+    archives.select(A, F.lit(run).alias("run"), F.current_timestamp().alias("at")).write.mode(
+        "append").parquet(f"{path}/published")
 
 
 def create_features_table(df: DataFrame, name: str, path: str | None = None) -> None:
@@ -176,4 +189,15 @@ def write_table_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
 
 
 def read_layers(spark: SparkSession, path: str, layer: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/layer={layer}")
+    """A layer of all archives; of one written in runs, each archive's run published last."""
+    folder = f"{path}/layer={layer}"
+    # names of archives that look like numbers stay text
+    schema = spark.read.parquet(folder).schema
+    rows = spark.read.schema(StructType([
+        StructField(f.name, StringType(), f.nullable, f.metadata) if f.name in (A, "run") else f
+        for f in schema])).parquet(folder)
+    if "run" not in schema.names:
+        return rows
+    last = read_if_there(spark, f"{path}/published", PUBLISHED).groupBy(A).agg(
+        F.max_by("run", F.struct("at", "run")).alias("run"))
+    return rows.join(last, [A, "run"], "left_semi").drop("run")
