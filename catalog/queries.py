@@ -394,7 +394,7 @@ def _(t):
     out = site.site_summary(t, with_place=False)
     return flat(out.drop("table_array", "table_ct", "site_archive", "parish_name", "lan_name",
                          "geom_centroid_wkt", "x_dispersion", "y_dispersion", "geom",
-                         "eez_name"))
+                         "eez_name", "converged"))
 
 
 @query("site_summary_with_place")

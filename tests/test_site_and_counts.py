@@ -77,3 +77,45 @@ def test_keyword_distance(spark):
 def test_histogram_orders_nulls_last(tables):
     got = [r.Value for r in counts.value_histogram(tables).collect()]
     assert got[-1] is None and got[:-1] == sorted(got[:-1])
+
+
+def exchanges(df):
+    """Shuffles of a plan without broadcasts by size."""
+    spark, key = df.sparkSession, "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_figures_of_one_grouping_are_those_of_the_operators(tables):
+    figures = site.archive_figures(tables)
+    assert exchanges(figures) <= 4
+    got = {r.archive: r.asDict() for r in figures.collect()}
+    assert set(got) == {r.archive for r in site.archive_names(tables).collect()}
+    for operator in (site.project_count, site.class_counts, site.attribute_counts, site.spatial_type_counts,
+                     site.fieldwork_dates, site.recorded_srid):
+        part = operator(tables)
+        held = {r.archive: r.asDict() for r in part.collect()}
+        for archive, row in got.items():
+            for name in part.columns[1:]:
+                want = held[archive][name] if archive in held else 0 if name.endswith("count") else None
+                assert row[name] == want, (archive, name)
+
+
+def test_weighed_value_counts_equal_counted_rows(spark, tables):
+    twice = {**tables, "geo_rel": tables["geo_rel"].union(tables["geo_rel"]),
+             "object": tables["object"].union(tables["object"].where("archive = 'a1'"))}
+    for t in (tables, twice):
+        plain = counts.geo_values(t).groupBy("archive", "Value").count()
+        got = sorted(map(tuple, counts.geo_value_counts(t).collect()), key=str)
+        assert got and got == sorted(map(tuple, plain.collect()), key=str)
+    assert exchanges(counts.geo_value_counts(tables)) <= 7
+
+
+def test_a_centre_that_did_not_converge_is_marked(tables):
+    for rounds, want in ((1, False), (100, True)):
+        rows = site.site_summary(tables, cell=7.0, rounds=rounds).where("geom IS NOT NULL").collect()
+        assert rows and (want in {r.converged for r in rows})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trowel import schema as S
 from trowel.functions import patterns as P
+from trowel.session import stored
 
 A = "archive"
 
@@ -42,6 +43,21 @@ def geo_values(t) -> DataFrame:
             .select(A, "Value"))
 
 
+def geo_value_counts(t) -> DataFrame:
+    """How often each value occurs in `geo_values`: objects are weighed by their links before
+    their values are looked up, so no link meets a value."""
+    links = t["geo_rel"].join(
+        t["geo_object"].select(A, F.col("ObjectId").alias("GeoObjectId")), [A, "GeoObjectId"])
+    weights = (links.select(A, "ObjectId", F.lit(1).alias("links"), F.lit(0).alias("own"))
+               .union(t["object"].select(A, "ObjectId", F.lit(0), F.lit(1)))
+               .groupBy(A, "ObjectId").agg((F.sum("links") * F.sum("own")).alias("weight"))
+               .where("weight > 0"))
+    return (t["attribute"].select(A, "AttributeId", "ObjectId").join(weights, [A, "ObjectId"])
+            .select(A, "AttributeId", "weight")
+            .join(t["attribute_value"].select(A, "AttributeId", "Value"), [A, "AttributeId"])
+            .groupBy(A, "Value").agg(F.sum("weight").alias("n")))
+
+
 def geo_attribute_values(t) -> DataFrame:
     return geo_values(t).select(F.col("Value").alias("value")).distinct()
 
@@ -49,17 +65,18 @@ def geo_attribute_values(t) -> DataFrame:
 def feature_count(t, pattern: str = P.POSTHOLE_COUNT, label: str = P.POSTHOLE_LABEL) -> DataFrame:
     """Values that match the pattern, with their share of all values, and a total row.
 
-    Values are counted per archive once; the pattern then runs on distinct values only,
-    and shares and totals come from those counts.
+    Values are counted per archive once and stored; the pattern then runs on distinct values
+    only, and shares and totals come from those counts.
     """
-    counted = geo_values(t).groupBy(A, "Value").agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.withColumn("hit", F.coalesce(P.marked(F.col("Value")).rlike(pattern), F.lit(False)))
-    totals = counted.groupBy(A).agg(
-        F.sum("n").alias("total_features"),
-        F.coalesce(F.sum(F.when(F.col("hit"), F.col("n"))), F.lit(0)).alias("all_hits"))
-    every = t["object"].select(A).distinct().join(totals, A, "left").select(
-        A, F.lit(label).alias("feature"), F.coalesce("all_hits", F.lit(0)).alias("feature_count"),
-        F.coalesce("total_features", F.lit(0)).alias("total_features"))
+    hit = F.coalesce(P.marked(F.col("Value")).rlike(pattern), F.lit(False))
+    counted = stored(geo_value_counts(t).withColumn("hit", hit), "counted")
+    # archives without any such value have a row of zeros
+    known = counted.select(A, "n", F.when(F.col("hit"), F.col("n")).otherwise(0).alias("hits"))
+    none = F.lit(0).cast("bigint")
+    totals = known.union(t["object"].select(A).distinct().select(A, none, none)).groupBy(A).agg(
+        F.sum("n").alias("total_features"), F.sum("hits").alias("all_hits"))
+    every = totals.select(A, F.lit(label).alias("feature"), F.col("all_hits").alias("feature_count"),
+                          "total_features")
     each = counted.where("hit").join(totals, A).select(
         A, F.col("Value").alias("feature"), F.col("n").alias("feature_count"), "total_features")
     share = F.round(F.col("feature_count").cast("decimal(20,10)")

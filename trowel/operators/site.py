@@ -10,7 +10,7 @@ from trowel.functions.geometry import geom_stats, number_text, point_wkb
 from trowel.functions.lists import element, fold
 from trowel.operators.median import geometric_median
 from trowel.operators.spatial import region_hits
-from trowel.session import cut_lineage
+from trowel.session import broadcast_if_small, cut_lineage
 
 A = "archive"
 
@@ -19,50 +19,101 @@ def _count_of(condition: Column, column: str) -> Column:
     return F.count(F.when(condition, F.col(column)))
 
 
+# Figures of an archive: the narrow rows they are taken from, with column names of their own, and the
+# aggregates. `archive_figures` unites the rows, so that one grouping gives all figures.
+def _objects(t):
+    return t["object"].select(A, "ClassId")
+
+
+def _project_count():
+    return [_count_of(F.col("ClassId") == S.CLASS_PROJECT, "ClassId").alias("project_count")]
+
+
+def _class_counts():
+    return [_count_of(F.col("ClassId") == c, "ClassId").alias(name) for name, c in (
+        ("surveyed_arch_object_count", S.CLASS_SURVEYED), ("fornlamning_count", S.CLASS_MONUMENT),
+        ("omrade_or_schakt_count", S.CLASS_TRENCH))]
+
+
+def _attributes(t):
+    return t["attribute"].select(A, F.col("MetaId").alias("attribute_meta"), "Label")
+
+
+def _attribute_counts():
+    return [_count_of(F.col("attribute_meta") == meta, "Label").alias(name)
+            for name, meta in (("sample_count", S.META_SAMPLE), ("find_count", S.META_FIND))]
+
+
+def _spatial_types(t):
+    """Geometries counted by definition first: few rows are left to join."""
+    held = t["geo_object"].groupBy(A, "MetaId").agg(F.count(F.lit(1)).alias("held"))
+    return (held.join(t["geo_object_def"].select(A, "MetaId", "Type"), [A, "MetaId"])
+            .select(A, F.col("MetaId").alias("spatial_meta"), F.when(F.col("Type").isNotNull(), F.col("held")).alias("held")))
+
+
+def _spatial_type_counts():
+    return [F.coalesce(F.sum(F.when(F.col("spatial_meta").isin(*metas), F.col("held"))), F.lit(0)).alias(name)
+            for name, metas in (("point_count", S.META_POINTS), ("polygon_count", [S.META_POLYGON]),
+                                ("polyline_count", [S.META_POLYLINE]))]
+
+
+def _events(t):
+    return t["event"].select(A, F.date_format("Time", "yyyy-MM").alias("month"),
+                             F.col("Description").startswith(S.MEASUREMENT_IMPORT).alias("measured"))
+
+
+def _fieldwork_dates():
+    measured = F.when(F.col("measured"), F.col("month"))
+    return [F.min("month").alias("db_creation_date"), F.min(measured).alias("start_of_fieldwork"),
+            F.max(measured).alias("end_of_fieldwork")]
+
+
+def _noted_srids(t):
+    """Notes are one attribute of many: sent to the values, which stay where they are."""
+    noted = t["attribute"].where(F.col("MetaId") == S.META_SRID).select(A, "AttributeId")
+    return t["attribute_value"].join(broadcast_if_small(noted), [A, "AttributeId"]).select(
+        A, F.col("AttributeValueId").alias("srid_id"), F.struct("Value").alias("srid_value"))
+
+
+def _recorded_srid():
+    first = F.min_by("srid_value", "srid_id")
+    return [first["Value"].try_cast("int").alias("intrasis_srid")]
+
+
 def project_count(t) -> DataFrame:
-    return t["object"].groupBy(A).agg(
-        _count_of(F.col("ClassId") == S.CLASS_PROJECT, "ClassId").alias("project_count"))
+    return _objects(t).groupBy(A).agg(*_project_count())
 
 
 def class_counts(t) -> DataFrame:
-    class_id = F.col("ClassId")
-    return t["object"].groupBy(A).agg(
-        _count_of(class_id == S.CLASS_SURVEYED, "ClassId").alias("surveyed_arch_object_count"),
-        _count_of(class_id == S.CLASS_MONUMENT, "ClassId").alias("fornlamning_count"),
-        _count_of(class_id == S.CLASS_TRENCH, "ClassId").alias("omrade_or_schakt_count"))
+    return _objects(t).groupBy(A).agg(*_class_counts())
 
 
 def attribute_counts(t) -> DataFrame:
-    meta = F.col("MetaId")
-    return t["attribute"].groupBy(A).agg(
-        _count_of(meta == S.META_SAMPLE, "Label").alias("sample_count"),
-        _count_of(meta == S.META_FIND, "Label").alias("find_count"))
+    return _attributes(t).groupBy(A).agg(*_attribute_counts())
 
 
 def spatial_type_counts(t) -> DataFrame:
-    meta = F.col("MetaId")
-    return (t["geo_object"].select(A, "MetaId")
-            .join(t["geo_object_def"].select(A, "MetaId", "Type"), [A, "MetaId"])
-            .groupBy(A).agg(
-                _count_of(meta.isin(*S.META_POINTS), "Type").alias("point_count"),
-                _count_of(meta == S.META_POLYGON, "Type").alias("polygon_count"),
-                _count_of(meta == S.META_POLYLINE, "Type").alias("polyline_count")))
+    """Points, polygons and lines of each archive that has a geometry with a definition."""
+    return _spatial_types(t).groupBy(A).agg(*_spatial_type_counts())
 
 
 def fieldwork_dates(t) -> DataFrame:
-    month = F.date_format("Time", "yyyy-MM")
-    measured = F.when(F.col("Description").startswith(S.MEASUREMENT_IMPORT), month)
-    return t["event"].groupBy(A).agg(
-        F.min(month).alias("db_creation_date"), F.min(measured).alias("start_of_fieldwork"),
-        F.max(measured).alias("end_of_fieldwork"))
+    return _events(t).groupBy(A).agg(*_fieldwork_dates())
 
 
 def recorded_srid(t) -> DataFrame:
     """The SRID noted in the archive; the value with the lowest id if there are several."""
-    noted = t["attribute"].where(F.col("MetaId") == S.META_SRID).select(A, "AttributeId")
-    return (noted.join(t["attribute_value"], [A, "AttributeId"]).groupBy(A)
-            .agg(F.min_by(F.struct("Value"), "AttributeValueId").alias("first"))
-            .select(A, F.col("first.Value").try_cast("int").alias("intrasis_srid")))
+    return _noted_srids(t).groupBy(A).agg(*_recorded_srid())
+
+
+def archive_figures(t) -> DataFrame:
+    """All of these figures of an archive in one row, from one grouping; counts are 0, dates and
+    SRID NULL where a source has no rows."""
+    rows = _objects(t)
+    for more in (_attributes(t), _spatial_types(t), _events(t), _noted_srids(t)):
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    return rows.groupBy(A).agg(*_project_count(), *_class_counts(), *_attribute_counts(),
+                               *_spatial_type_counts(), *_fieldwork_dates(), *_recorded_srid())
 
 
 def multi_project_check(t) -> DataFrame:
@@ -225,16 +276,16 @@ def site_summary(t, with_place: bool = True, inventory: DataFrame | None = None,
                  cell: float = 1000.0, **median_options) -> DataFrame:
     """The site table: one row per archive that has a project object with values.
 
+    ``converged`` is false where the centre is only the best point found in the rounds allowed.
     Of several project objects the lowest id is kept, then the first place by name. Values too
     many for one row go on in further rows, ``part`` above 0, that repeat the other columns.
     """
     listed = site_attributes(t)
     least = listed.groupBy(A).agg(F.min("ObjectId").alias("ObjectId"))
     out = listed.join(least, [A, "ObjectId"], "left_semi").drop("ObjectId", "members")
-    parts = [project_count(t), class_counts(t), attribute_counts(t), spatial_type_counts(t),
-             fieldwork_dates(t), recorded_srid(t)]
+    parts = [archive_figures(t)]
     if with_place:
-        centres = site_centroid(t, **median_options).drop("converged")
+        centres = site_centroid(t, **median_options)
         spots = centres.select(A, "x", "y")
         parish = site_region(spots, t["region"], ["namn", "lan"], cell).groupBy(A).agg(
             F.min(F.struct("namn", "lan")).alias("p")).select(
@@ -269,4 +320,4 @@ def site_summary(t, with_place: bool = True, inventory: DataFrame | None = None,
         given("geom_centroid_wkt", "string"), given("x_dispersion", "double"),
         given("y_dispersion", "double"), "intrasis_srid",
         F.lit(S.TARGET_SRID).alias("likely_srid"), "site_attributes",
-        given("geom", "binary"), given("eez_name", "string"), "part")
+        given("geom", "binary"), given("eez_name", "string"), given("converged", "boolean"), "part")
