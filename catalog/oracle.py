@@ -514,7 +514,7 @@ QUERIES = {
         EXCEPT SELECT "Value", count(*) FROM attribute_value
           WHERE regexp_matches("Value", '(?i)red|hot') GROUP BY ALL""",
     "keyword_distance": """SELECT archive, pk, min(levenshtein(upper(word), 'GIZMO'))::INT
-          AS distance FROM (SELECT archive, "AttributeValueId" AS pk,
+          AS distance, arg_min(word, {'d': levenshtein(upper(word), 'GIZMO'), 'w': word}) AS word FROM (SELECT archive, "AttributeValueId" AS pk,
             unnest(regexp_extract_all("Value", '[A-Za-z0-9_]+|[^A-Za-z0-9_]+')) AS word
           FROM attribute_value) WHERE length(word) > 3
         AND levenshtein(upper(word), 'GIZMO') < 11 GROUP BY ALL""",
@@ -635,7 +635,7 @@ QUERIES["write_layers"] = " UNION ALL ".join(_layer_sql(*pair) for pair in (
 # What a run stores is what its operator gives over all archives.
 for run, operator in (("run_clean_notes", "clean_text"), ("run_check_validity", "validity_report"),
                       ("run_move_to_target", "reproject"), ("run_compare_geometries", "same_geometry_all"),
-                      ("run_compare_partners", "geometry_intersects")):
+                      ("run_compare_partners", "geometry_intersects"), ("run_regions", "objects_in_region")):
     QUERIES[run] = QUERIES[operator]
 
 

@@ -18,7 +18,7 @@ from trowel.functions import text as X
 from trowel.functions.wkb import HOLE, POINT, SHELL, write_rings
 from trowel.operators import counts, eav, relations, reproject, site, spatial
 from trowel.plans import features, layers, runs
-from trowel.session import scratch_path
+from trowel.session import cut_lineage, scratch_path
 from trowel.schema import CORE_TABLES
 from trowel.sinks import writers
 from trowel.sources import archives, pending
@@ -258,6 +258,33 @@ def _(t):
         A, "ObjectId", "wkt")
 
 
+@query("run_regions")
+def _(t):
+    path = scratch_path(t.spark, "regions")
+    tables = {name: t[name] for name in ("object", "geo_object", "region")}
+    early = {name: df.where(F.crc32(A) % 2 == 0) if A in df.columns else df for name, df in tables.items()}
+    for held in (early, tables, tables):
+        runs.regions(held, path, f"{path}/manifest", cell=CELL)
+    return flat(t.spark.read.parquet(f"{path}/regions").drop("part"))
+
+
+@query("run_judge_values")
+def _(t):
+    """Every value with its default status, and its nearest word to the default keyword."""
+    values = counts.attribute_values(t).where(F.col("value").isNotNull()).withColumn("pk", F.col("value"))
+    return runs.judge_values(values).drop("pk")
+
+
+@query("run_export_csv")
+def _(t):
+    """The CSV files of all archives as read back, every column a text, with the place of the site."""
+    path = scratch_path(t.spark, "export")
+    tables = {name: t[name] for name in CORE_TABLES if name not in ("binary_value", "manifest")}
+    for _ in range(2):
+        runs.export_csv(tables, f"{path}/out", f"{path}/manifest", cell=CELL)
+    return t.spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(f"{path}/out")
+
+
 def compared(t):
     """Half of the archives first, then all: the folder with the results."""
     path = scratch_path(t.spark, "compared")
@@ -370,6 +397,14 @@ def _(t):
     return ascii_fields(flat(features.features_csv(t, names, fields).drop(*empty)))
 
 
+@query("features_csv_with_place")
+def _(t):
+    """All columns, with the site table of the run."""
+    sites = cut_lineage(site.site_summary(t, cell=CELL))
+    fields = site.unnest_site_attributes(sites)
+    return ascii_fields(flat(features.features_csv(t, sites.where(F.col("part") == 0), fields)))
+
+
 @query("project_information")
 def _(t):
     sites = site.site_summary(t, with_place=False)
@@ -457,6 +492,11 @@ def _(t):
     return counts.value_status(counts.attribute_values(t), SIMPLE_PATTERN)
 
 
+@query("value_status_postholes")
+def _(t):
+    return counts.value_status(counts.attribute_values(t))
+
+
 @query("value_histogram")
 def _(t):
     return counts.value_histogram(t, F.col("Value").ilike("%b_l%"))
@@ -477,7 +517,7 @@ def _(t):
 def _(t):
     values = t["attribute_value"].select(A, F.col("AttributeValueId").alias("pk"),
                                          F.col("Value").alias("value"))
-    return counts.keyword_distance(values, "GIZMO", key=[A, "pk"]).drop("word")
+    return counts.keyword_distance(values, "GIZMO", key=[A, "pk"])
 
 
 # -- text -----------------------------------------------------------------------------------------
