@@ -6,7 +6,8 @@ entry = importlib.import_module("__spark_entry__")
 
 # Queries whose result SQL cannot give: iterations, projections, look-around patterns.
 ROWS_ONLY = {"prototype_histograms", "site_summary_with_place", "site_centroid", "site_region", "reproject_zone",
-             "likely_srid_cascade", "feature_count_postholes"}
+             "likely_srid_cascade", "feature_count_postholes", "value_status_postholes", "run_judge_values",
+             "features_csv_with_place", "run_export_csv"}
 
 
 def test_names_match():
