@@ -13,7 +13,7 @@ from trowel.functions import planar, wkb
 from trowel.functions import projection as P
 from trowel.functions.wkb import SHELL
 from trowel.operators import reproject, site, spatial, validity
-from trowel.operators.median import geometric_median
+from trowel.operators.median import geometric_median, least_sum
 from trowel.session import cut_lineage
 
 
@@ -407,6 +407,34 @@ def test_median_is_least(spark):
         "single": (3, 4), "row": (2, 4), "at_point": (0, 0)}
 
 
+def test_median_in_ten_rounds(spark):
+    """Clouds, lines, stacks around a point and outliers: the plain search over all points goes no
+    further than the tolerance from there, and no group needs more than ten rounds."""
+    rng = np.random.default_rng(11)
+    around = 2 * np.pi * rng.random(3000)
+    groups = {
+        "cloud": rng.normal((500000, 6500000), (900, 30), (20000, 2)),
+        "two": np.concatenate([rng.normal((0, 0), 1, (5000, 2)), rng.normal((1e6, 1e6), 1, (5000, 2))]),
+        "uneven": np.concatenate([rng.normal((0, 0), 1, (5001, 2)), rng.normal((1e6, 1e6), 1, (4000, 2))]),
+        "line": np.stack([np.arange(4001.0) ** 2, 3 * np.arange(4001.0) ** 2], 1),
+        "star": np.concatenate([[[7.0, 7.0]], 7 + 1e4 * rng.random((3000, 1)) ** 6 * np.stack([np.cos(around), np.sin(around)], 1)]),
+        "outlier": np.concatenate([rng.random((500, 2)), [[1e9, -1e9]]]),
+        "tiny": 500000 + 1e-7 * rng.random((300, 2)),
+        "square": np.array([[0.0, 0], [1, 0], [1, 1], [0, 1]]), "two points": np.array([[0.0, 0], [4, 0]])}
+    df = cut_lineage(spark.createDataFrame(
+        [(k, *map(float, p)) for k, pts in groups.items() for p in pts] + [("cloud", float("nan"), 0.0), ("none", None, 1.0)],
+        "g string, x double, y double"))
+    rows = geometric_median(df, "g", rounds=10).collect()
+    assert {r.g for r in rows} == set(groups) and [r.g for r in rows if not r.converged] == []
+    for r in rows:
+        pts = groups[r.g] - (r.x, r.y)
+        a, b = least_sum(np.ones(len(pts)), pts[:, 0], pts[:, 1], (0.0, 0.0))
+        here, there = np.hypot(*pts.T).sum(), np.hypot(*(pts - (a, b)).T).sum()
+        # the point is the least one to the tolerance; where many are least, the sum is
+        assert math.hypot(a, b) < 2e-5 or (
+            r.g in ("two", "two points") and here <= there * (1 + 1e-12)), (r.g, a, b, here - there)
+
+
 def moved(spark, x, y, source, target):
     pts = F.array(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"),
                            F.lit(None).cast("double").alias("z")))

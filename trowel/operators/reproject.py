@@ -55,7 +55,8 @@ def likely_srid_cascade(t, candidates=CANDIDATES, cell: float = 50000.0,
     """The first system under which an archive's centre falls into a sea zone.
 
     The recorded system comes first (0 counts as the target), then the list.  Without
-    any match the target system is taken.
+    any match the target system is taken.  ``converged`` is false where one of the centres
+    tried is only the best point found in the rounds allowed, NULL without any centre.
     """
     noted = recorded_srid(t).select(
         A, F.when(F.col("intrasis_srid") == 0, TARGET_SRID)
@@ -73,9 +74,10 @@ def likely_srid_cascade(t, candidates=CANDIDATES, cell: float = 50000.0,
     placed = (points.select(A, "rank", "candidate", moved.alias("p"))
               .select(A, "rank", "candidate", "p.x", "p.y")
               .where(~F.isnan("x") & ~F.isnan("y") & (F.abs("x") < 1e8) & (F.abs("y") < 1e8)))
-    centres = geometric_median(cut_lineage(placed), A, "rank", "candidate", **median_options)
+    centres = cut_lineage(geometric_median(cut_lineage(placed), A, "rank", "candidate", **median_options))
     spots = centres.select(A, "rank", "candidate", point_wkb("x", "y").alias("wkb"))
     hits = region_hits(spots, [A, "rank", "candidate"], t["zone"], [], cell)
     best = hits.groupBy(A).agg(F.min(F.struct("rank", "candidate")).alias("best"))
-    return archive_names(t).join(best, A, "left").select(
-        A, F.coalesce("best.candidate", F.lit(TARGET_SRID)).alias("likely_srid"))
+    found = centres.groupBy(A).agg(F.min("converged").alias("converged"))
+    return archive_names(t).join(best, A, "left").join(found, A, "left").select(
+        A, F.coalesce("best.candidate", F.lit(TARGET_SRID)).alias("likely_srid"), "converged")
