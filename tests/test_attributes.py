@@ -152,3 +152,52 @@ def test_geo_object_view(tables):
     assert got[2].attribute_info == [None] and got[2].object_definition == [None]
     assert got[0].parent_relations == ["parent: 20, relationship type: in",
                                        "parent: 21, relationship type: in"]
+
+
+def test_objects_with_many_notes_and_groups_are_joined_in_blocks(spark, tables, monkeypatch):
+    """Notes × groups cut into blocks give the rows and numbers of the plain join, for objects with
+    many notes, many groups, both, or neither, and where an object has two rows in the core."""
+    def more(name, rows):
+        return tables[name].union(spark.createDataFrame(rows, tables[name].schema))
+
+    notes = [("a1", 3000 + i, 900, 10 if i < 7 else 11, "Note") for i in range(9)]
+    groups = [("a1", 400 + i, 9, 52, 400 + i, f"group {i}", 1, None) for i in range(6)]
+    links = [("a1", 400 + i, 10, 500) for i in range(5)] + [("a1", 400 + i, 12, 500) for i in range(6)]
+    group_notes = [("a1", 3100 + i, 900, 400 + i % 2, "Note") for i in range(3)]
+    t = {**tables, "attribute": more("attribute", notes + group_notes), "object": more("object", groups),
+         "object_rel": more("object_rel", links),
+         "free_text": more("free_text", [("a1", r[1], rf"{{\rtf1 \fs17 text {r[1]}\par }}") for r in notes + group_notes]),
+         "definition": tables["definition"].union(tables["definition"].where("archive = 'a1' AND MetaId = 183"))}
+
+    def result():
+        rows = features.features_table(t).collect()
+        return sorted((tuple(r) for r in rows), key=lambda r: (r[1], r[0]))
+
+    plain = result()
+    assert len([r for r in plain if r[2] == 10 and r[1] == "a1"]) == 2 * 9 * (2 + 6)  # two core rows, notes, groups
+    for rows, stretch in ((1, 1), (3, 2), (3, 4), (20, 256)):
+        monkeypatch.setattr(features, "BLOCK_ROWS", rows)
+        monkeypatch.setattr(features, "STRETCH", stretch)
+        assert result() == plain
+
+
+def test_one_object_with_very_many_notes_is_spread_over_tasks(spark, tables):
+    number = F.col("id").cast("int") + 100_000
+    notes = spark.range(20_000).select(
+        F.lit("a1").alias("archive"), number.alias("AttributeId"), F.lit(900).alias("MetaId"),
+        F.lit(10).alias("ObjectId"), F.lit("Note").alias("Label"), F.lit(r"{\rtf1 \fs17 text\par }").alias("Text"))
+    links = spark.range(10).select(
+        F.lit("a1").alias("archive"), (F.col("id").cast("int") % 2 + 20).alias("ParentId"),
+        F.lit(10).alias("ChildId"), F.lit(500).alias("MetaId"))
+    t = {**tables, "attribute": tables["attribute"].unionByName(notes.drop("Text")),
+         "free_text": tables["free_text"].unionByName(notes.select("archive", "AttributeId", "Text")),
+         "object_rel": tables["object_rel"].unionByName(links)}
+    rows = features.features_table(t).where("object_id = 10 AND intrasis_archive = 'a1'")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # few rows: else one task
+    try:
+        held = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(held) == 20_002 * 12
+    assert max(held) < 2 * sum(held) / 4  # four tasks
+    assert rows.agg(F.min("pk"), F.max("pk"), F.count_distinct("pk")).first()[2] == 20_002 * 12

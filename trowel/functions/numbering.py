@@ -10,13 +10,15 @@ from trowel.session import stored
 BLOCK_BITS = 16  # ids are summed up in blocks of 65,536
 
 
-def start_numbers(rows: DataFrame, group: str, id_col: str) -> DataFrame:
+def start_numbers(rows: DataFrame, group: str, id_col: str, number: str | None = None) -> DataFrame:
     """How many rows of the group come before each id: group, id, ``before``.
 
     Counts per id are summed up within blocks of ids, and the blocks' sums within the
-    group, so no window spans more than a block or the list of blocks.
+    group, so no window spans more than a block or the list of blocks. With ``number`` a row
+    stands for as many rows as that column says.
     """
-    per_id = rows.groupBy(group, id_col).agg(F.count(F.lit(1)).alias("_n")).withColumn(
+    count = F.count(F.lit(1)) if number is None else F.sum(number)
+    per_id = rows.groupBy(group, id_col).agg(count.alias("_n")).withColumn(
         "_block", F.shiftright(id_col, BLOCK_BITS))
     blocks = per_id.groupBy(group, "_block").agg(F.sum("_n").alias("_n"))
 

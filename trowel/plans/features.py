@@ -6,18 +6,21 @@ partitioning and each side is shuffled once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trowel.functions.geometry import decode_shape, ewkt, flat_tidy_wkb, tidy_wkb
-from trowel.functions.numbering import number_rows, start_numbers
+from trowel.functions.numbering import number_rows, places_in_groups, start_numbers
 from trowel.functions.text import clean_text_csv
 from trowel.operators import eav, relations
-from trowel.session import broadcast_if_small, cut_lineage
+from trowel.session import broadcast_if_small, cut_lineage, stored
 
 A = "archive"
 KEY = [A, "object_id"]
 
+BLOCK_ROWS = 65_536  # an object with more rows than this, notes times groups, is joined in blocks
+STRETCH = 256        # notes, and groups, of one block
+
 
 def feature_core(t, strict: bool = False) -> DataFrame:
     """Linked objects with class names and their first geometry (lowest geometry id).
@@ -67,15 +70,16 @@ def _core(t, strict: bool) -> DataFrame:
                 "srid", "geoobject_meta_id", "geoobject_symbol_id", "spatial_type"))
 
 
-def _numbered(core: DataFrame, lists, list_names, texts: DataFrame, members: DataFrame,
+def _numbered(t, core: DataFrame, lists, list_names, texts: DataFrame, members: DataFrame,
               text_name: str) -> DataFrame:
-    """Core rows with lists, notes and groups, numbered; notes and groups multiply rows.
+    """Core rows with lists, notes, groups and bytes, numbered; notes and groups multiply rows.
 
     A list too long for one row goes on in further rows with numbers of their own: they have
-    ``part`` above 0 and neither note nor group.
+    ``part`` above 0 and neither note nor group. Objects whose notes times groups are more than
+    ``BLOCK_ROWS`` are joined block by block, see ``_in_blocks``.
     """
     # read several times below: the joins of the core and the cleaning run once
-    core, texts = cut_lineage(core), cut_lineage(texts)
+    core, texts = stored(core, "core"), stored(texts, "notes")
     first, more = _first_and_more(lists.select(*KEY, "part", *list_names))
     notes = texts.select(*KEY, "text_id", F.col("description").alias(text_name))
     group_notes = texts.select(A, F.col("object_id").alias("group_id"),
@@ -83,15 +87,65 @@ def _numbered(core: DataFrame, lists, list_names, texts: DataFrame, members: Dat
                                F.col("description").alias("group_description"))
     groups = members.where(F.col("object_id").isNotNull()).join(
         group_notes, [A, "group_id"], "left")
-    # the folded lists have one row per object, so only notes and groups count
-    counted = (core.select(*KEY).join(notes.select(*KEY), KEY, "left")
-               .join(groups.select(*KEY), KEY, "left")).union(
-        core.select(*KEY).join(more.select(*KEY), KEY))
-    starts = cut_lineage(start_numbers(counted, A, "object_id"))
-    rows = core.join(first, KEY, "left").join(notes, KEY, "left").join(groups, KEY, "left").withColumn(
-        "part", F.lit(0))
-    rows = rows.unionByName(core.join(more, KEY), allowMissingColumns=True)
-    return number_rows(rows, starts, A, "object_id", ["part", *TIES])
+    # the rows of an object are counted, not made: one per core row, note and group
+    sizes = core.groupBy(*KEY).agg(F.count(F.lit(1)).alias("cores"))
+    for side, name in ((notes, "notes"), (groups, "groups"), (more, "more")):
+        sizes = sizes.join(side.groupBy(*KEY).agg(F.count(F.lit(1)).alias(name)), KEY, "left")
+    block = F.greatest("notes", F.lit(1)) * F.greatest("groups", F.lit(1))
+    sizes = stored(sizes.na.fill(0, ["notes", "groups", "more"]).withColumn(
+        "rows", F.col("cores") * (block + F.col("more"))), "sizes")
+    starts = stored(start_numbers(sizes, A, "object_id", "rows"), "starts")
+    wide = sizes.where(block > BLOCK_ROWS).join(starts, KEY)
+    wide = stored(wide.select(*KEY, "cores", F.greatest("notes", F.lit(1)).alias("notes"),
+                              F.greatest("groups", F.lit(1)).alias("groups"), "before"), "wide")
+
+    def joined(core: DataFrame) -> DataFrame:
+        rows = core.join(first, KEY, "left").join(notes, KEY, "left").join(groups, KEY, "left")
+        rows = rows.withColumn("part", F.lit(0)).unionByName(core.join(more, KEY), allowMissingColumns=True)
+        return number_rows(rows, starts, A, "object_id", ["part", *TIES])
+
+    if wide.isEmpty():
+        return with_shapes(t, joined(core))
+    wide = broadcast_if_small(wide)
+    # here the bytes come first: once for each block, not for each of its rows
+    blocks = _in_blocks(with_shapes(t, core.join(wide, KEY)), first, more, notes, groups, wide)
+    return with_shapes(t, joined(core.join(wide, KEY, "left_anti"))).unionByName(blocks, allowMissingColumns=True)
+
+
+def _in_blocks(core: DataFrame, first: DataFrame, more: DataFrame, notes: DataFrame, groups: DataFrame,
+               wide: DataFrame) -> DataFrame:
+    """The numbered rows of the objects in ``wide``, whose notes times groups are very many.
+
+    Notes and groups get their place within the object by ranges of their ids and are cut into
+    stretches of ``STRETCH``. Each pair of stretches is a block with its own copy of both and of
+    the core row, so no task has to hold an object; a row's number follows from its places.
+    """
+    def placed(side: DataFrame, order: list[str], name: str, other: str) -> DataFrame:
+        rows = places_in_groups(side.join(wide, KEY, "left_semi").withColumn("weight", F.lit(0)), KEY, order, "weight")
+        rows = rows.drop("weight", "weight_before").withColumnRenamed("place", f"{name}_place").withColumn(
+            f"{name}_stretch", F.expr(f"cast({name}_place div {STRETCH} as int)"))
+        rows = rows.join(wide.select(*KEY, F.col(other).alias("_other")), KEY)
+        return rows.withColumn(f"{other}_stretch", stretches("_other")).drop("_other")
+
+    def stretches(total: str):
+        return F.explode(F.sequence(F.lit(0), F.expr(f"cast(({total} - 1) div {STRETCH} as int)")))
+
+    core = core.withColumn("core_no", F.row_number().over(
+        Window.partitionBy(*KEY).orderBy("class", "subclass", "geoobject_id")))
+    cells = [*KEY, "notes_stretch", "groups_stretch"]
+    rows = core.join(first, KEY, "left").withColumn("notes_stretch", stretches("notes")).withColumn(
+        "groups_stretch", stretches("groups"))
+    rows = rows.join(placed(notes, ["text_id"], "notes", "groups"), cells, "left").join(
+        placed(groups, ["group_id", "group_text_id"], "groups", "notes"), cells, "left")
+    none = F.lit(0)
+    place = F.coalesce("notes_place", none) * F.col("groups") + F.coalesce("groups_place", none)
+    rows = rows.withColumn("part", F.lit(0)).withColumn(
+        "pk", F.col("before") + place * F.col("cores") + F.col("core_no"))
+    further = core.join(more, KEY).withColumn("pk", F.col("before") + F.col("notes") * F.col("groups") * F.col(
+        "cores") + F.row_number().over(Window.partitionBy(*KEY).orderBy("part", "core_no")))
+    return rows.unionByName(further, allowMissingColumns=True).drop(
+        "core_no", "cores", "notes", "groups", "before", "notes_place", "groups_place",
+        "notes_stretch", "groups_stretch")
 
 
 def _first_and_more(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -106,9 +160,9 @@ def features_table(t, public_id: bool = True) -> DataFrame:
     """The feature table of every archive; geometry tidied and made two-dimensional."""
     texts = relations.object_texts(t)
     lists = eav.object_lists(eav.attr_items(t, "table"), {"attr_array": "attr"})
-    rows = _numbered(_core(t, False), lists, ["attr_array"], texts, relations.group_members(t),
+    rows = _numbered(t, _core(t, False), lists, ["attr_array"], texts, relations.group_members(t),
                      "object_description")
-    rows = with_shapes(t, rows).withColumn("geom", flat_tidy_wkb("wkb"))
+    rows = rows.withColumn("geom", flat_tidy_wkb("wkb"))
     columns = ["pk", F.col(A).alias("intrasis_archive"), "object_id"]
     if public_id:
         columns.append(F.col("object_public_id").alias("b_id"))
@@ -133,9 +187,9 @@ def features_csv(t, sites: DataFrame, fields: DataFrame) -> DataFrame:
     texts = relations.object_texts(t, clean_text_csv)
     items = eav.attr_items(t, "csv").union(relations.relation_items(t))
     names = {"attr_array": "attr", "parent_relations": "parent", "child_relations": "child"}
-    rows = _numbered(_core(t, True), eav.object_lists(items, names), list(names),
+    rows = _numbered(t, _core(t, True), eav.object_lists(items, names), list(names),
                      texts, relations.group_members(t), "feature_description")
-    shaped = with_shapes(t, rows).withColumn("wkb", tidy_wkb("wkb")).withColumn("shape", decode_shape("wkb"))
+    shaped = rows.withColumn("wkb", tidy_wkb("wkb")).withColumn("shape", decode_shape("wkb"))
     about = _columns(sites, SITE_COLUMNS).join(_columns(fields, SITE_FIELDS), A, "left")
     wide = shaped.join(broadcast_if_small(about), A, "left")
     return wide.select(
