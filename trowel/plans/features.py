@@ -135,6 +135,9 @@ def _in_blocks(core: DataFrame, first: DataFrame, more: DataFrame, notes: DataFr
     cells = [*KEY, "notes_stretch", "groups_stretch"]
     rows = core.join(first, KEY, "left").withColumn("notes_stretch", stretches("notes")).withColumn(
         "groups_stretch", stretches("groups"))
+    # a fixed number of tasks: the blocks are few and small until notes and groups multiply them
+    tasks = int(core.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, *cells)
     rows = rows.join(placed(notes, ["text_id"], "notes", "groups"), cells, "left").join(
         placed(groups, ["group_id", "group_text_id"], "groups", "notes"), cells, "left")
     none = F.lit(0)
