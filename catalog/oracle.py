@@ -14,7 +14,13 @@ def _dictionary(name, columns, rows, select):
             f"(VALUES {_values(rows)}) v({columns}))")
 
 
-# The core tables.  Geometries are kept as numbers: kind, x0, y0, x1, y1.
+# The core tables of every archive.
+ARCHIVE_TABLES = (
+    "object", "geo_object", "geo_rel", "attribute", "attribute_value", "attribute_def", "free_text",
+    "binary_value", "definition", "alternative_def", "geo_object_def", "object_def", "sub_class_def",
+    "relation_def", "object_rel", "event")
+
+# Geometries are kept as numbers: kind, x0, y0, x1, y1.
 PREFIX = f"""
 WITH nat AS (SELECT 'nation_' || n_nationkey AS archive, n_nationkey AS k, n_name, n_regionkey
              FROM nation),
@@ -283,8 +289,8 @@ SUMMARY = """SELECT s.archive, s.site_name, db_creation_date, start_of_fieldwork
 QUERIES = {
     # sources
     "archive_list": "SELECT DISTINCT archive FROM object",
-    "read_archives": """SELECT archive, 'object' AS name, count(*) AS n FROM object GROUP BY ALL
-        UNION ALL SELECT archive, 'object_rel', count(*) FROM object_rel GROUP BY ALL""",
+    "read_archives": " UNION ALL ".join(
+        f"SELECT archive, '{name}' AS name, count(*) AS n FROM {name} GROUP BY ALL" for name in ARCHIVE_TABLES),
     "read_reference_layer": """SELECT namn, lan, x0::BIGINT AS x0, y0::BIGINT AS y0,
         x1::BIGINT AS x1, y1::BIGINT AS y1 FROM region_box""",
     "pending_archives": """SELECT archive FROM (SELECT DISTINCT archive FROM object) WHERE archive
@@ -295,17 +301,14 @@ QUERIES = {
     "pending_by_output": """SELECT DISTINCT archive FROM object WHERE archive NOT IN
         (SELECT archive FROM attribute WHERE "MetaId" = 69 GROUP BY ALL HAVING count(*) > 1)""",
     "table_inventory": """SELECT archive, string_agg(name, '|' ORDER BY name) AS table_array,
-        count(*) AS table_ct FROM (SELECT DISTINCT archive, 'object' AS name FROM object
-        UNION SELECT archive, 'geo_rel' FROM geo_rel UNION SELECT archive, 'event' FROM event
-        UNION SELECT archive, 'free_text' FROM free_text
-        UNION SELECT archive, 'binary_value' FROM binary_value) GROUP BY ALL""",
+        count(*) AS table_ct FROM (""" + " UNION ".join(
+            f"SELECT archive, '{name}' AS name FROM {name}" for name in ARCHIVE_TABLES) + ") GROUP BY ALL",
     # sinks
     "write_csv": FIND,
     "write_json_table": """SELECT archive, count("Value") AS blob_count,
         coalesce(sum(octet_length("Value")), 0)::BIGINT AS blob_bytes
         FROM binary_value GROUP BY ALL""",
-    "create_features_table": """SELECT archive, object_id, object_name, class, subclass, wkt AS geom,
-        spatial_type FROM core""",
+    "create_features_table": FEATURES.replace("{B_ID}", "b_id,"),
     "insert_if_absent": FIND,
     "update_from": """SELECT r.archive, r."ObjectId", coalesce(n.c, 0)::BIGINT AS links
         FROM object r LEFT JOIN (SELECT archive, "ParentId", count(*) AS c FROM object_rel
@@ -483,9 +486,12 @@ QUERIES = {
         FROM (SELECT DISTINCT archive FROM object)
         LEFT JOIN (SELECT archive, count(x) AS n FROM geo_object GROUP BY ALL) USING (archive)
         LEFT JOIN (SELECT archive, count(*) AS e FROM object_rel GROUP BY ALL) USING (archive)""",
-    "blob_metrics": """SELECT archive, "MimeType", count("Value") AS blob_count,
-        coalesce(sum(octet_length("Value")), 0)::BIGINT AS blob_bytes
-        FROM binary_value GROUP BY ALL""",
+    "blob_metrics": f"""SELECT *, CASE {" ".join(
+            f"WHEN blob_bytes >= {10 * 1024 ** p} THEN round(blob_bytes / {1024 ** p})::BIGINT || ' {u}'"
+            for p, u in ((5, "PB"), (4, "TB"), (3, "GB"), (2, "MB"), (1, "kB")))}
+          ELSE blob_bytes || ' bytes' END AS blob_storage_size
+        FROM (SELECT archive, "MimeType", count("Value") AS blob_count,
+          coalesce(sum(octet_length("Value")), 0)::BIGINT AS blob_bytes FROM binary_value GROUP BY ALL)""",
     # counting
     "find_count": FIND,
     "select_finds": """SELECT o.*, a."AttributeId", a."MetaId", a."Label", v."AttributeValueId",

@@ -7,12 +7,13 @@ compared with the SQL of `catalog.oracle`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.oracle import LAYER_COLUMNS
+from catalog.oracle import ARCHIVE_TABLES, LAYER_COLUMNS
 from trowel.functions import geometry as G
 from trowel.functions import text as X
 from trowel.functions.wkb import HOLE, POINT, SHELL, write_rings
@@ -70,12 +71,12 @@ def _(t):
 
 @query("read_archives")
 def _(t):
-    for name in ("object", "object_rel"):
+    for name in ARCHIVE_TABLES:
         t[name]  # make sure the store holds them
-    tables = archives.read_archives(t.spark, t.root, ("object", "object_rel"))
+    tables = archives.read_archives(t.spark, t.root, ARCHIVE_TABLES)
     counted = [df.groupBy(A).agg(F.count(F.lit(1)).alias("n"))
                .select(A, F.lit(name).alias("name"), "n") for name, df in tables.items()]
-    return counted[0].union(counted[1])
+    return reduce(DataFrame.union, counted)
 
 
 @query("read_reference_layer")
@@ -110,7 +111,7 @@ def _(t):
 
 @query("table_inventory", stored=False)
 def _(t):
-    return flat(site.held_tables(t, ("object", "geo_rel", "event", "free_text", "binary_value")))
+    return flat(site.held_tables(t, ARCHIVE_TABLES))
 
 
 # -- sinks -----------------------------------------------------------------------------
@@ -159,12 +160,10 @@ def _(t):
 def _(t):
     path = scratch_path(t.spark, "features")
     name = "features_" + path.rsplit("-", 1)[1]
-    core = features.feature_core(t).withColumn("wkb", G.flat_tidy_wkb("wkb"))
-    writers.create_features_table(core, name, path)
-    writers.create_features_table(core.limit(0), name, path)  # exists: nothing happens
-    written = as_wkt(t.spark.table(name), "wkb", "geom")
-    return written.select(A, "object_id", "object_name", "class", "subclass", "geom",
-                          "spatial_type")
+    rows = features.features_table(t)
+    writers.create_features_table(rows, name, path)
+    writers.create_features_table(rows.limit(0), name, path)  # exists: nothing happens
+    return as_wkt(t.spark.table(name), "geom", "geom").drop("part", "srid")
 
 
 @query("insert_if_absent")
@@ -469,7 +468,7 @@ def _(t):
 
 @query("blob_metrics", stored=False)
 def _(t):
-    return site.blob_metrics(t, by_type=True).drop("blob_storage_size")
+    return site.blob_metrics(t, by_type=True)
 
 
 # -- counting ----------------------------------------------------------------------------------
