@@ -14,28 +14,34 @@ from trowel.llm.common import read, stored
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that score as toxic go. Voters and classifier are fitted on this stage's
-    documents and the labels of the folder."""
+    documents and the labels of the folder. Null and empty texts are scored as empty ones,
+    repeated rows share their fate, long texts count whole; without any label every score is low."""
     return toxicity.drop_toxic(docs, read(spark, folder, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id."""
+    """One document of each group of near copies stays, the one with the smallest id. Null
+    and empty texts have one fingerprint and so form a group; of repeated rows one stays; null ids
+    come last; long texts count whole."""
     return simhash.drop_near_duplicates(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that hold a word window of a benchmark item go."""
+    """Documents that hold a word window of a benchmark item go. Null and empty texts hold
+    none and stay; repeated rows share their fate; long texts are scanned whole."""
     return decontaminate.remove_contaminated(docs, read(spark, folder, "benchmark"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents stay; secrets in them give way to marks, live credentials to another one
-    than widely copied examples, and n_chars follows."""
+    than widely copied examples, and n_chars follows. Null and empty texts stay as they are,
+    repeated rows are masked alike, long texts are scanned whole."""
     return secrets.mask_secrets(docs, **secrets.owner_columns(), length_col="n_chars")
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """doc_id, ids, and the digests of ids and decoded text."""
+    """doc_id, ids, and the digests of ids and decoded text. Null and empty texts have no ids;
+    repeated rows are each encoded; long texts are encoded whole."""
     return bpe.digests(bpe.encode(docs, bpe.word_vocabulary(), decoded=True), keep_ids=True)
 
 
