@@ -150,6 +150,10 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, what: str = "document
 
     ``what`` is "documents" (rows with a hit go) or "spans" (the hit words go, each with what
     separates it from the next word; text before the first word and all other words stay).
+
+    Defined cases: null and empty texts have no words and stay as they are; long texts are
+    scanned whole; repeated rows share their fate; without items, or with items of no word,
+    everything stays; an empty table gives an empty one; further columns stay, whatever their names.
     """
     if what not in ("documents", "spans"):
         raise ValueError("what is 'documents' or 'spans'")

@@ -149,7 +149,12 @@ def mask_secrets(docs: DataFrame, owner: Column, repository: Column, id_col: str
                  text_col: str = "text", length_col: str | None = None, **options) -> DataFrame:
     """The rows with all secrets masked: live credentials and widely copied examples get
     different marks, all other text and rows stay. ``length_col``, if given, is the text's
-    length and is set anew where the text changed."""
+    length and is set anew where the text changed.
+
+    Defined cases: null and empty texts stay as they are, so does their length; long texts are
+    scanned whole; repeated rows all stay and are masked alike; spans that meet are masked once;
+    an empty table gives an empty one; further columns stay, whatever their names.
+    """
     names = docs.columns
     found = scan_secrets(docs, owner, repository, id_col, text_col, keep=names, **options)
     kept = {c: F.col(f"keep_{i}") for i, c in enumerate(names)}

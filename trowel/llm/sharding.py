@@ -64,6 +64,9 @@ def number_slots(assigned: DataFrame, order: list[str], shard_col: str = "shard"
     Sorted by ranges of shard, order and a row number, so that neither a large shard nor a key
     that many rows share lands in one task. The sorted rows are written once; the place of each
     task's rows in a shard then follows from a table of one row for each task and shard.
+
+    Defined cases: nulls come first in the order; equal rows get numbers of their own, in any
+    order; an empty table gives an empty one; names used on the way avoid those of the rows.
     """
     row, at, task, first, n, before = free_names(assigned, "row", "at", "task", "first", "n", "before")
     numbered = stored(assigned.withColumn(row, F.monotonically_increasing_id()), "assigned")
@@ -81,7 +84,11 @@ def number_slots(assigned: DataFrame, order: list[str], shard_col: str = "shard"
 
 def write_shards(assigned: DataFrame, path: str, shard_col: str = "shard", files_per_shard: int = 1) -> None:
     """Each shard as a folder of parquet files below ``path``; a shard's rows are dealt to
-    ``files_per_shard`` tasks, so that no shard depends on one."""
+    ``files_per_shard`` tasks, so that no shard depends on one.
+
+    Defined cases: nulls, empty and long texts are written as they are, repeated rows each; an
+    empty table, as a shard without rows, leaves no folder of a shard; ``path`` must be new.
+    """
     deal = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_shard))
     assigned.repartition(shard_col, deal).write.partitionBy(
         shard_col).parquet(path)

@@ -279,7 +279,12 @@ def classify_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                threshold: float = THRESHOLD, **options) -> DataFrame:
-    """The rows that score below ``threshold``; columns and their order stay."""
+    """The rows that score below ``threshold``; columns and their order stay.
+
+    Defined cases: a null text is scored as an empty one; a score equal to the threshold goes;
+    long texts are scored whole; repeated rows share their fate; an empty table gives an empty
+    one; further columns stay, whatever their names.
+    """
     model = fit(docs, labels, id_col, text_col, **options)
     return docs.where(score_toxicity(docs, model, text_col) < threshold)
 
