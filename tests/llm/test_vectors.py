@@ -36,6 +36,16 @@ def test_recall_in_a_shard():
     assert np.mean([len(set(a[:6]) & set(b)) / 6 for a, b in zip(found, best)]) > 0.95
 
 
+def test_recall_of_long_vectors():
+    rng = np.random.default_rng(3)
+    for length in (64, 384):
+        units, asked = (vectors._units(rng.normal(size=(n, length))) for n in (1500, 100))
+        graph, entries = vectors.build_graph(units)
+        found, _ = vectors.beam_search(units, graph, entries, asked, vectors.search_beam(length))
+        best = np.argsort(-(asked @ units.T), axis=1)[:, :5]
+        assert np.mean([len(set(a[:5]) & set(b)) / 5 for a, b in zip(found, best)]) >= 0.9
+
+
 def test_query_recall_and_scores(spark):
     folder = "/root/testdata/sf0.01"
     rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
@@ -81,6 +91,13 @@ def test_queries_in_blocks(spark):
     asked = classes.select(F.col("class_no").alias("query_no"), "vector")
     one = vectors.search(index, asked, 3).groupBy("query_no").agg(F.max("score")).count()
     assert vectors.search(index, asked, 3, query_block=25).groupBy("query_no").agg(F.max("score")).count() == one == 120
+    rows = sorted(map(tuple, vectors.search(index, asked, 3).collect()))
+    assert sorted(map(tuple, vectors.search(index, asked, 3, query_block=25).collect())) == rows
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # shards and queries cut anywhere
+    try:
+        assert sorted(map(tuple, vectors.search(index, asked, 3).collect())) == rows
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_scores_of_very_large_and_small_components(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -14,10 +15,10 @@ from pyspark.sql import Window
 from trowel.llm.common import read, stored
 
 SHARD_VECTORS = 4096   # vectors of one graph, about
-QUERY_BLOCK = 4096     # queries searched in one call, about
+QUERY_BLOCK = 4096     # queries for which a shard is copied, at least
 DEGREE = 24            # edges out of a node
 BEAM = 48              # nodes kept while searching to build
-SEARCH_BEAM = 64       # and while answering
+SEARCH_BEAM = 64       # and while answering, and one more for every two components
 RELAX = 1.2            # how much longer a detour may be before an edge is kept
 BATCH = 512            # nodes inserted together
 WIDTH = 4              # beam nodes followed in one step
@@ -187,47 +188,74 @@ def build_index(classes: DataFrame, shard_vectors: int = SHARD_VECTORS, seed: in
     return stored(placed.groupBy("shard").applyInPandas(built, kind), "graph")
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM,
+def search_beam(length: int) -> int:
+    """Nodes kept while answering: more for longer vectors, whose distances differ less."""
+    return SEARCH_BEAM + length // 2
+
+
+def _answered(k: int, beam: int | None):
+    """Answers a stream of shards, each with its nodes ahead of its queries; what is held is the
+    nodes of one shard and a batch of queries."""
+    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard, held, ready = None, [], None
+        for batch in batches:
+            for key, rows in batch.groupby(["shard", "block"], sort=False):
+                if key != shard:
+                    shard, held, ready = key, [], None
+                nodes, asked = rows[~rows["asks"]], rows[rows["asks"]]
+                if len(nodes):
+                    held.append(nodes)
+                if asked.empty or not held:
+                    continue
+                if ready is None:
+                    own = pd.concat(held)
+                    vectors = _matrix(own["vector"])
+                    ready = (own["no"].to_numpy(), vectors, _units(vectors), np.stack(own["neighbours"].to_numpy()),
+                             np.flatnonzero(own["entry"].to_numpy(bool)))
+                numbers, vectors, units, graph, entries = ready
+                for start in range(0, len(asked), BATCH):
+                    some = asked.iloc[start:start + BATCH]
+                    wanted = _matrix(some["vector"])
+                    near, _ = beam_search(units, graph, entries, _units(wanted), beam or search_beam(units.shape[1]))
+                    r, c = np.nonzero(near >= 0)
+                    a, b = _scaled(vectors[near[r, c]]), _scaled(wanted[r])
+                    score = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
+                    found = pd.DataFrame({"query_no": some["no"].to_numpy()[r], "class_no": numbers[near[r, c]],
+                                          "score": score})
+                    found = found.sort_values(["query_no", "score"], ascending=[True, False], kind="stable")
+                    last = found.groupby("query_no")["score"].transform(lambda s: s.iloc[min(k, len(s)) - 1])
+                    yield found[found["score"] >= last]  # with ties of the k-th
+    return answer
+
+
+def search(index: DataFrame, queries: DataFrame, k: int, beam: int | None = None,
            query_block: int = QUERY_BLOCK) -> DataFrame:
     """The ``k`` nearest classes that each shard finds for each query (query_no, vector):
     (query_no, class_no, score), score being the cosine in double precision.
 
-    Every query visits every shard of its length. Queries meet a shard in blocks of about
-    ``query_block``, each block with its own copy of the shard, so no task holds more than one
-    shard and one block."""
-    total = queries.count()
-    blocks = max(1, math.ceil(total / query_block))
-    places = index.select(F.col("shard").alias("to_shard")).distinct().withColumn(
-        "length", F.split("to_shard", ":")[0].cast("int"))
-    sent = queries.select("query_no", "vector", F.size("vector").alias("length"),
-                          F.pmod(F.xxhash64("query_no"), F.lit(blocks)).cast("int").alias("block")).join(
-        F.broadcast(places), "length").select("to_shard", "block", "query_no", "vector")
-    copies = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def answered(shard: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if shard.empty or asked.empty:
-            return pd.DataFrame({"query_no": pd.Series(dtype="int64"), "class_no": pd.Series(dtype="int64"),
-                                 "score": pd.Series(dtype="float64")})
-        shard = shard.sort_values("node")
-        vectors, wanted = _matrix(shard["vector"]), _matrix(asked["vector"])
-        units, graph = _units(vectors), np.stack(shard["neighbours"].to_numpy())
-        entries = np.flatnonzero(shard["entry"].to_numpy())
-        out = []
-        for start in range(0, len(asked), BATCH):
-            own = wanted[start:start + BATCH]
-            near, _ = beam_search(units, graph, entries, _units(own), beam)
-            r, c = np.nonzero(near >= 0)
-            a, b = _scaled(vectors[near[r, c]]), _scaled(own[r])
-            score = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
-            out.append(pd.DataFrame({"query_no": asked["query_no"].to_numpy()[start + r],
-                                     "class_no": shard["class_no"].to_numpy()[near[r, c]], "score": score}))
-        found = pd.concat(out).sort_values(["query_no", "score"], ascending=[True, False], kind="stable")
-        found["place"] = found.groupby("query_no").cumcount()
-        last = found.groupby("query_no")["score"].transform(lambda s: s.iloc[min(k, len(s)) - 1])
-        return found[found["score"] >= last][["query_no", "class_no", "score"]]  # with ties of the k-th
-
-    return copies.groupBy("shard", "block").cogroup(sent.groupBy("to_shard", "block")).applyInPandas(
-        answered, "query_no bigint, class_no bigint, score double")
+    Every query visits every shard of its length. A task reads a shard's nodes once and streams
+    the queries past them. Only while there are fewer shards than tasks, a shard is copied for
+    further blocks of queries, of no fewer than ``query_block``; the index as a whole is never
+    copied more often than it takes to fill the tasks twice.
+    """
+    part = F.split("shard", ":")
+    lengths = stored(index.groupBy(part[0].cast("int").alias("length")).agg(
+        (F.max(part[1].cast("bigint")) + 1).alias("shards")), "lengths")
+    shards = lengths.agg(F.sum("shards")).first()[0] or 1
+    spark = index.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    blocks = max(1, min(math.ceil(queries.count() / query_block), math.ceil(2 * tasks / shards)))
+    copies = index.select("shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+                          F.lit(False).alias("asks"), F.col("class_no").alias("no"), "node", "vector", "neighbours",
+                          "entry")
+    sent = queries.withColumn("length", F.size("vector")).join(lengths, "length").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).select(
+        F.concat_ws(":", "length", "part").alias("shard"),
+        F.pmod(F.xxhash64("query_no"), F.lit(blocks)).cast("int").alias("block"), F.lit(True).alias("asks"),
+        F.col("query_no").alias("no"), "vector")
+    rows = copies.unionByName(sent, allowMissingColumns=True).repartition("shard", "block")
+    return rows.sortWithinPartitions("shard", "block", "asks", "node").mapInPandas(
+        _answered(k, beam), "query_no bigint, class_no bigint, score double")
 
 
 def nearest(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
