@@ -86,3 +86,26 @@ def test_long_rows_keep_their_ids_when_scans_differ(spark):
     df = in_another_order_each_time(spark.createDataFrame(data, "doc_id bigint, text string"))
     got = bpe.encode(df, PATH, part_chars=50, leaf_chars=16, decoded=True).collect()
     assert sorted((r.doc_id, list(r.ids)) for r in got) == [(i, ids(t)) for i, t in data]
+
+
+def test_words_of_letters_are_encoded_without_marks(monkeypatch):
+    """Letters, and letters before ASCII marks, share calls of the library; only the rest goes on."""
+    code, rng = bpe.Coder(PATH), random.Random(4)
+    letters = ["".join(rng.choice("abcdeéß中Σ") for _ in range(rng.randint(1, 9))) for _ in range(3_000)]
+    tails = ["", ".", ",", "%%%", "'", "?!", "<", "|>"]
+    words = [w + rng.choice(tails) for w in letters]
+    got, rest = [], code.encode_letters([w.encode() for w in dict.fromkeys(words)])
+    while True:
+        try:
+            got.append(next(rest))
+        except StopIteration as end:
+            assert end.value == []
+            break
+    assert {w for w, _ in got} >= {w.encode() for w in words}
+    for word, own in got:
+        assert bpe.np.frombuffer(own, bpe.np.int32).tolist() == ids(word.decode())
+    odd = ["\u0958", "İ", "a's", "a\u0301", "1.", "...", "x<|endoftext|>", "\u1100\u1161", "ﬁ.", "a\x01b", "ª,"]
+    text = " ".join([*odd, *words, *(f"{w}." for w in odd)])
+    for _ in range(2):  # the second time words without marks are known
+        assert code.encode_text(text).tolist() == ids(text)
+        text = " ".join(f"{w}.." for w in text.split())

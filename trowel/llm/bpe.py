@@ -14,6 +14,7 @@ import functools
 import json
 import os
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,8 @@ from trowel.llm.common import read, sha256_hex, stored
 
 PART_CHARS = 32_768  # texts longer than this are cut and encoded as several rows
 LEAF_CHARS = 8_192   # pieces of a long word, in characters of the vocabulary's byte alphabet
-CACHE_WORDS = 120_000   # words whose ids a worker remembers, and as many that it knew before
+CACHE_WORDS = 300_000   # words whose ids a worker remembers, and as many that it knew before
+MARKS = string.punctuation  # ASCII marks, which may stand behind a word
 MARK = "\x01"           # stands between words that are encoded together
 BATCH_CHARS = 500_000  # texts that a worker gives back together
 
@@ -38,6 +40,7 @@ class Coder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
@@ -55,6 +58,11 @@ class Coder:
         self.older: dict[bytes, bytes] = {}
         mark = self.whole.encode(f"a {MARK} b", add_special_tokens=False).ids
         self.mark = mark[1] if len(mark) == 3 else None
+        self.tails: dict[str, bytes | None] = {}
+        # every letter of the byte alphabet can end a word: then no word is without such a token
+        ending = bool(self.suffix) and all(f"{c}{self.suffix}" in model["vocab"] for c in ByteLevel.alphabet())
+        self.ends = np.array([ending and self.tokens.get(i, "").endswith(self.suffix)
+                              for i in range(max(self.tokens) + 1)])
 
     @functools.cached_property
     def models(self):
@@ -68,8 +76,10 @@ class Coder:
                 models.BPE(model["vocab"], merges, end_of_word_suffix=self.suffix or None))
 
     def encode_new(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Each word with its ids as bytes of int32. One call of the library encodes many words
-        with a mark between them; words that hold the mark are encoded alone."""
+        """Each word with its ids as bytes of int32. One call of the library encodes many words.
+        Words of letters end where a token ends a word; others have a mark between them, and words
+        that hold the mark are encoded alone."""
+        words = yield from self.encode_letters(words)
         alone = [w for w in words if self.mark is None or MARK.encode() in w]
         found = self.whole.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)
         yield from ((w, np.array(e.ids, np.int32).tobytes()) for w, e in zip(alone, found))
@@ -84,11 +94,63 @@ class Coder:
             starts = np.append(0, ends[:-1] + 1)
             yield from ((w, ids[a:b].tobytes()) for w, a, b in zip(held, starts, ends))
 
+    def encode_letters(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Words of letters, or letters before ASCII marks, with their ids; returns those still to
+        be encoded. Letters alone give one token or more that ends a word, so if there are as many
+        of them as words, each has one; if not, as some letters are taken apart, the words of that
+        call are left. Marks that the library parts from letters have ids of their own."""
+        if not self.ends.any():
+            return words
+        left, letters, marked = [], {}, []
+        for word in words:
+            text = word.decode()
+            stem = text.rstrip(MARKS)
+            if not stem.isalpha():
+                left.append(word)
+            elif len(stem) == len(text):
+                letters[word] = text
+            elif self.tail(text[len(stem):]) is None or (self.specials and self.specials.search(text)):
+                left.append(word)
+            else:
+                own = stem.encode()
+                marked.append((word, own, text[len(stem):]))
+                if own not in self.words and own not in self.older:
+                    letters[own] = stem
+        found, every = {}, list(letters)
+        for start in range(0, len(every), 1_000):
+            own = every[start:start + 1_000]
+            text = " ".join([letters[w] for w in own])
+            ids = np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) == len(own) and ends[-1] == len(ids):
+                data, size = ids.tobytes(), ids.itemsize
+                found.update((w, data[size * a:size * b]) for w, a, b in zip(own, [0, *ends], ends))
+        wanted = set(words)
+        left += [w for w in every if w in wanted and w not in found]
+        yield from found.items()
+        for word, stem, tail in marked:
+            ids = found.get(stem)
+            if ids is None:  # known, but perhaps as letters that are taken apart
+                ids = self.words.get(stem) or self.older.get(stem)
+                if ids is None or self.ends[np.frombuffer(ids, np.int32)].sum() != 1:
+                    left.append(word)
+                    continue
+            yield word, ids + self.tail(tail)
+        return left
+
+    def tail(self, marks: str) -> bytes | None:
+        """The ids of ASCII marks behind letters, as bytes; None if letters and marks are not parted."""
+        if marks not in self.tails:
+            own, letter, both = (e.ids for e in self.whole.encode_batch_fast(
+                [marks, "a", f"a{marks}"], add_special_tokens=False))
+            self.tails[marks] = np.array(own, np.int32).tobytes() if letter + own == both else None
+        return self.tails[marks]
+
     def encode_texts(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text. Words are remembered; when there are too many of them, those
         not met again since the last time are forgotten."""
         split = [(t or "").encode().split() for t in texts]  # bytes: ASCII white space only
-        need = dict.fromkeys(w for words in split for w in words)
+        need = set().union(*split)
         if len(self.words) > CACHE_WORDS:
             self.older, self.words = self.words, {}
         known, older = self.words, self.older
