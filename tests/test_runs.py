@@ -175,3 +175,19 @@ def test_compared_geometries_in_parts_are_those_of_all_at_once(spark, tmp_path):
     same, met = compared(path)
     assert sorted(r[1] for r in same) == [("a",), ("a", "c"), ("a", "c"), ("b",), ("c",)]
     assert sorted((r[1], sorted(r[4])) for r in met) == [(("a",), ["a,c", "b"]), (("a", "c"), ["a"]), (("b",), ["a"])]
+
+
+def test_notes_stay_in_place_and_only_those_asked_for_come(spark, tables):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        every = relations.object_texts(tables)
+        plan = every._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rows = every.collect()
+    assert len({r.object_id for r in rows}) > 1
+    one = spark.createDataFrame([rows[0][:2]] * 2, "archive string, object_id bigint")
+    got = relations.object_texts(tables, of=one).collect()
+    assert sorted(got) == sorted(r for r in rows if r[:2] == rows[0][:2])
+    assert len(relations.object_texts(tables, keep_unowned=True).collect()) >= len(rows)

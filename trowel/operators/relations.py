@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trowel.functions.lists import element, fold
 from trowel.functions.text import clean_text
 from trowel.schema import CREATES_TEXT, GROUP_SUBCLASSES, NON_GROUP_CLASSES
+from trowel.session import attached
 
 A = "archive"
 
@@ -82,8 +83,9 @@ def group_members(t, subclasses=GROUP_SUBCLASSES) -> DataFrame:
     return groups.join(links, [A, "group_id"], "left")
 
 
-def object_texts(t, clean=clean_text, keep_unowned: bool = False) -> DataFrame:
-    """Cleaned notes with their object; several notes of one object stay several rows.
+def object_texts(t, clean=clean_text, keep_unowned: bool = False, of: DataFrame | None = None) -> DataFrame:
+    """Cleaned notes with their object; several notes of one object stay several rows. With ``of``
+    (archive, object_id) only the notes of these objects.
 
     A stored ``converted_text`` is used as it is when ``clean`` is the default; notes that have
     none yet are cleaned.
@@ -94,8 +96,10 @@ def object_texts(t, clean=clean_text, keep_unowned: bool = False) -> DataFrame:
     else:
         text = clean(F.col("Text"))
     owners = t["attribute"].select(A, "AttributeId", F.col("ObjectId").alias("object_id"))
-    return (notes.select(A, "AttributeId", text.alias("description"))
-            .join(owners, [A, "AttributeId"], "left" if keep_unowned else "inner")
+    if of is not None:
+        owners = owners.join(of, [A, "object_id"], "left_semi")
+    noted = notes.select(A, "AttributeId", text.alias("description"))
+    return (attached(noted, owners, [A, "AttributeId"], "left" if keep_unowned else "inner")
             .select(A, "object_id", F.col("AttributeId").alias("text_id"), "description"))
 
 

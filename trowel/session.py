@@ -87,3 +87,10 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     text = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     size = df.agg(F.sum(text.cast("bigint"))).first()[0] or 0
     return F.broadcast(df) if size <= max_bytes else df
+
+
+def attached(wide: DataFrame, narrow: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``wide.join(narrow, keys, how)`` for few wide rows and a long narrow table: only the narrow
+    rows that have a wide one are kept, and while they are few the wide rows stay where they are."""
+    wanted = wide.select(*keys).distinct()
+    return wide.join(broadcast_if_small(narrow.join(wanted, keys, "left_semi")), keys, how)

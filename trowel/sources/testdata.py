@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trowel.functions.geometry import box_wkb, point_wkb
+from trowel.session import attached
 
 # Definitions, repeated in every archive.
 DEFINITIONS = [
@@ -85,7 +86,7 @@ def _orders(t):
 
 def _documents(t):
     home = t["_orders"].select("archive", F.col("k").alias("doc_id"), "o_custkey")
-    return t.raw("documents").select("doc_id", "text").join(home, "doc_id")
+    return attached(t.raw("documents").select("doc_id", "text"), home, ["doc_id"])
 
 
 def _pages(t):
