@@ -72,8 +72,9 @@ def clean_notes(t, path: str, manifest_path: str, version: int = 1):
     """The notes with their cleaned text stored as ``converted_text``, in the place of
     ``free_text``: `object_texts` then takes the stored text."""
     def work(tables):
-        writers.overwrite_archives(tables["free_text"].withColumn(
-            "converted_text", clean_text(F.col("Text"))), path)
+        # cleaned behind the shuffle, which then carries one text for each note
+        writers.overwrite_archives(tables["free_text"], path, lambda rows: rows.withColumn(
+            "converted_text", clean_text(F.col("Text"))))
 
     return run_step(t, manifest_path, "clean_text", version, work)
 

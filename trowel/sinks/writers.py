@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -26,10 +28,10 @@ def joined_lists(df: DataFrame, mark: str = "|") -> DataFrame:
 
 
 def clustered(df: DataFrame) -> DataFrame:
-    """Laid out by archive and id, so that an archive's rows come from few tasks, and a large
-    archive's from several: files follow the data, not tasks times archives."""
-    ids = [c for c in ("pk", "object_id", "ObjectId", "parent_id", "group_id") if c in df.columns][:1]
-    return df.repartitionByRange(A if A in df.columns else "intrasis_archive", *ids)
+    """Laid out by archive, so that an archive's rows come from few tasks, and a large archive's from
+    several: files follow the data, not tasks times archives. Ranges would have to be found first,
+    by computing the rows once more; here adaptive execution cuts what was shuffled."""
+    return df.hint("rebalance", A if A in df.columns else "intrasis_archive")
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", replace_archives: bool = False) -> None:
@@ -82,9 +84,10 @@ def create_features_table(df: DataFrame, name: str, path: str | None = None) ->
     writer.saveAsTable(name)
 
 
-def overwrite_archives(df: DataFrame, path: str) -> None:
-    """Replace only the archives present in ``df``."""
-    (clustered(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def overwrite_archives(df: DataFrame, path: str, finish: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
+    """Replace only the archives present in ``df``; ``finish`` adds what is dear to compute, row by
+    row, once the rows lie where they are written."""
+    (finish(clustered(df)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(A).parquet(path))
 
 
