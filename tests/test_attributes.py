@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from tests.small import OPEN_RING
@@ -197,3 +199,29 @@ def test_one_object_with_very_many_notes_is_spread_over_tasks(spark, tables):
     assert sum(held) == 20_002 * 12
     assert max(held) < 2 * sum(held) / 4  # four tasks
     assert rows.agg(F.min("pk"), F.max("pk"), F.count_distinct("pk")).first()[2] == 20_002 * 12
+
+
+def test_lists_are_laid_out_by_their_keys_alone(spark, tables):
+    lists = eav.attr_arrays(tables)
+    spread = re.findall(r"hashpartitioning\(([^)]*)\)", lists._jdf.queryExecution().executedPlan().toString())
+    assert spread and all(re.fullmatch(r"archive#\d+, object_id#\d+L, \d+", s) for s in spread), spread
+    assert {r.part for r in lists.collect()} == {0}
+
+
+def test_texts_of_links_are_made_for_the_wanted_objects_only(tables):
+    every = relations.relation_items(tables)
+    some = every.select("archive", "object_id").distinct().orderBy("archive", "object_id").limit(2)
+    key = ["archive", "object_id", "kind", "member", "text"]
+    want = sorted(tuple(r) for r in every.join(some, key[:2], "left_semi").select(*key).collect())
+    assert sorted(tuple(r) for r in relations.relation_items(tables, of=some).select(*key).collect()) == want
+    assert 0 < len(want) < every.count()
+
+
+def test_numbered_rows_stay_where_they_are_for_their_bytes(tables):
+    table = features.features_table(tables)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    # one layout of bytes by geometry, none of rows that hold lists and notes
+    assert len(re.findall(r"Window \[row_number", plan)) == 1
+    before_window = plan[:plan.index("Window [row_number")]
+    assert "geoobject_id" not in "".join(re.findall(r"hashpartitioning\([^)]*\)", before_window))
+    assert table.where(F.col("geom").isNotNull()).count() > 0

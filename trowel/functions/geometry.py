@@ -112,28 +112,37 @@ def canonical(data: pa.Array) -> pa.Array:
 _PLAIN = {bytes([kind, 0, 0, 0]) for kind in (1, 2, 3)}
 
 
-def _tidied(data: pa.Array, flat: bool) -> pa.Array:
+def _tidied(data: pa.Array, flat: bool) -> tuple[list[bytes | None], wkb.Batch | None]:
+    """The tidy bytes, and what was read of them unless some were written anew."""
     out = data.to_pylist()
     g = wkb.Batch(out)
     for error in filter(None, g.error):
         raise ValueError(error)
     # all that is not tidy or not in the plain form of two dimensions is written anew
-    for i in np.flatnonzero(~g.plain(out) | g.untidy()):
+    anew = np.flatnonzero(~g.plain(out) | g.untidy())
+    for i in anew:
         rings = [(part, kind, pts[:, :2] if flat else pts) for part, kind, pts in g.rings(i)]
         out[i] = wkb.write_rings(g.gtype[i], wkb.tidy(rings))
-    return pa.array(out, pa.binary())
+    return out, None if len(anew) else g
 
 
 @F.arrow_udf(T.BinaryType())
 def tidy_wkb(data: pa.Array) -> pa.Array:
     """Close open rings, drop repeated points, stroke arcs."""
-    return _tidied(data, flat=False)
+    return pa.array(_tidied(data, flat=False)[0], pa.binary())
+
+
+@F.arrow_udf(SHAPE_TYPE)
+def tidy_shape(data: pa.Array) -> pa.Array:
+    """``decode_shape`` of ``tidy_wkb``; bytes that are tidy are read once."""
+    out, read = _tidied(data, flat=False)
+    return wkb.shapes(read or wkb.Batch(out))
 
 
 @F.arrow_udf(T.BinaryType())
 def flat_tidy_wkb(data: pa.Array) -> pa.Array:
     """The same in two dimensions."""
-    return _tidied(data, flat=True)
+    return pa.array(_tidied(data, flat=True)[0], pa.binary())
 
 
 def _packed(record: np.ndarray, valid: np.ndarray) -> pa.Array:

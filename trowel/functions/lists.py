@@ -46,12 +46,11 @@ def fold(df: DataFrame, keys: Sequence[str], member: str,
         (F.col(count) > max_members) | (F.col("_bytes") > max_bytes))
     large = stored(large.select(*[F.col(k).alias(f"_{k}") for k in keys], count), "large")
     if large.isEmpty():
-        return _collected(rows.withColumn("part", F.lit(0)), keys, list(lists),
-                          F.count(F.lit(1)).alias(count))
+        return _collected(rows, keys, list(lists), F.count(F.lit(1)).alias(count))
     same = F.lit(True)
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
-    ordinary = rows.join(large, same, "left_anti").withColumn("part", F.lit(0))
+    ordinary = rows.join(large, same, "left_anti")
     cut = places_in_groups(rows.join(large, same).drop(*[f"_{k}" for k in keys]), keys,
                            ["_item.m"], "_size")
     # both quotients only rise, so a part is one stretch below both bounds
@@ -62,7 +61,10 @@ def fold(df: DataFrame, keys: Sequence[str], member: str,
 
 
 def _collected(rows: DataFrame, keys: list[str], names: list[str], total: Column) -> DataFrame:
-    folded = rows.groupBy(*keys, "part").agg(total, F.array_sort(F.collect_list("_item")).alias("_items"))
+    by = [*keys, "part"] if "part" in rows.columns else keys
+    folded = rows.groupBy(*by).agg(total, F.array_sort(F.collect_list("_item")).alias("_items"))
+    if by is keys:  # not a key of the grouping: a join by the keys then needs no second shuffle
+        folded = folded.withColumn("part", F.lit(0))
     count = [c for c in folded.columns if c not in (*keys, "part", "_items")][0]
     split = folded.select(*keys, "part", count, *[F.transform(F.filter(
         "_items", _wanted(name)), _value(name)).alias(name) for name in names])

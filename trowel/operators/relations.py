@@ -18,18 +18,20 @@ def _edges(t) -> DataFrame:
     return t["object_rel"].join(texts, [A, "MetaId"])
 
 
-def relation_items(t) -> DataFrame:
-    """One text per link and end: the parent's about its child, the child's about its parent."""
+def relation_items(t, of: DataFrame | None = None) -> DataFrame:
+    """One text per link and end: the parent's about its child, the child's about its parent. With
+    ``of`` (archive, object_id) only the texts of these objects: the others are not made."""
     ends = F.array(
         F.struct(F.col("ParentId").alias("object_id"), F.lit("parent").alias("kind"),
-                 F.col("ChildId").alias("member"),
-                 F.concat("ParentText", F.lit(" "), F.col("ChildId").cast("string"))
-                 .alias("text")),
+                 F.col("ChildId").alias("member")),
         F.struct(F.col("ChildId").alias("object_id"), F.lit("child").alias("kind"),
-                 F.col("ParentId").alias("member"),
-                 F.concat("ChildText", F.lit(" "), F.col("ParentId").cast("string"))
-                 .alias("text")))
-    return _edges(t).select(A, F.inline(ends))
+                 F.col("ParentId").alias("member")))
+    links = t["object_rel"].select(A, "MetaId", F.inline(ends))
+    if of is not None:
+        links = links.join(of, [A, "object_id"], "left_semi")
+    start = F.when(F.col("kind") == "parent", F.col("ParentText")).otherwise(F.col("ChildText"))
+    return _edges({"object_rel": links, "relation_def": t["relation_def"]}).select(
+        A, "object_id", "kind", "member", F.concat(start, F.lit(" "), F.col("member").cast("string")).alias("text"))
 
 
 def described_items(t) -> DataFrame:
