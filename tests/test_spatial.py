@@ -546,3 +546,38 @@ def test_large_outlines_meet_by_their_segments(spark):
 def test_no_geometry_bytes_in_pair_rows(spark):
     df = shapes(spark, [box(0, 0, 1, 1), point(0, 0)]).select(F.col("id").cast("bigint").alias("key"), "wkb")
     assert "wkb" not in spatial.meeting_pairs(df)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tidy_shape_is_the_shape_of_the_tidy_bytes(spark):
+    arc = struct.pack("<BII6d", 1, 8, 3, 0, 0, 1, 1, 2, 0)
+    high = wkb.write_rings(1, [(0, 0, np.array([[1.0, 2.0, 3.0]]))])
+    empty = wkb.write_rings(3, [])
+    for bufs in ([point(1, 2), None, box(0, 0, 2, 2), line((0, 0), (4, 0)), empty],
+                 [OPEN_RING, point(1, 2), None, line((0, 0), (0, 0), (4, 0)), arc, high, empty, BOWTIE]):
+        got = shapes(spark, bufs).repartition(1).select(
+            "id", G.tidy_shape("wkb").alias("once"), G.decode_shape(G.tidy_wkb("wkb")).alias("twice")).collect()
+        assert len(got) == len(bufs) and all(r.once == r.twice for r in got)
+
+
+def python_steps(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+
+
+def test_geometries_are_read_by_one_python_step_at_a_time(tables):
+    table = tables["geo_object"]
+    for df in (spatial.with_bbox(table, "ObjectId"), site.centroid_points(tables), *spatial.error_rows(tables)):
+        assert python_steps(df) == 1
+    objects = table.select("archive", F.col("ObjectId").alias("object_id"), "wkb")
+    hits = spatial.region_hits(objects, ["archive", "object_id"], tables["region"], ["namn", "lan"], 50.0)
+    assert python_steps(hits) == 1  # measuring is behind it, and so are the tiles
+
+
+def test_unreadable_geometries_may_stay_in_the_shapes(spark, tables):
+    table = tables["geo_object"]
+    junk = table.limit(1).withColumn("ObjectId", F.lit(987654).cast(table.schema["ObjectId"].dataType)).withColumn(
+        "wkb", F.lit(b"junk"))
+    mixed = table.unionByName(junk)
+    good, _ = spatial.error_rows({"geo_object": mixed})
+    got = spatial.objects_in_region({**tables, "geo_object": good}, 50.0, shapes=mixed)
+    want = spatial.objects_in_region(tables, 50.0)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -47,6 +47,12 @@ def geom_stats(data: pa.Array) -> pa.Array:
     return wkb.stats(data)
 
 
+def once(value: Column) -> Column:
+    """The value of a Python step that a filter looks at, as a row of its own: Spark pushes such a
+    filter below the step otherwise, and runs the step twice, in two workers for each task."""
+    return F.explode(F.array(value))
+
+
 def _rings(buf):
     return wkb.read_rings(buf)[1]
 

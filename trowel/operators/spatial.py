@@ -25,7 +25,7 @@ def _grid(value: Column, side) -> Column:
 def with_bbox(df: DataFrame, *keep: str) -> DataFrame:
     """Rows with a readable geometry and its bounding box."""
     measured = df.where(F.col("wkb").isNotNull()).select(
-        *keep, "wkb", G.geom_stats("wkb").alias("g"))
+        *keep, "wkb", G.once(G.geom_stats("wkb")).alias("g"))
     return measured.where(F.col("g.xmin").isNotNull()).select(
         *keep, "wkb", *[f"g.{c}" for c in ("gtype", "xmin", "ymin", "xmax", "ymax")])
 
@@ -74,6 +74,8 @@ def region_hits(objects: DataFrame, ids: list[str], layer: DataFrame, columns: l
     for low, high, first, last in (("x0", "x1", west, east), ("y0", "y1", south, north)):
         boxed = boxed.withColumn(f"l{low}", F.greatest(low, F.lit(first).cast("bigint"))).withColumn(
             f"l{high}", F.least(high, F.lit(last).cast("bigint")))
+    # measured and tested by different tasks: a task that did both would hold two Python workers
+    boxed = stored(boxed, "boxed")
     span = F.greatest(F.expr("lx1 - lx0"), F.expr("ly1 - ly0"))
     home = F.lit(homes[-1])
     for h in reversed(homes):
@@ -102,14 +104,17 @@ def region_hits(objects: DataFrame, ids: list[str], layer: DataFrame, columns: l
     return found.withColumn("_copy", once).select(*ids, *columns)
 
 
-def objects_in_region(t, cell: float = 1000.0, column: str = "lan", **bounds: int) -> DataFrame:
+def objects_in_region(t, cell: float = 1000.0, column: str = "lan", shapes: DataFrame | None = None,
+                      **bounds: int) -> DataFrame:
     """Geometries per region name of each archive, with the names ranked by count.
 
     Geometries in no region count under a NULL name; one that meets two regions of the
-    same name counts twice.
+    same name counts twice. ``shapes`` may hold the table with unreadable geometries too, which
+    meet nothing: then these need not be told apart before the join.
     """
     ids = t["geo_object"].select(A, F.col("ObjectId").alias("object_id"))
-    hits = region_hits(t["geo_object"].select(A, F.col("ObjectId").alias("object_id"), "wkb"),
+    shapes = t["geo_object"] if shapes is None else shapes
+    hits = region_hits(shapes.select(A, F.col("ObjectId").alias("object_id"), "wkb"),
                        [A, "object_id"], t["region"], ["namn", column], cell)
     placed = ids.join(hits.select(A, "object_id", column), [A, "object_id"], "left")
     placed = cut_lineage(placed)  # read twice below; the spatial join runs once
@@ -363,7 +368,7 @@ def normalize_geometry(t) -> DataFrame:
 
 def error_rows(t) -> tuple[DataFrame, DataFrame]:
     """Readable geometries, and an error row for each of the others."""
-    read = t["geo_object"].withColumn("s", G.decode_shape("wkb"))
+    read = t["geo_object"].withColumn("s", G.once(G.decode_shape("wkb")))
     good = read.where(F.col("s.error").isNull()).drop("s")
     bad = read.where(F.col("s.error").isNotNull()).select(
         A, "ObjectId", F.lit("Error in parsing geometry").alias("label"),

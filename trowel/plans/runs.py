@@ -98,7 +98,8 @@ def regions(t, path: str, manifest_path: str, version: int = 1, cell: float = 10
     """Objects per region, and the error rows of geometries that cannot be read."""
     def work(tables):
         good, bad = spatial.error_rows(tables)
-        writers.overwrite_archives(spatial.objects_in_region({**tables, "geo_object": good}, cell), f"{path}/regions")
+        placed = spatial.objects_in_region({**tables, "geo_object": good}, cell, shapes=tables["geo_object"])
+        writers.overwrite_archives(placed, f"{path}/regions")
         writers.overwrite_archives(bad, f"{path}/errors")
 
     return run_step(t, manifest_path, "regions", version, work)
