@@ -75,7 +75,7 @@ def likely_srid_cascade(t, candidates=CANDIDATES, cell: float = 50000.0,
               .select(A, "rank", "candidate", "p.x", "p.y")
               .where(~F.isnan("x") & ~F.isnan("y") & (F.abs("x") < 1e8) & (F.abs("y") < 1e8)))
     centres = cut_lineage(geometric_median(cut_lineage(placed), A, "rank", "candidate", **median_options))
-    spots = centres.select(A, "rank", "candidate", point_wkb("x", "y").alias("wkb"))
+    spots = cut_lineage(centres.select(A, "rank", "candidate", point_wkb("x", "y").alias("wkb")))
     hits = region_hits(spots, [A, "rank", "candidate"], t["zone"], [], cell)
     best = hits.groupBy(A).agg(F.min(F.struct("rank", "candidate")).alias("best"))
     found = centres.groupBy(A).agg(F.min("converged").alias("converged"))
