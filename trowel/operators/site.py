@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trowel import schema as S
-from trowel.functions.geometry import geom_stats, number_text, point_wkb
+from trowel.functions.geometry import geom_stats, number_text, once, point_wkb
 from trowel.functions.lists import element, fold
 from trowel.operators.median import geometric_median
 from trowel.operators.spatial import region_hits
@@ -228,7 +228,7 @@ def project_information(archives: DataFrame, fields: DataFrame) -> DataFrame:
 def centroid_points(t) -> DataFrame:
     """The distinct centroids of each archive's geometries."""
     measured = t["geo_object"].where(F.col("wkb").isNotNull()).select(
-        A, geom_stats("wkb").alias("g"))
+        A, once(geom_stats("wkb")).alias("g"))
     points = measured.where(F.col("g.cx").isNotNull())
     return points.select(A, F.col("g.cx").alias("x"), F.col("g.cy").alias("y")).distinct()
 
@@ -249,7 +249,7 @@ def site_centroid(t, **options) -> DataFrame:
 def site_region(centres: DataFrame, layer: DataFrame, columns: list[str],
                 cell: float = 1000.0) -> DataFrame:
     """Each archive's centre with the layer features it lies in, NULLs for none."""
-    points = centres.select(A, point_wkb("x", "y").alias("wkb"))
+    points = cut_lineage(centres.select(A, point_wkb("x", "y").alias("wkb")))  # bytes made by other tasks than measure them
     hits = region_hits(points, [A], layer, columns, cell)
     return centres.join(hits, A, "left")
 
